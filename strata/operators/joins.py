@@ -52,7 +52,11 @@ def match_dimension(
     columns: list[Column] = []
     if key_alias:
         columns.append(F.col(fact_key).alias(key_alias))
-    columns.extend(output if output is not None else [F.col(c) for c in facts.columns])
+    if output is None:
+        # With a key alias the key is not repeated under its own name: names
+        # differing only in case would be ambiguous and could not be written.
+        output = [F.col(c) for c in facts.columns if not (key_alias and c == fact_key)]
+    columns.extend(output)
     return matched.select(*columns)
 
 

@@ -10,12 +10,23 @@ first time of the group, in whole epoch seconds.
 
 Scale design. A per-key window would put every reading of a key into one
 task, and one key may hold a large share of all rows. The readings are
-therefore cut into (key, time bucket) pieces of ``bucket_seconds``: every
-window runs inside a piece, and only a few summary rows per piece (first row,
-last row, inner sums) cross pieces. Stitching the pieces is a second, small
-window over one row per non-empty piece. Idle time needs no group numbers at
-all: it is the sum of time gaps between consecutive readings that are both
-idle, and a gap that crosses two pieces is found from the pieces' summaries.
+therefore cut into ordered pieces: every window runs inside a (key, piece),
+and only a few summary rows per piece (first row, last row, inner sums) cross
+pieces. Stitching the pieces is a second, small window over one row per
+non-empty piece. Idle time needs no group numbers at all: it is the sum of
+time gaps between consecutive readings that are both idle, and a gap that
+crosses two pieces is found from the pieces' summaries.
+
+Two ways to cut pieces (``split``):
+
+``"time"``  buckets of ``bucket_seconds`` (default). One shuffle on
+            (key, bucket); a piece holds one key's readings of one bucket.
+``"rows"``  range partitioning on (key, order columns) into
+            ``spark.sql.shuffle.partitions`` ranges; the range id is the
+            piece. Spark samples the data to place the range bounds, so each
+            piece holds about the same number of rows whatever the skew,
+            including many readings with equal times. Costs a sampling pass
+            and one more shuffle.
 """
 
 from __future__ import annotations
@@ -28,6 +39,7 @@ from pyspark.sql import functions as F
 from strata.functions.measures import active_flag
 from strata.functions.time import epoch_seconds
 from strata.schemas import SECONDS_PER_HOUR
+from strata.session import shared_root
 
 DEFAULT_BUCKET_SECONDS = 86_400
 
@@ -39,16 +51,26 @@ def _prepare(
     value: str,
     threshold: float,
     bucket_seconds: int,
+    split: str = "time",
 ) -> DataFrame:
-    """Readings with ``_c`` (charging 0/1), ``_s`` (epoch seconds) and ``_b`` (bucket)."""
+    """Readings with ``_c`` (charging 0/1), ``_s`` (epoch seconds) and ``_b`` (piece id).
+
+    Piece ids grow with the reading order inside a key, for both splits.
+    """
     columns = list(dict.fromkeys([key, *order, value]))
     ts = order[0]
-    return (
+    r = (
         readings.select(*columns)
         .filter(F.col(ts).isNotNull())
         .withColumns({"_c": active_flag(value, threshold), "_s": epoch_seconds(ts)})
-        .withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long"))
     )
+    if split == "time":
+        return r.withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long"))
+    if split == "rows":
+        ranges = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = r.repartitionByRange(ranges, *[F.col(c).asc() for c in [key, *order]])
+        return ranged.withColumn("_b", F.spark_partition_id().cast("long"))
+    raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
 
 
 def _piece_window(key: str, order: Sequence[str]) -> Window:
@@ -70,13 +92,14 @@ def idle_time(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     output: str = "total_parking_time",
     decimals: int = 2,
+    split: str = "time",
 ) -> DataFrame:
     """Idle hours per key, rounded half up to ``decimals``.
 
     Only keys with at least one idle reading appear; a key whose idle
     readings are all isolated gets 0.0. Time between groups is not counted.
     """
-    r = _prepare(readings, key, order, value, threshold, bucket_seconds)
+    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split)
     w = _piece_window(key, order)
     r = r.withColumns({"_pc": F.lag("_c").over(w), "_ps": F.lag("_s").over(w)})
     both_idle = (F.col("_c") == 0) & (F.col("_pc") == 0)
@@ -109,9 +132,16 @@ def _with_groups(
     value: str,
     threshold: float,
     bucket_seconds: int,
+    split: str = "time",
 ) -> DataFrame:
     """Readings with ``charging``, ``boundary`` and ``charging_group`` columns."""
-    r = _prepare(readings, key, order, value, threshold, bucket_seconds)
+    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split)
+    if split == "rows":
+        # The readings are used twice (piece summaries, then the rows joined to
+        # their offsets); range bounds come from sampling, so the piece ids are
+        # fixed once by a reliable checkpoint in the shared checkpoint folder.
+        shared_root(r.sparkSession)
+        r = r.checkpoint(eager=True)
     w = _piece_window(key, order)
     r = r.withColumn("_pc", F.lag("_c").over(w))
     inner_change = F.when(F.col("_pc").isNotNull(), F.abs(F.col("_c") - F.col("_pc"))).otherwise(F.lit(0))
@@ -139,9 +169,10 @@ def charging_boundaries(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    split: str = "time",
 ) -> DataFrame:
     """Per reading: ``charging`` (0/1) and ``boundary`` = |charging - previous|."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary")
 
@@ -153,9 +184,10 @@ def running_group_id(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    split: str = "time",
 ) -> DataFrame:
     """Per reading: ``charging``, ``boundary`` and ``charging_group`` (running sum)."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary", F.col("charging_group").cast("long").alias("charging_group"))
 
@@ -167,6 +199,7 @@ def group_bounds(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    split: str = "time",
 ) -> DataFrame:
     """Per (key, group): state, first and last time, number of readings.
 
@@ -174,7 +207,7 @@ def group_bounds(
     deterministically (the order is total); the aggregation is partial, so a
     long group does not concentrate in one task.
     """
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
     ts = order[0]
     return g.groupBy(key, F.col("charging_group").cast("long").alias("charging_group")).agg(
         F.max("charging").alias("charging"),
