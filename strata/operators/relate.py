@@ -28,19 +28,25 @@ def followed_within(
     first_kind: str,
     then_kind: str,
     within_seconds: int,
+    bucket_seconds: int | None = None,
 ) -> DataFrame:
     """Per key: how many ``first_kind`` events are followed by a ``then_kind``
     event of the same key within ``(t, t + within_seconds]``.
 
-    No pairs are formed. Time is cut into buckets of the interval's width, so
-    the partner window of an event at t lies in its own bucket or the next
-    one: the earliest later ``then`` event inside the bucket comes from a
-    running minimum (a window inside one (key, bucket) piece), the earliest in
-    the next bucket from a per-bucket minimum joined on (key, bucket + 1).
+    No pairs are formed. Time is cut into buckets of ``bucket_seconds``
+    (default: the interval; smaller buckets make smaller pieces for keys with
+    very many events). For an event at t in bucket b the earliest later
+    ``then`` event is either inside b, found by a running minimum over the
+    piece (key, b), or the minimum of buckets b+1 .. b+m with
+    m = ceil(within / bucket); later buckets start after t + within. Those
+    minima come from one row per (key, bucket) and a RANGE window over at most
+    m following buckets, joined back on (key, bucket).
     Output: ``key, first_events, followed``; keys without ``first_kind``
     events are absent.
     """
-    width = int(within_seconds) * 1_000_000
+    within_us = int(within_seconds) * 1_000_000
+    bucket_us = int(bucket_seconds or within_seconds) * 1_000_000
+    ahead = -(-within_us // bucket_us)
     e = (
         events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull())
         .select(
@@ -48,7 +54,7 @@ def followed_within(
             epoch_micros(ts).alias("_m"),
             (F.col(kind) == F.lit(then_kind)).alias("_then"),
         )
-        .withColumn("_b", F.floor(F.col("_m") / F.lit(width)).cast("long"))
+        .withColumn("_b", F.floor(F.col("_m") / F.lit(bucket_us)).cast("long"))
     )
     # Ascending on -micros with a RANGE frame ending 1 before the current row:
     # exactly the events strictly later than the current one, incrementally.
@@ -59,16 +65,15 @@ def followed_within(
     )
     next_then = F.min(F.when(F.col("_then"), F.col("_m"))).over(later)
     firsts = e.withColumn("_next", next_then).filter(~F.col("_then"))
-    bucket_min = (
-        e.filter(F.col("_then"))
-        .groupBy(F.col(key).alias("__k"), (F.col("_b") - 1).alias("__b"))
-        .agg(F.min("_m").alias("_next_bucket"))
+    # One row per non-empty (key, bucket); the minimum over the next m buckets.
+    buckets = e.groupBy(F.col(key).alias("__k"), F.col("_b").alias("__b")).agg(
+        F.min(F.when(F.col("_then"), F.col("_m"))).alias("_bucket_min")
     )
-    joined = firsts.join(
-        bucket_min, (F.col(key) == F.col("__k")) & (F.col("_b") == F.col("__b")), "left"
-    )
-    nxt = F.least(F.col("_next"), F.col("_next_bucket"))
-    hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(width)), 1).otherwise(0)
+    following = Window.partitionBy("__k").orderBy("__b").rangeBetween(1, ahead)
+    buckets = buckets.withColumn("_after", F.min("_bucket_min").over(following)).select("__k", "__b", "_after")
+    joined = firsts.join(buckets, (F.col(key) == F.col("__k")) & (F.col("_b") == F.col("__b")), "inner")
+    nxt = F.least(F.col("_next"), F.col("_after"))
+    hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(within_us)), 1).otherwise(0)
     return joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("first_events"),
         F.sum(hit).cast("long").alias("followed"),

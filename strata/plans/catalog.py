@@ -28,6 +28,8 @@ from strata.operators.charge import match_start_messages, with_total_energy, wit
 from strata.plans import charge as charge_plans
 from strata.plans import disaster as d
 from strata.plans import driver_tables as t
+from strata.plans import layers
+from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA
 from strata.session import scratch_path
 from strata.sources.files import output_manifest, read_csv_typed, read_parquet, write_parquet
 from strata.streaming.ingest import ingest_csv_incremental
@@ -262,6 +264,25 @@ def q_pipeline_topk_impact(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_pipeline_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze CSV in the declared full-width layouts -> bronze -> silver -> gold jobs."""
+    landing = layers.Layout(scratch_path(spark, "landing"))
+    frames = {
+        "country": (t.bronze_cities(spark, sf), COUNTRY_SCHEMA),
+        "earthquake": (t.bronze_earthquakes(spark, sf), EARTHQUAKE_SCHEMA),
+        "tsunami": (t.bronze_tsunamis(spark, sf), TSUNAMI_SCHEMA),
+    }
+    sources = {}
+    for name, (frame, schema) in frames.items():
+        path = landing.path("csv", name)
+        layers.to_declared(frame, schema).write.option("header", True).option("escape", "\\").csv(path)
+        sources[name] = path
+    out = layers.run_disaster_layers(
+        spark, sources, layers.Layout(scratch_path(spark, "layers")), d.CONTINENT, *YEARS, k=TOP_K
+    )
+    return read_parquet(spark, out["gold/top_tsunami"])
+
+
 def q_pipeline_charge_record(spark: SparkSession, sf: str) -> DataFrame:
     return d.materialize(spark, _charge_records(spark, sf), "gold-charge-records")
 
@@ -320,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_facts_text_time": q_pipeline_facts_text_time,
     "pipeline_facts_part_time": q_pipeline_facts_part_time,
     "pipeline_topk_impact": q_pipeline_topk_impact,
+    "pipeline_layers": q_pipeline_layers,
     "pipeline_charge_record": q_pipeline_charge_record,
     "event_correlation": q_event_correlation,
     "interval_match": q_interval_match,

@@ -256,6 +256,9 @@ SELECT user_id, {_round('sum(d) / 3600')} AS idle_hours FROM durations GROUP BY
     "pipeline_facts_part_time": _with(TS_BRONZE, TS_SILVER) + "SELECT * FROM ts_silver",
     "pipeline_topk_impact": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
     + """SELECT Country, "Timestamp", Deaths, Missing, Injuries, HousesDestroyed, HousesDamaged
+FROM ts_asia WHERE Country IN (SELECT Country FROM top3)""",
+    "pipeline_layers": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
+    + """SELECT Country, "Timestamp", Deaths, Missing, Injuries, HousesDestroyed, HousesDamaged
 FROM ts_asia WHERE Country IN (SELECT Country FROM top3)""",
     "event_correlation": _with(EQ_BRONZE)
     + f"""SELECT tsunami, count(*) AS events, {_round('avg(magnitude)', 6)} AS avg_magnitude,

@@ -39,12 +39,14 @@ def test_followed_within_matches_brute_force(spark, seed):
     edge = datetime(2024, 2, 1)
     rows += [(9, edge, "error"), (9, edge + timedelta(days=1), "purchase"), (10, edge, "error"), (10, edge, "purchase")]
     df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
-    got = {
-        r.user_id: (r.first_events, r.followed)
-        for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY).collect()
-    }
-    assert got == _brute_force(rows, DAY)
-    assert got[9] == (1, 1) and got[10] == (1, 0)
+    expected = _brute_force(rows, DAY)
+    for bucket in (None, 3600, 7 * 3600):
+        got = {
+            r.user_id: (r.first_events, r.followed)
+            for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY, bucket).collect()
+        }
+        assert got == expected, bucket
+        assert got[9] == (1, 1) and got[10] == (1, 0)
 
 
 def test_event_correlation(spark):
