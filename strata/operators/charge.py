@@ -39,12 +39,16 @@ def match_start_messages(
     )
 
 
-def match_stop_with_start(stops: DataFrame, starts: DataFrame, ids_from_stop: bool = False) -> DataFrame:
+def match_stop_with_start(
+    stops: DataFrame, starts: DataFrame, ids_from_stop: bool = False, keep_stop_id: str | None = None
+) -> DataFrame:
     """Stop requests left-joined with matched starts on the transaction id.
 
     By default the ids come from the start side, so a stop without a start
     keeps its row with null ``charge_point_id`` and ``transaction_id``;
     ``ids_from_stop=True`` keeps the stop's own transaction id instead.
+    ``keep_stop_id`` also keeps the stop's id under that name: the result is
+    hash-partitioned on it, so a later join on it needs no new shuffle.
     """
     stop = stops.select(
         F.col("transaction_id").alias("__stop_tid"),
@@ -59,6 +63,7 @@ def match_stop_with_start(stops: DataFrame, starts: DataFrame, ids_from_stop: bo
     )
     joined = stop.join(start, F.col("__stop_tid") == F.col("__start_tid"), "left")
     tid = F.col("__stop_tid") if ids_from_stop else F.col("__start_tid")
+    extra = [F.col("__stop_tid").alias(keep_stop_id)] if keep_stop_id else []
     return joined.select(
         F.col("charge_point_id"),
         tid.alias("transaction_id"),
@@ -66,6 +71,7 @@ def match_stop_with_start(stops: DataFrame, starts: DataFrame, ids_from_stop: bo
         F.col("meter_stop"),
         F.col("start_timestamp"),
         F.col("stop_timestamp"),
+        *extra,
     )
 
 
@@ -79,11 +85,21 @@ def with_total_energy(df: DataFrame, start: str = "meter_start", stop: str = "me
     return df.withColumn("total_energy", unit_delta(stop, start))
 
 
-def attach_idle_time(records: DataFrame, idle: DataFrame, output: str = "total_parking_time") -> DataFrame:
+def attach_idle_time(
+    records: DataFrame, idle: DataFrame, output: str = "total_parking_time", stop_id: str | None = None
+) -> DataFrame:
     """Left join of charge records with idle hours per transaction.
 
-    Transactions that never idle, and records without a transaction id, get null.
+    Transactions that never idle, and records without a transaction id, get
+    null. With ``stop_id`` (the stop's id kept by ``match_stop_with_start``)
+    the join runs on that column, on which the records are already
+    partitioned; wherever ``transaction_id`` is set it equals the stop's id,
+    and where it is null the hours are nulled, so the rows are the same as a
+    join on ``transaction_id``, without shuffling the records again.
     """
-    right = idle.select(F.col("transaction_id").alias("__idle_tid"), F.col(output))
-    joined = records.join(right, F.col("transaction_id") == F.col("__idle_tid"), "left")
-    return joined.select(*records.columns, output)
+    right = idle.select(F.col("transaction_id").alias("__idle_tid"), F.col(output).alias("__idle_value"))
+    on = stop_id or "transaction_id"
+    joined = records.join(right, F.col(on) == F.col("__idle_tid"), "left")
+    value = F.when(F.col("transaction_id").isNotNull(), F.col("__idle_value"))
+    kept = [c for c in records.columns if c != stop_id]
+    return joined.select(*kept, value.alias(output))

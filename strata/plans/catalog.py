@@ -181,7 +181,7 @@ def q_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_topk_detail(spark: SparkSession, sf: str) -> DataFrame:
-    return d.top_detail(_tsunamis_in_asia(spark, sf), TOP_K)
+    return d.top_detail(_tsunamis_in_asia(spark, sf), TOP_K, reuse=True)
 
 
 def q_topk_by_measure(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,7 +189,7 @@ def q_topk_by_measure(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_topk_trend(spark: SparkSession, sf: str) -> DataFrame:
-    return d.top_trend(_tsunamis_in_asia(spark, sf), TOP_K)
+    return d.top_trend(_tsunamis_in_asia(spark, sf), TOP_K, reuse=True)
 
 
 # ---- charge records ---------------------------------------------------------------------

@@ -30,10 +30,14 @@ RECORD_COLUMNS = [
 
 
 def matched_transactions(
-    start_requests: DataFrame, start_responses: DataFrame, stop_requests: DataFrame, ids_from_stop: bool = False
+    start_requests: DataFrame,
+    start_responses: DataFrame,
+    stop_requests: DataFrame,
+    ids_from_stop: bool = False,
+    keep_stop_id: str | None = None,
 ) -> DataFrame:
     starts = match_start_messages(start_responses, start_requests)
-    return match_stop_with_start(stop_requests, starts, ids_from_stop=ids_from_stop)
+    return match_stop_with_start(stop_requests, starts, ids_from_stop=ids_from_stop, keep_stop_id=keep_stop_id)
 
 
 def parking_time(
@@ -55,7 +59,7 @@ def charge_records(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     ids_from_stop: bool = False,
 ) -> DataFrame:
-    records = matched_transactions(start_requests, start_responses, stop_requests, ids_from_stop)
+    records = matched_transactions(start_requests, start_responses, stop_requests, ids_from_stop, "__stop_id")
     records = with_total_energy(with_total_time(records))
     idle = parking_time(meter_values, order, bucket_seconds)
-    return attach_idle_time(records, idle).select(*RECORD_COLUMNS)
+    return attach_idle_time(records, idle, stop_id="__stop_id").select(*RECORD_COLUMNS)

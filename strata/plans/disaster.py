@@ -127,16 +127,29 @@ def top_countries(matched: DataFrame, k: int = 3) -> DataFrame:
     return top_k_keys(matched, "Country", k, "hits")
 
 
-def top_detail(matched: DataFrame, k: int = 3) -> DataFrame:
-    return top_k_detail(matched, "Country", k, DETAIL_COLUMNS)
+def shared_input(matched: DataFrame, reuse: bool, name: str) -> DataFrame:
+    """The matched facts, written once when two branches read them.
+
+    Ranking and detail both read the matched facts. Without ``reuse`` each
+    branch recomputes them, with its own scans and join shuffles, because
+    column pruning makes the two branches' plans differ, so Spark cannot
+    share an exchange between them. With ``reuse`` they are written once as
+    Parquet in the shared folder (which also cuts the lineage), and both
+    branches scan that.
+    """
+    return materialize(matched.sparkSession, matched, name) if reuse else matched
+
+
+def top_detail(matched: DataFrame, k: int = 3, reuse: bool = False) -> DataFrame:
+    return top_k_detail(shared_input(matched, reuse, "gold-matched"), "Country", k, DETAIL_COLUMNS)
 
 
 def top_by_impact(matched: DataFrame, k: int = 3) -> DataFrame:
     return top_k_by_measure(matched, "Country", IMPACT_MEASURES, k, "impact", IMPACT_ALIASES)
 
 
-def top_trend(matched: DataFrame, k: int = 3) -> DataFrame:
-    return top_k_trend(matched, "Country", "Timestamp", "Deaths", k, "deaths")
+def top_trend(matched: DataFrame, k: int = 3, reuse: bool = False) -> DataFrame:
+    return top_k_trend(shared_input(matched, reuse, "gold-matched"), "Country", "Timestamp", "Deaths", k, "deaths")
 
 
 def pipeline_topk_impact(
@@ -147,9 +160,10 @@ def pipeline_topk_impact(
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
     legacy_names: bool = False,
+    reuse: bool = True,
 ) -> DataFrame:
     """Rows of the k countries of a continent hit most often (gold detail)."""
     silver_ts = silver_tsunami(bronze_tsunamis, first_year, last_year)
     dimension = silver_country(bronze_cities, continent)
     matched = tsunamis_in(gold_tsunami(silver_ts, legacy_names), countries_of(dimension))
-    return top_detail(matched, k)
+    return top_detail(matched, k, reuse)
