@@ -46,16 +46,21 @@ def silver_earthquake(
     continent: str = CONTINENT,
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
+    depth_as_double: bool = False,
 ) -> DataFrame:
     """Complete rows -> country from location -> continent -> timestamp -> years.
 
     The completeness check runs on the original ``country`` before it is
     rebuilt from ``location``, so rows with a null original country go.
+    ``depth`` is text in the bronze schema and stays text unless
+    ``depth_as_double`` (then text that is not a number becomes null).
     """
     df = filter_complete_rows(bronze, ["location", "continent", "country"])
     df = make_country(df)
     df = filter_equals(df, "continent", continent)
     df = make_timestamp(df)
+    if depth_as_double:
+        df = df.withColumn("depth", F.col("depth").try_cast("double"))
     return filter_year_range(df, "time_stamp", first_year, last_year)
 
 
@@ -72,12 +77,22 @@ def gold_tsunami(silver: DataFrame, legacy_names: bool = False) -> DataFrame:
     return capitalize_country(silver.withColumnRenamed("Country", "country"), "country", legacy=legacy_names)
 
 
-def countries_of(dimension: DataFrame) -> DataFrame:
-    return distinct_keys(dimension, ["Country"])
+def countries_of(dimension: DataFrame, normalize: bool = False) -> DataFrame:
+    """Distinct country names of a dimension; ``normalize`` puts them in the
+    display form used for the tsunami names (by default they are used as is)."""
+    keys = distinct_keys(dimension, ["Country"])
+    return distinct_keys(capitalize_country(keys, "Country"), ["Country"]) if normalize else keys
 
 
-def earthquakes_in(earthquakes: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Earthquakes of the dimension's countries, in gold shape (6 columns)."""
+def earthquakes_in(earthquakes: DataFrame, dimension: DataFrame, normalize: bool = False) -> DataFrame:
+    """Earthquakes of the dimension's countries, in gold shape (6 columns).
+
+    Names are compared as they are, case-sensitively; ``normalize`` brings the
+    earthquake names into display form first (pass a dimension normalised with
+    ``countries_of(..., normalize=True)`` too).
+    """
+    if normalize:
+        earthquakes = capitalize_country(earthquakes, "country")
     return match_dimension(
         earthquakes,
         dimension,

@@ -124,3 +124,17 @@ def test_tsunami_country_rename_and_normalise(spark):
     out = d.gold_tsunami(d.silver_tsunami(df))
     assert "country" in out.columns
     assert out.select(F.col("country")).first()[0] == "Papua New Guinea"
+
+
+def test_depth_stays_text_unless_asked(spark):
+    out = d.silver_earthquake(_earthquakes(spark), depth_as_double=True)
+    assert dict(out.dtypes)["depth"] == "double"
+    assert dict(d.silver_earthquake(_earthquakes(spark)).dtypes)["depth"] == "string"
+
+
+def test_both_sides_normalised_on_request(spark):
+    dim = spark.createDataFrame([("Tokyo", 0.0, 0.0, "JAPAN", "Asia")], COUNTRY_SCHEMA)
+    quakes = d.silver_earthquake(_earthquakes(spark)).filter("title = 'q1'")
+    assert d.earthquakes_in(quakes, d.countries_of(dim)).count() == 0
+    both = d.earthquakes_in(quakes, d.countries_of(dim, normalize=True), normalize=True)
+    assert [r.Country for r in both.collect()] == ["Japan"]
