@@ -13,16 +13,30 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_NTZ_EPOCH = "1970-01-01 00:00:00"
+
+
+def _ntz_epoch() -> Column:
+    return F.lit(_NTZ_EPOCH).cast(TimestampNTZType())
+
+
 def parse_timestamp(c: Column | str, fmt: str, ntz: bool = True) -> Column:
     """Parse text with a datetime pattern; text that does not match gives null.
 
     Patterns are strict about widths (``dd`` needs two digits, so ``1-1-2022``
     is null). ``try_to_timestamp`` keeps this null under ANSI mode instead of
-    failing the job. The text has no zone, so the result is a wall-clock
-    ``timestamp_ntz`` unless ``ntz=False``.
+    failing the job. The text has no zone, so by default the result is the
+    wall-clock ``timestamp_ntz`` it spells, whatever the session zone: the
+    text is read with an explicit UTC offset and its epoch microseconds are
+    laid onto the wall-clock epoch (a cast from a zoned timestamp would move
+    times inside a daylight-saving gap of the session zone). ``ntz=False``
+    returns the session-zone instant instead. ``fmt`` must not contain a zone.
     """
-    parsed = F.try_to_timestamp(_col(c), F.lit(fmt))
-    return parsed.cast(TimestampNTZType()) if ntz else parsed
+    col = _col(c)
+    if not ntz:
+        return F.try_to_timestamp(col, F.lit(fmt))
+    instant = F.try_to_timestamp(F.concat(col, F.lit(" +0000")), F.lit(f"{fmt} Z"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _ntz_epoch())
 
 
 def timestamp_from_parts(
@@ -49,21 +63,53 @@ def timestamp_from_parts(
     return parse_timestamp(F.concat_ws(" ", date_text, time_text), PARTS_TIME_FORMAT, ntz=ntz)
 
 
-def epoch_seconds(c: Column | str) -> Column:
-    """Whole seconds since the epoch (fraction cut), for zoned or wall-clock input.
+def _wall_clock_seconds_and_micros(col: Column) -> tuple[Column, Column]:
+    """Whole seconds (rounded down) and the microsecond fraction of a wall-clock value.
 
-    Wall-clock values are read in the session zone (UTC in ``build_session``).
+    ``unix_timestamp`` reads a ``timestamp_ntz`` as it is, with no zone, but
+    rounds toward zero; ``date_part('SECOND')`` gives the fraction. Functions
+    that go through the session zone (casts, ``date_trunc``,
+    ``timestamp_diff``) would move wall-clock times inside a daylight-saving
+    gap of that zone.
     """
-    return F.unix_seconds(_col(c).cast("timestamp"))
+    whole = F.unix_timestamp(col)
+    fraction = (F.date_part(F.lit("SECOND"), col) * F.lit(1_000_000)).cast("long") % F.lit(1_000_000)
+    before_epoch = (col < _ntz_epoch()) & (fraction > 0)
+    seconds = whole - F.when(before_epoch, F.lit(1)).otherwise(F.lit(0))
+    return seconds, fraction
 
 
-def epoch_micros(c: Column | str) -> Column:
-    return F.unix_micros(_col(c).cast("timestamp"))
+def epoch_seconds(c: Column | str, dtype: DataType | None = None) -> Column:
+    """Whole seconds since the epoch, rounded down.
+
+    For wall-clock input (``dtype`` is ``timestamp_ntz``) the count is taken
+    on the wall clock itself, with no zone, so differences are exact and the
+    value grows with the time; zoned input is an instant (``unix_seconds``).
+    """
+    col = _col(c)
+    if isinstance(dtype, TimestampNTZType):
+        return _wall_clock_seconds_and_micros(col)[0]
+    return F.unix_seconds(col.cast("timestamp"))
 
 
-def hours_between(start: Column | str, stop: Column | str, decimals: int = 2) -> Column:
+def epoch_micros(c: Column | str, dtype: DataType | None = None) -> Column:
+    """Microseconds since the epoch (wall clock for ``timestamp_ntz``, see above)."""
+    col = _col(c)
+    if isinstance(dtype, TimestampNTZType):
+        seconds, fraction = _wall_clock_seconds_and_micros(col)
+        return seconds * F.lit(1_000_000) + fraction
+    return F.unix_micros(col.cast("timestamp"))
+
+
+def hours_between(
+    start: Column | str,
+    stop: Column | str,
+    decimals: int = 2,
+    start_type: DataType | None = None,
+    stop_type: DataType | None = None,
+) -> Column:
     """``stop - start`` in hours from whole epoch seconds, rounded half up."""
-    seconds = epoch_seconds(stop) - epoch_seconds(start)
+    seconds = epoch_seconds(stop, stop_type) - epoch_seconds(start, start_type)
     return F.round((seconds / F.lit(SECONDS_PER_HOUR)).cast("double"), decimals)
 
 

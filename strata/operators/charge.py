@@ -77,7 +77,10 @@ def match_stop_with_start(
 
 def with_total_time(df: DataFrame, start: str = "start_timestamp", stop: str = "stop_timestamp") -> DataFrame:
     """Add ``total_time``: hours from start to stop, 2 decimals."""
-    return df.withColumn("total_time", hours_between(start, stop))
+    types = df.schema
+    return df.withColumn(
+        "total_time", hours_between(start, stop, 2, types[start].dataType, types[stop].dataType)
+    )
 
 
 def with_total_energy(df: DataFrame, start: str = "meter_start", stop: str = "meter_stop") -> DataFrame:

@@ -51,7 +51,7 @@ def followed_within(
         events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull())
         .select(
             F.col(key),
-            epoch_micros(ts).alias("_m"),
+            epoch_micros(ts, events.schema[ts].dataType).alias("_m"),
             (F.col(kind) == F.lit(then_kind)).alias("_then"),
         )
         .withColumn("_b", F.floor(F.col("_m") / F.lit(bucket_us)).cast("long"))

@@ -62,7 +62,9 @@ def _prepare(
     r = (
         readings.select(*columns)
         .filter(F.col(ts).isNotNull())
-        .withColumns({"_c": active_flag(value, threshold), "_s": epoch_seconds(ts)})
+        .withColumns(
+            {"_c": active_flag(value, threshold), "_s": epoch_seconds(ts, readings.schema[ts].dataType)}
+        )
     )
     if split == "time":
         return r.withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long"))
