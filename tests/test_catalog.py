@@ -52,3 +52,12 @@ def test_orders_scan_prunes_columns_and_pushes_the_range(spark):
 def test_topk_uses_take_ordered(spark):
     text = plan_text(entry.queries()["topk"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text
+
+
+def test_declared_table_schemas_match_the_files(spark):
+    from strata.plans.driver_tables import TABLE_SCHEMAS, table
+
+    for name in TABLE_SCHEMAS:
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        declared = table(spark, SF_SMALL, name).schema
+        assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
