@@ -19,12 +19,18 @@ from strata.operators.filters import (
     filter_int_range,
     filter_year_range,
 )
+from strata.operators.charge import match_start_messages, with_total_energy, with_total_time
 from strata.operators.joins import match_all_cities
 from strata.operators.nested import json_flatten
 from strata.operators.relate import event_correlation, followed_within
 from strata.operators.sessions import charging_boundaries, group_bounds, idle_time, running_group_id
-from strata.operators.shaping import capitalize_country, distinct_keys, make_country, make_timestamp
-from strata.operators.charge import match_start_messages, with_total_energy, with_total_time
+from strata.operators.shaping import (
+    capitalize_country,
+    distinct_keys,
+    make_country,
+    make_timestamp,
+    make_timestamp_from_parts,
+)
 from strata.plans import charge as charge_plans
 from strata.plans import disaster as d
 from strata.plans import driver_tables as t
@@ -143,8 +149,6 @@ def q_parse_timestamp(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_timestamp_from_parts(spark: SparkSession, sf: str) -> DataFrame:
-    from strata.operators.shaping import make_timestamp_from_parts
-
     return make_timestamp_from_parts(t.bronze_tsunamis(spark, sf)).select("`Sr.no`", "time_stamp")
 
 

@@ -61,3 +61,17 @@ def test_declared_table_schemas_match_the_files(spark):
         inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
         declared = table(spark, SF_SMALL, name).schema
         assert [(f.name, f.dataType) for f in inferred] == [(f.name, f.dataType) for f in declared], name
+
+
+def test_output_contracts(spark):
+    from strata.schemas import CHARGE_RECORD_SCHEMA, assert_contract
+
+    assert_contract(entry.queries()["charge_record"](spark, SF_SMALL).schema, CHARGE_RECORD_SCHEMA)
+    detail = entry.queries()["topk_detail"](spark, SF_SMALL)
+    assert detail.columns == ["Country", "Timestamp", "Deaths", "Missing", "Injuries", "HousesDestroyed", "HousesDamaged"]
+    impact = entry.queries()["dim_match_impact"](spark, SF_SMALL)
+    assert impact.columns == [
+        "Country", "TsunamiCauseCode", "Deaths", "Missing", "Injuries", "HousesDestroyed", "HousesDamaged", "Timestamp",
+    ]
+    quakes = entry.queries()["dim_match_numeric"](spark, SF_SMALL)
+    assert quakes.columns == ["Country", "Title", "Magnitude", "Depth", "Tsunami", "Timestamp"]

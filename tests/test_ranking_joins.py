@@ -45,6 +45,15 @@ def test_match_dimension_keeps_each_fact_once(facts, cities):
     assert got == ["Indonesia"] * 2 + ["Iran"] + ["Japan"] * 3 + ["Philippines"]
 
 
+def test_match_never_exceeds_the_facts(spark):
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    matched = entry.queries()["dim_match_impact"](spark, SF_SMALL).count()
+    facts = entry.queries()["pipeline_facts_part_time"](spark, SF_SMALL).count()
+    assert 0 < matched <= facts
+
+
 def test_match_dimension_is_case_sensitive(spark, cities):
     facts = spark.createDataFrame([("japan",), ("Japan",)], "country string")
     assert match_dimension(facts, cities, "country", "Country").count() == 1

@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators.filters import filter_measurand
 from strata.operators.sessions import charging_boundaries, group_bounds, idle_time, running_group_id
@@ -101,6 +102,9 @@ def test_idle_time_matches_brute_force_on_random_readings(spark, seed):
     for split, bucket in [("time", 86400), ("time", 3600), ("rows", 86400)]:
         got = {r.k: r.idle for r in idle_time(df, "k", ("ts", "tb"), "v", 0.0, bucket, "idle", split=split).collect()}
         assert got == expected, (split, bucket)
+    # idle time never exceeds the span of a key's readings
+    spans = {r.k: (r.hi - r.lo).total_seconds() / 3600 for r in df.groupBy("k").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).collect()}
+    assert all(hours <= spans[k] + 0.005 for k, hours in expected.items())
 
 
 def test_results_do_not_depend_on_partition_count(spark, readings, shuffle_partitions):
