@@ -25,6 +25,21 @@ _DEFAULT_CONF = {
 }
 
 
+# Settings for inputs of many terabytes (a starting point, per cluster):
+# partitions of about 256 MB for scans and after AQE coalescing, a high
+# initial shuffle partition count that AQE merges down, coalescing that keeps
+# the advisory size rather than the core count, and skewed shuffle partitions
+# split when over 5x the median and 512 MB.
+LARGE_INPUT_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "strata",

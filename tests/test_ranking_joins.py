@@ -64,8 +64,8 @@ def test_match_all_cities_reports_the_fanout_without_pairs(facts, cities):
     assert out["Japan"] == (2, "Osaka", "Tokyo")
     assert out["Iran"] == (1, "Tehran", "Tehran")
     assert "Peru" not in out and None not in out
+    # The plain per-city join has one row per (fact, city): the sum of n_cities.
     plain = facts.join(cities, facts.country == cities.Country).count()
-    assert sum(n for n, _, _ in [out[c] for c in out] for _ in range(1)) <= plain
     total = match_all_cities(facts, cities, "country").groupBy().sum("n_cities").first()[0]
     assert total == plain
 
