@@ -46,10 +46,10 @@ def build_session(
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Return a session with the settings the operators assume.
+    """Return a session with AQE, skew-join splitting and a UTC session zone.
 
-    ``spark.sql.session.timeZone`` is UTC: durations are computed from epoch
-    seconds of wall-clock timestamps, which is zone-free only in UTC.
+    The operators do not depend on the session zone for wall-clock
+    (``timestamp_ntz``) data; UTC only fixes how zoned timestamps print.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
