@@ -304,6 +304,18 @@ def q_interval_match(spark: SparkSession, sf: str) -> DataFrame:
     return followed_within(events, "user_id", "ts", "event_type", "error", "purchase", INTERVAL_SECONDS)
 
 
+def q_quake_tsunami_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Per country: earthquakes, and those followed by a tsunami within 24 h."""
+    quakes = _silver_earthquakes(spark, sf).select(
+        F.col("country").alias("Country"), F.col("time_stamp").alias("ts"), F.lit("earthquake").alias("kind")
+    )
+    waves = _tsunamis_in_asia(spark, sf).select(
+        "Country", F.col("Timestamp").alias("ts"), F.lit("tsunami").alias("kind")
+    )
+    events = quakes.unionByName(waves)
+    return followed_within(events, "Country", "ts", "kind", "earthquake", "tsunami", INTERVAL_SECONDS)
+
+
 def q_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return json_flatten(t.table(spark, sf, "events"), "props", "k INT", keep=["event_id"])
 
@@ -349,5 +361,6 @@ QUERIES: dict[str, Query] = {
     "pipeline_charge_record": q_pipeline_charge_record,
     "event_correlation": q_event_correlation,
     "interval_match": q_interval_match,
+    "quake_tsunami_match": q_quake_tsunami_match,
     "json_flatten": q_json_flatten,
 }

@@ -270,5 +270,12 @@ FROM eq_bronze GROUP BY tsunami""",
              WHERE p.user_id = e.user_id AND p.event_type = 'purchase'
                AND p.ts > e.ts AND p.ts <= e.ts + INTERVAL 24 HOUR) THEN 1 ELSE 0 END) AS BIGINT) AS followed
 FROM events e WHERE e.event_type = 'error' AND e.ts IS NOT NULL GROUP BY e.user_id""",
+    "quake_tsunami_match": _with(CITIES, ASIA, EQ_BRONZE, EQ_SILVER, TS_BRONZE, TS_SILVER, TS_ASIA)
+    + """SELECT e.country AS Country, count(*) AS first_events,
+       CAST(sum(CASE WHEN EXISTS (
+             SELECT 1 FROM ts_asia t
+             WHERE t.Country = e.country AND t."Timestamp" > e.time_stamp
+               AND t."Timestamp" <= e.time_stamp + INTERVAL 24 HOUR) THEN 1 ELSE 0 END) AS BIGINT) AS followed
+FROM eq_silver e WHERE e.time_stamp IS NOT NULL GROUP BY e.country""",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }
