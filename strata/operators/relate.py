@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.time import epoch_micros
+from strata.session import shared_root
 
 
 def event_correlation(df: DataFrame, flag: str, x: str, y: str, decimals: int = 6) -> DataFrame:
@@ -28,53 +29,65 @@ def followed_within(
     first_kind: str,
     then_kind: str,
     within_seconds: int,
-    bucket_seconds: int | None = None,
+    bucket_seconds: int = 86_400,
+    split: str = "time",
 ) -> DataFrame:
     """Per key: how many ``first_kind`` events are followed by a ``then_kind``
     event of the same key within ``(t, t + within_seconds]``.
 
-    No pairs are formed. Time is cut into buckets of ``bucket_seconds``
-    (default: the interval; smaller buckets make smaller pieces for keys with
-    very many events). For an event at t in bucket b the earliest later
-    ``then`` event is either inside b, found by a running minimum over the
-    piece (key, b), or the minimum of buckets b+1 .. b+m with
-    m = ceil(within / bucket); later buckets start after t + within. Those
-    minima come from one row per (key, bucket) and a RANGE window over at most
-    m following buckets, joined back on (key, bucket).
+    No pairs are formed, and no task holds a whole key:
+
+    1. Events are counted per (key, instant) with partial aggregation: the
+       number of first events and whether a then-event happened there. Any
+       number of events at one instant becomes one row.
+    2. The instants of a key are cut into ordered pieces (``split="time"``:
+       buckets of ``bucket_seconds``; ``split="rows"``: range partitions of
+       equal size). Inside a piece, the earliest then-instant strictly after
+       each instant is a running minimum in descending time order. Across
+       pieces, it is the minimum over all later pieces, from one row per
+       piece. Joined back on (key, piece), an instant's first events are
+       followed when that earliest then-instant is at most
+       ``within_seconds`` after it.
+
     Output: ``key, first_events, followed``; keys without ``first_kind``
     events are absent.
     """
     within_us = int(within_seconds) * 1_000_000
-    bucket_us = int(bucket_seconds or within_seconds) * 1_000_000
-    ahead = -(-within_us // bucket_us)
-    e = (
-        events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull())
-        .select(
-            F.col(key),
-            epoch_micros(ts, events.schema[ts].dataType).alias("_m"),
-            (F.col(kind) == F.lit(then_kind)).alias("_then"),
-        )
-        .withColumn("_b", F.floor(F.col("_m") / F.lit(bucket_us)).cast("long"))
+    e = events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull()).select(
+        F.col(key),
+        epoch_micros(ts, events.schema[ts].dataType).alias("_m"),
+        (F.col(kind) == F.lit(first_kind)).cast("long").alias("_first"),
+        (F.col(kind) == F.lit(then_kind)).cast("int").alias("_then"),
     )
-    # Ascending on -micros with a RANGE frame ending 1 before the current row:
-    # exactly the events strictly later than the current one, incrementally.
-    later = (
-        Window.partitionBy(key, "_b")
-        .orderBy((-F.col("_m")).asc())
-        .rangeBetween(Window.unboundedPreceding, -1)
+    instants = e.groupBy(key, "_m").agg(F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then"))
+    if split == "time":
+        instants = instants.withColumn("_p", F.floor(F.col("_m") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long"))
+    elif split == "rows":
+        ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        instants = instants.repartitionByRange(ranges, F.col(key).asc(), F.col("_m").asc())
+        # The pieces are read twice below (summary and join); fix the range
+        # ids once with a reliable checkpoint in the shared folder.
+        shared_root(instants.sparkSession)
+        instants = instants.withColumn("_p", F.spark_partition_id().cast("long")).checkpoint(eager=True)
+    else:
+        raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
+    then_time = F.when(F.col("_has_then") == 1, F.col("_m"))
+    # Instants are distinct within a key, so ROWS ending 1 before the current
+    # row (in descending time) are exactly the strictly later instants.
+    later_in_piece = (
+        Window.partitionBy(key, "_p").orderBy(F.col("_m").desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    next_then = F.min(F.when(F.col("_then"), F.col("_m"))).over(later)
-    firsts = e.withColumn("_next", next_then).filter(~F.col("_then"))
-    # One row per non-empty (key, bucket); the minimum over the next m buckets.
-    buckets = e.groupBy(F.col(key).alias("__k"), F.col("_b").alias("__b")).agg(
-        F.min(F.when(F.col("_then"), F.col("_m"))).alias("_bucket_min")
+    instants = instants.withColumn("_next", F.min(then_time).over(later_in_piece))
+    pieces = instants.groupBy(F.col(key).alias("__k"), F.col("_p").alias("__p")).agg(
+        F.min(then_time).alias("_piece_then")
     )
-    following = Window.partitionBy("__k").orderBy("__b").rangeBetween(1, ahead)
-    buckets = buckets.withColumn("_after", F.min("_bucket_min").over(following)).select("__k", "__b", "_after")
-    joined = firsts.join(buckets, (F.col(key) == F.col("__k")) & (F.col("_b") == F.col("__b")), "inner")
+    later_pieces = Window.partitionBy("__k").orderBy(F.col("__p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("__k", "__p", F.min("_piece_then").over(later_pieces).alias("_after"))
+    firsts = instants.filter(F.col("_firsts") > 0)
+    joined = firsts.join(pieces, (F.col(key) == F.col("__k")) & (F.col("_p") == F.col("__p")), "inner")
     nxt = F.least(F.col("_next"), F.col("_after"))
-    hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(within_us)), 1).otherwise(0)
+    hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(within_us)), F.col("_firsts")).otherwise(F.lit(0))
     return joined.groupBy(key).agg(
-        F.count(F.lit(1)).alias("first_events"),
+        F.sum("_firsts").cast("long").alias("first_events"),
         F.sum(hit).cast("long").alias("followed"),
     )

@@ -40,15 +40,40 @@ def test_followed_within_matches_brute_force(spark, seed):
     rows += [(9, edge, "error"), (9, edge + timedelta(days=1), "purchase"), (10, edge, "error"), (10, edge, "purchase")]
     df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
     expected = _brute_force(rows, DAY)
-    for bucket in (None, 3600, 7 * 3600):
+    for split, bucket in (("time", DAY), ("time", 3600), ("time", 7 * 3600), ("time", 3 * DAY), ("rows", DAY)):
         got = {
             r.user_id: (r.first_events, r.followed)
-            for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY, bucket).collect()
+            for r in followed_within(
+                df, "user_id", "ts", "event_type", "error", "purchase", DAY, bucket, split
+            ).collect()
         }
-        assert got == expected, bucket
+        assert got == expected, (split, bucket)
         assert got[9] == (1, 1) and got[10] == (1, 0)
 
 
+def test_followed_within_hot_instant_and_hot_key(spark, shuffle_partitions):
+    """A third of all events share one key and one instant."""
+    shuffle_partitions(8)
+    base = datetime(2024, 3, 1)
+    rows = [(1, base, "error")] * 300 + [(1, base, "purchase")] * 100
+    rows += [(1, base + timedelta(minutes=m), "purchase" if m % 5 == 0 else "error") for m in range(1, 400)]
+    rows += [(k, base + timedelta(hours=k), "error") for k in range(2, 300)]
+    rows += [(k, base + timedelta(hours=k, minutes=30), "purchase") for k in range(2, 300, 2)]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
+    expected = _brute_force(rows, 3600)
+    for split in ("time", "rows"):
+        got = {
+            r.user_id: (r.first_events, r.followed)
+            for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, split).collect()
+        }
+        assert got == expected, split
+    # 300 errors share the instant of 100 purchases, which do not count (not
+    # strictly later); the purchase 5 minutes later does. 320 more errors
+    # follow at minutes 1..399 that are not multiples of 5.
+    assert expected[1][0] == 300 + 320
+    assert got[1][1] > 300
+
+
 def test_event_correlation(spark):
     rows = [(0, 1.0, 2.0), (0, 2.0, 4.0), (0, 3.0, 6.0), (1, 1.0, 3.0), (1, 2.0, 2.0), (1, 3.0, 1.0)]
     df = spark.createDataFrame(rows, "flag int, x double, y double")
