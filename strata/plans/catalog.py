@@ -246,6 +246,11 @@ def q_idle_time(spark: SparkSession, sf: str) -> DataFrame:
     return idle_time(t.event_readings(spark, sf), output="idle_hours", **_events_args())
 
 
+def q_idle_time_row_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Idle time with pieces of equal row counts (robust to any skew)."""
+    return idle_time(t.event_readings(spark, sf), output="idle_hours", split="rows", **_events_args())
+
+
 # ---- pipelines ---------------------------------------------------------------------------
 
 
@@ -304,6 +309,14 @@ def q_interval_match(spark: SparkSession, sf: str) -> DataFrame:
     return followed_within(events, "user_id", "ts", "event_type", "error", "purchase", INTERVAL_SECONDS)
 
 
+def q_interval_match_row_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Interval match with pieces of equal row counts (robust to any skew)."""
+    events = t.table(spark, sf, "events")
+    return followed_within(
+        events, "user_id", "ts", "event_type", "error", "purchase", INTERVAL_SECONDS, split="rows"
+    )
+
+
 def q_quake_tsunami_match(spark: SparkSession, sf: str) -> DataFrame:
     """Per country: earthquakes, and those followed by a tsunami within 24 h."""
     quakes = _silver_earthquakes(spark, sf).select(
@@ -353,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "running_group_id": q_running_group_id,
     "group_bounds": q_group_bounds,
     "idle_time": q_idle_time,
+    "idle_time_row_split": q_idle_time_row_split,
     "pipeline_dimension": q_pipeline_dimension,
     "pipeline_facts_text_time": q_pipeline_facts_text_time,
     "pipeline_facts_part_time": q_pipeline_facts_part_time,
@@ -361,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "pipeline_charge_record": q_pipeline_charge_record,
     "event_correlation": q_event_correlation,
     "interval_match": q_interval_match,
+    "interval_match_row_split": q_interval_match_row_split,
     "quake_tsunami_match": q_quake_tsunami_match,
     "json_flatten": q_json_flatten,
 }

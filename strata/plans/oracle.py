@@ -279,3 +279,7 @@ FROM events e WHERE e.event_type = 'error' AND e.ts IS NOT NULL GROUP BY e.user_
 FROM eq_silver e WHERE e.time_stamp IS NOT NULL GROUP BY e.country""",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }
+
+# The row-split variants compute the same rows with a different partitioning.
+ORACLE_SQL["idle_time_row_split"] = ORACLE_SQL["idle_time"]
+ORACLE_SQL["interval_match_row_split"] = ORACLE_SQL["interval_match"]
