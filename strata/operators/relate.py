@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.time import epoch_micros
-from strata.session import shared_root
+from strata.sources.files import materialize
 
 
 def event_correlation(df: DataFrame, flag: str, x: str, y: str, decimals: int = 6) -> DataFrame:
@@ -65,12 +65,13 @@ def followed_within(
     elif split == "rows":
         ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         instants = instants.repartitionByRange(ranges, F.col(key).asc(), F.col("_m").asc())
-        # The pieces are read twice below (summary and join); fix the range
-        # ids once with a reliable checkpoint in the shared folder.
-        shared_root(instants.sparkSession)
-        instants = instants.withColumn("_p", F.spark_partition_id().cast("long")).checkpoint(eager=True)
+        instants = instants.withColumn("_p", F.spark_partition_id().cast("long"))
     else:
         raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
+    # The instants are read twice below (piece summaries and the join back):
+    # written once to the shared folder, they are computed once, and range
+    # piece ids (placed by sampling) are the same for both reads.
+    instants = materialize(instants, "instants")
     then_time = F.when(F.col("_has_then") == 1, F.col("_m"))
     # Instants are distinct within a key, so ROWS ending 1 before the current
     # row (in descending time) are exactly the strictly later instants.

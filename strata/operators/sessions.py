@@ -27,6 +27,9 @@ Two ways to cut pieces (``split``):
             piece holds about the same number of rows whatever the skew,
             including many readings with equal times. Costs a sampling pass
             and one more shuffle.
+
+Where the pieces are read twice (group numbers joined back to the rows),
+they are written once to the shared folder and read back.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 from strata.functions.measures import active_flag
 from strata.functions.time import epoch_seconds
 from strata.schemas import SECONDS_PER_HOUR
-from strata.session import shared_root
+from strata.sources.files import materialize
 
 DEFAULT_BUCKET_SECONDS = 86_400
 
@@ -137,13 +140,11 @@ def _with_groups(
     split: str = "time",
 ) -> DataFrame:
     """Readings with ``charging``, ``boundary`` and ``charging_group`` columns."""
-    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split)
-    if split == "rows":
-        # The readings are used twice (piece summaries, then the rows joined to
-        # their offsets); range bounds come from sampling, so the piece ids are
-        # fixed once by a reliable checkpoint in the shared checkpoint folder.
-        shared_root(r.sparkSession)
-        r = r.checkpoint(eager=True)
+    # The readings are read twice (piece summaries, then the rows joined to
+    # their offsets). They are written once to the shared folder, so they are
+    # not scanned and shuffled twice, and range-split piece ids (placed by
+    # sampling) are fixed once for both reads.
+    r = materialize(_prepare(readings, key, order, value, threshold, bucket_seconds, split), "pieces")
     w = _piece_window(key, order)
     r = r.withColumn("_pc", F.lag("_c").over(w))
     inner_change = F.when(F.col("_pc").isNotNull(), F.abs(F.col("_c") - F.col("_pc"))).otherwise(F.lit(0))

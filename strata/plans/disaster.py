@@ -21,20 +21,15 @@ from strata.operators.shaping import (
     make_timestamp,
     make_timestamp_from_parts,
 )
-from strata.session import scratch_path
-from strata.sources.files import write_parquet
+from strata.sources.files import materialize as write_once
 
 FIRST_YEAR, LAST_YEAR = 1995, 2023
 CONTINENT = "Asia"
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and return the re-read dataset.
-
-    The schema of the written frame is known, so the re-read skips inference.
-    """
-    path = write_parquet(df, scratch_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet below the shared folder and return the re-read dataset."""
+    return write_once(df, name)
 
 
 # ---- silver -------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from strata.sources.files import (
     corrupt_counts,
     header_mismatches,
+    materialize,
     output_manifest,
     quoted,
     read_csv_typed,
@@ -13,6 +14,7 @@ from strata.sources.files import (
 __all__ = [
     "corrupt_counts",
     "header_mismatches",
+    "materialize",
     "output_manifest",
     "quoted",
     "read_csv_typed",

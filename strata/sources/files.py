@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.session import scratch_path
+
 
 def read_csv_typed(
     spark: SparkSession,
@@ -107,6 +109,20 @@ def write_parquet(
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared folder and return the re-read data.
+
+    For a frame that several branches of a plan read: Spark would recompute it
+    per branch (column pruning makes the branches differ, so no exchange is
+    shared). Writing it cuts the lineage as well, so a lost executor does not
+    send the recomputation back to the sources. The written frame's schema is
+    known, so the re-read skips inference.
+    """
+    spark = df.sparkSession
+    path = write_parquet(df, scratch_path(spark, name))
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Files of a written Parquet dataset: name, size in bytes and row count.
 
