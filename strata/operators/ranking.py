@@ -10,12 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strata.operators.joins import semi_join
 
 
+def _summable(df: DataFrame, column: str) -> Column:
+    """A measure ready to sum with nulls as 0: integral types widened to long
+    (exact sums), fractional types kept as they are (never truncated)."""
+    dtype = df.schema[column].dataType
+    col = F.col(column).cast("long") if isinstance(dtype, IntegralType) else F.col(column)
+    return F.coalesce(col, F.lit(0))
+
+
 def hit_summary(df: DataFrame, key: str = "Country", count_alias: str = "hits") -> DataFrame:
     """Rows per key, most frequent first; equal counts ordered by key."""
     return (
@@ -61,11 +70,13 @@ def top_k_by_measure(
 ) -> DataFrame:
     """Keys ranked by the sum of several measures; nulls count as 0.
 
+    Integral measures are summed as long; fractional ones keep their type.
+
     Returns per key the sum of each measure, their total and the row count,
     for the ``k`` keys with the largest total (ties by key).
     """
     names = list(aliases or measures)
-    sums = [F.sum(F.coalesce(F.col(m).cast("long"), F.lit(0))).alias(n) for m, n in zip(measures, names)]
+    sums = [F.sum(_summable(df, m)).alias(n) for m, n in zip(measures, names)]
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("events"), *sums)
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
     ranked = per_key.withColumn(total_alias, total).orderBy(F.col(total_alias).desc(), F.col(key).asc())
@@ -89,7 +100,7 @@ def top_k_trend(
     detail = top_k_detail(df, key, k)
     yearly = detail.groupBy(F.col(key), F.year(ts).alias("year")).agg(
         F.count(F.lit(1)).alias("events"),
-        F.sum(F.coalesce(F.col(measure).cast("long"), F.lit(0))).alias(measure_alias),
+        F.sum(_summable(detail, measure)).alias(measure_alias),
     )
     w = Window.partitionBy(key).orderBy("year")
     return yearly.withColumn(f"{measure_alias}_change", F.col(measure_alias) - F.lag(measure_alias).over(w))

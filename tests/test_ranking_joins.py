@@ -112,3 +112,9 @@ def test_trend_of_top_keys(facts, cities):
     matched = match_dimension(facts, cities, "country", "Country", key_alias="Country")
     out = top_k_trend(matched, "Country", "Timestamp", "Deaths", 1, "deaths").orderBy("year").collect()
     assert [(r.year, r.deaths, r.deaths_change) for r in out] == [(1995, 0, None), (1996, 10, 10), (1997, 20, 10)]
+
+
+def test_fractional_measures_are_not_truncated(spark):
+    df = spark.createDataFrame([("A", 0.4), ("A", 0.4), ("B", 0.5)], "Country string, damage double")
+    out = top_k_by_measure(df, "Country", ["damage"], 1, "impact").collect()
+    assert [(r.Country, round(r.impact, 9)) for r in out] == [("A", 0.8)]
