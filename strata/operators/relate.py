@@ -57,7 +57,8 @@ def followed_within(
         F.col(key),
         epoch_micros(ts, events.schema[ts].dataType).alias("_m"),
         (F.col(kind) == F.lit(first_kind)).cast("long").alias("_first"),
-        (F.col(kind) == F.lit(then_kind)).cast("int").alias("_then"),
+        # A then-event without a key is no one's partner (null never equals null).
+        ((F.col(kind) == F.lit(then_kind)) & F.col(key).isNotNull()).cast("int").alias("_then"),
     )
     instants = e.groupBy(key, "_m").agg(F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then"))
     if split == "time":
@@ -85,7 +86,7 @@ def followed_within(
     later_pieces = Window.partitionBy("__k").orderBy(F.col("__p").desc()).rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select("__k", "__p", F.min("_piece_then").over(later_pieces).alias("_after"))
     firsts = instants.filter(F.col("_firsts") > 0)
-    joined = firsts.join(pieces, (F.col(key) == F.col("__k")) & (F.col("_p") == F.col("__p")), "inner")
+    joined = firsts.join(pieces, F.col(key).eqNullSafe(F.col("__k")) & (F.col("_p") == F.col("__p")), "inner")
     nxt = F.least(F.col("_next"), F.col("_after"))
     hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(within_us)), F.col("_firsts")).otherwise(F.lit(0))
     return joined.groupBy(key).agg(

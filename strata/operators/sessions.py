@@ -157,8 +157,12 @@ def _with_groups(
     pieces = pieces.withColumn("_plc", F.coalesce(F.lag("_last._c").over(wk), F.lit(0)))
     head_change = F.abs(F.col("_first._c") - F.col("_plc"))
     before = F.sum(F.col("_inner") + head_change).over(wk.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = pieces.select(key, "_b", "_plc", F.coalesce(before, F.lit(0)).alias("_offset"))
-    joined = r.join(offsets, [key, "_b"], "inner")
+    offsets = pieces.select(
+        F.col(key).alias("__k"), F.col("_b").alias("__b"), "_plc", F.coalesce(before, F.lit(0)).alias("_offset")
+    )
+    # Null-safe on the key: readings without a key form one group, as in a window.
+    same_piece = F.col(key).eqNullSafe(F.col("__k")) & (F.col("_b") == F.col("__b"))
+    joined = r.join(offsets, same_piece, "inner").drop("__k", "__b")
     previous = F.coalesce(F.col("_pc"), F.col("_plc"))
     joined = joined.withColumn("boundary", F.abs(F.col("_c") - previous))
     running = F.sum("boundary").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -87,3 +87,11 @@ def test_json_flatten_and_explode(spark):
     assert sorted((r.id, r.k, r.tags) for r in out) == [(1, 3, "a"), (1, 3, "b"), (2, None, None), (3, 5, None)]
     with pytest.raises(ValueError):
         json_flatten(df, "j", "k INT", explode="k")
+
+
+def test_events_without_a_key_are_counted_but_never_matched(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [(None, t0, "error"), (None, t0 + timedelta(hours=1), "purchase"), (1, t0, "error"), (1, t0 + timedelta(hours=1), "purchase")]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
+    got = {r.user_id: (r.first_events, r.followed) for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY).collect()}
+    assert got == {None: (1, 0), 1: (1, 1)}

@@ -121,3 +121,12 @@ def test_idle_time_plan_has_no_python_and_shuffles_pieces(readings):
     text = plan_text(idle_time(readings, order=ORDER))
     assert "hashpartitioning(transaction_id" in text and "_b" in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_readings_without_a_key_form_one_group(spark):
+    rows = [(None, BASE, 0.0, 0), (None, BASE + timedelta(seconds=30), 0.0, 1), (7, BASE, 1.0, 0)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, v double, tb int")
+    groups = running_group_id(df, "k", ("ts", "tb"), "v").collect()
+    assert sorted((r.k is None, r.charging_group) for r in groups) == [(False, 1), (True, 0), (True, 0)]
+    idle = {r.k: r.idle for r in idle_time(df, "k", ("ts", "tb"), "v", output="idle").collect()}
+    assert idle == {None: 0.01}
