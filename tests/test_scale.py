@@ -95,3 +95,15 @@ def test_hot_key_results_agree_across_splits(spark, skewed):
     assert g1.exceptAll(g2).count() == 0 and g2.exceptAll(g1).count() == 0
     hot = g2.filter("k = 0").agg(F.max("charging_group")).first()[0]
     assert hot > 1000  # value pattern -1, 0, 1 repeats: a new group every third reading
+
+
+@pytest.mark.parametrize(
+    "key", ["topk_detail", "idle_time", "idle_time_row_split", "interval_match", "charge_record", "group_bounds"]
+)
+def test_catalog_results_do_not_depend_on_partition_count(spark, shuffle_partitions, key):
+    results = []
+    for n in (1, 3, 17):
+        shuffle_partitions(n)
+        rows = entry.queries()[key](spark, SF_SMALL).collect()
+        results.append(sorted(map(tuple, rows), key=repr))
+    assert results[0] == results[1] == results[2]
