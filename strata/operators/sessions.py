@@ -28,8 +28,8 @@ Two ways to cut pieces (``split``):
             including many readings with equal times. Costs a sampling pass
             and one more shuffle.
 
-Where the pieces are read twice (group numbers joined back to the rows),
-they are written once to the shared folder and read back.
+Group numbers need each piece's offset joined back to its rows; both
+branches share one shuffle of the readings (see ``_with_groups``).
 """
 
 from __future__ import annotations
@@ -70,7 +70,11 @@ def _prepare(
         )
     )
     if split == "time":
-        return r.withColumn("_b", F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long"))
+        # Never null (null times are dropped above); declared so with coalesce,
+        # so joins on the piece infer no filter that would make plan branches
+        # differ and keep Spark from sharing their shuffle.
+        bucket = F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long")
+        return r.withColumn("_b", F.coalesce(bucket, F.lit(0).cast("long")))
     if split == "rows":
         ranges = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranged = r.repartitionByRange(ranges, *[F.col(c).asc() for c in [key, *order]])
@@ -139,34 +143,54 @@ def _with_groups(
     bucket_seconds: int,
     split: str = "time",
 ) -> DataFrame:
-    """Readings with ``charging``, ``boundary`` and ``charging_group`` columns."""
-    # The readings are read twice (piece summaries, then the rows joined to
-    # their offsets). They are written once to the shared folder, so they are
-    # not scanned and shuffled twice, and range-split piece ids (placed by
-    # sampling) are fixed once for both reads.
-    r = materialize(_prepare(readings, key, order, value, threshold, bucket_seconds, split), "pieces")
-    w = _piece_window(key, order)
+    """Readings with ``charging``, ``boundary`` and ``charging_group`` columns.
+
+    Two branches read the pieces: their summaries give each piece the number
+    of groups before it (a prefix sum over one row per piece), and the rows,
+    joined to that offset, take a running sum inside the piece.
+
+    Pieces are keyed by ``struct(key)``, which is never null: readings without
+    a key stay one group (as in a window), and the join keeps plain equality,
+    so it runs on the partitioning the first window already made. A reading's
+    own columns travel as one struct that the piece summaries also carry (in
+    their first and last reading). Both branches therefore read the same
+    columns, and Spark shuffles the readings once and shares that shuffle.
+    With ``split="rows"`` the pieces are written once to the shared folder,
+    which fixes the range piece ids (placed by sampling) for both branches.
+    """
+    columns = list(dict.fromkeys([key, *order, value]))
+    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split).select(
+        F.struct(F.col(key)).alias("_k"),
+        "_b",
+        "_c",
+        *[F.col(c) for c in order],
+        F.struct(*[F.col(c) for c in columns]).alias("_row"),
+    )
+    if split == "rows":
+        r = materialize(r, "pieces")
+    w = Window.partitionBy("_k", "_b").orderBy(*[F.col(c).asc() for c in order])
     r = r.withColumn("_pc", F.lag("_c").over(w))
     inner_change = F.when(F.col("_pc").isNotNull(), F.abs(F.col("_c") - F.col("_pc"))).otherwise(F.lit(0))
-    first, last = _first_last(order, "_c")
-    pieces = r.groupBy(key, "_b").agg(
-        F.sum(inner_change).alias("_inner"), first.alias("_first"), last.alias("_last")
-    )
-    wk = Window.partitionBy(key).orderBy("_b")
+    first, last = _first_last(order, "_c", "_row")
+    pieces = r.groupBy("_k", "_b").agg(F.sum(inner_change).alias("_inner"), first.alias("_first"), last.alias("_last"))
+    wk = Window.partitionBy("_k").orderBy("_b")
     # State before the piece: last state of the previous piece, 0 before the first.
     pieces = pieces.withColumn("_plc", F.coalesce(F.lag("_last._c").over(wk), F.lit(0)))
     head_change = F.abs(F.col("_first._c") - F.col("_plc"))
     before = F.sum(F.col("_inner") + head_change).over(wk.rowsBetween(Window.unboundedPreceding, -1))
     offsets = pieces.select(
-        F.col(key).alias("__k"), F.col("_b").alias("__b"), "_plc", F.coalesce(before, F.lit(0)).alias("_offset")
+        F.col("_k").alias("__k"), F.col("_b").alias("__b"), "_plc", F.coalesce(before, F.lit(0)).alias("_offset")
     )
-    # Null-safe on the key: readings without a key form one group, as in a window.
-    same_piece = F.col(key).eqNullSafe(F.col("__k")) & (F.col("_b") == F.col("__b"))
-    joined = r.join(offsets, same_piece, "inner").drop("__k", "__b")
-    previous = F.coalesce(F.col("_pc"), F.col("_plc"))
-    joined = joined.withColumn("boundary", F.abs(F.col("_c") - previous))
+    joined = r.join(offsets, (F.col("_k") == F.col("__k")) & (F.col("_b") == F.col("__b")), "inner")
+    boundary = F.abs(F.col("_c") - F.coalesce(F.col("_pc"), F.col("_plc")))
+    joined = joined.withColumn("boundary", boundary)
     running = F.sum("boundary").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return joined.withColumn("charging_group", F.col("_offset") + running).withColumnRenamed("_c", "charging")
+    return joined.select(
+        *[F.col("_row").getField(c).alias(c) for c in columns],
+        F.col("_c").alias("charging"),
+        "boundary",
+        (F.col("_offset") + running).alias("charging_group"),
+    )
 
 
 def charging_boundaries(
@@ -210,15 +234,17 @@ def group_bounds(
 ) -> DataFrame:
     """Per (key, group): state, first and last time, number of readings.
 
-    ``min``/``max`` of the time column give first and last reading of a group
-    deterministically (the order is total); the aggregation is partial, so a
-    long group does not concentrate in one task.
+    The first and last reading are the minimum and maximum of the reading in
+    its order (deterministic: the order is total); the aggregation is partial,
+    so a long group does not concentrate in one task. Taking whole readings
+    also keeps every column of the shared shuffle in use (see ``_with_groups``).
     """
     g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
     ts = order[0]
+    reading = F.struct(*[F.col(c) for c in dict.fromkeys([*order, value])])
     return g.groupBy(key, F.col("charging_group").cast("long").alias("charging_group")).agg(
         F.max("charging").alias("charging"),
-        F.min(ts).alias("first"),
-        F.max(ts).alias("last"),
+        F.min(reading).getField(ts).alias("first"),
+        F.max(reading).getField(ts).alias("last"),
         F.count(F.lit(1)).alias("readings"),
     )

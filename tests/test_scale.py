@@ -107,3 +107,14 @@ def test_catalog_results_do_not_depend_on_partition_count(spark, shuffle_partiti
         rows = entry.queries()[key](spark, SF_SMALL).collect()
         results.append(sorted(map(tuple, rows), key=repr))
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("key", ["running_group_id", "group_bounds"])
+def test_group_numbering_shuffles_the_readings_once(spark, key):
+    with large_table_planning(spark):
+        text = plan_text(entry.queries()[key](spark, SF_SMALL), "simple")
+    # Both branches (piece summaries and rows) read one shared shuffle of the readings.
+    text = re.sub(r"#\d+L?", "", text)
+    total = len(re.findall(r"Exchange hashpartitioning\(_k, _b", text))
+    reused = len(re.findall(r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(_k, _b", text))
+    assert (total - reused, reused) == (1, 1)
