@@ -158,3 +158,37 @@ def run_disaster_layers(
             spark, out["silver/tsunami"], out["silver/country"], layout.path("gold", "top_tsunami"), k
         )
     return out
+
+
+def main(argv: list[str] | None = None) -> dict[str, str]:
+    """Command line: run the disaster layers for CSV folders into a base folder.
+
+    ``python -m strata.plans.layers --base BASE --country DIR --earthquake DIR
+    --tsunami DIR [--continent Asia --first-year 1995 --last-year 2023 --k 3]``
+    """
+    import argparse
+
+    from strata.session import build_session
+
+    parser = argparse.ArgumentParser(description="bronze -> silver -> gold for the disaster datasets")
+    parser.add_argument("--base", required=True, help="output base folder (shared storage)")
+    parser.add_argument("--country", required=True, help="folder of city CSV files")
+    parser.add_argument("--earthquake", help="folder of earthquake CSV files")
+    parser.add_argument("--tsunami", help="folder of tsunami CSV files")
+    parser.add_argument("--continent", default=d.CONTINENT)
+    parser.add_argument("--first-year", type=int, default=d.FIRST_YEAR)
+    parser.add_argument("--last-year", type=int, default=d.LAST_YEAR)
+    parser.add_argument("--k", type=int, default=3)
+    args = parser.parse_args(argv)
+    sources = {name: getattr(args, name) for name in ("country", "earthquake", "tsunami") if getattr(args, name)}
+    spark = build_session()
+    out = run_disaster_layers(
+        spark, sources, Layout(args.base), args.continent, args.first_year, args.last_year, args.k
+    )
+    for name, path in out.items():
+        print(f"{name}\t{path}")
+    return out
+
+
+if __name__ == "__main__":
+    main()

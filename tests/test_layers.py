@@ -59,3 +59,38 @@ def test_disaster_layers(spark):
     # rerunning a job overwrites its dataset
     again = layers.silver_country_job(spark, out["bronze/country"], out["silver/country"])
     assert read_parquet(spark, again).count() == 5
+
+
+def test_gold_charge_job_equals_the_in_plan_records(spark):
+    from strata.plans import driver_tables as t
+    from strata.plans.charge import charge_records
+    from tests.conftest import SF_SMALL
+
+    frames = [
+        t.start_requests(spark, SF_SMALL),
+        t.start_responses(spark, SF_SMALL),
+        t.stop_requests(spark, SF_SMALL),
+        t.meter_values(spark, SF_SMALL),
+    ]
+    silver = layers.Layout(scratch_path(spark, "test-charge-silver"))
+    paths = []
+    for i, frame in enumerate(frames):
+        path = silver.path("silver", f"part{i}")
+        frame.write.parquet(path)
+        paths.append(path)
+    out = layers.gold_charge_job(spark, *paths, scratch_path(spark, "test-charge-gold"), order=t.METER_ORDER)
+    written = read_parquet(spark, out)
+    direct = charge_records(*frames, order=t.METER_ORDER)
+    assert written.count() == direct.count() > 0
+    assert written.exceptAll(direct).count() == 0 and direct.exceptAll(written).count() == 0
+
+
+def test_layers_command_line(spark):
+    cities = spark.createDataFrame([("Tokyo", 35.7, 139.7, "Japan", "Asia")], COUNTRY_SCHEMA)
+    tsunamis = spark.createDataFrame([("JAPAN", 2000, 1, 1, 5, 7, 10)], "Country string, Year int, Mo int, Dy int, Hr int, Mn int, Deaths int")
+    landing = layers.Layout(scratch_path(spark, "test-cli-landing"))
+    country = _csv(cities, COUNTRY_SCHEMA, landing.path("csv", "country"))
+    tsunami = _csv(tsunamis, TSUNAMI_SCHEMA, landing.path("csv", "tsunami"))
+    out = layers.main(["--base", scratch_path(spark, "test-cli"), "--country", country, "--tsunami", tsunami])
+    rows = read_parquet(spark, out["gold/top_tsunami"]).collect()
+    assert [(r.Country, r.Deaths) for r in rows] == [("Japan", 10)]
