@@ -60,12 +60,16 @@ def followed_within(
         # A then-event without a key is no one's partner (null never equals null).
         ((F.col(kind) == F.lit(then_kind)) & F.col(key).isNotNull()).cast("int").alias("_then"),
     )
-    instants = e.groupBy(key, "_m").agg(F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then"))
+    # Keyed by struct(key), never null: events without a key stay one group and
+    # every join below keeps plain equality on the window's partitioning.
+    instants = e.groupBy(F.struct(F.col(key)).alias("_k"), "_m").agg(
+        F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then")
+    )
     if split == "time":
         instants = instants.withColumn("_p", F.floor(F.col("_m") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long"))
     elif split == "rows":
         ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        instants = instants.repartitionByRange(ranges, F.col(key).asc(), F.col("_m").asc())
+        instants = instants.repartitionByRange(ranges, F.col("_k").asc(), F.col("_m").asc())
         instants = instants.withColumn("_p", F.spark_partition_id().cast("long"))
     else:
         raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
@@ -77,19 +81,19 @@ def followed_within(
     # Instants are distinct within a key, so ROWS ending 1 before the current
     # row (in descending time) are exactly the strictly later instants.
     later_in_piece = (
-        Window.partitionBy(key, "_p").orderBy(F.col("_m").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_k", "_p").orderBy(F.col("_m").desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
     instants = instants.withColumn("_next", F.min(then_time).over(later_in_piece))
-    pieces = instants.groupBy(F.col(key).alias("__k"), F.col("_p").alias("__p")).agg(
+    pieces = instants.groupBy(F.col("_k").alias("__k"), F.col("_p").alias("__p")).agg(
         F.min(then_time).alias("_piece_then")
     )
     later_pieces = Window.partitionBy("__k").orderBy(F.col("__p").desc()).rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select("__k", "__p", F.min("_piece_then").over(later_pieces).alias("_after"))
     firsts = instants.filter(F.col("_firsts") > 0)
-    joined = firsts.join(pieces, F.col(key).eqNullSafe(F.col("__k")) & (F.col("_p") == F.col("__p")), "inner")
+    joined = firsts.join(pieces, (F.col("_k") == F.col("__k")) & (F.col("_p") == F.col("__p")), "inner")
     nxt = F.least(F.col("_next"), F.col("_after"))
     hit = F.when(nxt.isNotNull() & (nxt <= F.col("_m") + F.lit(within_us)), F.col("_firsts")).otherwise(F.lit(0))
-    return joined.groupBy(key).agg(
+    return joined.groupBy(F.col("_k").getField(key).alias(key)).agg(
         F.sum("_firsts").cast("long").alias("first_events"),
         F.sum(hit).cast("long").alias("followed"),
     )
