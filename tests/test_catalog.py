@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from strata.plans.oracle_check import compare_key, duckdb_connection
+from tools.oracle_check import compare_key, duckdb_connection
 from tests.conftest import SF_SMALL
 from tests.helpers import plan_text
 

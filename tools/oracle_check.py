@@ -1,4 +1,4 @@
-"""Compare a catalog key's Spark result with its DuckDB oracle.
+"""Verification helper (not part of the library): compare a catalog key with its DuckDB oracle.
 
 Rows are compared as multisets, columns by sorted name, doubles rounded to 9
 significant digits (both sides already round their computed measures).
