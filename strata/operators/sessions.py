@@ -17,7 +17,7 @@ non-empty piece. Idle time needs no group numbers at all: it is the sum of
 time gaps between consecutive readings that are both idle, and a gap that
 crosses two pieces is found from the pieces' summaries.
 
-Two ways to cut pieces (``split``):
+Ways to cut pieces (``split``):
 
 ``"time"``  buckets of ``bucket_seconds`` (default). One shuffle on
             (key, bucket); a piece holds one key's readings of one bucket.
@@ -27,6 +27,9 @@ Two ways to cut pieces (``split``):
             piece holds about the same number of rows whatever the skew,
             including many readings with equal times. Costs a sampling pass
             and one more shuffle.
+``"auto"``  ``"rows"`` if some (key, bucket) piece would hold more than
+            ``max_piece_rows`` readings, else ``"time"`` (see ``choose_split``;
+            one extra pass over the key and time columns).
 
 Group numbers need each piece's offset joined back to its rows; both
 branches share one shuffle of the readings (see ``_with_groups``).
@@ -45,6 +48,38 @@ from strata.schemas import SECONDS_PER_HOUR
 from strata.sources.files import materialize
 
 DEFAULT_BUCKET_SECONDS = 86_400
+# With split="auto": largest piece (one key's readings of one time bucket)
+# still run as one task before the row split is used instead.
+MAX_PIECE_ROWS = 5_000_000
+
+
+def choose_split(
+    readings: DataFrame,
+    key: str,
+    ts: str,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    max_piece_rows: int = MAX_PIECE_ROWS,
+) -> str:
+    """``"rows"`` when some (key, time bucket) piece holds more than
+    ``max_piece_rows`` readings, else ``"time"``.
+
+    One pass over the key and time columns with partial aggregation; only
+    the largest count reaches the driver.
+    """
+    seconds = epoch_seconds(ts, readings.schema[ts].dataType)
+    counts = (
+        readings.filter(F.col(ts).isNotNull())
+        .groupBy(F.col(key), F.floor(seconds / F.lit(bucket_seconds)).alias("_b"))
+        .count()
+    )
+    largest = counts.agg(F.max("count")).first()[0] or 0
+    return "rows" if largest > max_piece_rows else "time"
+
+
+def _resolve(readings, key, order, bucket_seconds, split, max_piece_rows) -> str:
+    if split == "auto":
+        return choose_split(readings, key, order[0], bucket_seconds, max_piece_rows)
+    return split
 
 
 def _prepare(
@@ -102,12 +137,14 @@ def idle_time(
     output: str = "total_parking_time",
     decimals: int = 2,
     split: str = "time",
+    max_piece_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Idle hours per key, rounded half up to ``decimals``.
 
     Only keys with at least one idle reading appear; a key whose idle
     readings are all isolated gets 0.0. Time between groups is not counted.
     """
+    split = _resolve(readings, key, order, bucket_seconds, split, max_piece_rows)
     r = _prepare(readings, key, order, value, threshold, bucket_seconds, split)
     w = _piece_window(key, order)
     r = r.withColumns({"_pc": F.lag("_c").over(w), "_ps": F.lag("_s").over(w)})
@@ -142,6 +179,7 @@ def _with_groups(
     threshold: float,
     bucket_seconds: int,
     split: str = "time",
+    max_piece_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Readings with ``charging``, ``boundary`` and ``charging_group`` columns.
 
@@ -158,6 +196,7 @@ def _with_groups(
     With ``split="rows"`` the pieces are written once to the shared folder,
     which fixes the range piece ids (placed by sampling) for both branches.
     """
+    split = _resolve(readings, key, order, bucket_seconds, split, max_piece_rows)
     columns = list(dict.fromkeys([key, *order, value]))
     r = _prepare(readings, key, order, value, threshold, bucket_seconds, split).select(
         F.struct(F.col(key)).alias("_k"),
@@ -201,9 +240,10 @@ def charging_boundaries(
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     split: str = "time",
+    max_piece_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Per reading: ``charging`` (0/1) and ``boundary`` = |charging - previous|."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary")
 
@@ -216,9 +256,10 @@ def running_group_id(
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     split: str = "time",
+    max_piece_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Per reading: ``charging``, ``boundary`` and ``charging_group`` (running sum)."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary", F.col("charging_group").cast("long").alias("charging_group"))
 
@@ -231,6 +272,7 @@ def group_bounds(
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     split: str = "time",
+    max_piece_rows: int = MAX_PIECE_ROWS,
 ) -> DataFrame:
     """Per (key, group): state, first and last time, number of readings.
 
@@ -239,7 +281,7 @@ def group_bounds(
     so a long group does not concentrate in one task. Taking whole readings
     also keeps every column of the shared shuffle in use (see ``_with_groups``).
     """
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
     ts = order[0]
     reading = F.struct(*[F.col(c) for c in dict.fromkeys([*order, value])])
     return g.groupBy(key, F.col("charging_group").cast("long").alias("charging_group")).agg(

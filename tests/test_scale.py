@@ -118,3 +118,16 @@ def test_group_numbering_shuffles_the_readings_once(spark, key):
     total = len(re.findall(r"Exchange hashpartitioning\(_k, _b", text))
     reused = len(re.findall(r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(_k, _b", text))
     assert (total - reused, reused) == (1, 1)
+
+
+def test_auto_split_picks_rows_only_for_an_oversized_piece(spark, skewed):
+    from strata.operators.sessions import choose_split
+
+    assert choose_split(skewed, "k", "ts", 86400, max_piece_rows=1000) == "rows"  # 6000 readings at one instant
+    assert choose_split(skewed, "k", "ts", 86400, max_piece_rows=10_000) == "time"
+    args = dict(key="k", order=("ts", "tb"), value="v")
+    auto = idle_time(skewed, split="auto", max_piece_rows=1000, output="idle", **args)
+    plain = idle_time(skewed, split="time", output="idle", **args)
+    assert auto.exceptAll(plain).count() == 0 and plain.exceptAll(auto).count() == 0
+    groups = running_group_id(skewed, split="auto", max_piece_rows=1000, **args)
+    assert groups.exceptAll(running_group_id(skewed, **args)).count() == 0
