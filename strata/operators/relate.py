@@ -31,6 +31,7 @@ def followed_within(
     within_seconds: int,
     bucket_seconds: int = 86_400,
     split: str = "time",
+    max_piece_rows: int = 5_000_000,
 ) -> DataFrame:
     """Per key: how many ``first_kind`` events are followed by a ``then_kind``
     event of the same key within ``(t, t + within_seconds]``.
@@ -42,7 +43,8 @@ def followed_within(
        number of events at one instant becomes one row.
     2. The instants of a key are cut into ordered pieces (``split="time"``:
        buckets of ``bucket_seconds``; ``split="rows"``: range partitions of
-       equal size). Inside a piece, the earliest then-instant strictly after
+       equal size; ``split="auto"``: the row split only when a time piece
+       would hold more than ``max_piece_rows`` instants). Inside a piece, the earliest then-instant strictly after
        each instant is a running minimum in descending time order. Across
        pieces, it is the minimum over all later pieces, from one row per
        piece. Joined back on (key, piece), an instant's first events are
@@ -52,6 +54,8 @@ def followed_within(
     Output: ``key, first_events, followed``; keys without ``first_kind``
     events are absent.
     """
+    if split not in ("time", "rows", "auto"):
+        raise ValueError(f"split must be 'time', 'rows' or 'auto', not {split!r}")
     within_us = int(within_seconds) * 1_000_000
     e = events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull()).select(
         F.col(key),
@@ -65,18 +69,23 @@ def followed_within(
     instants = e.groupBy(F.struct(F.col(key)).alias("_k"), "_m").agg(
         F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then")
     )
-    if split == "time":
-        instants = instants.withColumn("_p", F.floor(F.col("_m") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long"))
-    elif split == "rows":
-        ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        instants = instants.repartitionByRange(ranges, F.col("_k").asc(), F.col("_m").asc())
-        instants = instants.withColumn("_p", F.spark_partition_id().cast("long"))
-    else:
-        raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
     # The instants are read twice below (piece summaries and the join back):
-    # written once to the shared folder, they are computed once, and range
-    # piece ids (placed by sampling) are the same for both reads.
+    # written once to the shared folder, they are computed once.
     instants = materialize(instants, "instants")
+    bucket_us = int(bucket_seconds) * 1_000_000
+    if split == "auto":
+        # Largest piece of the time split, counted on the written instants;
+        # one number reaches the driver.
+        per_piece = instants.groupBy("_k", F.floor(F.col("_m") / F.lit(bucket_us))).count()
+        largest = per_piece.agg(F.max("count")).first()[0] or 0
+        split = "rows" if largest > max_piece_rows else "time"
+    if split == "time":
+        instants = instants.withColumn("_p", F.floor(F.col("_m") / F.lit(bucket_us)).cast("long"))
+    else:
+        ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = instants.repartitionByRange(ranges, F.col("_k").asc(), F.col("_m").asc())
+        # Range ids are placed by sampling: written once, both reads see the same ids.
+        instants = materialize(ranged.withColumn("_p", F.spark_partition_id().cast("long")), "instant-pieces")
     then_time = F.when(F.col("_has_then") == 1, F.col("_m"))
     # Instants are distinct within a key, so ROWS ending 1 before the current
     # row (in descending time) are exactly the strictly later instants.

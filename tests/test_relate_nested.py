@@ -61,12 +61,16 @@ def test_followed_within_hot_instant_and_hot_key(spark, shuffle_partitions):
     rows += [(k, base + timedelta(hours=k, minutes=30), "purchase") for k in range(2, 300, 2)]
     df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
     expected = _brute_force(rows, 3600)
-    for split in ("time", "rows"):
+    for split, cap in (("time", 5_000_000), ("rows", 5_000_000), ("auto", 100), ("auto", 5_000_000)):
         got = {
             r.user_id: (r.first_events, r.followed)
-            for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, split).collect()
+            for r in followed_within(
+                df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, split, cap
+            ).collect()
         }
-        assert got == expected, split
+        assert got == expected, (split, cap)
+    with pytest.raises(ValueError):
+        followed_within(df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, "bogus")
     # 300 errors share the instant of 100 purchases, which do not count (not
     # strictly later); the purchase 5 minutes later does. 320 more errors
     # follow at minutes 1..399 that are not multiples of 5.
