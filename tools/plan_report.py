@@ -29,6 +29,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     import __spark_entry__ as entry
 
+    detailed = ["pipeline_topk_impact", "idle_time", "charge_record"]
+    details = {}
     rows = []
     for key, query in entry.queries().items():
         df = query(spark, sf)
@@ -49,6 +51,8 @@ def main() -> None:
             }
         )
         rows.append((key, hashed, ranged, broadcast, pushed))
+        if key in detailed:
+            details[key] = re.sub(r"\[plan_id=\d+\]", "", _clean(plan))
     spark.stop()
 
     print("# Physical plans at scale\n")
@@ -64,6 +68,10 @@ def main() -> None:
     for key, hashed, ranged, broadcast, pushed in rows:
         keys = "; ".join(h.rstrip(")") for h in hashed) or "–"
         print(f"| `{key}` | {len(hashed)}: {keys} | {ranged} | {broadcast} | {'; '.join(pushed) or '–'} |")
+    for key, plan in details.items():
+        print(f"\n## `{key}`\n\n```")
+        print("\n".join(line[:160] for line in plan.strip().splitlines()))
+        print("```")
 
 
 if __name__ == "__main__":
