@@ -131,3 +131,24 @@ def test_incremental_ingest_picks_up_only_new_files(spark):
     ingest_csv_incremental(spark, source, AB, target, checkpoint)
     got = sorted((r.A, r.B) for r in read_parquet(spark, target).collect())
     assert got == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_silver_layer_as_a_stream_equals_the_batch(spark):
+    from strata.plans import disaster as d
+    from strata.plans import driver_tables as t
+    from strata.streaming.layers import stream_layer
+
+    bronze = t.bronze_tsunamis(spark, SF_SMALL)
+    landing = scratch_path(spark, "test-stream-bronze")
+    bronze.repartition(3).write.parquet(landing)
+    target = scratch_path(spark, "test-stream-silver")
+    checkpoint = scratch_path(spark, "test-stream-silver-ckpt")
+    schema = read_parquet(spark, landing).schema
+    stream_layer(spark, landing, schema, lambda df: d.silver_tsunami(df, 1996, 1999), target, checkpoint)
+    streamed = read_parquet(spark, target)
+    batch = d.silver_tsunami(read_parquet(spark, landing), 1996, 1999)
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    # a second run finds no new files and adds nothing
+    stream_layer(spark, landing, schema, lambda df: d.silver_tsunami(df, 1996, 1999), target, checkpoint)
+    assert read_parquet(spark, target).count() == batch.count()
