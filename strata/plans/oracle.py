@@ -251,7 +251,10 @@ FROM ev_g GROUP BY user_id, charging_group""",
   SELECT user_id, charging_group, {_epoch('max(ts)')} - {_epoch('min(ts)')} AS d
   FROM ev_g WHERE charging = 0 GROUP BY user_id, charging_group)
 SELECT user_id, {_round('sum(d) / 3600')} AS idle_hours FROM durations GROUP BY user_id""",
-    "pipeline_dimension": _with(CITIES) + "SELECT * FROM cities WHERE Continent = 'Asia'",
+    "pipeline_dimension": f"""SELECT s.s_name AS City, s.s_acctbal AS Latitude, CAST(s.s_suppkey AS DOUBLE) AS Longitude,
+       {_display('n.n_name')} AS Country, {_display('r.r_name')} AS Continent
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE {_display('r.r_name')} = 'Asia'""",
     "pipeline_facts_text_time": _with(EQ_BRONZE, EQ_SILVER) + "SELECT * FROM eq_silver",
     "pipeline_facts_part_time": _with(TS_BRONZE, TS_SILVER) + "SELECT * FROM ts_silver",
     "pipeline_topk_impact": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
