@@ -7,6 +7,8 @@ costs only its running tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,3 +90,73 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
         if labels.filter("moved").limit(1).count() == 0:
             return labels.select("node", F.col("label").alias("component"))
         labels = labels.select("node", "label")
+
+
+def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(centre, member)`` with 100 * intersection >= percent * union of
+    their full sets in ``sets`` (``node, hashes``: distinct longs)."""
+    left = sets.select(F.col("node").alias("member"), F.col("hashes").alias("hm"))
+    right = sets.select(F.col("node").alias("centre"), F.col("hashes").alias("hc"))
+    shared = pairs.join(left, "member").join(right, "centre").select(
+        "centre",
+        "member",
+        F.size(F.array_intersect("hm", "hc")).cast("long").alias("shared"),
+        (F.size("hm") + F.size("hc")).cast("long").alias("total"),
+    )
+    # union = total - shared
+    return shared.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("centre", "member")
+
+
+def linked_in_buckets(
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str
+) -> DataFrame:
+    """Components of the links that shared buckets and exact sets confirm.
+
+    ``nodes``: ``node, size, bands`` (a long, its set's size, its bucket keys),
+    written once. ``sets_of(frame of node)`` gives ``node, hashes`` for the
+    nodes asked for. Returns ``node, component`` for every linked node.
+
+    In each bucket the smallest node is the centre and makes one candidate
+    pair with every other member, so a bucket of n makes n - 1 pairs. Pairs
+    whose set sizes rule the similarity out go; the rest are confirmed on full
+    sets and joined by union-find. Buckets whose members other than the used
+    centre still lie in different components go through another star round
+    with the next centre, against members of other components only, until each
+    is one component or used up: no link found in a bucket is lost, and no
+    round forms all pairs of a bucket.
+    """
+    fits = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
+    buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    stars = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
+    stars = write_once(stars.filter("centre <> last").select("bucket", "centre"), f"{name}-stars")
+    sizes = nodes.select(F.col("node").alias("centre"), F.col("size").alias("centre_size"))
+    members = buckets.join(stars, "bucket").filter("node <> centre").join(sizes, "centre")
+    members = write_once(members.select("bucket", "centre", "node", "size", "centre_size"), f"{name}-members")
+    involved = members.select("node").union(members.select("centre")).distinct()
+    sets = write_once(sets_of(involved), f"{name}-sets")
+    pairs = write_once(members.filter(fits).select("centre", F.col("node").alias("member")).distinct(), f"{name}-pairs")
+    tested = pairs
+    found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
+    comps = connected_components(found, "centre", "member", name)
+    while True:
+        rest = members.select("bucket", "node", "size").join(comps, "node", "left").select(
+            "bucket", "node", "size", F.coalesce("component", "node").alias("component")
+        )
+        spread = rest.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("centre")
+        )
+        rest = rest.join(spread.filter("low <> high").select("bucket", "centre"), "bucket")
+        head = rest.filter("node = centre").select(
+            "bucket", F.col("size").alias("centre_size"), F.col("component").alias("centre_component")
+        )
+        members = write_once(rest.filter("node <> centre").join(head, "bucket"), f"{name}-members")
+        if members.limit(1).count() == 0:
+            return comps
+        apart = members.filter(fits & (F.col("component") != F.col("centre_component")))
+        more = apart.select("centre", F.col("node").alias("member")).distinct()
+        more = write_once(more.join(tested, ["centre", "member"], "left_anti"), f"{name}-pairs")
+        tested = tested.union(more)
+        links = write_once(confirmed_pairs(more, sets, percent), f"{name}-links")
+        if links.limit(1).count():
+            found = found.union(links)
+            comps = connected_components(found, "centre", "member", name)

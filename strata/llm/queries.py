@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import table
+from strata.llm.line_dedup import dedup_lines
 from strata.llm.near_dedup import near_duplicates
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document its text without duplicate lines, and the dropped line numbers."""
+    return dedup_lines(table(spark, sf, "documents")).select("doc_id", "n_lines", "dropped_lines", "text")
+
+
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op9_near_dedup": op9_near_dedup,
 }
