@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.sources.files import materialize
@@ -19,7 +19,23 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-write_once = materialize
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again.
+
+    The shuffle files of the write are removed as soon as it is done: nothing
+    reads them later, and the steps of one operator would otherwise fill the
+    local disks until the driver collects its garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,10 +136,12 @@ def linked_in_buckets(
     pair with every other member, so a bucket of n makes n - 1 pairs. Pairs
     whose set sizes rule the similarity out go; the rest are confirmed on full
     sets and joined by union-find. Buckets whose members other than the used
-    centre still lie in different components go through another star round
-    with the next centre, against members of other components only, until each
-    is one component or used up: no link found in a bucket is lost, and no
-    round forms all pairs of a bucket.
+    centres still lie in different components go through further rounds of
+    stars, with 4, 16, 64, ... next centres, each against later members of
+    other components only, until each is one component or used up: no link
+    found in a bucket is lost. The pairs of a bucket whose members are alike
+    (copies of one text) thus stay near n; a bucket of chance neighbours costs
+    its pairs of fitting sizes, spread over tasks by the join.
     """
     fits = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
     buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
@@ -138,25 +156,34 @@ def linked_in_buckets(
     tested = pairs
     found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
     comps = connected_components(found, "centre", "member", name)
+    rest = members.select("bucket", "node", "size")
+    k = 4
     while True:
-        rest = members.select("bucket", "node", "size").join(comps, "node", "left").select(
-            "bucket", "node", "size", F.coalesce("component", "node").alias("component")
+        rest = rest.join(comps.withColumnRenamed("component", "c"), "node", "left").select(
+            "bucket", "node", "size", F.coalesce("c", "node").alias("component")
         )
-        spread = rest.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("centre")
+        spread = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        rest = write_once(rest.join(spread.filter("low <> high").select("bucket"), "bucket"), f"{name}-rest")
+        if rest.limit(1).count() == 0:
+            return comps
+        # The k smallest nodes of each bucket; Spark limits each task's groups before the shuffle.
+        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
+        centres = write_once(ranked.filter(F.col("rank") <= k), f"{name}-centres").select(
+            "bucket",
+            F.col("node").alias("centre"),
+            F.col("size").alias("centre_size"),
+            F.col("component").alias("centre_component"),
         )
-        rest = rest.join(spread.filter("low <> high").select("bucket", "centre"), "bucket")
-        head = rest.filter("node = centre").select(
-            "bucket", F.col("size").alias("centre_size"), F.col("component").alias("centre_component")
+        later = rest.join(centres, "bucket").filter(
+            (F.col("node") > F.col("centre")) & (F.col("component") != F.col("centre_component")) & fits
         )
-        members = write_once(rest.filter("node <> centre").join(head, "bucket"), f"{name}-members")
-        if members.limit(1).count() == 0:
-            return comps
-        apart = members.filter(fits & (F.col("component") != F.col("centre_component")))
-        more = apart.select("centre", F.col("node").alias("member")).distinct()
+        more = later.select("centre", F.col("node").alias("member")).distinct()
         more = write_once(more.join(tested, ["centre", "member"], "left_anti"), f"{name}-pairs")
         tested = tested.union(more)
         links = write_once(confirmed_pairs(more, sets, percent), f"{name}-links")
         if links.limit(1).count():
             found = found.union(links)
             comps = connected_components(found, "centre", "member", name)
+        used = centres.groupBy("bucket").agg(F.max("centre").alias("used"))
+        rest = rest.join(used, "bucket").filter("node > used").select("bucket", "node", "size")
+        k *= 4

@@ -1,22 +1,20 @@
 """Near-duplicate documents: one-permutation MinHash, banded buckets, star edges.
 
 1. Each text becomes its set of distinct 5-word shingles (64-bit hashes).
-   The hashes fall into 128 bins by their top bits, once; a bin keeps its
+   The hashes fall into 256 bins by their top bits, once; a bin keeps its
    smallest hash. Empty bins take the value of another bin, found by a fixed
    pseudo-random probe order per bin (optimal densification), so texts of any
-   length have full signatures. 42 bands of 3 bins make 42 bucket keys: a pair
-   of similarity 0.75 shares no bucket with probability (1 - 0.75^3)^42, about
-   1e-10.
+   length have full signatures. 51 bands of 5 bins make 51 bucket keys: a pair
+   of similarity 0.75 shares no bucket with probability (1 - 0.75^5)^51, about
+   1e-6.
 2. Texts with equal sets are one class, represented by its smallest doc_id;
    only representatives go on, so thousands of exact copies cost one row.
 3. In each bucket the smallest representative is the centre, and every other
    member makes one candidate edge with it (a star), so a bucket of n makes
    n - 1 pairs. Candidates are confirmed by exact Jaccard on full sets.
-4. Confirmed edges are joined by union-find. Buckets whose other members
-   still lie in different components go through further star rounds with the
-   next centre, until every bucket is one component or used up. So a link
-   between two members neither of which is near the centre isn't lost, and
-   no round forms all pairs of a bucket.
+4. Confirmed edges are joined by union-find. Buckets that still hold several
+   components go through further star rounds (``common.linked_in_buckets``),
+   so a link between two members neither of which is near the centre isn't lost.
 
 The whole texts are read by Arrow batches (bounded by rows and bytes); the
 joins and aggregates are Spark's. Hot keys: a class or bucket holding a third
@@ -33,12 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, write_once
+from strata.llm.common import linked_in_buckets, write_once
 
 WIDTH = 5
 PERCENT = 75
-BINS_LOG2 = 7
-ROWS_PER_BAND = 3
+BINS_LOG2 = 8
+ROWS_PER_BAND = 5
 WORD_CACHE = 300_000
 _BINS = 1 << BINS_LOG2
 _BANDS = _BINS // ROWS_PER_BAND
@@ -137,21 +135,6 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs whose full sets are similar enough (exact Jaccard)."""
-    left = sets.select(F.col("node").alias("member"), F.col("hashes").alias("hm"))
-    right = sets.select(F.col("node").alias("centre"), F.col("hashes").alias("hc"))
-    both = pairs.join(left, "member").join(right, "centre")
-    shared = both.select(
-        "centre",
-        "member",
-        F.size(F.array_intersect("hm", "hc")).cast("long").alias("shared"),
-        (F.size("hm") + F.size("hc")).cast("long").alias("total"),
-    )
-    # union = total - shared
-    return shared.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("centre", "member")
-
-
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
@@ -172,47 +155,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = write_once(
         linkable.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("node"), F.min("n_shingles").alias("size"), F.first("bands").alias("bands")
         ),
         "near-classes",
     )
-    buckets = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    stars = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-    # Buckets of one class make no pair and go at once.
-    members = write_once(
-        buckets.join(stars.filter("centre <> last").select("bucket", "centre"), "bucket").filter("node <> centre")
-        .join(classes.select(F.col("node").alias("centre"), F.col("n").alias("nc")), "centre")
-        .select("bucket", "centre", "node", "n", "nc"),
-        "near-members",
-    )
-    fits = F.least("n", "nc") * 100 >= F.greatest("n", "nc") * percent
-    pairs = write_once(members.filter(fits).select("centre", F.col("node").alias("member")).distinct(), "near-pairs")
-    involved = members.select("node").union(members.select("centre")).distinct()
-    texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
-    sets = write_once(texts.mapInArrow(_sets, "node long, hashes array<long>"), "near-sets")
-    links = write_once(_confirmed(pairs, sets, percent), "near-links")
-    tested, found = pairs, links
-    comps = connected_components(found, "centre", "member", "near")
-    while True:
-        # Members other than the used centre, with their components.
-        rest = members.select("bucket", "node", "n").join(comps, "node", "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("component")
-        )
-        spread = rest.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("centre")
-        ).filter("low <> high").select("bucket", "centre")
-        rest = rest.join(spread, "bucket")
-        head = rest.filter("node = centre").select("bucket", F.col("n").alias("nc"), F.col("component").alias("cc"))
-        members = write_once(rest.filter("node <> centre").join(head, "bucket"), "near-members")
-        if members.limit(1).count() == 0:
-            break
-        more = members.filter(fits & (F.col("component") != F.col("cc"))).select("centre", F.col("node").alias("member")).distinct()
-        more = write_once(more.join(tested, ["centre", "member"], "left_anti"), "near-pairs")
-        links = write_once(_confirmed(more, sets, percent), "near-links")
-        tested = tested.union(more)
-        if links.limit(1).count():
-            found = found.union(links)
-            comps = connected_components(found, "centre", "member", "near")
+
+    def sets_of(involved: DataFrame) -> DataFrame:
+        texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
+        return texts.mapInArrow(_sets, "node long, hashes array<long>")
+
+    comps = linked_in_buckets(classes.select("node", "size", "bands"), sets_of, percent, "near")
     named = classes.select("set_a", "set_b", "node").join(comps, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id")
     )

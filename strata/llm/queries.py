@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import table
 from strata.llm.line_dedup import dedup_lines
+from strata.llm.mixing import plan_mix
 from strata.llm.near_dedup import near_duplicates
+from strata.llm.packing import pack
+from strata.llm.toxicity import toxic_scores
 
 
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -16,11 +19,27 @@ def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_lines(table(spark, sf, "documents")).select("doc_id", "n_lines", "dropped_lines", "text")
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxic_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document its size, its source's size and target, and the words taken."""
+    return plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_packing": op5_packing,
+    "op6_mixing": op6_mixing,
     "op9_near_dedup": op9_near_dedup,
 }
