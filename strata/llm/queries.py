@@ -7,18 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.common import table
+from strata.llm.fingerprints import fingerprints
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import plan_mix
 from strata.llm.near_dedup import near_duplicates
 from strata.llm.packing import pack
+from strata.llm.secret_scan import scan_secrets
 from strata.llm.toxicity import toxic_scores
 
 
+def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    digest = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    return scan_secrets(table(spark, sf, "documents")).select(*digest)
+
+
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Per document its text without duplicate lines, and the dropped line numbers."""
     return dedup_lines(table(spark, sf, "documents")).select("doc_id", "n_lines", "dropped_lines", "text")
 
 
+def op3_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints(table(spark, sf, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxic_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -37,7 +48,9 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
