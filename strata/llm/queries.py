@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm.ann import nearest
 from strata.llm.common import table
 from strata.llm.fingerprints import fingerprints
+from strata.llm.license_scan import scan_licenses
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import plan_mix
 from strata.llm.near_dedup import near_duplicates
 from strata.llm.packing import pack
+from strata.llm.pii import replace_pii
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.toxicity import toxic_scores
 
@@ -43,10 +46,25 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document its text with surrogates, and the kinds of what was found."""
+    return replace_pii(table(spark, sf, "documents")).select("doc_id", "n_pii", "pii_kinds", "text")
+
+
+def op8_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(table(spark, sf, "embeddings"))
+
+
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document the licenses whose templates it contains, with their containment."""
+    found = scan_licenses(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_windows", "matches")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -54,5 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_mixing": op6_mixing,
+    "op7_pii": op7_pii,
+    "op8_ann": op8_ann,
     "op9_near_dedup": op9_near_dedup,
+    "op10_license_scan": op10_license_scan,
 }
