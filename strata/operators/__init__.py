@@ -14,7 +14,7 @@ from strata.operators.filters import (
     filter_measurand,
     filter_year_range,
 )
-from strata.operators.joins import broadcast_if_small, match_all_cities, match_dimension, semi_join
+from strata.operators.joins import match_all_cities, match_dimension, semi_join
 from strata.operators.nested import json_flatten
 from strata.operators.ranking import (
     hit_summary,
@@ -32,12 +32,10 @@ from strata.operators.shaping import (
     make_country,
     make_timestamp,
     make_timestamp_from_parts,
-    rename,
 )
 
 __all__ = [
     "attach_idle_time",
-    "broadcast_if_small",
     "capitalize_country",
     "charging_boundaries",
     "distinct_keys",
@@ -59,7 +57,6 @@ __all__ = [
     "match_dimension",
     "match_start_messages",
     "match_stop_with_start",
-    "rename",
     "running_group_id",
     "semi_join",
     "top_k",

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from strata.functions.time import year_range
 from strata.schemas import POWER_MEASURAND
@@ -32,8 +33,18 @@ def filter_int_range(df: DataFrame, column: str, low: int, high: int) -> DataFra
 
 
 def filter_complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows where every column in ``columns`` is non-null."""
-    return df.dropna(how="any", subset=list(columns))
+    """Rows where every column in ``columns`` is non-null (and no NaN).
+
+    One predicate per column, as ``dropna``'s own expression isn't pushed to
+    the scan.
+    """
+    kept = F.lit(True)
+    for name in columns:
+        column = F.col(name)
+        kept = kept & column.isNotNull()
+        if isinstance(df.schema[name].dataType, (FloatType, DoubleType)):
+            kept = kept & ~F.isnan(column)
+    return df.filter(kept)
 
 
 def filter_measurand(

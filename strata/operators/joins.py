@@ -1,10 +1,9 @@
 """Dimension matching.
 
-Facts are never shuffled for a dimension match when the dimension side is
-provably small: its distinct keys are counted against a bound first, and only
-then broadcast. Beyond the bound the join is left to Spark (sort-merge, with
-AQE free to switch at run time), so a large dimension never lands in driver or
-executor memory whole.
+The reduced dimension is written once and joined without a hint: Spark knows
+the written size in bytes and broadcasts it below
+``autoBroadcastJoinThreshold``; beyond that the join is sort-merge, where AQE
+splits skewed keys. So the dimension is computed once, whatever its size.
 """
 
 from __future__ import annotations
@@ -14,20 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows, after projection to its key columns) that is
-# broadcast; a few MB at most for key-sized rows.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check runs ``limit(max_rows + 1).count()``, so it stops reading as
-    soon as the bound is exceeded for plain scans. Use it on narrow frames
-    (keys and a few attributes), where the row bound is also a byte bound.
-    """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+from strata.sources.files import materialize
 
 
 def match_dimension(
@@ -37,7 +23,6 @@ def match_dimension(
     dim_key: str,
     output: Sequence[Column] | None = None,
     key_alias: str | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Facts whose ``fact_key`` is one of the dimension's ``dim_key`` values.
 
@@ -46,8 +31,7 @@ def match_dimension(
     ``output`` selects and names the result columns; ``key_alias`` adds the
     matched key under that name first.
     """
-    keys = dimension.select(F.col(dim_key).alias("__dim_key")).distinct()
-    keys = broadcast_if_small(keys, max_broadcast_rows)
+    keys = materialize(dimension.select(F.col(dim_key).alias("__dim_key")).distinct(), "dimension-keys")
     matched = facts.join(keys, F.col(fact_key) == F.col("__dim_key"), "left_semi")
     columns: list[Column] = []
     if key_alias:
@@ -66,7 +50,6 @@ def match_all_cities(
     fact_key: str,
     dim_key: str = "Country",
     city: str = "City",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Match facts against a per-city dimension without multiplying them.
 
@@ -82,17 +65,13 @@ def match_all_cities(
         F.min(city).alias("first_city"),
         F.max(city).alias("last_city"),
     )
-    per_key = broadcast_if_small(per_key.filter(F.col("__dim_key").isNotNull()), max_broadcast_rows)
+    per_key = materialize(per_key.filter(F.col("__dim_key").isNotNull()), "dimension-cities")
     joined = facts.join(per_key, F.col(fact_key) == F.col("__dim_key"), "inner")
     return joined.drop("__dim_key")
 
 
-def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str, bounded: bool = False) -> DataFrame:
-    """Facts whose ``fact_key`` appears in ``keys[key]``.
-
-    ``bounded=True`` states that ``keys`` has a small fixed size (e.g. the
-    output of a top-k), and broadcasts it without a count.
-    """
+def semi_join(facts: DataFrame, keys: DataFrame, fact_key: str, key: str) -> DataFrame:
+    """Facts whose ``fact_key`` appears in ``keys[key]``; Spark picks the join by
+    the size of ``keys``, which it knows for a limit or a written frame."""
     right = keys.select(F.col(key).alias("__semi_key"))
-    right = F.broadcast(right) if bounded else broadcast_if_small(right)
     return facts.join(right, F.col(fact_key) == F.col("__semi_key"), "left_semi")

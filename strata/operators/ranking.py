@@ -52,11 +52,11 @@ def top_k_detail(
 ) -> DataFrame:
     """All rows of the ``k`` most frequent keys.
 
-    A left-semi join by name against the k keys (at most k rows, broadcast),
-    not a self-join of the frame with a frame derived from it.
+    A left-semi join by name against the k keys, not a self-join of the frame
+    with a frame derived from it. Rows without a key take no place among the k.
     """
-    top = top_k_keys(df, key, k).select(key)
-    detail = semi_join(df, top, key, key, bounded=True)
+    top = top_k_keys(df.filter(F.col(key).isNotNull()), key, k).select(key)
+    detail = semi_join(df, top, key, key)
     return detail.select(*(columns or df.columns))
 
 
@@ -87,20 +87,21 @@ def top_k_trend(
     df: DataFrame,
     key: str = "Country",
     ts: str = "Timestamp",
-    measure: str = "Deaths",
+    measures: Sequence[str] = ("Deaths",),
     k: int = 3,
-    measure_alias: str = "deaths",
+    aliases: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Yearly totals of a measure for the top-k keys, with the change per year.
+    """Yearly totals of measures for the top-k keys, with the change per year.
 
-    The detail rows of the top keys are aggregated per (key, year); the change
-    to the previous year with data uses ``lag`` over at most one row per year
-    and key, so that window is small whatever the data volume.
+    The change is against the previous calendar year: it is null where that
+    year has no rows of the key (``lag`` over at most one row per year and
+    key, so that window is small whatever the data volume).
     """
+    names = list(aliases or measures)
     detail = top_k_detail(df, key, k)
-    yearly = detail.groupBy(F.col(key), F.year(ts).alias("year")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.sum(_summable(detail, measure)).alias(measure_alias),
-    )
+    sums = [F.sum(_summable(detail, m)).alias(n) for m, n in zip(measures, names)]
+    yearly = detail.groupBy(F.col(key), F.year(ts).alias("year")).agg(F.count(F.lit(1)).alias("events"), *sums)
     w = Window.partitionBy(key).orderBy("year")
-    return yearly.withColumn(f"{measure_alias}_change", F.col(measure_alias) - F.lag(measure_alias).over(w))
+    follows = F.lag("year").over(w) == F.col("year") - 1
+    changes = {f"{n}_change": F.when(follows, F.col(n) - F.lag(n).over(w)) for n in names}
+    return yearly.withColumns(changes)

@@ -30,8 +30,8 @@ def followed_within(
     then_kind: str,
     within_seconds: int,
     bucket_seconds: int = 86_400,
-    split: str = "time",
-    max_piece_rows: int = 5_000_000,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per key: how many ``first_kind`` events are followed by a ``then_kind``
     event of the same key within ``(t, t + within_seconds]``.
@@ -41,23 +41,24 @@ def followed_within(
     1. Events are counted per (key, instant) with partial aggregation: the
        number of first events and whether a then-event happened there. Any
        number of events at one instant becomes one row.
-    2. The instants of a key are cut into ordered pieces (``split="time"``:
-       buckets of ``bucket_seconds``; ``split="rows"``: range partitions of
-       equal size; ``split="auto"``: the row split only when a time piece
-       would hold more than ``max_piece_rows`` instants). Inside a piece, the earliest then-instant strictly after
-       each instant is a running minimum in descending time order. Across
-       pieces, it is the minimum over all later pieces, from one row per
-       piece. Joined back on (key, piece), an instant's first events are
-       followed when that earliest then-instant is at most
-       ``within_seconds`` after it.
+    2. The instants of a key are cut into ordered pieces (``split="rows"``, the
+       default: ``ranges`` range partitions of equal size, or
+       ``spark.sql.shuffle.partitions`` of them; ``split="time"``: buckets of
+       ``bucket_seconds``, a caller's choice for keys known to be even). Inside
+       a piece, the earliest then-instant strictly after each instant is a
+       running minimum in descending time order. Across pieces, it is the
+       minimum over all later pieces, from one row per piece. Joined back on
+       (key, piece), an instant's first events are followed when that earliest
+       then-instant is at most ``within_seconds`` after it.
 
     Output: ``key, first_events, followed``; keys without ``first_kind``
-    events are absent.
+    events are absent. A first event without a time counts as not followed; a
+    then-event without a time follows nothing.
     """
-    if split not in ("time", "rows", "auto"):
-        raise ValueError(f"split must be 'time', 'rows' or 'auto', not {split!r}")
+    if split not in ("rows", "time"):
+        raise ValueError(f"split must be 'rows' or 'time', not {split!r}")
     within_us = int(within_seconds) * 1_000_000
-    e = events.filter(F.col(kind).isin(first_kind, then_kind) & F.col(ts).isNotNull()).select(
+    e = events.filter(F.col(kind).isin(first_kind, then_kind)).select(
         F.col(key),
         epoch_micros(ts, events.schema[ts].dataType).alias("_m"),
         (F.col(kind) == F.lit(first_kind)).cast("long").alias("_first"),
@@ -73,17 +74,12 @@ def followed_within(
     # written once to the shared folder, they are computed once.
     instants = materialize(instants, "instants")
     bucket_us = int(bucket_seconds) * 1_000_000
-    if split == "auto":
-        # Largest piece of the time split, counted on the written instants;
-        # one number reaches the driver.
-        per_piece = instants.groupBy("_k", F.floor(F.col("_m") / F.lit(bucket_us))).count()
-        largest = per_piece.agg(F.max("count")).first()[0] or 0
-        split = "rows" if largest > max_piece_rows else "time"
     if split == "time":
-        instants = instants.withColumn("_p", F.floor(F.col("_m") / F.lit(bucket_us)).cast("long"))
+        bucket = F.floor(F.col("_m") / F.lit(bucket_us)).cast("long")
+        instants = instants.withColumn("_p", F.coalesce(bucket, F.lit(-(1 << 62)).cast("long")))
     else:
-        ranges = int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = instants.repartitionByRange(ranges, F.col("_k").asc(), F.col("_m").asc())
+        n = ranges or int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = instants.repartitionByRange(n, F.col("_k").asc(), F.col("_m").asc())
         # Range ids are placed by sampling: written once, both reads see the same ids.
         instants = materialize(ranged.withColumn("_p", F.spark_partition_id().cast("long")), "instant-pieces")
     then_time = F.when(F.col("_has_then") == 1, F.col("_m"))

@@ -19,20 +19,20 @@ crosses two pieces is found from the pieces' summaries.
 
 Ways to cut pieces (``split``):
 
-``"time"``  buckets of ``bucket_seconds`` (default). One shuffle on
-            (key, bucket); a piece holds one key's readings of one bucket.
-``"rows"``  range partitioning on (key, order columns) into
-            ``spark.sql.shuffle.partitions`` ranges; the range id is the
-            piece. Spark samples the data to place the range bounds, so each
-            piece holds about the same number of rows whatever the skew,
-            including many readings with equal times. Costs a sampling pass
-            and one more shuffle.
-``"auto"``  ``"rows"`` if some (key, bucket) piece would hold more than
-            ``max_piece_rows`` readings, else ``"time"`` (see ``choose_split``;
-            one extra pass over the key and time columns).
-
-Group numbers need each piece's offset joined back to its rows; both
-branches share one shuffle of the readings (see ``_with_groups``).
+``"rows"``  (default) range partitioning on (key, order columns, state) into
+            ``ranges`` ranges (``spark.sql.shuffle.partitions`` if not given);
+            the range id is the piece. Spark samples the data to place the
+            range bounds, so each piece holds about the same number of rows
+            whatever the skew. Costs a sampling pass and one more shuffle. For
+            many terabytes choose ``ranges`` so that a range is some 256 MB.
+``"time"``  buckets of ``bucket_seconds``. One shuffle on (key, bucket), but a
+            piece holds all of one key's readings of one bucket: a caller's
+            choice for keys known to be even.
+
+The state takes part in the order after the order columns, so readings with
+equal order columns have one defined order, and results depend on neither the
+split nor the bucket width. Readings without a time come first, in the first
+piece of their key; they add no idle time.
 """
 
 from __future__ import annotations
@@ -48,38 +48,8 @@ from strata.schemas import SECONDS_PER_HOUR
 from strata.sources.files import materialize
 
 DEFAULT_BUCKET_SECONDS = 86_400
-# With split="auto": largest piece (one key's readings of one time bucket)
-# still run as one task before the row split is used instead.
-MAX_PIECE_ROWS = 5_000_000
-
-
-def choose_split(
-    readings: DataFrame,
-    key: str,
-    ts: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    max_piece_rows: int = MAX_PIECE_ROWS,
-) -> str:
-    """``"rows"`` when some (key, time bucket) piece holds more than
-    ``max_piece_rows`` readings, else ``"time"``.
-
-    One pass over the key and time columns with partial aggregation; only
-    the largest count reaches the driver.
-    """
-    seconds = epoch_seconds(ts, readings.schema[ts].dataType)
-    counts = (
-        readings.filter(F.col(ts).isNotNull())
-        .groupBy(F.col(key), F.floor(seconds / F.lit(bucket_seconds)).alias("_b"))
-        .count()
-    )
-    largest = counts.agg(F.max("count")).first()[0] or 0
-    return "rows" if largest > max_piece_rows else "time"
-
-
-def _resolve(readings, key, order, bucket_seconds, split, max_piece_rows) -> str:
-    if split == "auto":
-        return choose_split(readings, key, order[0], bucket_seconds, max_piece_rows)
-    return split
+# Piece of the readings without a time, before all buckets.
+NO_TIME = -(1 << 62)
 
 
 def _prepare(
@@ -89,7 +59,8 @@ def _prepare(
     value: str,
     threshold: float,
     bucket_seconds: int,
-    split: str = "time",
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Readings with ``_c`` (charging 0/1), ``_s`` (epoch seconds) and ``_b`` (piece id).
 
@@ -97,34 +68,26 @@ def _prepare(
     """
     columns = list(dict.fromkeys([key, *order, value]))
     ts = order[0]
-    r = (
-        readings.select(*columns)
-        .filter(F.col(ts).isNotNull())
-        .withColumns(
-            {"_c": active_flag(value, threshold), "_s": epoch_seconds(ts, readings.schema[ts].dataType)}
-        )
+    r = readings.select(*columns).withColumns(
+        {"_c": active_flag(value, threshold), "_s": epoch_seconds(ts, readings.schema[ts].dataType)}
     )
     if split == "time":
-        # Never null (null times are dropped above); declared so with coalesce,
-        # so joins on the piece infer no filter that would make plan branches
-        # differ and keep Spark from sharing their shuffle.
         bucket = F.floor(F.col("_s") / F.lit(bucket_seconds)).cast("long")
-        return r.withColumn("_b", F.coalesce(bucket, F.lit(0).cast("long")))
+        return r.withColumn("_b", F.coalesce(bucket, F.lit(NO_TIME).cast("long")))
     if split == "rows":
-        ranges = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranged = r.repartitionByRange(ranges, *[F.col(c).asc() for c in [key, *order]])
+        n = ranges or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = r.repartitionByRange(n, *[F.col(c).asc() for c in [key, *order, "_c"]])
         return ranged.withColumn("_b", F.spark_partition_id().cast("long"))
-    raise ValueError(f"split must be 'time' or 'rows', not {split!r}")
+    raise ValueError(f"split must be 'rows' or 'time', not {split!r}")
 
 
 def _piece_window(key: str, order: Sequence[str]) -> Window:
-    return Window.partitionBy(key, "_b").orderBy(*[F.col(c).asc() for c in order])
+    return Window.partitionBy(key, "_b").orderBy(*[F.col(c).asc() for c in order], F.col("_c").asc())
 
 
-def _first_last(order: Sequence[str], *extra: str) -> tuple[Column, Column]:
-    """First and last reading of a piece, as structs ordered like the readings."""
-    row = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in extra])
-    return F.min(row), F.max(row)
+def _at(edge: Column, c: str) -> Column:
+    """The value of ``c`` in the one reading of a piece where ``edge`` holds."""
+    return F.max(F.when(edge, F.col(c)))
 
 
 def idle_time(
@@ -136,33 +99,33 @@ def idle_time(
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     output: str = "total_parking_time",
     decimals: int = 2,
-    split: str = "time",
-    max_piece_rows: int = MAX_PIECE_ROWS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Idle hours per key, rounded half up to ``decimals``.
 
     Only keys with at least one idle reading appear; a key whose idle
     readings are all isolated gets 0.0. Time between groups is not counted.
     """
-    split = _resolve(readings, key, order, bucket_seconds, split, max_piece_rows)
-    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split)
+    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split, ranges)
     w = _piece_window(key, order)
-    r = r.withColumns({"_pc": F.lag("_c").over(w), "_ps": F.lag("_s").over(w)})
+    r = r.withColumns({"_pc": F.lag("_c").over(w), "_ps": F.lag("_s").over(w), "_nc": F.lead("_c").over(w)})
     both_idle = (F.col("_c") == 0) & (F.col("_pc") == 0)
-    r = r.withColumn("_gap", F.when(both_idle, F.col("_s") - F.col("_ps")).otherwise(F.lit(0)))
-    first, last = _first_last(order, "_c", "_s")
+    # A gap from a reading without a time is unknown and counts as none.
+    r = r.withColumn("_gap", F.when(both_idle, F.coalesce(F.col("_s") - F.col("_ps"), F.lit(0))).otherwise(F.lit(0)))
+    first, last = F.col("_pc").isNull(), F.col("_nc").isNull()
     pieces = r.groupBy(key, "_b").agg(
         F.sum("_gap").alias("_inner"),
-        first.alias("_first"),
-        last.alias("_last"),
+        _at(first, "_c").alias("_fc"),
+        _at(first, "_s").alias("_fs"),
+        _at(last, "_c").alias("_lc"),
+        _at(last, "_s").alias("_ls"),
         F.max(1 - F.col("_c")).alias("_has_idle"),
     )
     wk = Window.partitionBy(key).orderBy("_b")
-    pieces = pieces.withColumns(
-        {"_plc": F.lag("_last._c").over(wk), "_pls": F.lag("_last._s").over(wk)}
-    )
-    edge_idle = (F.col("_first._c") == 0) & (F.col("_plc") == 0)
-    edge = F.when(edge_idle, F.col("_first._s") - F.col("_pls")).otherwise(F.lit(0))
+    pieces = pieces.withColumns({"_plc": F.lag("_lc").over(wk), "_pls": F.lag("_ls").over(wk)})
+    edge_idle = (F.col("_fc") == 0) & (F.col("_plc") == 0)
+    edge = F.when(edge_idle, F.coalesce(F.col("_fs") - F.col("_pls"), F.lit(0))).otherwise(F.lit(0))
     per_key = pieces.groupBy(key).agg(
         F.sum(F.col("_inner") + edge).alias("_idle_seconds"),
         F.max("_has_idle").alias("_has_idle"),
@@ -178,8 +141,8 @@ def _with_groups(
     value: str,
     threshold: float,
     bucket_seconds: int,
-    split: str = "time",
-    max_piece_rows: int = MAX_PIECE_ROWS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Readings with ``charging``, ``boundary`` and ``charging_group`` columns.
 
@@ -188,34 +151,25 @@ def _with_groups(
     joined to that offset, take a running sum inside the piece.
 
     Pieces are keyed by ``struct(key)``, which is never null: readings without
-    a key stay one group (as in a window), and the join keeps plain equality,
-    so it runs on the partitioning the first window already made. A reading's
-    own columns travel as one struct that the piece summaries also carry (in
-    their first and last reading). Both branches therefore read the same
-    columns, and Spark shuffles the readings once and shares that shuffle.
-    With ``split="rows"`` the pieces are written once to the shared folder,
-    which fixes the range piece ids (placed by sampling) for both branches.
+    a key stay one group (as in a window), and the join keeps plain equality.
+    The pieces are written once to the shared folder for both branches, which
+    also fixes the range piece ids (placed by sampling).
     """
-    split = _resolve(readings, key, order, bucket_seconds, split, max_piece_rows)
     columns = list(dict.fromkeys([key, *order, value]))
-    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split).select(
-        F.struct(F.col(key)).alias("_k"),
-        "_b",
-        "_c",
-        *[F.col(c) for c in order],
-        F.struct(*[F.col(c) for c in columns]).alias("_row"),
-    )
-    if split == "rows":
-        r = materialize(r, "pieces")
-    w = Window.partitionBy("_k", "_b").orderBy(*[F.col(c).asc() for c in order])
-    r = r.withColumn("_pc", F.lag("_c").over(w))
+    r = _prepare(readings, key, order, value, threshold, bucket_seconds, split, ranges)
+    r = materialize(r.withColumn("_k", F.struct(F.col(key))), "pieces")
+    w = Window.partitionBy("_k", "_b").orderBy(*[F.col(c).asc() for c in order], F.col("_c").asc())
+    r = r.withColumns({"_pc": F.lag("_c").over(w), "_nc": F.lead("_c").over(w)})
     inner_change = F.when(F.col("_pc").isNotNull(), F.abs(F.col("_c") - F.col("_pc"))).otherwise(F.lit(0))
-    first, last = _first_last(order, "_c", "_row")
-    pieces = r.groupBy("_k", "_b").agg(F.sum(inner_change).alias("_inner"), first.alias("_first"), last.alias("_last"))
+    pieces = r.groupBy("_k", "_b").agg(
+        F.sum(inner_change).alias("_inner"),
+        _at(F.col("_pc").isNull(), "_c").alias("_fc"),
+        _at(F.col("_nc").isNull(), "_c").alias("_lc"),
+    )
     wk = Window.partitionBy("_k").orderBy("_b")
     # State before the piece: last state of the previous piece, 0 before the first.
-    pieces = pieces.withColumn("_plc", F.coalesce(F.lag("_last._c").over(wk), F.lit(0)))
-    head_change = F.abs(F.col("_first._c") - F.col("_plc"))
+    pieces = pieces.withColumn("_plc", F.coalesce(F.lag("_lc").over(wk), F.lit(0)))
+    head_change = F.abs(F.col("_fc") - F.col("_plc"))
     before = F.sum(F.col("_inner") + head_change).over(wk.rowsBetween(Window.unboundedPreceding, -1))
     offsets = pieces.select(
         F.col("_k").alias("__k"), F.col("_b").alias("__b"), "_plc", F.coalesce(before, F.lit(0)).alias("_offset")
@@ -225,7 +179,7 @@ def _with_groups(
     joined = joined.withColumn("boundary", boundary)
     running = F.sum("boundary").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return joined.select(
-        *[F.col("_row").getField(c).alias(c) for c in columns],
+        *columns,
         F.col("_c").alias("charging"),
         "boundary",
         (F.col("_offset") + running).alias("charging_group"),
@@ -239,11 +193,11 @@ def charging_boundaries(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    split: str = "time",
-    max_piece_rows: int = MAX_PIECE_ROWS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per reading: ``charging`` (0/1) and ``boundary`` = |charging - previous|."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, ranges)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary")
 
@@ -255,11 +209,11 @@ def running_group_id(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    split: str = "time",
-    max_piece_rows: int = MAX_PIECE_ROWS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per reading: ``charging``, ``boundary`` and ``charging_group`` (running sum)."""
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, ranges)
     columns = list(dict.fromkeys([key, *order, value]))
     return g.select(*columns, "charging", "boundary", F.col("charging_group").cast("long").alias("charging_group"))
 
@@ -271,22 +225,20 @@ def group_bounds(
     value: str = "value",
     threshold: float = 0.0,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    split: str = "time",
-    max_piece_rows: int = MAX_PIECE_ROWS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per (key, group): state, first and last time, number of readings.
 
-    The first and last reading are the minimum and maximum of the reading in
-    its order (deterministic: the order is total); the aggregation is partial,
-    so a long group does not concentrate in one task. Taking whole readings
-    also keeps every column of the shared shuffle in use (see ``_with_groups``).
+    Plain minimum and maximum of the time, with partial aggregation, so a long
+    group doesn't concentrate in one task. A group of readings without a time
+    has neither first nor last.
     """
-    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, max_piece_rows)
+    g = _with_groups(readings, key, order, value, threshold, bucket_seconds, split, ranges)
     ts = order[0]
-    reading = F.struct(*[F.col(c) for c in dict.fromkeys([*order, value])])
     return g.groupBy(key, F.col("charging_group").cast("long").alias("charging_group")).agg(
         F.max("charging").alias("charging"),
-        F.min(reading).getField(ts).alias("first"),
-        F.max(reading).getField(ts).alias("last"),
+        F.min(ts).alias("first"),
+        F.max(ts).alias("last"),
         F.count(F.lit(1)).alias("readings"),
     )

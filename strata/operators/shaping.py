@@ -53,11 +53,6 @@ def capitalize_country(
     return df.withColumn(column, normalize_name(column, space_token, legacy))
 
 
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename columns; names absent from the frame are ignored."""
-    return df.withColumnsRenamed(mapping)
-
-
 def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct combinations of ``columns`` (partial aggregation before the shuffle)."""
     return df.select(*[F.col(c) for c in columns]).distinct()

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.operators.filters import (
     filter_complete_rows,
@@ -37,7 +38,14 @@ from strata.plans import driver_tables as t
 from strata.plans import layers
 from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA
 from strata.session import scratch_path
-from strata.sources.files import output_manifest, read_csv_typed, read_parquet, write_parquet
+from strata.sources.files import (
+    corrupt_counts,
+    materialize,
+    output_manifest,
+    read_csv_typed,
+    read_parquet,
+    write_parquet,
+)
 from strata.streaming.ingest import ingest_csv_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,16 +59,16 @@ INTERVAL_SECONDS = 24 * 3600
 # ---- shared building blocks -----------------------------------------------------------
 
 
-def _silver_earthquakes(spark: SparkSession, sf: str) -> DataFrame:
-    return d.silver_earthquake(t.bronze_earthquakes(spark, sf), d.CONTINENT, *YEARS)
+def _silver_earthquakes(spark: SparkSession, sf: str, located: DataFrame | None = None) -> DataFrame:
+    return d.silver_earthquake(t.bronze_earthquakes(spark, sf, located), d.CONTINENT, *YEARS)
 
 
 def _asia(spark: SparkSession, sf: str) -> DataFrame:
     return d.countries_of(d.silver_country(t.bronze_cities(spark, sf)))
 
 
-def _tsunamis_in_asia(spark: SparkSession, sf: str) -> DataFrame:
-    silver = d.silver_tsunami(t.bronze_tsunamis(spark, sf), *YEARS)
+def _tsunamis_in_asia(spark: SparkSession, sf: str, located: DataFrame | None = None) -> DataFrame:
+    silver = d.silver_tsunami(t.bronze_tsunamis(spark, sf, located), *YEARS)
     return d.tsunamis_in(d.gold_tsunami(silver), _asia(spark, sf))
 
 
@@ -115,16 +123,29 @@ def q_parquet_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
+def q_csv_corrupt_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as CSV in which every seventh key's price isn't a number."""
+    bad = F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    path = scratch_path(spark, "orders-corrupt-csv")
+    orders = t.table(spark, sf, "orders")
+    orders.withColumn("o_totalprice", bad).write.option("header", True).option("escape", "\\").csv(path)
+    read = read_csv_typed(spark, path, orders.schema, corrupt_column="_corrupt", check_header=True)
+    return corrupt_counts(read, "_corrupt")
+
+
 def q_output_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    path = write_parquet(t.table(spark, sf, "orders"), scratch_path(spark, "orders-manifest"))
-    return output_manifest(spark, path).agg(F.sum("rows").alias("rows"))
+    """One row per written file: orders, one file per status."""
+    orders = t.table(spark, sf, "orders").repartition("o_orderstatus")
+    path = write_parquet(orders, scratch_path(spark, "orders-manifest"), partition_by=["o_orderstatus"])
+    status = F.regexp_extract("file_path", "o_orderstatus=([^/]*)/", 1).alias("o_orderstatus")
+    return output_manifest(spark, path).select(status, "rows")
 
 
 # ---- filters and scalar steps ------------------------------------------------------------
 
 
 def q_filter_equals(spark: SparkSession, sf: str) -> DataFrame:
-    return filter_equals(t.bronze_earthquakes(spark, sf), "continent", d.CONTINENT)
+    return filter_equals(t.table(spark, sf, "orders"), "o_orderstatus", "F")
 
 
 def q_filter_year_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,11 +153,11 @@ def q_filter_year_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_filter_int_range(spark: SparkSession, sf: str) -> DataFrame:
-    return filter_int_range(t.bronze_tsunamis(spark, sf), "Year", *YEARS)
+    return filter_int_range(t.table(spark, sf, "lineitem"), "l_linenumber", 2, 4)
 
 
 def q_filter_complete_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return filter_complete_rows(t.bronze_earthquakes(spark, sf), ["location", "continent", "country"])
+    return filter_complete_rows(t.table(spark, sf, "events"), ["ts", "value", "props"])
 
 
 def q_distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,26 +267,21 @@ def q_idle_time(spark: SparkSession, sf: str) -> DataFrame:
     return idle_time(t.event_readings(spark, sf), output="idle_hours", **_events_args())
 
 
-def q_idle_time_row_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Idle time with pieces of equal row counts (robust to any skew)."""
-    return idle_time(t.event_readings(spark, sf), output="idle_hours", split="rows", **_events_args())
-
-
 # ---- pipelines ---------------------------------------------------------------------------
 
 
 def q_pipeline_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Q1 on the per-city dimension (one row per supplier, so it grows with the data)."""
-    return d.materialize(spark, d.silver_country(t.supplier_cities(spark, sf)), "silver-country")
+    return materialize(d.silver_country(t.supplier_cities(spark, sf)), "silver-country")
 
 
 def q_pipeline_facts_text_time(spark: SparkSession, sf: str) -> DataFrame:
-    return d.materialize(spark, _silver_earthquakes(spark, sf), "silver-earthquake")
+    return materialize(_silver_earthquakes(spark, sf), "silver-earthquake")
 
 
 def q_pipeline_facts_part_time(spark: SparkSession, sf: str) -> DataFrame:
     silver = d.silver_tsunami(t.bronze_tsunamis(spark, sf), *YEARS)
-    return d.materialize(spark, silver, "silver-tsunami")
+    return materialize(silver, "silver-tsunami")
 
 
 def q_pipeline_topk_impact(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,27 +290,51 @@ def q_pipeline_topk_impact(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Order keys take the place of the tsunamis' serial number, which is wider here.
+WIDE_TSUNAMI_SCHEMA = StructType(
+    [StructField(f.name, LongType(), True) if f.name == "Sr.no" else f for f in TSUNAMI_SCHEMA.fields]
+)
+
+
 def q_pipeline_layers(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze CSV in the declared full-width layouts -> bronze -> silver -> gold jobs."""
+    """Bronze CSV in the declared full-width layouts -> bronze -> silver -> gold
+    jobs; the rows of both gold datasets."""
     landing = layers.Layout(scratch_path(spark, "landing"))
+    located = t.located_orders(spark, sf)
     frames = {
         "country": (t.bronze_cities(spark, sf), COUNTRY_SCHEMA),
-        "earthquake": (t.bronze_earthquakes(spark, sf), EARTHQUAKE_SCHEMA),
-        "tsunami": (t.bronze_tsunamis(spark, sf), TSUNAMI_SCHEMA),
+        "earthquake": (t.bronze_earthquakes(spark, sf, located), EARTHQUAKE_SCHEMA),
+        "tsunami": (t.bronze_tsunamis(spark, sf, located), WIDE_TSUNAMI_SCHEMA),
     }
-    sources = {}
+    sources, schemas = {}, {}
     for name, (frame, schema) in frames.items():
         path = landing.path("csv", name)
         layers.to_declared(frame, schema).write.option("header", True).option("escape", "\\").csv(path)
-        sources[name] = path
+        sources[name], schemas[name] = path, schema
+    base = layers.Layout(scratch_path(spark, "layers"))
     out = layers.run_disaster_layers(
-        spark, sources, layers.Layout(scratch_path(spark, "layers")), d.CONTINENT, *YEARS, k=TOP_K
+        spark, sources, base, d.CONTINENT, *YEARS, k=TOP_K, schemas=schemas, check_header=True
     )
-    return read_parquet(spark, out["gold/top_tsunami"])
+    tsunamis = read_parquet(spark, out["gold/top_tsunami"]).select(
+        F.lit("top_tsunami").alias("dataset"), "Country", "Timestamp", F.col("Deaths").cast("double").alias("measure"),
+        F.lit(None).cast("string").alias("title"),
+    )
+    quakes = read_parquet(spark, out["gold/earthquake"]).select(
+        F.lit("earthquake"), "Country", "Timestamp", "Magnitude", "Title"
+    )
+    return tsunamis.union(quakes)
+
+
+def q_silver_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """One year of silver tsunamis written by year: the others aren't read."""
+    bronze = scratch_path(spark, "bronze-tsunami")
+    write_parquet(t.bronze_tsunamis(spark, sf), bronze)
+    out = layers.silver_tsunami_job(spark, bronze, scratch_path(spark, "silver-by-year"), *YEARS, by_year=True)
+    return read_parquet(spark, out).filter(F.col("year") == YEARS[0] + 1)
 
 
 def q_pipeline_charge_record(spark: SparkSession, sf: str) -> DataFrame:
-    return d.materialize(spark, _charge_records(spark, sf), "gold-charge-records")
+    return materialize(_charge_records(spark, sf), "gold-charge-records")
 
 
 # ---- derived questions --------------------------------------------------------------------
@@ -310,26 +350,26 @@ def q_interval_match(spark: SparkSession, sf: str) -> DataFrame:
     return followed_within(events, "user_id", "ts", "event_type", "error", "purchase", INTERVAL_SECONDS)
 
 
-def q_interval_match_row_split(spark: SparkSession, sf: str) -> DataFrame:
-    """Interval match with pieces of equal row counts (robust to any skew)."""
-    events = t.table(spark, sf, "events")
-    return followed_within(
-        events, "user_id", "ts", "event_type", "error", "purchase", INTERVAL_SECONDS, split="rows"
-    )
-
-
 def q_quake_tsunami_match(spark: SparkSession, sf: str) -> DataFrame:
     """Per country: earthquakes, and those followed by a tsunami within 24 h."""
-    quakes = _silver_earthquakes(spark, sf).select(
+    located = t.located_orders(spark, sf)
+    quakes = _silver_earthquakes(spark, sf, located).select(
         F.col("country").alias("Country"), F.col("time_stamp").alias("ts"), F.lit("earthquake").alias("kind")
     )
-    waves = _tsunamis_in_asia(spark, sf).select(
+    waves = _tsunamis_in_asia(spark, sf, located).select(
         "Country", F.col("Timestamp").alias("ts"), F.lit("tsunami").alias("kind")
     )
     events = quakes.unionByName(waves)
     return followed_within(events, "Country", "ts", "kind", "earthquake", "tsunami", INTERVAL_SECONDS)
 
 
+def q_json_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """One JSON text per order, with its line numbers as an array, back to one row per line."""
+    lines = t.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_linenumber").alias("line"))
+    text = lines.select("l_orderkey", F.to_json(F.struct("line")).alias("doc"))
+    return json_flatten(text, "doc", "line ARRAY<INT>", keep=["l_orderkey"], explode="line")
+
+
 def q_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return json_flatten(t.table(spark, sf, "events"), "props", "k INT", keep=["event_id"])
 
@@ -339,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "csv_incremental_ingest": q_csv_incremental_ingest,
     "parquet_scan": q_parquet_scan,
     "parquet_overwrite": q_parquet_overwrite,
+    "csv_corrupt_counts": q_csv_corrupt_counts,
     "output_manifest": q_output_manifest,
     "filter_equals": q_filter_equals,
     "filter_year_range": q_filter_year_range,
@@ -367,16 +408,16 @@ QUERIES: dict[str, Query] = {
     "running_group_id": q_running_group_id,
     "group_bounds": q_group_bounds,
     "idle_time": q_idle_time,
-    "idle_time_row_split": q_idle_time_row_split,
     "pipeline_dimension": q_pipeline_dimension,
     "pipeline_facts_text_time": q_pipeline_facts_text_time,
     "pipeline_facts_part_time": q_pipeline_facts_part_time,
     "pipeline_topk_impact": q_pipeline_topk_impact,
     "pipeline_layers": q_pipeline_layers,
+    "silver_by_year": q_silver_by_year,
     "pipeline_charge_record": q_pipeline_charge_record,
     "event_correlation": q_event_correlation,
     "interval_match": q_interval_match,
-    "interval_match_row_split": q_interval_match_row_split,
     "quake_tsunami_match": q_quake_tsunami_match,
+    "json_explode": q_json_explode,
     "json_flatten": q_json_flatten,
 }

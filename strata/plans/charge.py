@@ -44,10 +44,14 @@ def parking_time(
     meter_values: DataFrame,
     order: Sequence[str] = ("timestamp",),
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Idle hours per transaction from power readings over all phases."""
     power = filter_measurand(meter_values)
-    return idle_time(power, "transaction_id", order, "value", 0.0, bucket_seconds, "total_parking_time")
+    return idle_time(
+        power, "transaction_id", order, "value", 0.0, bucket_seconds, "total_parking_time", split=split, ranges=ranges
+    )
 
 
 def charge_records(
@@ -58,8 +62,10 @@ def charge_records(
     order: Sequence[str] = ("timestamp",),
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     ids_from_stop: bool = False,
+    split: str = "rows",
+    ranges: int | None = None,
 ) -> DataFrame:
     records = matched_transactions(start_requests, start_responses, stop_requests, ids_from_stop, "__stop_id")
     records = with_total_energy(with_total_time(records))
-    idle = parking_time(meter_values, order, bucket_seconds)
+    idle = parking_time(meter_values, order, bucket_seconds, split, ranges)
     return attach_idle_time(records, idle, stop_id="__stop_id").select(*RECORD_COLUMNS)

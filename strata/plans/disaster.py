@@ -8,7 +8,7 @@ below the shared folder and read back, as separate layer jobs would do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.filters import filter_complete_rows, filter_equals, filter_int_range, filter_year_range
@@ -21,17 +21,12 @@ from strata.operators.shaping import (
     make_timestamp,
     make_timestamp_from_parts,
 )
-from strata.sources.files import materialize as write_once
+from strata.sources.files import materialize
 
 FIRST_YEAR, LAST_YEAR = 1995, 2023
 CONTINENT = "Asia"
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and return the re-read dataset."""
-    return write_once(df, name)
-
-
 # ---- silver -------------------------------------------------------------------------
 
 
@@ -45,6 +40,7 @@ def silver_earthquake(
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
     depth_as_double: bool = False,
+    ntz: bool = True,
 ) -> DataFrame:
     """Complete rows -> country from location -> continent -> timestamp -> years.
 
@@ -52,19 +48,22 @@ def silver_earthquake(
     rebuilt from ``location``, so rows with a null original country go.
     ``depth`` is text in the bronze schema and stays text unless
     ``depth_as_double`` (then text that is not a number becomes null).
+    ``ntz=False`` gives the zoned ``timestamp`` type.
     """
     df = filter_complete_rows(bronze, ["location", "continent", "country"])
     df = make_country(df)
     df = filter_equals(df, "continent", continent)
-    df = make_timestamp(df)
+    df = make_timestamp(df, ntz=ntz)
     if depth_as_double:
         df = df.withColumn("depth", F.col("depth").try_cast("double"))
     return filter_year_range(df, "time_stamp", first_year, last_year)
 
 
-def silver_tsunami(bronze: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> DataFrame:
+def silver_tsunami(
+    bronze: DataFrame, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, ntz: bool = True
+) -> DataFrame:
     """Year range on the integer year first (pushed to the scan), then the timestamp."""
-    return make_timestamp_from_parts(filter_int_range(bronze, "Year", first_year, last_year))
+    return make_timestamp_from_parts(filter_int_range(bronze, "Year", first_year, last_year), ntz=ntz)
 
 
 # ---- gold ---------------------------------------------------------------------------
@@ -150,7 +149,7 @@ def shared_input(matched: DataFrame, reuse: bool, name: str) -> DataFrame:
     Parquet in the shared folder (which also cuts the lineage), and both
     branches scan that.
     """
-    return materialize(matched.sparkSession, matched, name) if reuse else matched
+    return materialize(matched, name) if reuse else matched
 
 
 def top_detail(matched: DataFrame, k: int = 3, reuse: bool = False) -> DataFrame:
@@ -162,7 +161,8 @@ def top_by_impact(matched: DataFrame, k: int = 3) -> DataFrame:
 
 
 def top_trend(matched: DataFrame, k: int = 3, reuse: bool = False) -> DataFrame:
-    return top_k_trend(shared_input(matched, reuse, "gold-matched"), "Country", "Timestamp", "Deaths", k, "deaths")
+    facts = shared_input(matched, reuse, "gold-matched")
+    return top_k_trend(facts, "Country", "Timestamp", IMPACT_MEASURES, k, IMPACT_ALIASES)
 
 
 def pipeline_topk_impact(

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
+from strata.sources.files import materialize
 
 # Declared schemas of the driver tables: a declared schema spares the footer
 # read of schema inference on every scan (as the bronze CSVs, these inputs
@@ -92,10 +92,17 @@ def bronze_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_earthquakes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _located_orders(
-        spark, sf_dir, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    )
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def located_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The projection that both bronze shapes are made of, for a query that
+    needs the two: written once, orders x customer is joined once."""
+    return materialize(_located_orders(spark, sf_dir, _ORDER_COLUMNS), "located-orders")
+
+
+def bronze_earthquakes(spark: SparkSession, sf_dir: str, located: DataFrame | None = None) -> DataFrame:
+    o = located if located is not None else _located_orders(spark, sf_dir, _ORDER_COLUMNS)
     unpadded = F.col("o_orderpriority") == F.lit("5-LOW")
     return o.select(
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
@@ -116,8 +123,8 @@ def bronze_earthquakes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_tsunamis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _located_orders(spark, sf_dir, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+def bronze_tsunamis(spark: SparkSession, sf_dir: str, located: DataFrame | None = None) -> DataFrame:
+    o = located if located is not None else _located_orders(spark, sf_dir, _ORDER_COLUMNS[:-1])
     return o.select(
         F.col("o_orderkey").alias("Sr.no"),
         F.year("o_orderdate").alias("Year"),
@@ -154,7 +161,7 @@ def supplier_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def start_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("message_id"),
-        F.col("o_custkey").cast("int").alias("meter_start"),
+        F.col("o_custkey").alias("meter_start"),
         F.col("o_orderdate").alias("timestamp"),
     )
 
@@ -176,7 +183,7 @@ def stop_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("transaction_id"))
         .agg(
-            (F.sum("l_quantity") * F.lit(250)).cast("int").alias("meter_stop"),
+            (F.sum("l_quantity") * F.lit(250)).cast("long").alias("meter_stop"),
             F.max("l_shipdate").alias("timestamp"),
         )
     )

@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 
 from strata.plans import charge as charge_plans
 from strata.plans import disaster as d
-from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA
+from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA, assert_contract
+from strata.session import scratch_scope
 from strata.sources.files import read_csv_typed, read_parquet, write_parquet
 
 
@@ -34,9 +35,43 @@ class Layout:
 # ---- bronze --------------------------------------------------------------------------
 
 
-def bronze_job(spark: SparkSession, source: str, schema: StructType, target: str, **csv_options) -> str:
-    """CSV with a declared schema -> Parquet (whole dataset overwritten)."""
-    return write_parquet(read_csv_typed(spark, source, schema, **csv_options), target)
+def bronze_job(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    target: str,
+    max_corrupt_rows: int | None = None,
+    **csv_options,
+) -> str:
+    """CSV with a declared schema -> Parquet (whole dataset overwritten).
+
+    ``check_header=True`` fails on a file with other column names. With
+    ``corrupt_column`` the raw line of an unparsable row is kept in bronze;
+    with ``max_corrupt_rows`` too, the job fails when more rows than that are
+    (counted on the written data, where only that column is read).
+    """
+    out = write_parquet(read_csv_typed(spark, source, schema, **csv_options), target)
+    column = csv_options.get("corrupt_column")
+    if max_corrupt_rows is not None:
+        if not column:
+            raise ValueError("max_corrupt_rows needs a corrupt_column")
+        corrupt = read_parquet(spark, out).filter(F.col(column).isNotNull()).count()
+        if corrupt > max_corrupt_rows:
+            raise ValueError(f"{corrupt} unparsable rows in {source}; {max_corrupt_rows} are allowed")
+    return out
+
+
+def _write(
+    df: DataFrame, target: str, contract: StructType | None, year_of: str | None = None, partition_by: Sequence[str] = ()
+) -> str:
+    """Check the frame's schema against the contract, then write it.
+    ``year_of`` names a timestamp whose ``year`` becomes the partition."""
+    if contract is not None:
+        assert_contract(df.schema, contract)
+    columns = list(partition_by)
+    if year_of:
+        df, columns = df.withColumn("year", F.year(year_of)), ["year", *columns]
+    return write_parquet(df, target, partition_by=columns or None)
 
 
 def to_declared(df: DataFrame, schema: StructType) -> DataFrame:
@@ -59,8 +94,10 @@ def to_declared(df: DataFrame, schema: StructType) -> DataFrame:
 # ---- silver --------------------------------------------------------------------------
 
 
-def silver_country_job(spark: SparkSession, bronze: str, target: str, continent: str = d.CONTINENT) -> str:
-    return write_parquet(d.silver_country(read_parquet(spark, bronze), continent), target)
+def silver_country_job(
+    spark: SparkSession, bronze: str, target: str, continent: str = d.CONTINENT, contract: StructType | None = None
+) -> str:
+    return _write(d.silver_country(read_parquet(spark, bronze), continent), target, contract)
 
 
 def silver_earthquake_job(
@@ -70,9 +107,13 @@ def silver_earthquake_job(
     continent: str = d.CONTINENT,
     first_year: int = d.FIRST_YEAR,
     last_year: int = d.LAST_YEAR,
+    by_year: bool = False,
+    ntz: bool = True,
+    contract: StructType | None = None,
 ) -> str:
-    silver = d.silver_earthquake(read_parquet(spark, bronze), continent, first_year, last_year)
-    return write_parquet(silver, target)
+    """Silver earthquakes; ``by_year`` partitions by the year of ``time_stamp``."""
+    silver = d.silver_earthquake(read_parquet(spark, bronze), continent, first_year, last_year, ntz=ntz)
+    return _write(silver, target, contract, "time_stamp" if by_year else None)
 
 
 def silver_tsunami_job(
@@ -81,25 +122,37 @@ def silver_tsunami_job(
     target: str,
     first_year: int = d.FIRST_YEAR,
     last_year: int = d.LAST_YEAR,
-    partition_by: Sequence[str] | None = None,
+    by_year: bool = False,
+    partition_by: Sequence[str] = (),
+    ntz: bool = True,
+    contract: StructType | None = None,
 ) -> str:
-    """Silver tsunamis; ``partition_by`` (e.g. a year column) enables pruning later."""
-    silver = d.silver_tsunami(read_parquet(spark, bronze), first_year, last_year)
-    return write_parquet(silver, target, partition_by=list(partition_by) if partition_by else None)
+    """Silver tsunamis; ``by_year`` partitions by the year of ``time_stamp`` (the
+    date parts are gone by then), ``partition_by`` by columns of the result."""
+    silver = d.silver_tsunami(read_parquet(spark, bronze), first_year, last_year, ntz=ntz)
+    return _write(silver, target, contract, "time_stamp" if by_year else None, partition_by)
 
 
 # ---- gold ----------------------------------------------------------------------------
 
 
-def gold_topk_job(spark: SparkSession, silver_tsunami: str, silver_country: str, target: str, k: int = 3) -> str:
+def gold_topk_job(
+    spark: SparkSession, silver_tsunami: str, silver_country: str, target: str, k: int = 3, contract: StructType | None = None
+) -> str:
     """Rows of the k countries hit most often, from the silver datasets."""
-    matched = d.tsunamis_in(d.gold_tsunami(read_parquet(spark, silver_tsunami)), d.countries_of(read_parquet(spark, silver_country)))
-    return write_parquet(d.top_detail(matched, k), target)
+    with scratch_scope(spark):
+        matched = d.tsunamis_in(
+            d.gold_tsunami(read_parquet(spark, silver_tsunami)), d.countries_of(read_parquet(spark, silver_country))
+        )
+        return _write(d.top_detail(matched, k), target, contract)
 
 
-def gold_earthquake_job(spark: SparkSession, silver_earthquake: str, silver_country: str, target: str) -> str:
-    quakes = d.earthquakes_in(read_parquet(spark, silver_earthquake), d.countries_of(read_parquet(spark, silver_country)))
-    return write_parquet(quakes, target)
+def gold_earthquake_job(
+    spark: SparkSession, silver_earthquake: str, silver_country: str, target: str, contract: StructType | None = None
+) -> str:
+    with scratch_scope(spark):
+        quakes = d.earthquakes_in(read_parquet(spark, silver_earthquake), d.countries_of(read_parquet(spark, silver_country)))
+        return _write(quakes, target, contract)
 
 
 def gold_charge_job(
@@ -110,15 +163,21 @@ def gold_charge_job(
     meter_values: str,
     target: str,
     order: Sequence[str] = ("timestamp",),
+    split: str = "rows",
+    ranges: int | None = None,
+    contract: StructType | None = None,
 ) -> str:
-    records = charge_plans.charge_records(
-        read_parquet(spark, start_requests),
-        read_parquet(spark, start_responses),
-        read_parquet(spark, stop_requests),
-        read_parquet(spark, meter_values),
-        order=order,
-    )
-    return write_parquet(records, target)
+    with scratch_scope(spark):
+        records = charge_plans.charge_records(
+            read_parquet(spark, start_requests),
+            read_parquet(spark, start_responses),
+            read_parquet(spark, stop_requests),
+            read_parquet(spark, meter_values),
+            order=order,
+            split=split,
+            ranges=ranges,
+        )
+        return _write(records, target, contract)
 
 
 # ---- the disaster flow ---------------------------------------------------------------
@@ -132,27 +191,35 @@ def run_disaster_layers(
     first_year: int = d.FIRST_YEAR,
     last_year: int = d.LAST_YEAR,
     k: int = 3,
+    schemas: dict[str, StructType] | None = None,
+    by_year: bool = False,
+    **csv_options,
 ) -> dict[str, str]:
     """Bronze, silver and gold for the sources ``country``, ``earthquake`` and
-    ``tsunami`` (CSV folders). Returns the written dataset paths."""
+    ``tsunami`` (CSV folders). Returns the written dataset paths.
+
+    ``schemas`` replaces declared layouts, ``by_year`` partitions the silver
+    facts, ``csv_options`` go to ``bronze_job`` (header and corrupt-row checks).
+    """
     out: dict[str, str] = {}
-    schemas = {"country": COUNTRY_SCHEMA, "earthquake": EARTHQUAKE_SCHEMA, "tsunami": TSUNAMI_SCHEMA}
+    declared = {"country": COUNTRY_SCHEMA, "earthquake": EARTHQUAKE_SCHEMA, "tsunami": TSUNAMI_SCHEMA}
+    schemas = {**declared, **(schemas or {})}
     for name, schema in schemas.items():
         if name in sources:
-            out[f"bronze/{name}"] = bronze_job(spark, sources[name], schema, layout.path("bronze", name))
+            out[f"bronze/{name}"] = bronze_job(spark, sources[name], schema, layout.path("bronze", name), **csv_options)
     out["silver/country"] = silver_country_job(
         spark, out["bronze/country"], layout.path("silver", "country"), continent
     )
     if "bronze/earthquake" in out:
         out["silver/earthquake"] = silver_earthquake_job(
-            spark, out["bronze/earthquake"], layout.path("silver", "earthquake"), continent, first_year, last_year
+            spark, out["bronze/earthquake"], layout.path("silver", "earthquake"), continent, first_year, last_year, by_year
         )
         out["gold/earthquake"] = gold_earthquake_job(
             spark, out["silver/earthquake"], out["silver/country"], layout.path("gold", "earthquake")
         )
     if "bronze/tsunami" in out:
         out["silver/tsunami"] = silver_tsunami_job(
-            spark, out["bronze/tsunami"], layout.path("silver", "tsunami"), first_year, last_year
+            spark, out["bronze/tsunami"], layout.path("silver", "tsunami"), first_year, last_year, by_year
         )
         out["gold/top_tsunami"] = gold_topk_job(
             spark, out["silver/tsunami"], out["silver/country"], layout.path("gold", "top_tsunami"), k

@@ -115,12 +115,12 @@ HITS = """hits AS (SELECT Country, count(*) AS hits FROM ts_asia GROUP BY Countr
 top3 AS (SELECT Country, hits FROM hits ORDER BY hits DESC, Country LIMIT 3)"""
 
 CHARGE = f"""start_req AS (
-  SELECT o_orderkey AS message_id, CAST(o_custkey AS INTEGER) AS meter_start, o_orderdate AS "timestamp" FROM orders),
+  SELECT o_orderkey AS message_id, o_custkey AS meter_start, o_orderdate AS "timestamp" FROM orders),
 start_resp AS (
   SELECT l_orderkey AS message_id, 'CP-' || CAST(l_suppkey AS VARCHAR) AS charge_point_id, l_orderkey AS transaction_id
   FROM lineitem WHERE l_linenumber = 1),
 stop_req AS (
-  SELECT l_orderkey AS transaction_id, CAST(sum(l_quantity) * 250 AS INTEGER) AS meter_stop,
+  SELECT l_orderkey AS transaction_id, CAST(sum(l_quantity) * 250 AS BIGINT) AS meter_stop,
          max(l_shipdate) AS "timestamp"
   FROM lineitem GROUP BY l_orderkey),
 starts AS (
@@ -161,16 +161,25 @@ records AS (
 
 EVENTS = """ev_flags AS (
   SELECT user_id, ts, event_id, value, CASE WHEN value > 20 THEN 1 ELSE 0 END AS charging
-  FROM events WHERE ts IS NOT NULL),
+  FROM events),
 ev_b AS (
-  SELECT *, abs(charging - lag(charging, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS boundary
+  SELECT *, abs(charging - lag(charging, 1, 0) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)) AS boundary
   FROM ev_flags),
 ev_g AS (
-  SELECT *, CAST(sum(boundary) OVER (PARTITION BY user_id ORDER BY ts, event_id
+  SELECT *, CAST(sum(boundary) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS charging_group
   FROM ev_b)"""
 
 
+_IMPACT = [
+    ("Deaths", "deaths"),
+    ("Missing", "missing"),
+    ("Injuries", "injuries"),
+    ("HousesDestroyed", "houses_destroyed"),
+    ("HousesDamaged", "houses_damaged"),
+]
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -180,12 +189,12 @@ ORACLE_SQL: dict[str, str] = {
     "csv_incremental_ingest": "SELECT * FROM orders",
     "parquet_scan": "SELECT * FROM orders",
     "parquet_overwrite": "SELECT * FROM orders",
-    "output_manifest": "SELECT count(*) AS rows FROM orders",
-    "filter_equals": _with(EQ_BRONZE) + "SELECT * FROM eq_bronze WHERE continent = 'Asia'",
+    "csv_corrupt_counts": "SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS corrupt_rows FROM orders",
+    "output_manifest": "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus",
+    "filter_equals": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "filter_year_range": f"SELECT * FROM orders WHERE year(o_orderdate) BETWEEN {Y1} AND {Y2}",
-    "filter_int_range": _with(TS_BRONZE) + f'SELECT * FROM ts_bronze WHERE "Year" BETWEEN {Y1} AND {Y2}',
-    "filter_complete_rows": _with(EQ_BRONZE)
-    + "SELECT * FROM eq_bronze WHERE location IS NOT NULL AND continent IS NOT NULL AND country IS NOT NULL",
+    "filter_int_range": "SELECT * FROM lineitem WHERE l_linenumber BETWEEN 2 AND 4",
+    "filter_complete_rows": "SELECT * FROM events WHERE ts IS NOT NULL AND value IS NOT NULL AND props IS NOT NULL",
     "distinct_keys": _with(TS_BRONZE) + f"SELECT DISTINCT {_NORM_B} AS Country FROM ts_bronze b",
     "parse_timestamp": _with(EQ_BRONZE) + f"SELECT title, {_PARSED} AS time_stamp FROM eq_bronze",
     "timestamp_from_parts": _with(TS_BRONZE) + f'SELECT "Sr.no", {_PARTS_TS} AS time_stamp FROM ts_bronze',
@@ -224,12 +233,14 @@ FROM ts_asia WHERE Country IN (SELECT Country FROM top3)""",
 SELECT *, deaths + missing + injuries + houses_destroyed + houses_damaged AS impact
 FROM per_country ORDER BY impact DESC, Country LIMIT 3""",
     "topk_trend": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
-    + """, yearly AS (
-  SELECT Country, CAST(year("Timestamp") AS INTEGER) AS year, count(*) AS events,
-         CAST(sum(coalesce(CAST(Deaths AS BIGINT), 0)) AS BIGINT) AS deaths
+    + ", yearly AS (\n  SELECT Country, CAST(year(\"Timestamp\") AS INTEGER) AS year, count(*) AS events"
+    + "".join(f",\n         CAST(sum(coalesce(CAST({m} AS BIGINT), 0)) AS BIGINT) AS {n}" for m, n in _IMPACT)
+    + """
   FROM ts_asia WHERE Country IN (SELECT Country FROM top3)
   GROUP BY Country, CAST(year("Timestamp") AS INTEGER))
-SELECT *, deaths - lag(deaths) OVER (PARTITION BY Country ORDER BY year) AS deaths_change FROM yearly""",
+SELECT y.*, """
+    + ", ".join(f"y.{n} - p.{n} AS {n}_change" for _, n in _IMPACT)
+    + "\nFROM yearly y LEFT JOIN yearly p ON p.Country = y.Country AND p.year = y.year - 1",
     "request_response_match": _with(CHARGE) + "SELECT * FROM starts",
     "stop_start_match": _with(CHARGE) + "SELECT * FROM matched",
     "duration_hours": _with(CHARGE)
@@ -250,7 +261,7 @@ FROM ev_g GROUP BY user_id, charging_group""",
     + f""", durations AS (
   SELECT user_id, charging_group, {_epoch('max(ts)')} - {_epoch('min(ts)')} AS d
   FROM ev_g WHERE charging = 0 GROUP BY user_id, charging_group)
-SELECT user_id, {_round('sum(d) / 3600')} AS idle_hours FROM durations GROUP BY user_id""",
+SELECT user_id, {_round('coalesce(sum(d), 0) / 3600')} AS idle_hours FROM durations GROUP BY user_id""",
     "pipeline_dimension": f"""SELECT s.s_name AS City, s.s_acctbal AS Latitude, CAST(s.s_suppkey AS DOUBLE) AS Longitude,
        {_display('n.n_name')} AS Country, {_display('r.r_name')} AS Continent
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -260,9 +271,13 @@ WHERE {_display('r.r_name')} = 'Asia'""",
     "pipeline_topk_impact": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
     + """SELECT Country, "Timestamp", Deaths, Missing, Injuries, HousesDestroyed, HousesDamaged
 FROM ts_asia WHERE Country IN (SELECT Country FROM top3)""",
-    "pipeline_layers": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
-    + """SELECT Country, "Timestamp", Deaths, Missing, Injuries, HousesDestroyed, HousesDamaged
-FROM ts_asia WHERE Country IN (SELECT Country FROM top3)""",
+    "pipeline_layers": _with(CITIES, ASIA, EQ_BRONZE, EQ_SILVER, TS_BRONZE, TS_SILVER, TS_ASIA, HITS)
+    + """SELECT 'top_tsunami' AS dataset, Country, "Timestamp", CAST(Deaths AS DOUBLE) AS measure, CAST(NULL AS VARCHAR) AS title
+FROM ts_asia WHERE Country IN (SELECT Country FROM top3)
+UNION ALL
+SELECT 'earthquake', country, time_stamp, magnitude, title FROM eq_silver WHERE country IN (SELECT Country FROM asia)""",
+    "silver_by_year": _with(TS_BRONZE, TS_SILVER)
+    + f"SELECT *, CAST(year(time_stamp) AS INTEGER) AS year FROM ts_silver WHERE year(time_stamp) = {Y1 + 1}",
     "event_correlation": _with(EQ_BRONZE)
     + f"""SELECT tsunami, count(*) AS events, {_round('avg(magnitude)', 6)} AS avg_magnitude,
        {_round('corr(magnitude, CAST(depth AS DOUBLE))', 6)} AS corr_magnitude_depth_km
@@ -272,17 +287,14 @@ FROM eq_bronze GROUP BY tsunami""",
              SELECT 1 FROM events p
              WHERE p.user_id = e.user_id AND p.event_type = 'purchase'
                AND p.ts > e.ts AND p.ts <= e.ts + INTERVAL 24 HOUR) THEN 1 ELSE 0 END) AS BIGINT) AS followed
-FROM events e WHERE e.event_type = 'error' AND e.ts IS NOT NULL GROUP BY e.user_id""",
+FROM events e WHERE e.event_type = 'error' GROUP BY e.user_id""",
     "quake_tsunami_match": _with(CITIES, ASIA, EQ_BRONZE, EQ_SILVER, TS_BRONZE, TS_SILVER, TS_ASIA)
     + """SELECT e.country AS Country, count(*) AS first_events,
        CAST(sum(CASE WHEN EXISTS (
              SELECT 1 FROM ts_asia t
              WHERE t.Country = e.country AND t."Timestamp" > e.time_stamp
                AND t."Timestamp" <= e.time_stamp + INTERVAL 24 HOUR) THEN 1 ELSE 0 END) AS BIGINT) AS followed
-FROM eq_silver e WHERE e.time_stamp IS NOT NULL GROUP BY e.country""",
+FROM eq_silver e GROUP BY e.country""",
+    "json_explode": "SELECT l_orderkey, l_linenumber AS line FROM lineitem",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }
-
-# The row-split variants compute the same rows with a different partitioning.
-ORACLE_SQL["idle_time_row_split"] = ORACLE_SQL["idle_time"]
-ORACLE_SQL["interval_match_row_split"] = ORACLE_SQL["interval_match"]

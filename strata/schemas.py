@@ -82,8 +82,8 @@ CHARGE_RECORD_SCHEMA = StructType(
     [
         StructField("charge_point_id", StringType(), True),
         StructField("transaction_id", LongType(), True),
-        StructField("meter_start", IntegerType(), True),
-        StructField("meter_stop", IntegerType(), True),
+        StructField("meter_start", LongType(), True),
+        StructField("meter_stop", LongType(), True),
         StructField("start_timestamp", TimestampNTZType(), True),
         StructField("stop_timestamp", TimestampNTZType(), True),
         StructField("total_time", DoubleType(), True),

@@ -5,7 +5,6 @@ from strata.sources.files import (
     header_mismatches,
     materialize,
     output_manifest,
-    quoted,
     read_csv_typed,
     read_parquet,
     write_parquet,
@@ -16,7 +15,6 @@ __all__ = [
     "header_mismatches",
     "materialize",
     "output_manifest",
-    "quoted",
     "read_csv_typed",
     "read_parquet",
     "write_parquet",

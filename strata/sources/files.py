@@ -20,12 +20,17 @@ def read_csv_typed(
     quote: str = '"',
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
+    check_header: bool = False,
 ) -> DataFrame:
     """CSV scan with a declared schema (no inference pass over the data).
 
     The header line is skipped, columns map by position. Values that do not
     fit their declared type become null in PERMISSIVE mode; with
-    ``corrupt_column`` the raw line of such a row is kept in that column.
+    ``corrupt_column`` the raw line of such a row is kept in that column; all
+    columns are then parsed whichever are selected, as a pruned column's bad
+    value would go unseen. ``check_header`` makes the scan itself compare each
+    file's header with the schema's names and fail on a difference (no second
+    pass over the data).
     ``escape`` defaults to backslash: a field written with doubled quotes is
     then cut at its next separator. Files are split into blocks and read in
     parallel, as no multi-line option is used.
@@ -40,19 +45,27 @@ def read_csv_typed(
         .option("escape", escape)
         .option("quote", quote)
         .option("mode", mode)
-        .option("enforceSchema", True)
+        .option("enforceSchema", not check_header)
     )
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.load(path)
+    df = reader.load(path)
+    if not corrupt_column:
+        return df
+    # The scan parses the columns that a query reads; the corrupt column names
+    # them all (adding nothing to it), so whoever reads it has all parsed.
+    values = [F.col(f"`{f.name}`").cast("string") for f in schema.fields[:-1]]
+    raw = F.col(f"`{corrupt_column}`")
+    nothing = F.left(F.concat_ws("", *values), F.lit(0))
+    return df.withColumn(corrupt_column, F.when(raw.isNotNull(), F.concat(raw, nothing)))
 
 
 def header_mismatches(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
     """Files whose header names differ from the declared schema.
 
-    A declared schema ignores the header (columns map by position), so this
-    check is the only way to find a file with reordered columns. It reads the
-    first line of each file: one row per mismatching file.
+    Names the files after a scan with ``check_header`` has failed: one row per
+    mismatching file. It scans the text of all files, so it is a diagnosis, not
+    a step of the ingest.
     """
     expected = sep.join(field.name for field in schema.fields)
     # The header is in the split that starts at byte 0 of its file; inside one
@@ -73,7 +86,7 @@ def header_mismatches(spark: SparkSession, path: str, schema: StructType, sep: s
 
 
 def corrupt_counts(df: DataFrame, corrupt_column: str) -> DataFrame:
-    """Number of rows kept whole versus rows with an unparsable field."""
+    """Number of rows, and of rows with an unparsable field."""
     return df.select(
         F.count(F.lit(1)).alias("rows"),
         F.count(F.col(corrupt_column)).alias("corrupt_rows"),
@@ -124,22 +137,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def output_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a written Parquet dataset: name, size in bytes and row count.
+    """Files of a written Parquet dataset: ``file_path, file_name, file_size, rows``.
 
-    Computed from the file metadata column of a scan, so the listing is a
-    distributed aggregation rather than a driver-side directory walk.
+    One row per file, those without rows included: the files come from a
+    listing (their contents aren't read), the row counts from the metadata
+    column of a scan that reads no data column.
     """
-    return (
+    def plain(c: str) -> Column:
+        return F.regexp_replace(F.url_decode(F.col(c)), "^file:/+", "file:/")
+
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(plain("path").alias("file_path"), F.col("length").alias("file_size"))
+    )
+    counted = (
         spark.read.parquet(path)
-        .select(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("file_size"),
-        )
-        .groupBy("file_name", "file_size")
+        .select(F.col("_metadata.file_path").alias("p"))
+        .groupBy(plain("p").alias("file_path"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-
-
-def quoted(name: str) -> Column:
-    """Column reference for names with '.', '(' or '$' (tsunami bronze fields)."""
-    return F.col(f"`{name}`")
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return listed.join(counted, "file_path", "left").select(
+        "file_path", name.alias("file_name"), "file_size", F.coalesce("rows", F.lit(0)).alias("rows")
+    )

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans.catalog import QUERIES
+from strata.plans.oracle import ORACLE_SQL
 from tools.oracle_check import compare_key, duckdb_connection
 from tests.conftest import SF_SMALL
 from tests.helpers import plan_text
 
-KEYS = sorted(entry.queries())
+# The library's own keys; those of the optional subpackage have tests of their own.
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +23,8 @@ def con():
 
 
 def test_every_key_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE_SQL) == set(QUERIES) and set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -49,6 +55,29 @@ def test_orders_scan_prunes_columns_and_pushes_the_range(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)" in text
 
 
+@pytest.mark.parametrize(
+    "key,pushed",
+    [
+        ("filter_equals", "EqualTo(o_orderstatus,F)"),
+        ("filter_int_range", "GreaterThanOrEqual(l_linenumber,2), LessThanOrEqual(l_linenumber,4)"),
+        ("filter_complete_rows", "IsNotNull(ts), IsNotNull(value), IsNotNull(props)"),
+    ],
+)
+def test_filters_reach_the_scan(spark, key, pushed):
+    text = plan_text(entry.queries()[key](spark, SF_SMALL))
+    assert pushed in text.split("PushedFilters: ")[1].split("\n")[0] and "Exchange" not in text
+
+
+def test_one_year_is_read_from_the_partitions(spark):
+    text = plan_text(entry.queries()["silver_by_year"](spark, SF_SMALL))
+    assert re.search(r"PartitionFilters: \[isnotnull\(year#\d+\), \(year#\d+ = 1997\)\]", text)
+
+
+def test_two_bronze_shapes_scan_the_orders_once(spark):
+    text = plan_text(entry.queries()["quake_tsunami_match"](spark, SF_SMALL))
+    assert "orders.parquet" not in text and "customer.parquet" not in text
+
+
 def test_topk_uses_take_ordered(spark):
     text = plan_text(entry.queries()["topk"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text

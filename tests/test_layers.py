@@ -94,3 +94,19 @@ def test_layers_command_line(spark):
     out = layers.main(["--base", scratch_path(spark, "test-cli"), "--country", country, "--tsunami", tsunami])
     rows = read_parquet(spark, out["gold/top_tsunami"]).collect()
     assert [(r.Country, r.Deaths) for r in rows] == [("Japan", 10)]
+
+
+def test_silver_facts_by_year_and_contract(spark):
+    import pytest
+
+    rows = [("JAPAN", y, 1, 1, 5, 7, 10) for y in (2000, 2001, 2001)]
+    bronze = scratch_path(spark, "test-year-bronze")
+    frame = spark.createDataFrame(rows, "Country string, Year int, Mo int, Dy int, Hr int, Mn int, Deaths int")
+    layers.to_declared(frame, TSUNAMI_SCHEMA).write.parquet(bronze)
+    out = layers.silver_tsunami_job(spark, bronze, scratch_path(spark, "test-year-silver"), by_year=True)
+    assert {r.year: r["count"] for r in read_parquet(spark, out).groupBy("year").count().collect()} == {2000: 1, 2001: 2}
+    zoned = layers.silver_tsunami_job(spark, bronze, scratch_path(spark, "test-zoned"), ntz=False)
+    schema = read_parquet(spark, zoned).schema
+    assert schema["time_stamp"].dataType.simpleString() == "timestamp"
+    with pytest.raises(ValueError, match="contract"):
+        layers.silver_tsunami_job(spark, bronze, scratch_path(spark, "test-contract"), contract=schema)

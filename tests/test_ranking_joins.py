@@ -6,7 +6,7 @@ from datetime import datetime
 
 import pytest
 
-from strata.operators.joins import broadcast_if_small, match_all_cities, match_dimension
+from strata.operators.joins import match_all_cities, match_dimension
 from strata.operators.ranking import hit_summary, top_k_by_measure, top_k_detail, top_k_keys, top_k_trend
 from strata.schemas import COUNTRY_SCHEMA
 from tests.helpers import plan_text
@@ -70,18 +70,6 @@ def test_match_all_cities_reports_the_fanout_without_pairs(facts, cities):
     assert total == plain
 
 
-def test_broadcast_only_below_the_bound(spark, cities):
-    facts = spark.range(100).selectExpr("cast(id as string) as country")
-    small = facts.join(broadcast_if_small(cities.select("Country"), 10), facts.country == cities.Country)
-    assert "BroadcastHashJoin" in plan_text(small)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        large = facts.join(broadcast_if_small(cities.select("Country"), 3), facts.country == cities.Country)
-        assert "BroadcastHashJoin" not in plan_text(large)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_ranked_counts_and_top3_tie_break(facts, cities):
     matched = match_dimension(facts, cities, "country", "Country", key_alias="Country")
     ranked = [(r.Country, r.hits) for r in hit_summary(matched).collect()]
@@ -110,7 +98,7 @@ def test_top_by_measure_counts_null_as_zero(facts, cities):
 
 def test_trend_of_top_keys(facts, cities):
     matched = match_dimension(facts, cities, "country", "Country", key_alias="Country")
-    out = top_k_trend(matched, "Country", "Timestamp", "Deaths", 1, "deaths").orderBy("year").collect()
+    out = top_k_trend(matched, "Country", "Timestamp", ["Deaths"], 1, ["deaths"]).orderBy("year").collect()
     assert [(r.year, r.deaths, r.deaths_change) for r in out] == [(1995, 0, None), (1996, 10, 10), (1997, 20, 10)]
 
 
@@ -118,3 +106,16 @@ def test_fractional_measures_are_not_truncated(spark):
     df = spark.createDataFrame([("A", 0.4), ("A", 0.4), ("B", 0.5)], "Country string, damage double")
     out = top_k_by_measure(df, "Country", ["damage"], 1, "impact").collect()
     assert [(r.Country, round(r.impact, 9)) for r in out] == [("A", 0.8)]
+
+
+def test_trend_change_is_against_the_previous_calendar_year(spark):
+    rows = [("A", datetime(y, 1, 1), y) for y in (2000, 2001, 2003, 2004)]
+    df = spark.createDataFrame(rows, "Country string, Timestamp timestamp_ntz, Deaths int")
+    out = top_k_trend(df, k=1, aliases=["deaths"]).orderBy("year").collect()
+    assert [(r.year, r.deaths_change) for r in out] == [(2000, None), (2001, 1), (2003, None), (2004, 1)]
+
+
+def test_missing_keys_take_no_place_among_the_top(spark):
+    rows = [(None,)] * 9 + [("A",)] * 3 + [("B",)] * 2 + [("C",)]
+    df = spark.createDataFrame(rows, "Country string")
+    assert sorted({r.Country for r in top_k_detail(df, "Country", 3).collect()}) == ["A", "B", "C"]

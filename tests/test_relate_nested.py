@@ -44,7 +44,7 @@ def test_followed_within_matches_brute_force(spark, seed):
         got = {
             r.user_id: (r.first_events, r.followed)
             for r in followed_within(
-                df, "user_id", "ts", "event_type", "error", "purchase", DAY, bucket, split
+                df, "user_id", "ts", "event_type", "error", "purchase", DAY, bucket, split=split
             ).collect()
         }
         assert got == expected, (split, bucket)
@@ -61,14 +61,14 @@ def test_followed_within_hot_instant_and_hot_key(spark, shuffle_partitions):
     rows += [(k, base + timedelta(hours=k, minutes=30), "purchase") for k in range(2, 300, 2)]
     df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
     expected = _brute_force(rows, 3600)
-    for split, cap in (("time", 5_000_000), ("rows", 5_000_000), ("auto", 100), ("auto", 5_000_000)):
+    for split, ranges in (("time", None), ("rows", None), ("rows", 3)):
         got = {
             r.user_id: (r.first_events, r.followed)
             for r in followed_within(
-                df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, split, cap
+                df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, split, ranges
             ).collect()
         }
-        assert got == expected, (split, cap)
+        assert got == expected, (split, ranges)
     with pytest.raises(ValueError):
         followed_within(df, "user_id", "ts", "event_type", "error", "purchase", 3600, 3600, "bogus")
     # 300 errors share the instant of 100 purchases, which do not count (not
@@ -99,3 +99,12 @@ def test_events_without_a_key_are_counted_but_never_matched(spark):
     df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
     got = {r.user_id: (r.first_events, r.followed) for r in followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY).collect()}
     assert got == {None: (1, 0), 1: (1, 1)}
+
+
+@pytest.mark.parametrize("split", ["rows", "time"])
+def test_first_events_without_a_time_are_not_followed(spark, split):
+    t0 = datetime(2024, 1, 1)
+    rows = [(1, None, "error"), (1, t0, "error"), (1, None, "purchase"), (1, t0 + timedelta(hours=1), "purchase"), (2, None, "error")]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
+    out = followed_within(df, "user_id", "ts", "event_type", "error", "purchase", DAY, split=split)
+    assert {r.user_id: (r.first_events, r.followed) for r in out.collect()} == {1: (2, 1), 2: (1, 0)}

@@ -46,7 +46,9 @@ def test_charge_record_shuffles(spark):
 def test_topk_detail_reads_the_written_facts_once(spark):
     with large_table_planning(spark):
         text = plan_text(entry.queries()["topk_detail"](spark, SF_SMALL), "simple")
-    assert len(_hash_exchanges(text)) == 1  # the partial count per country
+    # The partial count per country, and the sort-merge join that planning
+    # without any broadcast has to take for the k keys.
+    assert len(_hash_exchanges(text)) == 3 and "orders.parquet" not in text
     assert "TakeOrderedAndProject" in text and "LeftSemi" in text
 
 
@@ -55,7 +57,9 @@ def test_idle_time_shuffles_pieces_not_keys(spark):
         text = plan_text(entry.queries()["idle_time"](spark, SF_SMALL), "simple")
     exchanges = [re.sub(r"#\d+L?", "", e) for e in _hash_exchanges(text)]
     assert any("user_id, _b" in e for e in exchanges)
-    assert len(exchanges) == 2
+    # Pieces, and one row per piece by key, after the range split of the readings.
+    assert len(exchanges) == 2 and text.count("Exchange rangepartitioning") == 1
+    assert "SortAggregate" not in text
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +84,8 @@ def test_row_split_breaks_up_a_hot_key(spark, skewed, shuffle_partitions):
     time_pieces = _prepare(skewed, "k", ("ts", "tb"), "v", 0.0, 86400, "time").groupBy("k", "_b").count()
     row_pieces = _prepare(skewed, "k", ("ts", "tb"), "v", 0.0, 86400, "rows").groupBy("k", "_b").count()
     assert time_pieces.agg(F.max("count")).first()[0] == 6000  # one piece holds the whole hot key
+    default = _prepare(skewed, "k", ("ts", "tb"), "v", 0.0, 86400, ranges=16).groupBy("k", "_b").count()
+    assert default.agg(F.max("count")).first()[0] <= 2 * 18000 / 16
     largest = row_pieces.agg(F.max("count")).first()[0]
     assert largest <= 2 * 18000 / 16, largest
     assert row_pieces.filter("k = 0").count() >= 4
@@ -98,7 +104,7 @@ def test_hot_key_results_agree_across_splits(spark, skewed):
 
 
 @pytest.mark.parametrize(
-    "key", ["topk_detail", "idle_time", "idle_time_row_split", "interval_match", "charge_record", "group_bounds"]
+    "key", ["topk_detail", "idle_time", "interval_match", "charge_record", "group_bounds"]
 )
 def test_catalog_results_do_not_depend_on_partition_count(spark, shuffle_partitions, key):
     results = []
@@ -110,24 +116,73 @@ def test_catalog_results_do_not_depend_on_partition_count(spark, shuffle_partiti
 
 
 @pytest.mark.parametrize("key", ["running_group_id", "group_bounds"])
-def test_group_numbering_shuffles_the_readings_once(spark, key):
+def test_group_numbering_reads_the_written_pieces(spark, key):
     with large_table_planning(spark):
         text = plan_text(entry.queries()[key](spark, SF_SMALL), "simple")
-    # Both branches (piece summaries and rows) read one shared shuffle of the readings.
-    text = re.sub(r"#\d+L?", "", text)
-    total = len(re.findall(r"Exchange hashpartitioning\(_k, _b", text))
-    reused = len(re.findall(r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(_k, _b", text))
-    assert (total - reused, reused) == (1, 1)
+    assert "events.parquet" not in text and "SortAggregate" not in text
 
 
-def test_auto_split_picks_rows_only_for_an_oversized_piece(spark, skewed):
-    from strata.operators.sessions import choose_split
+def test_written_keys_are_broadcast_by_size(spark):
+    from strata.operators.joins import match_dimension
 
-    assert choose_split(skewed, "k", "ts", 86400, max_piece_rows=1000) == "rows"  # 6000 readings at one instant
-    assert choose_split(skewed, "k", "ts", 86400, max_piece_rows=10_000) == "time"
-    args = dict(key="k", order=("ts", "tb"), value="v")
-    auto = idle_time(skewed, split="auto", max_piece_rows=1000, output="idle", **args)
-    plain = idle_time(skewed, split="time", output="idle", **args)
-    assert auto.exceptAll(plain).count() == 0 and plain.exceptAll(auto).count() == 0
-    groups = running_group_id(skewed, split="auto", max_piece_rows=1000, **args)
-    assert groups.exceptAll(running_group_id(skewed, **args)).count() == 0
+    facts = spark.range(1000).selectExpr("cast(id % 50 as string) as country")
+    cities = spark.range(20).selectExpr("cast(id as string) as Country")
+    small = match_dimension(facts, cities, "country", "Country")
+    with large_table_planning(spark):
+        large = match_dimension(facts, cities, "country", "Country")
+        assert "SortMergeJoin" in plan_text(large, "simple")
+        rows = large.count()
+    assert "BroadcastHashJoin" in plan_text(small) and small.count() == rows == 400
+
+
+def test_scratch_has_an_owner_and_is_removed(spark):
+    import os
+
+    from strata.session import release_scratch, scratch_scope, shared_root
+
+    folder = os.path.join(shared_root(spark).removeprefix("file://").removeprefix("file:"), "strata")
+    release_scratch(spark)
+    assert not os.path.isdir(folder) or os.listdir(folder) == []
+    with scratch_scope(spark):
+        assert entry.queries()["topk_detail"](spark, SF_SMALL).count() > 0
+        assert os.listdir(folder)
+    assert os.listdir(folder) == []
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from strata.session import shared_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
+def test_keys_beyond_32_bits(spark, tmp_path):
+    import os
+    import shutil
+
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    for name in os.listdir(SF_SMALL):
+        if not name.startswith(("orders", "customer")):
+            shutil.copy(os.path.join(SF_SMALL, name), folder / name)
+    shift = 3_000_000_000
+    for name, column in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        wide = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").withColumn(column, F.col(column) + shift)
+        wide.write.parquet(str(folder / f"{name}.parquet"))
+    for key in ("unit_delta", "stop_start_match", "request_response_match", "charge_record"):
+        rows = entry.queries()[key](spark, str(folder))
+        assert rows.agg(F.max("meter_start")).first()[0] > shift
+    assert entry.queries()["pipeline_layers"](spark, str(folder)).count() > 0

@@ -130,3 +130,24 @@ def test_readings_without_a_key_form_one_group(spark):
     assert sorted((r.k is None, r.charging_group) for r in groups) == [(False, 1), (True, 0), (True, 0)]
     idle = {r.k: r.idle for r in idle_time(df, "k", ("ts", "tb"), "v", output="idle").collect()}
     assert idle == {None: 0.01}
+
+
+TIED = [(1, datetime(2024, 1, 1), 0.0), (1, datetime(2024, 1, 2), 5.0), (1, datetime(2024, 1, 2), 0.0), (1, datetime(2024, 1, 2, 1), 0.0)]
+SPLITS = [dict(split="rows"), dict(split="rows", ranges=2), dict(split="time"), dict(split="time", bucket_seconds=10 * 86400), dict(split="time", bucket_seconds=600)]
+
+
+@pytest.mark.parametrize("how", SPLITS)
+def test_tied_times_have_one_answer(spark, how):
+    """Without a tie-break column, the state orders readings of one instant."""
+    df = spark.createDataFrame(TIED, "transaction_id int, timestamp timestamp_ntz, value double")
+    assert [r.total_parking_time for r in idle_time(df, **how).collect()] == [24.0]
+
+
+@pytest.mark.parametrize("how", SPLITS)
+def test_readings_without_a_time_are_kept_first(spark, how):
+    rows = [(1, None, 3.0), (1, BASE, 0.0), (1, BASE + timedelta(hours=2), 0.0), (2, None, 0.0), (2, BASE, 0.0), (3, None, 0.0)]
+    df = spark.createDataFrame(rows, "transaction_id int, timestamp timestamp_ntz, value double")
+    groups = sorted((r.transaction_id, r.timestamp is not None, r.boundary, r.charging_group) for r in running_group_id(df, **how).collect())
+    assert groups == [(1, False, 1, 1), (1, True, 0, 2), (1, True, 1, 2), (2, False, 0, 0), (2, True, 0, 0), (3, False, 0, 0)]
+    assert {r.transaction_id: r.total_parking_time for r in idle_time(df, **how).collect()} == {1: 2.0, 2: 0.0, 3: 0.0}
+    assert sum(r.readings for r in group_bounds(df, **how).collect()) == 6

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from strata.session import scratch_path, shared_root
@@ -56,12 +57,32 @@ def test_csv_declared_schema_maps_by_position(spark, tmp_path):
 
 def test_csv_corrupt_column_and_counts(spark, tmp_path):
     path = _write_text(str(tmp_path / "ab2"), "part-0.csv", CSV_TEXT)
-    df = read_csv_typed(spark, path, AB, corrupt_column="_corrupt").cache()
-    corrupt = {r.B for r in df.filter("_corrupt is not null").collect()}
+    df = read_csv_typed(spark, path, AB, corrupt_column="_corrupt")
+    # Selecting B alone still parses A, whose values are bad.
+    corrupt = {r.B for r in df.select("B", "_corrupt").filter("_corrupt is not null").collect()}
     assert {"y", "z"} <= corrupt
     counts = corrupt_counts(df, "_corrupt").first()
     assert counts.rows == 6 and counts.corrupt_rows >= 2
-    df.unpersist()
+
+
+def test_header_check_during_the_scan(spark, tmp_path):
+    good = _write_text(str(tmp_path / "good"), "part-0.csv", "A,B\n7,w\nx,v")
+    read = read_csv_typed(spark, good, AB, check_header=True, corrupt_column="_corrupt")
+    assert corrupt_counts(read, "_corrupt").first().corrupt_rows == 1
+    bad = _write_text(str(tmp_path / "bad"), "part-0.csv", CSV_TEXT)
+    with pytest.raises(Exception, match="header"):
+        read_csv_typed(spark, bad, AB, check_header=True).collect()
+
+
+def test_bronze_job_limits_corrupt_rows(spark, tmp_path):
+    from strata.plans.layers import bronze_job
+
+    path = _write_text(str(tmp_path / "ab5"), "part-0.csv", "A,B\n1,x\nq,y")
+    out = scratch_path(spark, "test-bronze-corrupt")
+    wide = dict(corrupt_column="_corrupt", check_header=True)
+    assert bronze_job(spark, path, AB, out, max_corrupt_rows=1, **wide) == out
+    with pytest.raises(ValueError, match="unparsable"):
+        bronze_job(spark, path, AB, out, max_corrupt_rows=0, **wide)
 
 
 def test_csv_escape_is_a_parameter(spark, tmp_path):
@@ -103,6 +124,15 @@ def test_output_manifest_counts_rows_per_file(spark):
     assert all(f.file_name.endswith(".parquet") and f.file_size > 0 for f in files)
 
 
+def test_output_manifest_keeps_equal_and_empty_files(spark):
+    df = spark.createDataFrame([("a b", 1), ("a b", 2), ("c", 1), ("c", 2)], "p string, v int")
+    path = write_parquet(df.coalesce(1), scratch_path(spark, "test-manifest-parts"), partition_by=["p"])
+    files = output_manifest(spark, path).collect()
+    assert sorted(f.rows for f in files) == [2, 2] and len({f.file_path for f in files}) == 2
+    empty = write_parquet(df.limit(0), scratch_path(spark, "test-manifest-empty"))
+    assert [f.rows for f in output_manifest(spark, empty).collect()] == [0]
+
+
 def test_partitioned_write_prunes(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     path = write_parquet(orders, scratch_path(spark, "test-partitioned"), partition_by=["o_orderstatus"])
