@@ -1,5 +1,101 @@
-"""DuckDB SQL of the training-data queries that SQL can express exactly."""
+"""DuckDB SQL of the training-data queries that SQL can express exactly.
+
+``op9`` tries all pairs that share a shingle; ``op6`` takes running sums over
+whole sources. The other queries hash, fit, tokenise, or retrieve by a method
+that SQL can't state; their tests hold them against brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from strata.llm.mixing import FILLS, MAX_EPOCHS, WEIGHTS
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SPACE = r"[\x20\x09-\x0D]+"
+
+_NEAR = f"""WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_SPACE}'),
+                             lambda w: w <> '') AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS s
+    FROM words)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes nx ON x = nx.doc_id JOIN sizes ny ON y = ny.doc_id
+  WHERE 100 * shared >= 75 * (nx.n + ny.n - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON r.other = e.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM documents d
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON d.doc_id = r.doc_id
+LEFT JOIN sizes n ON d.doc_id = n.doc_id"""
+
+
+def _fill(k: int) -> str:
+    """One pass over the documents that fit into the room left; the last pass
+    takes the longest alone."""
+    before = " UNION ALL ".join(["SELECT NULL AS source, NULL AS key, 0 AS size", *[f"SELECT source, key, size FROM fill{i}" for i in range(k)]])
+    order = "key" if k < FILLS else "size DESC, key DESC"
+    kept = "run <= room" if k < FILLS else "spot = 1"
+    return f"""picked{k} AS ({before}),
+room{k} AS (
+  SELECT r.source, r.room - coalesce((SELECT sum(p.size) FROM picked{k} p WHERE p.source IS NOT DISTINCT FROM r.source AND p.key IS NOT NULL), 0) AS room
+  FROM room r),
+fill{k} AS (
+  SELECT source, key, size FROM (
+    SELECT f.source, f.key, f.size, m.room,
+           sum(f.size) OVER (PARTITION BY f.source ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS run,
+           row_number() OVER (PARTITION BY f.source ORDER BY {order}) AS spot
+    FROM free f JOIN room{k} m ON f.source IS NOT DISTINCT FROM m.source
+    WHERE f.size <= m.room AND NOT EXISTS (
+      SELECT 1 FROM picked{k} p WHERE p.source IS NOT DISTINCT FROM f.source AND p.key = f.key))
+  WHERE {kept})"""
+
+
+_MIX = f"""WITH docs AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, {MAX_EPOCHS} * source_size AS cap, sum(source_size) OVER () AS total,
+         [{', '.join(map(str, WEIGHTS))}][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(WEIGHTS)} + 1 AS INTEGER)] AS weight
+  FROM per_source),
+shared AS (
+  SELECT *, total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights_left,
+         row_number() OVER o AS spot
+  FROM weighed WINDOW o AS (ORDER BY cap / weight, source ASC NULLS LAST)),
+first_free AS (SELECT rest, weights_left FROM shared WHERE NOT (rest * weight >= cap * weights_left) ORDER BY spot LIMIT 1),
+targets AS (
+  SELECT s.source, s.source_size,
+         CASE WHEN s.rest * s.weight >= s.cap * s.weights_left THEN CAST(s.cap AS DOUBLE)
+              ELSE CAST(s.weight * (SELECT rest FROM first_free) AS DOUBLE) / CAST((SELECT weights_left FROM first_free) AS DOUBLE) END AS target
+  FROM shared s),
+stream AS (
+  SELECT d.*, t.source_size, t.target,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) AS ends,
+         coalesce(lag(d.key) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id) = d.key, false) AS again
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+copied AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 1 ELSE {' + '.join(f'CASE WHEN {e} * source_size + ends <= target THEN 1 ELSE 0 END' for e in range(MAX_EPOCHS))} END AS copies
+  FROM stream),
+room AS (SELECT source, min(target) - sum(copies * size) AS room FROM copied WHERE source_size > 0 GROUP BY source),
+free AS (SELECT source, key, size FROM copied WHERE source_size > 0 AND copies < {MAX_EPOCHS} AND NOT again AND size > 0),
+{', '.join(_fill(k) for k in range(FILLS + 1))},
+fills AS ({' UNION ALL '.join(f'SELECT source, key FROM fill{k}' for k in range(FILLS + 1))})
+SELECT c.doc_id, c.size, c.source_size, c.target,
+       CAST((c.copies + CASE WHEN f.key IS NOT NULL AND NOT c.again THEN 1 ELSE 0 END) * c.size AS BIGINT) AS taken
+FROM copied c LEFT JOIN fills f ON c.key = f.key AND c.source IS NOT DISTINCT FROM f.source"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_mixing": _MIX,
+    "op9_near_dedup": _NEAR,
+}

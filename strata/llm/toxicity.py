@@ -166,8 +166,8 @@ def _scored(weights: object, text_at: int, passed: int) -> Callable[[Iterator[pa
     return run
 
 
-def score(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
-    """The asked ``columns`` of ``docs``, then ``score`` (0 to 1, higher: likelier
+def score(docs: DataFrame, labels: DataFrame, columns: list[str], to: str = "score") -> DataFrame:
+    """The asked ``columns`` of ``docs``, then ``to``, the score (0 to 1, higher: likelier
     toxic), for every row of ``docs``.
 
     Only the text is read for the score. Defined cases: a null or empty text
@@ -181,7 +181,7 @@ def score(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
     text_at = columns.index("text") if "text" in columns else len(columns)
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in sent.schema.fields[: len(names)]] + ["score double"])
     out = sent.mapInArrow(_scored(weights, text_at, len(names)), schema)
-    return out.select(*[F.col(n).alias(c) for c, n in zip(columns, names)], "score")
+    return out.select(*[F.col(n).alias(c) for c, n in zip(columns, names)], F.col("score").alias(to))
 
 
 def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,5 +198,5 @@ def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that score at least ``threshold``."""
     columns = docs.columns
-    scored = score(docs, labels, columns)
-    return scored.filter(F.col("score") < threshold).select(*columns)
+    scored = score(docs, labels, columns, "__toxicity")
+    return scored.filter(F.col("__toxicity") < threshold).select(*[F.col(f"`{c}`") for c in columns])
