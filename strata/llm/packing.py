@@ -12,14 +12,18 @@ table, so copies of one document spread; each shard is packed by one task in
 memory that doesn't grow with the corpus.
 
 The tokenizer drops white space and never joins characters across it, so a
-text's ids are the ids of its white-space-free chunks in order. Each worker
-keeps the ids of chunks seen, in a cache of bounded size.
+text's ids are the ids of its white-space-free chunks in order. A chunk of
+Latin letters followed by ASCII marks is cut between the two, as the tokenizer
+does, and its lower-case word goes to the tokenizer's model alone; all other
+chunks go through the whole tokenizer. Each worker keeps the ids of chunks and
+words seen, in caches of bounded size.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -35,14 +39,14 @@ WINDOW = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 PIECES_PER_SHARD = 50_000
-CHUNK_CACHE = 400_000
+CHUNK_CACHE, WORD_CACHE = 400_000, 800_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
-# Chunks made of ASCII letters, then ASCII marks other than the apostrophe
-# (which starts contractions): the tokenizer splits them between the two.
-_PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+# Latin letters that normalisation and lower case change one by one, then ASCII
+# marks other than the apostrophe (which starts contractions).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -52,6 +56,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_chars() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 for itself, the others from U+0100 on in turn."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkIds(dict):
     """Little-endian unsigned 32-bit ids of a white-space-free UTF-8 chunk."""
 
@@ -60,25 +76,29 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def _encode(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+        self.model = self.tokenizer.model
+        self.chars = byte_chars()
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            shown = word if word.isascii() else "".join([self.chars[b] for b in word.encode()])
+            ids = _packed([t.id for t in self.model.tokenize(shown)])
+            if len(self.words) >= WORD_CACHE:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CHUNK_CACHE:
-            self.clear()
-        plain = _PLAIN.fullmatch(chunk)
+        text = chunk.decode("utf-8", "replace")
+        plain = _PLAIN.fullmatch(text)
         if plain is None:
-            ids = self._encode(chunk)
+            ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         else:
-            word, marks = plain[1].lower(), plain[2]
-            if marks:
-                ids = self[word] + self[marks]
-            elif word != chunk:
-                ids = self[word]
-            else:
-                ids = self._encode(chunk)
+            ids = self._word(plain[1].lower()) + (self._word(plain[2]) if plain[2] else b"")
+        if len(self) >= CHUNK_CACHE:
+            self.clear()
         self[chunk] = ids
         return ids
 
@@ -93,7 +113,7 @@ def _pieces(name: str, window: int, end_id: int) -> Callable[[Iterator[pa.Record
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(name)
         ids = _IDS.get(path) or _IDS.setdefault(path, ChunkIds(path))
-        end = np.asarray([end_id], dtype="<u4").tobytes()
+        end = _packed([end_id])
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
