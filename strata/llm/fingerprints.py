@@ -35,7 +35,7 @@ MAX_RANGES = 2_000
 _DIGITS_PER_LONG = 8
 # Order in which an empty bin asks: its number XOR each of these.
 _MASKS = random.Random(20).sample(range(1, BINS), BINS - 1)
-_NEAR = 12
+_LOTS = [1 << k for k in range(BINS_LOG2)]
 
 
 def with_fingerprint(df: DataFrame, text: str, to: str) -> DataFrame:
@@ -72,14 +72,16 @@ def with_fingerprint(df: DataFrame, text: str, to: str) -> DataFrame:
         return F.get(F.filter(F.transform(asked, lambda m: b.bitwiseXOR(m)), lambda d: digit(d) != "."), F.lit(0))
 
     def value(b: Column) -> Column:
-        # Nearly always one of the first donors has a value; the rest is asked only then.
-        found = F.coalesce(donor(b, _MASKS[:_NEAR]), donor(b, _MASKS[_NEAR:]))
+        # Each next lot of donors, twice as many, is asked only if none before has a value.
+        found = F.coalesce(*[donor(b, _MASKS[a - 1 : 2 * a - 1]) for a in _LOTS])
         given = F.get(F.col(firsts), F.array_position(F.col(full_bins), found).cast("int") - 1)
         return F.when(digit(b) != ".", digit(b)).otherwise(low(F.xxhash64(given, b)))
 
     filled = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value), "")
-    full = F.when(F.size(firsts) == BINS, F.col(digits)).otherwise(filled)
-    df = df.withColumn(to, F.when(F.size(firsts) == 0, F.lit("")).otherwise(full))
+    # The bins are asked for their number too: a column used once only, inside a
+    # lambda, would be computed anew for every element.
+    full = F.when(F.size(full_bins) == BINS, F.col(digits)).otherwise(filled)
+    df = df.withColumn(to, F.when(F.size(full_bins) == 0, F.lit("")).otherwise(full))
     return df.drop(words, hashes, firsts, digits, full_bins)
 
 
