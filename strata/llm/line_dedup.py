@@ -4,14 +4,17 @@ Built from SQL functions only. Every non-blank line of every text takes part:
 
 1. A line is normalised (lower case, white space runs to one space). Its
    character shingles are the runs of 12 characters that start at a word; in
-   scripts written without spaces every character starts one. Shingles are
-   hashed once.
+   lines of mostly three-byte characters (scripts written without spaces) every
+   character starts one. A line without a whole shingle is one shingle itself.
+   Shingles are hashed once.
 2. MinHash: the hash array is XORed with eight masks, and the smallest and the
    largest value under each mask are two of 16 signature values (the largest
    is the smallest under the complemented mask). Eight bands combine three
    values each, no two bands sharing more than one. A pair of similarity 0.75
    shares no band with probability (1 - 0.75^3)^8, about 1 percent; at 0.9, 3
-   in 100,000.
+   in 100,000. Lines of up to 21 shingles, whose few values agree or differ
+   together, have 16 bands of two values by hashes of their own (those of 12 or
+   more have both kinds, so that lines of similar length share a kind).
 3. Equal normalised lines are one node (64-bit hash). Band buckets make star
    candidates; exact Jaccard on full shingle sets confirms them; distributed
    union-find joins them (see ``common.linked_in_buckets``).
@@ -33,18 +36,29 @@ PERCENT = 75
 SHINGLE_CHARS = 12
 N_MASKS = 8
 N_BANDS = 8
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}"
-# A word start, or after an unspaced character; the look-ahead lets shingles overlap.
-_STARTS = rf"(?:(?<!\S)|(?<=[{_UNSPACED}]))(?=(\S.{{0,{SHINGLE_CHARS - 1}}}))"
+# Most shingles of a line with bands of two values.
+SHORT = 21
+# [^\n] matches as the dot does in a line, at a third of its cost.
+_RUN = rf"(?=([^\n]{{{SHINGLE_CHARS}}}))"
 
 
 def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
+    """Lower case, white space runs to one space, trimmed; the pattern runs only
+    where there may be such a run."""
+    low = F.lower(line)
+    odd = line.contains("  ") | line.contains("\t") | line.rlike(r"[\r\x0B\f]")
+    return F.trim(F.when(odd, F.regexp_replace(low, r"\s+", " ")).otherwise(low))
 
 
-def shingles(line: Column) -> Column:
-    """Distinct 64-bit hashes of the character shingles of a normalised line."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_STARTS), F.lit(1)), lambda s: F.xxhash64(s)))
+def with_shingles(df: DataFrame, line: str) -> DataFrame:
+    """``df`` with ``hashes``: distinct 64-bit hashes of the character shingles
+    of column ``line``, normalised and not empty."""
+    text = F.col(line)
+    spaced = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(" " + _RUN), F.lit(1))
+    unspaced = F.regexp_extract_all(text, F.lit(_RUN), F.lit(1))
+    df = df.withColumn("__runs", F.when(F.octet_length(text) > F.length(text) * 2, unspaced).otherwise(spaced))
+    hashed = F.array_distinct(F.transform("__runs", lambda s: F.xxhash64(s)))
+    return df.withColumn("hashes", F.when(F.size("__runs") == 0, F.array(F.xxhash64(text))).otherwise(hashed)).drop("__runs")
 
 
 def _masks() -> list[int]:
@@ -66,13 +80,24 @@ def with_bands(df: DataFrame, hashes: str) -> DataFrame:
     def turned(mask: int) -> Column:
         return F.transform(F.col(hashes), lambda h: h.bitwiseXOR(F.lit(mask)))
 
+    def rehashed(k: int) -> Column:
+        return F.when(F.size(hashes) <= SHORT, F.transform(F.col(hashes), lambda h: F.xxhash64(h, F.lit(k))))
+
     df = df.withColumns({f"__t{k}": turned(m) for k, m in enumerate(_masks())})
+    df = df.withColumns({f"__r{k}": rehashed(k) for k in range(N_MASKS)})
     extremes = [(f, k) for k in range(N_MASKS) for f in (F.array_min, F.array_max)]
-    df = df.withColumns({f"__v{i}": f(F.col(f"__t{k}")) for i, (f, k) in enumerate(extremes)})
+    df = df.withColumns({f"__{v}{i}": f(F.col(f"__{t}{k}")) for i, (f, k) in enumerate(extremes) for v, t in ("vt", "sr")})
     n = len(extremes)
     # Differences 1, 2 and 3 occur once each: two bands share at most one value.
-    keys = [F.xxhash64(F.lit(j), *[F.col(f"__v{(2 * j + d) % n}") for d in (0, 1, 3)]) for j in range(N_BANDS)]
-    return df.withColumn("bands", F.array(*keys)).drop(*[f"__t{k}" for k in range(N_MASKS)], *[f"__v{i}" for i in range(n)])
+    threes = [F.xxhash64(F.lit(j), *[F.col(f"__v{(2 * j + d) % n}") for d in (0, 1, 3)]) for j in range(N_BANDS)]
+    twos = [F.xxhash64(F.lit(-1 - j), F.col(f"__s{j}"), F.col(f"__s{(j + 5) % n}")) for j in range(n)]
+    none = F.array().cast("array<bigint>")
+    size = F.size(hashes)
+    short = F.when(size <= SHORT, F.array(*twos)).otherwise(none)
+    long = F.when(size >= SHORT * PERCENT // 100 - 3, F.array(*threes)).otherwise(none)
+    return df.withColumn("bands", F.concat(short, long)).drop(
+        *[f"__{c}{k}" for c in "tr" for k in range(N_MASKS)], *[f"__{c}{i}" for c in "vs" for i in range(n)]
+    )
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -91,7 +116,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, text_hash, dropped``: per text with duplicates, the numbers of
     the lines to drop. Rows equal in doc_id and text give one row."""
-    hashed = with_bands(_lines(docs).withColumn("hashes", shingles(F.col("line"))), "hashes")
+    hashed = with_bands(with_shingles(_lines(docs), "line"), "hashes")
     signed = hashed.select("doc_id", "slot", "node", F.size("hashes").alias("size"), "bands")
     lines = write_once(signed, "lines")
     # Equal lines have equal sizes and bands: any of them stands for the node.
@@ -100,7 +125,9 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     def sets_of(involved: DataFrame) -> DataFrame:
         wanted = _lines(docs).select("node", "line").join(involved, "node", "left_semi")
         once = wanted.groupBy("node").agg(F.min("line").alias("line"))
-        return once.select("node", shingles(F.col("line")).alias("hashes"))
+        sets = with_shingles(once, "line").select("node", "hashes")
+        again = sets.withColumn("turned", F.transform("hashes", lambda h: F.xxhash64(h, F.lit(1))))
+        return with_bands(again, "turned").select("node", "hashes", F.col("bands").alias("keys"))
 
     comps = linked_in_buckets(nodes, sets_of, percent, "line")
     at = lines.select("doc_id", "slot", "node").join(comps, "node", "left").select(
