@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.sources.files import materialize
+from strata.session import delete_paths, scratch_path
 
 # White space of the word rule [^\x20\x09-\x0D]+ (ASCII only).
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -29,13 +29,23 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     reads them later, and the steps of one operator would otherwise fill the
     local disks until the driver collects its garbage.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
     try:
-        return materialize(df, name)
+        df.write.parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_to = path
+    return written
+
+
+def drop_written(*frames: DataFrame) -> None:
+    """Delete tables of ``write_once`` that no later step reads."""
+    for frame in frames:
+        delete_paths(frame.sparkSession, [frame.written_to])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,13 +99,14 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
     labels = both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("low"))
     labels = write_once(labels.select("node", F.least("node", "low").alias("label")), f"{name}-labels")
     while True:
+        old = labels
         near = (
             both.join(labels.select(F.col("node").alias("y"), "label"), "y")
             .groupBy(F.col("x").alias("node"))
             .agg(F.min("label").alias("low"))
         )
         hooked = write_once(
-            labels.join(near, "node").select(
+            labels.select("node", "label").join(near, "node").select(
                 "node", F.col("label").alias("was"), F.least("label", "low").alias("label")
             ),
             f"{name}-hooked",
@@ -103,9 +114,10 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
         up = hooked.select(F.col("node").alias("label"), F.col("label").alias("up"))
         jumped = hooked.join(up, "label").select("node", F.col("up").alias("label"), (F.col("up") != F.col("was")).alias("moved"))
         labels = write_once(jumped, f"{name}-labels")
+        drop_written(old, hooked)
         if labels.filter("moved").limit(1).count() == 0:
+            drop_written(both)
             return labels.select("node", F.col("label").alias("component"))
-        labels = labels.select("node", "label")
 
 
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -129,53 +141,69 @@ def linked_in_buckets(
     """Components of the links that shared buckets and exact sets confirm.
 
     ``nodes``: ``node, size, bands`` (a long, its set's size, its bucket keys),
-    written once. ``sets_of(frame of node)`` gives ``node, hashes`` for the
-    nodes asked for. Returns ``node, component`` for every linked node.
-
-    In each bucket the smallest node is the centre and makes one candidate
-    pair with every other member, so a bucket of n makes n - 1 pairs. Pairs
-    whose set sizes rule the similarity out go; the rest are confirmed on full
-    sets and joined by union-find. Buckets whose members other than the used
-    centres still lie in different components go through further rounds of
-    stars, with 4, 16, 64, ... next centres, each against later members of
-    other components only, until each is one component or used up: no link
-    found in a bucket is lost. The pairs of a bucket whose members are alike
-    (copies of one text) thus stay near n; a bucket of chance neighbours costs
-    its pairs of fitting sizes, spread over tasks by the join.
+    written once. ``sets_of(frame of node)`` gives ``node, hashes, keys`` for
+    the nodes asked for. Returns ``node, component`` for every linked node.
+
+    A node's weight is the number of members of all its buckets together: the
+    text that others were copied from shares more buckets with them than they
+    share with each other. In each bucket the node of the largest weight is
+    the centre (ties: the smallest node) and makes one candidate pair with
+    every other member, so a bucket of n makes n - 1 pairs. Pairs whose set
+    sizes rule the similarity out go; the rest are confirmed on full sets and
+    joined by union-find.
+
+    Members other than the centre that still lie in different components of
+    their bucket are dealt again, by the bucket and each of ``keys``, bucket
+    keys from a second, independent signature: chance neighbours part, and a
+    link that shares many buckets still shares some of the finer ones. Finer
+    buckets go through rounds of stars with 16, 256, 4096, ... centres, each
+    against later members of other components only, until each is one
+    component or used up. The pairs of a bucket whose members are alike
+    (copies of one text) thus stay near n, and no bucket's pairs are formed in
+    one task.
     """
     fits = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
     buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    stars = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last"))
-    stars = write_once(stars.filter("centre <> last").select("bucket", "centre"), f"{name}-stars")
-    sizes = nodes.select(F.col("node").alias("centre"), F.col("size").alias("centre_size"))
-    members = buckets.join(stars, "bucket").filter("node <> centre").join(sizes, "centre")
-    members = write_once(members.select("bucket", "centre", "node", "size", "centre_size"), f"{name}-members")
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
+    shared = write_once(shared.filter("low <> high").select("bucket", "n"), f"{name}-shared")
+    once = write_once(buckets.join(shared, "bucket"), f"{name}-drawn")
+    weights = once.groupBy("node").agg(F.sum("n").alias("weight"))
+    drawn = once.join(weights, "node").select("bucket", "node", "size", F.struct("weight", (-F.col("node")).alias("by")).alias("rank"))
+    drawn = write_once(drawn, f"{name}-ranked")
+    drop_written(shared, once)
+    heads = drawn.groupBy("bucket").agg(F.max(F.struct("rank", F.col("node").alias("centre"), F.col("size").alias("centre_size"))).alias("head"))
+    members = drawn.join(heads.select("bucket", "head.*").withColumnRenamed("rank", "top"), "bucket").filter("node <> centre")
+    members = write_once(members.select("bucket", "centre", "node", "size", "rank", "centre_size"), f"{name}-members")
     involved = members.select("node").union(members.select("centre")).distinct()
     sets = write_once(sets_of(involved), f"{name}-sets")
+    drop_written(drawn)
     pairs = write_once(members.filter(fits).select("centre", F.col("node").alias("member")).distinct(), f"{name}-pairs")
     tested = pairs
     found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
     comps = connected_components(found, "centre", "member", name)
-    rest = members.select("bucket", "node", "size")
-    k = 4
+    finer = F.explode(F.transform("keys", lambda key: F.xxhash64("bucket", key)))
+    rest = _apart(members.select("bucket", "node", "size", "rank"), comps).drop("component")
+    rest = rest.join(sets.select("node", "keys"), "node").select("node", "size", "rank", finer.alias("bucket"))
+    k = 16
+    stale = [members]
     while True:
-        rest = rest.join(comps.withColumnRenamed("component", "c"), "node", "left").select(
-            "bucket", "node", "size", F.coalesce("c", "node").alias("component")
-        )
-        spread = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        rest = write_once(rest.join(spread.filter("low <> high").select("bucket"), "bucket"), f"{name}-rest")
+        rest = write_once(_apart(rest, comps), f"{name}-rest")
+        drop_written(*stale)
         if rest.limit(1).count() == 0:
             return comps
-        # The k smallest nodes of each bucket; Spark limits each task's groups before the shuffle.
-        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
-        centres = write_once(ranked.filter(F.col("rank") <= k), f"{name}-centres").select(
+        # The k first of each bucket; Spark limits each task's groups before the shuffle.
+        ranked = rest.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("rank").desc())))
+        first = write_once(ranked.filter(F.col("at") <= k), f"{name}-centres")
+        stale = [rest, first]
+        centres = first.select(
             "bucket",
             F.col("node").alias("centre"),
+            F.col("rank").alias("centre_rank"),
             F.col("size").alias("centre_size"),
             F.col("component").alias("centre_component"),
         )
         later = rest.join(centres, "bucket").filter(
-            (F.col("node") > F.col("centre")) & (F.col("component") != F.col("centre_component")) & fits
+            (F.col("rank") < F.col("centre_rank")) & (F.col("component") != F.col("centre_component")) & fits
         )
         more = later.select("centre", F.col("node").alias("member")).distinct()
         more = write_once(more.join(tested, ["centre", "member"], "left_anti"), f"{name}-pairs")
@@ -184,6 +212,15 @@ def linked_in_buckets(
         if links.limit(1).count():
             found = found.union(links)
             comps = connected_components(found, "centre", "member", name)
-        used = centres.groupBy("bucket").agg(F.max("centre").alias("used"))
-        rest = rest.join(used, "bucket").filter("node > used").select("bucket", "node", "size")
-        k *= 4
+        used = centres.groupBy("bucket").agg(F.min("centre_rank").alias("used"))
+        rest = rest.join(used, "bucket").filter("rank < used").select("bucket", "node", "size", "rank")
+        k *= 16
+
+
+def _apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` (``bucket, node, ...``) of buckets with several components, and
+    each row's ``component`` (the node itself where it has no link)."""
+    rows = rows.join(comps.withColumnRenamed("component", "c"), "node", "left")
+    rows = rows.withColumn("component", F.coalesce("c", "node")).drop("c")
+    spread = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(spread.filter("low <> high").select("bucket"), "bucket")
