@@ -27,12 +27,12 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     spark = build_session("local[4]", shuffle_partitions=16, conf={"spark.sql.maxMetadataStringLength": "10000"})
     spark.sparkContext.setLogLevel("OFF")
-    import __spark_entry__ as entry
+    from strata.plans.catalog import QUERIES
 
     detailed = ["pipeline_topk_impact", "idle_time", "charge_record"]
     details = {}
     rows = []
-    for key, query in entry.queries().items():
+    for key, query in QUERIES.items():
         df = query(spark, sf)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -58,11 +58,10 @@ def main() -> None:
     print("# Physical plans at scale\n")
     print("Generated by `tools/plan_report.py` from the sf0.001 tables, planned as for large")
     print("tables: no size-based broadcast join and no AQE, so every join the planner would")
-    print("shuffle at scale shows as an exchange. A broadcast left in the plan is an explicit")
-    print("`broadcast()` whose size was checked, or a top-k of k rows. Nation and region")
-    print("joins show as shuffles here; at scale the planner broadcasts them from their")
-    print("file statistics. Keys that write an intermediate (size-checked dimensions,")
-    print("written matched facts, pieces read twice) show the plan over the written data.\n")
+    print("shuffle at scale shows as an exchange; at scale the planner broadcasts nation,")
+    print("region and written dimension keys from their sizes. Keys that write an")
+    print("intermediate (dimension keys, matched facts, pieces read twice) show the plan")
+    print("over the written data.\n")
     print("| key | hash shuffles (keys) | range | broadcast | pushed filters (besides IsNotNull) |")
     print("| --- | --- | --- | --- | --- |")
     for key, hashed, ranged, broadcast, pushed in rows:
