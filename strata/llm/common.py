@@ -181,20 +181,16 @@ def linked_in_buckets(
     tested = pairs
     found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
     comps = connected_components(found, "centre", "member", name)
+    apart = write_once(_apart(members.select("bucket", "node", "size", "rank"), comps), f"{name}-apart")
     finer = F.explode(F.transform("keys", lambda key: F.xxhash64("bucket", key)))
-    rest = _apart(members.select("bucket", "node", "size", "rank"), comps).drop("component")
-    rest = rest.join(sets.select("node", "keys"), "node").select("node", "size", "rank", finer.alias("bucket"))
+    rest = apart.join(sets.select("node", "keys"), "node").select("node", "size", "rank", "component", finer.alias("bucket"))
+    rest = write_once(rest, f"{name}-rest")
+    drop_written(members, apart)
     k = 16
-    stale = [members]
-    while True:
-        rest = write_once(_apart(rest, comps), f"{name}-rest")
-        drop_written(*stale)
-        if rest.limit(1).count() == 0:
-            return comps
+    while rest.limit(1).count():
         # The k first of each bucket; Spark limits each task's groups before the shuffle.
         ranked = rest.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("rank").desc())))
         first = write_once(ranked.filter(F.col("at") <= k), f"{name}-centres")
-        stale = [rest, first]
         centres = first.select(
             "bucket",
             F.col("node").alias("centre"),
@@ -213,8 +209,12 @@ def linked_in_buckets(
             found = found.union(links)
             comps = connected_components(found, "centre", "member", name)
         used = centres.groupBy("bucket").agg(F.min("centre_rank").alias("used"))
-        rest = rest.join(used, "bucket").filter("rank < used").select("bucket", "node", "size", "rank")
+        left = rest.join(used, "bucket").filter("rank < used").select("bucket", "node", "size", "rank")
+        after = write_once(_apart(left, comps), f"{name}-rest")
+        drop_written(rest, first)
+        rest = after
         k *= 16
+    return comps
 
 
 def _apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
