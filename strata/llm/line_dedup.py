@@ -46,7 +46,9 @@ def normal_line(line: Column) -> Column:
     """Lower case, white space runs to one space, trimmed; the pattern runs only
     where there may be such a run."""
     low = F.lower(line)
-    odd = line.contains("  ") | line.contains("\t") | line.rlike(r"[\r\x0B\f]")
+    odd = line.contains("  ")
+    for mark in ("\t", "\r", "\x0b", "\x0c"):
+        odd = odd | line.contains(mark)
     return F.trim(F.when(odd, F.regexp_replace(low, r"\s+", " ")).otherwise(low))
 
 
