@@ -3,10 +3,9 @@
 Built from SQL functions only. Every non-blank line of every text takes part:
 
 1. A line is normalised (lower case, white space runs to one space). Its
-   character shingles are the runs of 12 characters that start at a word; in
-   lines of mostly three-byte characters (scripts written without spaces) every
-   character starts one. A line without a whole shingle is one shingle itself.
-   Shingles are hashed once.
+   character shingles are the runs of 12 characters at every position, so the
+   last one ends at the line's end. A line without a whole shingle is one
+   shingle itself. Shingles are hashed once.
 2. MinHash: the hash array is XORed with eight masks, and the smallest and the
    largest value under each mask are two of 16 signature values (the largest
    is the smallest under the complemented mask). Eight bands combine three
@@ -38,8 +37,9 @@ N_MASKS = 8
 N_BANDS = 8
 # Most shingles of a line with bands of two values.
 SHORT = 21
-# [^\n] matches as the dot does in a line, at a third of its cost.
-_RUN = rf"(?=([^\n]{{{SHINGLE_CHARS}}}))"
+# [^\n] matches as the dot does in a line, at a third of its cost. Each match
+# consumes one whole character, so none starts within a surrogate pair.
+_RUN = rf"(?=([^\n]{{{SHINGLE_CHARS}}}))[^\n]"
 
 
 def normal_line(line: Column) -> Column:
@@ -56,9 +56,7 @@ def with_shingles(df: DataFrame, line: str) -> DataFrame:
     """``df`` with ``hashes``: distinct 64-bit hashes of the character shingles
     of column ``line``, normalised and not empty."""
     text = F.col(line)
-    spaced = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(" " + _RUN), F.lit(1))
-    unspaced = F.regexp_extract_all(text, F.lit(_RUN), F.lit(1))
-    df = df.withColumn("__runs", F.when(F.octet_length(text) > F.length(text) * 2, unspaced).otherwise(spaced))
+    df = df.withColumn("__runs", F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)))
     hashed = F.array_distinct(F.transform("__runs", lambda s: F.xxhash64(s)))
     return df.withColumn("hashes", F.when(F.size("__runs") == 0, F.array(F.xxhash64(text))).otherwise(hashed)).drop("__runs")
 

@@ -99,3 +99,26 @@ def test_lines_defined_cases(make_docs):
     # A null doc_id comes first; equal rows are cut alike.
     assert sorted((str(r.doc_id), r.text) for r in rows) == [("1", "other"), ("1", "other"), ("2", ""), ("None", "same line here")]
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def _whole_cut(texts: dict) -> dict:
+    """Dropped line numbers by the Jaccard similarity of all character runs of all pairs."""
+    runs = {line: {line[i : i + 12] for i in range(max(1, len(line) - 11))} for t in texts.values() for line in t.split("\n")}
+    root = components(runs)
+    seen, out = set(), {}
+    for k in sorted(texts):
+        lines = texts[k].split("\n")
+        out[k] = [i for i, line in enumerate(lines) if root[line] in seen or seen.add(root[line])]
+    return out
+
+
+def test_lines_compared_to_their_last_character(make_docs):
+    same_start = ["import numpy", "import numpy as np", "return self.x", "return self.value", "https://example.com/a", "https://example.com/some/other"]
+    tokens = [f"/usr/share/lib/{'abcdefgh'[k] * 9}/{'stuvwxyz'[k] * 7}" for k in range(8)]
+    ends = ["a common start of lines " + w for w in ("x", "y", "which ends quite otherwise", "and then goes another way")]
+    emoji = ["😀" * 5 + "abcdefghij" + c for c in ("k", "lmnopqrs")]
+    texts = {k: line for k, line in enumerate(same_start + tokens + ends + emoji)}
+    expected = _whole_cut(texts)
+    rows = {r.doc_id: r.dropped_lines for r in dedup_lines(make_docs(texts)).collect()}
+    assert rows == expected
+    assert sum(map(len, expected.values())) < 4
