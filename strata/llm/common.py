@@ -136,7 +136,7 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 
 def linked_in_buckets(
-    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str
+    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str, key_groups: int = 1
 ) -> DataFrame:
     """Components of the links that shared buckets and exact sets confirm.
 
@@ -155,7 +155,10 @@ def linked_in_buckets(
     Members other than the centre that still lie in different components of
     their bucket are dealt again, by the bucket and each of ``keys``, bucket
     keys from a second, independent signature: chance neighbours part, and a
-    link that shares many buckets still shares some of the finer ones. Finer
+    link that shares many buckets still shares some of the finer ones. With
+    ``key_groups`` (a power of two), ``keys`` holds that many equal groups from
+    independent signatures, and the low bits of a bucket key tell its group: a
+    link that shares no finer key in one bucket may share one in another. Finer
     buckets go through rounds of stars with 16, 256, 4096, ... centres, each
     against later members of other components only, until each is one
     component or used up. The pairs of a bucket whose members are alike
@@ -182,7 +185,10 @@ def linked_in_buckets(
     found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
     comps = connected_components(found, "centre", "member", name)
     apart = write_once(_apart(members.select("bucket", "node", "size", "rank"), comps), f"{name}-apart")
-    finer = F.explode(F.transform("keys", lambda key: F.xxhash64("bucket", key)))
+    per_group = (F.size("keys") / key_groups).cast("int")
+    group = F.col("bucket").bitwiseAND(F.lit(key_groups - 1)).cast("int")
+    own = F.slice("keys", group * per_group + 1, per_group)
+    finer = F.explode(F.transform(own, lambda key: F.xxhash64("bucket", key)))
     rest = apart.join(sets.select("node", "keys"), "node").select("node", "size", "rank", "component", finer.alias("bucket"))
     rest = write_once(rest, f"{name}-rest")
     drop_written(members, apart)

@@ -15,8 +15,9 @@
 4. Confirmed edges are joined by union-find. Buckets that still hold several
    components are parted by a second signature and go through further star
    rounds (``common.linked_in_buckets``), so that links between two members
-   neither of which is near the centre are found too: a pair of similarity
-   0.75 is then still missed with probability 4 in 100,000.
+   neither of which is near the centre are found too. The second signature has
+   15 bands of 7 bins for each of 16 groups of buckets, drawn anew per group: a
+   pair of similarity 0.75 is then still missed with probability 1e-5.
 
 The whole texts are read by Arrow batches (bounded by rows and bytes); the
 joins and aggregates are Spark's. Hot keys: a class or bucket holding a third
@@ -39,8 +40,9 @@ WIDTH = 5
 PERCENT = 75
 BINS_LOG2 = 8
 ROWS_PER_BAND = 5
-# Bands of the second signature, which parts chance neighbours of a bucket.
-FINER_BANDS, FINER_ROWS = 10, 7
+# Bands of the second signature, which parts chance neighbours of a bucket, and
+# groups of buckets (a power of two) that have such bands of their own.
+FINER_BANDS, FINER_ROWS, FINER_GROUPS = 15, 7, 16
 WORD_CACHE = 300_000
 _BINS = 1 << BINS_LOG2
 _BANDS = _BINS // ROWS_PER_BAND
@@ -105,12 +107,29 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _combined(values: np.ndarray) -> np.ndarray:
+    """One key per row of signature values; its low bits are the band's group."""
+    band = np.arange(1, len(values) + 1, dtype=np.uint64)
+    key = band
+    for column in values.T:
+        key = _mix(key * _MULT + column)
+    low = np.uint64(FINER_GROUPS - 1)
+    return ((key & ~low) | (band & low)).view(np.int64)
+
+
 def band_keys(hashes: np.ndarray, bands: int = _BANDS, rows: int = ROWS_PER_BAND) -> np.ndarray:
-    values = signature(hashes)[: bands * rows].reshape(bands, rows)
-    key = np.arange(1, bands + 1, dtype=np.uint64)
-    for k in range(rows):
-        key = _mix(key * _MULT + values[:, k])
-    return key.view(np.int64)
+    return _combined(signature(hashes)[: bands * rows].reshape(bands, rows))
+
+
+def finer_keys(hashes: np.ndarray) -> np.ndarray:
+    """``FINER_BANDS`` keys for each group of buckets in turn, of as many
+    independent signatures as they need."""
+    bands, each = FINER_BANDS * FINER_GROUPS, _BINS // FINER_ROWS
+    values = []
+    for k in range(1, -(-bands // each) + 1):
+        drawn = np.sort(_mix(hashes ^ (_MULT * np.uint64(k))))
+        values.append(signature(drawn)[: each * FINER_ROWS].reshape(each, FINER_ROWS))
+    return _combined(np.concatenate(values)[:bands])
 
 
 def _signed(x: int) -> int:
@@ -136,7 +155,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t.as_py()) for t in batch.column(1)]
-        keys = [band_keys(np.sort(_mix(s ^ _MULT)), FINER_BANDS, FINER_ROWS) if len(s) else [] for s in sets]
+        keys = [finer_keys(s) if len(s) else [] for s in sets]
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([s.view(np.int64) for s in sets], longs), pa.array(keys, longs)],
@@ -173,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
         return texts.mapInArrow(_sets, "node long, hashes array<long>, keys array<long>")
 
-    comps = linked_in_buckets(classes.select("node", "size", "bands"), sets_of, percent, "near")
+    comps = linked_in_buckets(classes.select("node", "size", "bands"), sets_of, percent, "near", FINER_GROUPS)
     named = classes.select("set_a", "set_b", "node").join(comps, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -33,6 +34,23 @@ def test_copies_linked_only_through_their_original(make_docs, words):
     assert {r.doc_id: r.component_id for r in rows} == components({k: shingles(t) for k, t in texts.items()})
 
 
+def test_pairs_among_many_texts_alike_to_one_hub(make_docs):
+    """Texts at about 0.68 to a hub, in pairs at 0.75 to 0.8: the finer keys decide on pairs away from a centre."""
+    rng = random.Random(8)
+    chunks = [" ".join(f"w{k * 15 + i}" for i in range(15)) for k in range(60)]
+
+    def without(left_out):
+        return " ".join(c for k, c in enumerate(chunks) if k not in left_out)
+
+    texts = {0: without(())}
+    for pair in range(300):
+        order = rng.sample(range(60), 20)
+        texts[2 * pair + 1], texts[2 * pair + 2] = without(order[:16]), without(order[4:])
+    expected = components({k: shingles(t) for k, t in texts.items()})
+    assert expected[1] == 1 and sum(k != c for k, c in expected.items()) == 300
+    assert {r.doc_id: r.component_id for r in near_duplicates(make_docs(texts)).collect()} == expected
+
+
 def test_near_duplicates_defined_cases(spark, make_docs):
     text = "a b c d e f g"
     docs = make_docs([(1, text), (1, text), (None, text), (2, text)]).withColumn("kept", F.lit("x")).withColumn("size", F.lit(1))
