@@ -13,7 +13,8 @@ window alike to a template window to 0.75 shares a band with probability
 template is retrieved by windows of one shingle, whose MinHash is its hash.
 
 Texts with a window in some template's bands are verified: the share of a
-template's distinct shingles that the text contains, exactly.
+template's distinct shingles that the text contains, exactly. SPDX lines are
+too short for shingles: a pattern reads them, whatever license they name.
 
 Templates are a parameter (a few hundred texts at most): their bands and
 hashes travel with the plan as literals.
@@ -91,12 +92,121 @@ TEMPLATES: dict[str, str] = {
         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
         "binary, for any purpose, commercial or non-commercial, and by any means."
     ),
+    "mit-warranty": (
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "bsd-warranty": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+        "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+        "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+        "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+        "POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "bsd-3-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission."
+    ),
+    "agpl-notice": (
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version."
+    ),
+    "bsl-1.0-grant": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+        'software and accompanying documentation covered by this license (the "Software") to use, reproduce, '
+        "display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software"
+    ),
+    "bsl-1.0-line": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib-grant": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+        "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+        "use this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions"
+    ),
+    "epl-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0"
+    ),
+    "epl-1.0-notice": (
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License v1.0"
+    ),
+    # Headings, by which full texts are known.
+    "apache-2.0-heading": "Apache License Version 2.0, January 2004",
+    "gpl-2.0-heading": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl-3.0-heading": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "agpl-3.0-heading": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "lgpl-2.1-heading": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl-3.0-heading": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "cc0-1.0-heading": "CC0 1.0 Universal Public Domain Dedication",
 }
+# Short forms: "under (the) <name>", for each name by which a license goes.
+NAMES = {
+    "agpl-3.0": ("AGPL-3.0", "AGPLv3 license", "GNU Affero General Public License"),
+    "apache-2.0": ("Apache License 2.0", "Apache 2.0 license", "Apache-2.0 license"),
+    "bsd-2-clause": ("BSD 2-Clause License", "2-clause BSD license", "Simplified BSD License"),
+    "bsd-3-clause": ("BSD 3-Clause License", "3-clause BSD license", "New BSD License"),
+    "bsl-1.0": ("Boost Software License",),
+    "cc0-1.0": ("CC0 1.0", "CC0 license"),
+    "epl": ("Eclipse Public License",),
+    "gpl-2.0": ("GPL-2.0 license", "GPLv2 license", "GNU General Public License version 2", "GNU General Public License v2"),
+    "gpl-3.0": ("GPL-3.0 license", "GPLv3 license", "GNU General Public License version 3", "GNU General Public License v3"),
+    "isc": ("ISC License",),
+    "lgpl": ("GNU Lesser General Public License",),
+    "mit": ("MIT License",),
+    "mpl-2.0": ("Mozilla Public License", "MPL 2.0 license"),
+    "zlib": ("zlib License",),
+}
+for _id, _names in NAMES.items():
+    for _k, _name in enumerate(_names):
+        for _verb in ("licensed", "released", "distributed", "available"):
+            TEMPLATES[f"{_id}-{_verb}-{_k}"] = f"{_verb} under the {_name}"
+# Creative Commons: "CC BY-NC 4.0" and the long name, of each kind and version.
+CC_KINDS = {
+    "by": "Attribution",
+    "by-sa": "Attribution-ShareAlike",
+    "by-nc": "Attribution-NonCommercial",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nd": "Attribution-NoDerivatives",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+for _kind, _long in CC_KINDS.items():
+    for _version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+        # "CC BY 4.0" alone has four words: it needs the one before.
+        _before = "under " if _kind == "by" else ""
+        TEMPLATES[f"cc-{_kind}-{_version}-short"] = f"{_before}CC {_kind} {_version}"
+        TEMPLATES[f"cc-{_kind}-{_version}-name"] = f"Creative Commons {_long} {_version}"
+SPDX = (
+    r"SPDX-License-Identifier:[ \t]*\(*([A-Za-z0-9][A-Za-z0-9.+-]*"
+    r"(?:[ \t()]+(?:AND|OR|WITH)[ \t(]+[A-Za-z0-9][A-Za-z0-9.+-]*)*)"
+)
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _spdx(text: Column) -> Column:
+    """Matches of SPDX lines: one per expression, ``spdx:`` and the expression."""
+
+    def one(e: Column) -> Column:
+        before = F.regexp_replace(text, F.concat(F.lit(r"(?s)SPDX-License-Identifier:[ \t]*\(*\Q"), e, F.lit(r"\E(?![A-Za-z0-9.+-]*[A-Za-z0-9+]).*")), F.lit(""))
+        return F.struct(
+            F.concat(F.lit("spdx:"), e).alias("license_id"), F.lit(1).alias("shared"), F.lit(1).alias("total"), F.size(_words(before)).alias("first")
+        )
+
+    named = F.transform(F.regexp_extract_all(text, F.lit(SPDX), F.lit(1)), lambda e: F.rtrim(e, F.lit(".")))
+    return F.transform(F.array_distinct(named), one)
 
 
 def _with_shingles(df: DataFrame, text: Column) -> DataFrame:
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return df.withColumn("__w", words).withColumn("__h", shingle_hashes("__w", WIDTH)).drop("__w")
+    return df.withColumn("__w", _words(text)).withColumn("__h", shingle_hashes("__w", WIDTH)).drop("__w")
 
 
 def _with_windows(df: DataFrame) -> DataFrame:
@@ -160,7 +270,8 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, per
     """``docs`` with ``n_windows`` (distinct template bands and short shingles met) and
     ``matches``: per template of which the text contains at least ``percent``
     percent of the distinct shingles a struct ``license_id, shared, total,
-    first`` (``first``: place of its first shingle in the text, from 0), by id.
+    first`` (``first``: place of its first shingle in the text, from 0), by id;
+    an SPDX line is a match of id ``spdx:`` and its expression, 1 of 1.
 
     Defined cases: a null or empty text, or one without words, has no matches;
     a template or text of fewer than five words is one shingle, an empty
@@ -175,17 +286,22 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, per
     short_hits = F.size(F.array_intersect("__h", _longs(short)))
     d = d.withColumn("n_windows", long_hits + short_hits)
     empty = F.array().cast("array<struct<license_id:string,shared:int,total:int,first:int>>")
+    # The template shingles met, in text order: few, so each template is checked against them alone.
+    met = sorted({h for hashes in sets.values() for h in hashes})
+    d = d.withColumn("__met", F.when(F.col("n_windows") > 0, F.array_intersect("__h", _longs(met))).otherwise(F.array().cast("array<long>")))
     checks = []
     for license_id, hashes in sorted(sets.items()):
         if hashes:
             own = _longs(hashes)
-            shared = F.size(F.array_intersect("__h", own))
-            places = F.transform(F.array_intersect("__h", own), lambda h: F.array_position("__h", h).cast("int") - 1)
-            first = F.array_min(places)
+            both = F.array_intersect("__met", own)
+            shared = F.size(both)
+            first = F.array_position("__h", F.get(both, F.lit(0))).cast("int") - 1
             checks.append(F.when(
                 shared * 100 >= len(hashes) * percent,
                 F.struct(F.lit(license_id).alias("license_id"), shared.alias("shared"), F.lit(len(hashes)).alias("total"), first.alias("first")),
             ))
     matches = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else empty
-    d = d.withColumn("matches", F.when(F.col("n_windows") > 0, matches).otherwise(empty))
-    return d.drop("__h", "__keys", "__blocks", *[f"__v{i}" for i in range(2 * len(MASKS))])
+    found = F.when(F.col("n_windows") > 0, matches).otherwise(empty)
+    lines = F.when(F.col("text").contains("SPDX-License-Identifier:"), _spdx(F.col("text"))).otherwise(empty)
+    d = d.withColumn("matches", F.array_sort(F.concat(found, lines)))
+    return d.drop("__h", "__met", "__keys", "__blocks", *[f"__v{i}" for i in range(2 * len(MASKS))])

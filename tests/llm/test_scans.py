@@ -94,6 +94,28 @@ def test_licenses_equal_containment(make_docs, words):
     assert L.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_short_forms_and_spdx_lines(make_docs):
+    texts = {
+        1: "A page. Licensed under CC BY-NC 4.0.",
+        2: "Licensed under the MIT license",
+        3: "# SPDX-License-Identifier: MIT-0\n# SPDX-License-Identifier: MIT\ncode",
+        4: "/* SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) */",
+        5: "Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported",
+        6: "Nothing is said of any license here.",
+        7: "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007",
+    }
+    found = {r.doc_id: {m.license_id: m.first for m in r.matches} for r in L.scan_licenses(make_docs(texts)).collect()}
+    assert found == {
+        1: {"cc-by-nc-4.0-short": 4},
+        2: {"mit-licensed-0": 0},
+        3: {"spdx:MIT": 5, "spdx:MIT-0": 0},
+        4: {"spdx:GPL-2.0-only OR BSD-3-Clause": 0},
+        5: {"cc-by-nc-sa-3.0-name": 0},
+        6: {},
+        7: {"gpl-3.0-heading": 0},
+    }
+
+
 def test_fingerprints_equal_texts_and_similarity(make_docs, near_texts):
     texts = dict(near_texts) | {9001: None, 9002: "", 9003: "Of.", 9004: "é😀x", 9005: "a " * 20_000}
     rows = {r.doc_id: r for r in fingerprints(make_docs(texts).withColumn("seam", F.lit(3))).collect()}
