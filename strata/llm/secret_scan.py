@@ -12,7 +12,8 @@ of the character that enters goes up and that of the one that leaves goes
 down, and the sum of c * log2(c) changes by those two terms alone; the Shannon
 entropy of the window is log2(20) - sum / 20. Windows wholly inside the class
 at or above its limit are spans; overlapping ones are one span. Candidates on
-the allow-list and spans inside a known shape are suppressed.
+the allow-list, segments with an allow-listed word and spans inside a known
+shape are suppressed.
 """
 
 from __future__ import annotations
@@ -35,12 +36,13 @@ DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 # Character classes of the entropy scan: alphabet and limit in bits (the most
 # a window of 20 can have is 4.32, for hex digits 3.92).
 CLASSES = {
-    "entropy_hex": (DIGITS + "abcdefABCDEF", 3.2),
-    "entropy_base36": (DIGITS + LOWER, 3.7),
-    "entropy_base64": (DIGITS + LOWER + LOWER.upper() + "+/_=-", 3.9),
+    "entropy_hex": (DIGITS + "abcdefABCDEF", 2.9),
+    "entropy_base36": (DIGITS + LOWER, 3.4),
+    "entropy_base64": (DIGITS + LOWER + LOWER.upper() + "+/_=-", 3.6),
 }
 # A candidate on the allow-list is no secret by its entropy: words without a
-# digit, numbers, UUIDs, running alphabets and stated examples.
+# digit, numbers, UUIDs, running alphabets and stated examples. The last pattern
+# suppresses only the segment (ended by one of /_=) that holds its word.
 ALLOW = (
     r"^[^0-9]*$",
     r"^[0-9_=-]*$",
@@ -166,7 +168,12 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.withColumns({f"__{k}": c for k, c in secret_spans(text).items()})
     d = d.withColumn("__candidates", _matches(text, CANDIDATE))
-    clear = [c for c in ALLOW]
+    *clear, words = ALLOW
+
+    def without_words(m: Column) -> Column:
+        # A dot is in no class: no window goes over it, and places stay.
+        cleared = lambda s: F.when(s.rlike(words), F.repeat(F.lit("."), F.length(s))).otherwise(s)
+        return F.when(m.rlike(words), F.array_join(F.transform(F.split(m, "(?<=[/_=])"), cleared), "")).otherwise(m)
 
     def allowed(m: Column) -> Column:
         hit = m.rlike(clear[0])
@@ -174,6 +181,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
             hit = hit | m.rlike(pattern)
         return hit
 
+    d = d.withColumn("__candidates", F.transform("__candidates", lambda c: c.withField("match", without_words(c["match"]))))
     d = d.withColumn("__candidates", F.filter("__candidates", lambda c: ~allowed(c["match"])))
     base = F.concat(*[_placed(F.col(f"__{k}"), k) for k in ("assign", "access", "hex")])
     d = d.withColumn("__base", base)

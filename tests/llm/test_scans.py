@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import string
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -69,6 +71,19 @@ def test_secrets_equal_brute_force(make_docs):
     assert S.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_random_tokens_and_examples_in_paths(make_docs):
+    rng = random.Random(4)
+    alphabets = [string.digits + string.ascii_lowercase, string.digits + string.ascii_letters]
+    tokens = ["".join(rng.choice(a) for _ in range(20)) for a in alphabets for _ in range(200)]
+    tokens = [t for t in tokens if any(c.isdigit() for c in t)]
+    key = "q7Zp4LmX9vBt2KdW8nRs5YcH3aJf6GeTu1PoNi0b"
+    texts = {k: t for k, t in enumerate(tokens)} | {1000: f"/srv/example/{key}", 1001: "/srv/example1234567890abcdXYZkq", 1002: "a_placeholder4Lm9vBt2KdW8nRs5Yc/x"}
+    spans = {r.doc_id: r.spans for r in S.scan_secrets(make_docs(texts)).collect()}
+    assert sum(spans[k] == "" for k in range(len(tokens))) <= 0.02 * len(tokens)
+    assert spans[1000].startswith("entropy_base64:") and spans[1000].endswith(":53")
+    assert spans[1001] == "" and spans[1002] == ""
+
+
 def test_licenses_equal_containment(make_docs, words):
     grant = L.TEMPLATES["mit-grant"].split()
     edited = list(grant)
