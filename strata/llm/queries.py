@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm.ann import nearest
+from strata.llm.chat_format import chat_digests, with_probe
 from strata.llm.common import table
 from strata.llm.fingerprints import fingerprints
 from strata.llm.license_scan import scan_licenses
 from strata.llm.line_dedup import dedup_lines
+from strata.llm.merkle import merkle_manifest
 from strata.llm.mixing import plan_mix
 from strata.llm.near_dedup import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.pii import replace_pii
 from strata.llm.secret_scan import scan_secrets
 from strata.llm.toxicity import toxic_scores
+from strata.llm.whitening import whitened
 
 
 def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,6 +68,22 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_windows", "matches")
 
 
+def op11_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Per conversation, digests of its turns and of the text under the loss mask,
+    read back from the formatted text."""
+    return chat_digests(with_probe(table(spark, sf, "conversations")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document its leaf, roots and proof, and whether the proof holds."""
+    return merkle_manifest(table(spark, sf, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Per usable vector and component its whitened value."""
+    return whitened(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -76,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_near_dedup": op9_near_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_chat_format": op11_chat_format,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_whitening": op13_whitening,
 }

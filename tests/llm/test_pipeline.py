@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_every_operator_has_one_query():
     import __spark_entry__
 
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
 
 
