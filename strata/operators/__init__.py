@@ -15,6 +15,7 @@ from strata.operators.filters import (
     filter_year_range,
 )
 from strata.operators.joins import match_all_cities, match_dimension, semi_join
+from strata.operators.nearby import great_circle_km, near_followers
 from strata.operators.nested import json_flatten
 from strata.operators.ranking import (
     hit_summary,
@@ -25,6 +26,7 @@ from strata.operators.ranking import (
     top_k_trend,
 )
 from strata.operators.relate import event_correlation, followed_within
+from strata.operators.running import asof_join, running
 from strata.operators.sessions import charging_boundaries, group_bounds, idle_time, running_group_id
 from strata.operators.shaping import (
     capitalize_country,
@@ -35,6 +37,7 @@ from strata.operators.shaping import (
 )
 
 __all__ = [
+    "asof_join",
     "attach_idle_time",
     "capitalize_country",
     "charging_boundaries",
@@ -46,6 +49,7 @@ __all__ = [
     "filter_measurand",
     "filter_year_range",
     "followed_within",
+    "great_circle_km",
     "group_bounds",
     "hit_summary",
     "idle_time",
@@ -57,6 +61,8 @@ __all__ = [
     "match_dimension",
     "match_start_messages",
     "match_stop_with_start",
+    "near_followers",
+    "running",
     "running_group_id",
     "semi_join",
     "top_k",

@@ -70,17 +70,17 @@ def followed_within(
     instants = e.groupBy(F.struct(F.col(key)).alias("_k"), "_m").agg(
         F.sum("_first").alias("_firsts"), F.max("_then").alias("_has_then")
     )
-    # The instants are read twice below (piece summaries and the join back):
-    # written once to the shared folder, they are computed once.
-    instants = materialize(instants, "instants")
     bucket_us = int(bucket_seconds) * 1_000_000
     if split == "time":
         bucket = F.floor(F.col("_m") / F.lit(bucket_us)).cast("long")
         instants = instants.withColumn("_p", F.coalesce(bucket, F.lit(-(1 << 62)).cast("long")))
+        # Read twice below (piece summaries and the join back), computed once.
+        instants = materialize(instants, "instants")
     else:
         n = ranges or int(instants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranged = instants.repartitionByRange(n, F.col("_k").asc(), F.col("_m").asc())
-        # Range ids are placed by sampling: written once, both reads see the same ids.
+        # Range ids are placed by sampling: written once, both reads see the same
+        # ids. The sample is drawn from the grouped rows, whose shuffle is reused.
         instants = materialize(ranged.withColumn("_p", F.spark_partition_id().cast("long")), "instant-pieces")
     then_time = F.when(F.col("_has_then") == 1, F.col("_m"))
     # Instants are distinct within a key, so ROWS ending 1 before the current

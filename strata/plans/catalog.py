@@ -22,8 +22,10 @@ from strata.operators.filters import (
 )
 from strata.operators.charge import match_start_messages, with_total_energy, with_total_time
 from strata.operators.joins import match_all_cities
+from strata.operators.nearby import near_followers
 from strata.operators.nested import json_flatten
 from strata.operators.relate import event_correlation, followed_within
+from strata.operators.running import asof_join
 from strata.operators.sessions import charging_boundaries, group_bounds, idle_time, running_group_id
 from strata.operators.shaping import (
     capitalize_country,
@@ -54,6 +56,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEARS = (1996, 1999)
 TOP_K = 3
 INTERVAL_SECONDS = 24 * 3600
+NEAR_KM, NEAR_SECONDS = 100.0, 48 * 3600
 
 
 # ---- shared building blocks -----------------------------------------------------------
@@ -363,6 +366,32 @@ def q_quake_tsunami_match(spark: SparkSession, sf: str) -> DataFrame:
     return followed_within(events, "Country", "ts", "kind", "earthquake", "tsunami", INTERVAL_SECONDS)
 
 
+def q_quake_tsunami_near(spark: SparkSession, sf: str) -> DataFrame:
+    """Per earthquake: tsunamis within 100 km and the next 48 h, the nearest one's distance."""
+    located = t.located_orders(spark, sf)
+    quakes = d.silver_earthquake(t.bronze_earthquakes(spark, sf, located, placed=True), d.CONTINENT, *YEARS)
+    waves = d.silver_tsunami(t.bronze_tsunamis(spark, sf, located, placed=True), *YEARS)
+    return near_followers(
+        quakes.select("title", "time_stamp", "latitude", "longitude"),
+        waves,
+        ("time_stamp", "latitude", "longitude"),
+        ("time_stamp", "Latitude", "Longitude"),
+        NEAR_KM,
+        NEAR_SECONDS,
+        count_as="tsunamis",
+    ).select("title", "tsunamis", "nearest_km")
+
+
+def q_tsunami_last_quake(spark: SparkSession, sf: str) -> DataFrame:
+    """Per tsunami: the last earthquake of its country before it."""
+    located = t.located_orders(spark, sf)
+    waves = d.gold_tsunami(d.silver_tsunami(t.bronze_tsunamis(spark, sf, located), *YEARS))
+    waves = waves.select(F.col("`Sr.no`").alias("serial"), "country", F.col("time_stamp").alias("at"))
+    quakes = _silver_earthquakes(spark, sf, located)
+    taken = {"title": "quake", "magnitude": "magnitude", "time_stamp": "quake_at"}
+    return asof_join(waves, quakes, "country", "country", "at", "time_stamp", taken, ties=["title"])
+
+
 def q_json_explode(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON text per order, with its line numbers as an array, back to one row per line."""
     lines = t.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_linenumber").alias("line"))
@@ -418,6 +447,8 @@ QUERIES: dict[str, Query] = {
     "event_correlation": q_event_correlation,
     "interval_match": q_interval_match,
     "quake_tsunami_match": q_quake_tsunami_match,
+    "quake_tsunami_near": q_quake_tsunami_near,
+    "tsunami_last_quake": q_tsunami_last_quake,
     "json_explode": q_json_explode,
     "json_flatten": q_json_flatten,
 }

@@ -22,6 +22,11 @@ start / stop charge messages: orders are start requests, line 1 of an order
              (last ship date, quantity-based meter) and its meter readings
 supplier_cities  per-city dimension: one row per supplier, in its nation
 event_readings   events as readings of one user ordered by (ts, event_id)
+places       placed earthquakes stand at a spot of their customer, placed tsunamis
+             up to some 60 km from their customer's, beyond 180 degrees east or
+             west too
+order_documents  one JSON text per order with its lines as an array of objects;
+             notes and discounts are left out of some, some texts are cut short
 """
 
 from __future__ import annotations
@@ -101,7 +106,18 @@ def located_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(_located_orders(spark, sf_dir, _ORDER_COLUMNS), "located-orders")
 
 
-def bronze_earthquakes(spark: SparkSession, sf_dir: str, located: DataFrame | None = None) -> DataFrame:
+def _latitude() -> Column:
+    return (F.col("o_custkey") * 37 % 14000) / F.lit(100.0) - F.lit(70.0)
+
+
+def _longitude() -> Column:
+    return (F.col("o_custkey") * 91 % 36000) / F.lit(100.0) - F.lit(180.0)
+
+
+def bronze_earthquakes(
+    spark: SparkSession, sf_dir: str, located: DataFrame | None = None, placed: bool = False
+) -> DataFrame:
+    place = [_latitude().alias("latitude"), _longitude().alias("longitude")] if placed else []
     o = located if located is not None else _located_orders(spark, sf_dir, _ORDER_COLUMNS)
     unpadded = F.col("o_orderpriority") == F.lit("5-LOW")
     return o.select(
@@ -120,10 +136,17 @@ def bronze_earthquakes(spark: SparkSession, sf_dir: str, located: DataFrame | No
         F.when(F.col("o_orderpriority") == F.lit("4-NOT SPECIFIED"), F.lit(None))
         .otherwise(F.col("n_name"))
         .alias("country"),
+        *place,
     )
 
 
-def bronze_tsunamis(spark: SparkSession, sf_dir: str, located: DataFrame | None = None) -> DataFrame:
+def bronze_tsunamis(
+    spark: SparkSession, sf_dir: str, located: DataFrame | None = None, placed: bool = False
+) -> DataFrame:
+    place = [
+        (_latitude() + (F.col("o_orderkey") % 11 - 5) / F.lit(10.0)).alias("Latitude"),
+        (_longitude() + (F.col("o_orderkey") % 7 - 3) / F.lit(5.0)).alias("Longitude"),
+    ]
     o = located if located is not None else _located_orders(spark, sf_dir, _ORDER_COLUMNS[:-1])
     return o.select(
         F.col("o_orderkey").alias("Sr.no"),
@@ -140,7 +163,26 @@ def bronze_tsunamis(spark: SparkSession, sf_dir: str, located: DataFrame | None
         (F.col("o_orderkey") % 13).cast("int").alias("Injuries"),
         F.floor(F.col("o_totalprice") / F.lit(50000)).cast("int").alias("HousesNanDestroyed"),
         (F.col("o_custkey") % 100).cast("int").alias("HousesNanDamaged"),
+        *(place if placed else []),
+    )
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``l_orderkey, doc``: an order and its lines as JSON text."""
+    line = F.struct(
+        F.col("l_linenumber").alias("no"),
+        F.col("l_quantity").alias("quantity"),
+        # A field that some lines lack: nulls aren't written.
+        F.when(F.col("l_discount") > 0.02, F.col("l_discount")).alias("discount"),
+        F.array("l_partkey", "l_suppkey").alias("ids"),
+        F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("state"),
     )
+    key = F.col("l_orderkey")
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    note = F.when(key % 3 == 0, F.concat(F.lit("no. "), key.cast("string")))
+    text = F.to_json(F.struct(key.alias("order"), note.alias("note"), F.col("lines")))
+    # Some texts were cut short on their way.
+    return orders.select("l_orderkey", F.when(key % 17 == 0, F.left(text, F.length(text) - 2)).otherwise(text).alias("doc"))
 
 
 def supplier_cities(spark: SparkSession, sf_dir: str) -> DataFrame:

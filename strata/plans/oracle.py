@@ -68,6 +68,13 @@ EQ_SILVER = f"""eq_silver AS (
       AND b.continent = 'Asia')
   WHERE time_stamp >= TIMESTAMP '{Y1}-01-01' AND time_stamp < TIMESTAMP '{Y2 + 1}-01-01')"""
 
+# Places of the earthquakes and tsunamis, by order.
+PLACES = """places AS (
+  SELECT o_orderkey, (o_custkey * 37 % 14000) / 100.0::DOUBLE - 70 AS lat, (o_custkey * 91 % 36000) / 100.0::DOUBLE - 180 AS lon,
+         (o_custkey * 37 % 14000) / 100.0::DOUBLE - 70 + (o_orderkey % 11 - 5) / 10.0::DOUBLE AS wave_lat,
+         (o_custkey * 91 % 36000) / 100.0::DOUBLE - 180 + (o_orderkey % 7 - 3) / 5.0::DOUBLE AS wave_lon
+  FROM orders)"""
+
 TS_BRONZE = """ts_bronze AS (
   SELECT o.o_orderkey AS "Sr.no",
          CAST(year(o.o_orderdate) AS INTEGER) AS "Year",
@@ -295,6 +302,21 @@ FROM events e WHERE e.event_type = 'error' GROUP BY e.user_id""",
              WHERE t.Country = e.country AND t."Timestamp" > e.time_stamp
                AND t."Timestamp" <= e.time_stamp + INTERVAL 24 HOUR) THEN 1 ELSE 0 END) AS BIGINT) AS followed
 FROM eq_silver e GROUP BY e.country""",
+    "quake_tsunami_near": _with(EQ_BRONZE, EQ_SILVER, TS_BRONZE, TS_SILVER, PLACES)
+    + """, quakes AS (SELECT e.title, e.time_stamp AS t, p.lat, p.lon FROM eq_silver e JOIN places p ON e.title = 'order ' || p.o_orderkey),
+waves AS (SELECT s.time_stamp AS t, p.wave_lat AS lat, p.wave_lon AS lon FROM ts_silver s JOIN places p ON s."Sr.no" = p.o_orderkey),
+pairs AS (
+  SELECT q.title, 2 * 6371.0088 * asin(least(1, sqrt(pow(sin(radians(w.lat - q.lat) / 2), 2)
+         + cos(radians(q.lat)) * cos(radians(w.lat)) * pow(sin(radians(w.lon - q.lon) / 2), 2)))) AS km
+  FROM quakes q JOIN waves w ON w.t > q.t AND w.t <= q.t + INTERVAL 48 HOUR),
+near AS (SELECT title, count(*) AS tsunamis, min(km) AS km FROM pairs WHERE km <= 100 GROUP BY title)
+SELECT q.title, coalesce(n.tsunamis, 0) AS tsunamis, round(n.km, 3) AS nearest_km FROM quakes q LEFT JOIN near n ON q.title = n.title""",
+    "tsunami_last_quake": _with(EQ_BRONZE, EQ_SILVER, TS_BRONZE, TS_SILVER)
+    + f""", waves AS (SELECT s."Sr.no" AS serial, {_norm_country('s."Country"')} AS country, s.time_stamp AS "at" FROM ts_silver s),
+quakes AS (
+  SELECT country, time_stamp, max(title) AS title, arg_max(magnitude, title) AS magnitude FROM eq_silver GROUP BY country, time_stamp)
+SELECT w.serial, w.country, w."at", q.title AS quake, q.magnitude, q.time_stamp AS quake_at
+FROM waves w ASOF LEFT JOIN quakes q ON w.country = q.country AND w."at" >= q.time_stamp""",
     "json_explode": "SELECT l_orderkey, l_linenumber AS line FROM lineitem",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }
