@@ -34,18 +34,24 @@ from strata.operators.shaping import (
     make_timestamp,
     make_timestamp_from_parts,
 )
+from strata.operators.variant import json_unpack
 from strata.plans import charge as charge_plans
 from strata.plans import disaster as d
 from strata.plans import driver_tables as t
 from strata.plans import layers
-from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA
+from strata.schemas import CHARGE_RECORD_SCHEMA, COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA
 from strata.session import scratch_path
 from strata.sources.files import (
     corrupt_counts,
+    ingest_csv,
     materialize,
     output_manifest,
+    overwrite_partitions,
+    publish_parquet,
     read_csv_typed,
+    read_ingested,
     read_parquet,
+    read_quarantine,
     write_parquet,
 )
 from strata.streaming.ingest import ingest_csv_incremental
@@ -136,6 +142,37 @@ def q_csv_corrupt_counts(spark: SparkSession, sf: str) -> DataFrame:
     return corrupt_counts(read, "_corrupt")
 
 
+def q_csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as CSV with prices that are no numbers and lines cut short: the rows
+    that parse, and the others with their reason, from one pass."""
+    orders = t.table(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    bad = F.when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.to_csv(F.struct(*orders.withColumn("o_totalprice", bad).columns), {"escape": "\\"})
+    lines = orders.withColumn("o_totalprice", bad).select(
+        F.when(key % 11 == 0, F.substring_index(line, ",", len(orders.columns) - 1)).otherwise(line).alias("value")
+    )
+    source = scratch_path(spark, "orders-quarantine-csv")
+    lines.write.text(source)
+    target, apart = scratch_path(spark, "orders-ingested"), scratch_path(spark, "orders-quarantine")
+    ingest_csv(spark, source, orders.schema, target, apart, header=False)
+    kept = read_ingested(spark, target, orders.schema).select("o_orderkey", "o_totalprice", F.lit(None).cast("string").alias("reason"))
+    rejected = read_quarantine(spark, apart).select(
+        F.substring_index("line", ",", 1).cast("long").alias("o_orderkey"), F.lit(None).cast("double").alias("o_totalprice"), "reason"
+    )
+    return kept.unionByName(rejected)
+
+
+def q_parquet_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by status, published, then the finished ones written anew at half price."""
+    orders = t.table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-by-status")
+    publish_parquet(orders, path, contract=orders.schema, partition_by=["o_orderstatus"])
+    cheaper = orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") / 2)
+    overwrite_partitions(cheaper, path, ["o_orderstatus"], contract=orders.schema)
+    return read_parquet(spark, path).select(*orders.columns)
+
+
 def q_output_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One row per written file: orders, one file per status."""
     orders = t.table(spark, sf, "orders").repartition("o_orderstatus")
@@ -337,7 +374,8 @@ def q_silver_by_year(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pipeline_charge_record(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(_charge_records(spark, sf), "gold-charge-records")
+    path = scratch_path(spark, "gold-charge-records")
+    return read_parquet(spark, publish_parquet(_charge_records(spark, sf), path, contract=CHARGE_RECORD_SCHEMA))
 
 
 # ---- derived questions --------------------------------------------------------------------
@@ -403,12 +441,24 @@ def q_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return json_flatten(t.table(spark, sf, "events"), "props", "k INT", keep=["event_id"])
 
 
+def q_json_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of each order's JSON text, by the schema found in the texts;
+    a text cut short has one row without values."""
+    docs = t.order_documents(spark, sf)
+    docs = materialize(docs, "order-documents")
+    lines = json_unpack(docs, "doc", keep=["l_orderkey"], explode="lines")
+    place = {f"lines_{name}": F.try_element_at("lines_ids", F.lit(k)) for k, name in ((1, "part"), (2, "supplier"))}
+    return lines.withColumns(place).drop("lines_ids")
+
+
 QUERIES: dict[str, Query] = {
     "csv_typed_ingest": q_csv_typed_ingest,
     "csv_incremental_ingest": q_csv_incremental_ingest,
     "parquet_scan": q_parquet_scan,
     "parquet_overwrite": q_parquet_overwrite,
     "csv_corrupt_counts": q_csv_corrupt_counts,
+    "csv_quarantine": q_csv_quarantine,
+    "parquet_partition_overwrite": q_parquet_partition_overwrite,
     "output_manifest": q_output_manifest,
     "filter_equals": q_filter_equals,
     "filter_year_range": q_filter_year_range,
@@ -451,4 +501,5 @@ QUERIES: dict[str, Query] = {
     "tsunami_last_quake": q_tsunami_last_quake,
     "json_explode": q_json_explode,
     "json_flatten": q_json_flatten,
+    "json_variant": q_json_variant,
 }

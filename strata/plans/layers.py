@@ -2,7 +2,9 @@
 
 Bronze ingests CSV with the declared schema into Parquet; silver cleans and
 filters; gold joins, ranks and shapes. A job is a plain function of paths, so
-any scheduler can run it, and a rerun overwrites its output (idempotent).
+any scheduler can run it, and a rerun replaces its output (idempotent). Outputs
+are checked against their contract, written beside their place and put there
+when the write is done, so a job that fails leaves the former dataset.
 Datasets are directories; a later job reads all part files of its input.
 """
 
@@ -13,13 +15,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.plans import charge as charge_plans
 from strata.plans import disaster as d
-from strata.schemas import COUNTRY_SCHEMA, EARTHQUAKE_SCHEMA, TSUNAMI_SCHEMA, assert_contract
+from strata.schemas import (
+    COUNTRY_SCHEMA,
+    EARTHQUAKE_SCHEMA,
+    GOLD_EARTHQUAKE_SCHEMA,
+    GOLD_TOP_TSUNAMI_SCHEMA,
+    TSUNAMI_SCHEMA,
+    assert_contract,
+    silver_earthquake_schema,
+    silver_tsunami_schema,
+)
 from strata.session import scratch_scope
-from strata.sources.files import read_csv_typed, read_parquet, write_parquet
+from strata.sources.files import REJECT, ingest_csv, publish_parquet, read_csv_typed, read_parquet
 
 
 @dataclass(frozen=True)
@@ -41,16 +52,23 @@ def bronze_job(
     schema: StructType,
     target: str,
     max_corrupt_rows: int | None = None,
+    quarantine: str | None = None,
     **csv_options,
 ) -> str:
-    """CSV with a declared schema -> Parquet (whole dataset overwritten).
+    """CSV with a declared schema -> Parquet (whole dataset replaced).
 
     ``check_header=True`` fails on a file with other column names. With
-    ``corrupt_column`` the raw line of an unparsable row is kept in bronze;
-    with ``max_corrupt_rows`` too, the job fails when more rows than that are
-    (counted on the written data, where only that column is read).
+    ``quarantine``, unparsable rows go to a dataset of that name with a reason
+    each, in the same pass; more than ``max_corrupt_rows`` of them fail the job
+    and leave the former bronze. Without it, ``corrupt_column`` keeps the raw
+    line of such a row in bronze, and ``max_corrupt_rows`` counts them on the
+    written data, where only that column is read.
     """
-    out = write_parquet(read_csv_typed(spark, source, schema, **csv_options), target)
+    if quarantine:
+        csv_options.pop("corrupt_column", None)
+        ingest_csv(spark, source, schema, target, quarantine, max_corrupt_rows, **csv_options)
+        return target
+    out = publish_parquet(read_csv_typed(spark, source, schema, **csv_options), target)
     column = csv_options.get("corrupt_column")
     if max_corrupt_rows is not None:
         if not column:
@@ -64,14 +82,14 @@ def bronze_job(
 def _write(
     df: DataFrame, target: str, contract: StructType | None, year_of: str | None = None, partition_by: Sequence[str] = ()
 ) -> str:
-    """Check the frame's schema against the contract, then write it.
+    """Check the frame's schema against the contract, then publish it.
     ``year_of`` names a timestamp whose ``year`` becomes the partition."""
     if contract is not None:
         assert_contract(df.schema, contract)
     columns = list(partition_by)
     if year_of:
         df, columns = df.withColumn("year", F.year(year_of)), ["year", *columns]
-    return write_parquet(df, target, partition_by=columns or None)
+    return publish_parquet(df, target, partition_by=columns or None)
 
 
 def to_declared(df: DataFrame, schema: StructType) -> DataFrame:
@@ -94,10 +112,16 @@ def to_declared(df: DataFrame, schema: StructType) -> DataFrame:
 # ---- silver --------------------------------------------------------------------------
 
 
+def _bronze(spark: SparkSession, path: str) -> DataFrame:
+    """A bronze dataset without the column of an ingest with a quarantine, which
+    is null in all its rows."""
+    return read_parquet(spark, path).drop(REJECT)
+
+
 def silver_country_job(
     spark: SparkSession, bronze: str, target: str, continent: str = d.CONTINENT, contract: StructType | None = None
 ) -> str:
-    return _write(d.silver_country(read_parquet(spark, bronze), continent), target, contract)
+    return _write(d.silver_country(_bronze(spark, bronze), continent), target, contract)
 
 
 def silver_earthquake_job(
@@ -112,7 +136,7 @@ def silver_earthquake_job(
     contract: StructType | None = None,
 ) -> str:
     """Silver earthquakes; ``by_year`` partitions by the year of ``time_stamp``."""
-    silver = d.silver_earthquake(read_parquet(spark, bronze), continent, first_year, last_year, ntz=ntz)
+    silver = d.silver_earthquake(_bronze(spark, bronze), continent, first_year, last_year, ntz=ntz)
     return _write(silver, target, contract, "time_stamp" if by_year else None)
 
 
@@ -129,7 +153,7 @@ def silver_tsunami_job(
 ) -> str:
     """Silver tsunamis; ``by_year`` partitions by the year of ``time_stamp`` (the
     date parts are gone by then), ``partition_by`` by columns of the result."""
-    silver = d.silver_tsunami(read_parquet(spark, bronze), first_year, last_year, ntz=ntz)
+    silver = d.silver_tsunami(_bronze(spark, bronze), first_year, last_year, ntz=ntz)
     return _write(silver, target, contract, "time_stamp" if by_year else None, partition_by)
 
 
@@ -193,36 +217,51 @@ def run_disaster_layers(
     k: int = 3,
     schemas: dict[str, StructType] | None = None,
     by_year: bool = False,
+    quarantine: bool = False,
+    max_corrupt_rows: int | None = None,
     **csv_options,
 ) -> dict[str, str]:
     """Bronze, silver and gold for the sources ``country``, ``earthquake`` and
     ``tsunami`` (CSV folders). Returns the written dataset paths.
 
     ``schemas`` replaces declared layouts, ``by_year`` partitions the silver
-    facts, ``csv_options`` go to ``bronze_job`` (header and corrupt-row checks).
+    facts, ``quarantine`` keeps unparsable rows apart (``quarantine/<name>``, at
+    most ``max_corrupt_rows`` a source), ``csv_options`` go to ``bronze_job``
+    (header and corrupt-row checks). Each silver and gold dataset is held to its
+    contract, which follows from the bronze layouts.
     """
     out: dict[str, str] = {}
     declared = {"country": COUNTRY_SCHEMA, "earthquake": EARTHQUAKE_SCHEMA, "tsunami": TSUNAMI_SCHEMA}
     schemas = {**declared, **(schemas or {})}
     for name, schema in schemas.items():
         if name in sources:
-            out[f"bronze/{name}"] = bronze_job(spark, sources[name], schema, layout.path("bronze", name), **csv_options)
+            apart = layout.path("quarantine", name) if quarantine else None
+            out[f"bronze/{name}"] = bronze_job(
+                spark, sources[name], schema, layout.path("bronze", name), max_corrupt_rows, apart, **csv_options
+            )
+            if apart:
+                out[f"quarantine/{name}"] = apart
+    # What an ingest keeps besides the declared columns stays in bronze.
+    extra = [StructField(csv_options["corrupt_column"], StringType())] if csv_options.get("corrupt_column") and not quarantine else []
+    bronze = {name: StructType(schema.fields + extra) for name, schema in schemas.items()}
     out["silver/country"] = silver_country_job(
-        spark, out["bronze/country"], layout.path("silver", "country"), continent
+        spark, out["bronze/country"], layout.path("silver", "country"), continent, bronze["country"]
     )
     if "bronze/earthquake" in out:
         out["silver/earthquake"] = silver_earthquake_job(
-            spark, out["bronze/earthquake"], layout.path("silver", "earthquake"), continent, first_year, last_year, by_year
+            spark, out["bronze/earthquake"], layout.path("silver", "earthquake"), continent, first_year, last_year, by_year,
+            contract=silver_earthquake_schema(bronze["earthquake"]),
         )
         out["gold/earthquake"] = gold_earthquake_job(
-            spark, out["silver/earthquake"], out["silver/country"], layout.path("gold", "earthquake")
+            spark, out["silver/earthquake"], out["silver/country"], layout.path("gold", "earthquake"), GOLD_EARTHQUAKE_SCHEMA
         )
     if "bronze/tsunami" in out:
         out["silver/tsunami"] = silver_tsunami_job(
-            spark, out["bronze/tsunami"], layout.path("silver", "tsunami"), first_year, last_year, by_year
+            spark, out["bronze/tsunami"], layout.path("silver", "tsunami"), first_year, last_year, by_year,
+            contract=silver_tsunami_schema(bronze["tsunami"]),
         )
         out["gold/top_tsunami"] = gold_topk_job(
-            spark, out["silver/tsunami"], out["silver/country"], layout.path("gold", "top_tsunami"), k
+            spark, out["silver/tsunami"], out["silver/country"], layout.path("gold", "top_tsunami"), k, GOLD_TOP_TSUNAMI_SCHEMA
         )
     return out
 
@@ -231,7 +270,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     """Command line: run the disaster layers for CSV folders into a base folder.
 
     ``python -m strata.plans.layers --base BASE --country DIR --earthquake DIR
-    --tsunami DIR [--continent Asia --first-year 1995 --last-year 2023 --k 3]``
+    --tsunami DIR [--continent Asia --first-year 1995 --last-year 2023 --k 3]
+    [--check-header --corrupt-column NAME --quarantine --max-corrupt-rows N --by-year]``
     """
     import argparse
 
@@ -246,11 +286,18 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--first-year", type=int, default=d.FIRST_YEAR)
     parser.add_argument("--last-year", type=int, default=d.LAST_YEAR)
     parser.add_argument("--k", type=int, default=3)
+    parser.add_argument("--check-header", action="store_true", help="fail on a file with other column names")
+    parser.add_argument("--corrupt-column", help="bronze column that keeps the line of an unparsable row")
+    parser.add_argument("--quarantine", action="store_true", help="keep unparsable rows in quarantine/ with a reason each")
+    parser.add_argument("--max-corrupt-rows", type=int, help="fail on more unparsable rows in a source")
+    parser.add_argument("--by-year", action="store_true", help="partition the silver facts by year")
     args = parser.parse_args(argv)
     sources = {name: getattr(args, name) for name in ("country", "earthquake", "tsunami") if getattr(args, name)}
     spark = build_session()
     out = run_disaster_layers(
-        spark, sources, Layout(args.base), args.continent, args.first_year, args.last_year, args.k
+        spark, sources, Layout(args.base), args.continent, args.first_year, args.last_year, args.k, by_year=args.by_year,
+        quarantine=args.quarantine, max_corrupt_rows=args.max_corrupt_rows, check_header=args.check_header,
+        **({"corrupt_column": args.corrupt_column} if args.corrupt_column else {}),
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

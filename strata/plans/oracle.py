@@ -197,6 +197,10 @@ ORACLE_SQL: dict[str, str] = {
     "parquet_scan": "SELECT * FROM orders",
     "parquet_overwrite": "SELECT * FROM orders",
     "csv_corrupt_counts": "SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderkey % 7 = 0) AS corrupt_rows FROM orders",
+    "csv_quarantine": """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'number of fields' WHEN o_orderkey % 7 = 0 THEN 'o_totalprice is not double' END AS reason
+FROM orders""",
+    "parquet_partition_overwrite": "SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 2 ELSE o_totalprice END AS o_totalprice) FROM orders",
     "output_manifest": "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus",
     "filter_equals": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "filter_year_range": f"SELECT * FROM orders WHERE year(o_orderdate) BETWEEN {Y1} AND {Y2}",
@@ -317,6 +321,16 @@ quakes AS (
   SELECT country, time_stamp, max(title) AS title, arg_max(magnitude, title) AS magnitude FROM eq_silver GROUP BY country, time_stamp)
 SELECT w.serial, w.country, w."at", q.title AS quake, q.magnitude, q.time_stamp AS quake_at
 FROM waves w ASOF LEFT JOIN quakes q ON w.country = q.country AND w."at" >= q.time_stamp""",
+    "json_variant": """WITH lines AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity,
+           CASE WHEN l_discount > 0.02 THEN l_discount END NULLS FIRST, l_partkey, l_suppkey, l_returnflag, l_linestatus) - 1 AS pos
+  FROM lineitem WHERE l_orderkey % 17 <> 0)
+SELECT l_orderkey, CAST(l_orderkey AS BIGINT) AS "order", CASE WHEN l_orderkey % 3 = 0 THEN 'no. ' || l_orderkey END AS note,
+       CAST(pos AS INTEGER) AS lines_pos, CAST(l_linenumber AS BIGINT) AS lines_no, l_quantity AS lines_quantity,
+       CASE WHEN l_discount > 0.02 THEN l_discount END AS lines_discount, l_returnflag AS lines_state_flag, l_linestatus AS lines_state_status,
+       CAST(l_partkey AS BIGINT) AS lines_part, CAST(l_suppkey AS BIGINT) AS lines_supplier, false AS broken
+FROM lines
+UNION ALL BY NAME SELECT DISTINCT l_orderkey, true AS broken FROM lineitem WHERE l_orderkey % 17 = 0""",
     "json_explode": "SELECT l_orderkey, l_linenumber AS line FROM lineitem",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }

@@ -76,6 +76,38 @@ COUNTRY_SCHEMA = _struct(COUNTRY_FIELDS)
 EARTHQUAKE_SCHEMA = _struct(EARTHQUAKE_FIELDS)
 TSUNAMI_SCHEMA = _struct(TSUNAMI_FIELDS)
 
+
+
+def silver_earthquake_schema(bronze: StructType) -> StructType:
+    """Contract of the silver earthquakes of a bronze layout: a timestamp last in
+    place of the date text."""
+    return StructType([*[f for f in bronze.fields if f.name != "date_time"], StructField("time_stamp", TimestampNTZType(), True)])
+
+
+def silver_tsunami_schema(bronze: StructType) -> StructType:
+    """Contract of the silver tsunamis: a timestamp last in place of its parts."""
+    return StructType([*[f for f in bronze.fields if f.name not in TSUNAMI_TIME_PARTS], StructField("time_stamp", TimestampNTZType(), True)])
+
+
+GOLD_EARTHQUAKE_SCHEMA = StructType(
+    [
+        StructField("Country", StringType(), True),
+        StructField("Title", StringType(), True),
+        StructField("Magnitude", DoubleType(), True),
+        StructField("Depth", StringType(), True),
+        StructField("Tsunami", IntegerType(), True),
+        StructField("Timestamp", TimestampNTZType(), True),
+    ]
+)
+
+GOLD_TOP_TSUNAMI_SCHEMA = StructType(
+    [
+        StructField("Country", StringType(), True),
+        StructField("Timestamp", TimestampNTZType(), True),
+        *[StructField(name, IntegerType(), True) for name in ("Deaths", "Missing", "Injuries", "HousesDestroyed", "HousesDamaged")],
+    ]
+)
+
 # Output contracts of the gold steps (types of the driver-table mapping: keys
 # are bigint there, timestamps are wall-clock `timestamp_ntz`).
 CHARGE_RECORD_SCHEMA = StructType(

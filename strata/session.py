@@ -8,7 +8,9 @@ only chosen when the session has none configured and runs on a local master;
 on a cluster that is an error, as executors would write to their own disks.
 
 Every scratch location has an owner: the innermost open ``scratch_scope``, or
-the session, whose leftovers ``release_scratch`` deletes.
+the session, whose leftovers ``release_scratch`` deletes. What is left when the
+driver ends goes with the application's own folder, which Hadoop's file system
+deletes on exit.
 """
 
 from __future__ import annotations
@@ -103,10 +105,29 @@ def shared_root(spark: SparkSession) -> str:
 _OWNED: list[list[str]] = [[]]
 
 
+# Applications whose folder is marked for deletion at the end.
+_MARKED: set[str] = set()
+
+
+def application_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one, deleted when the driver's
+    JVM ends."""
+    sc = spark.sparkContext
+    folder = os.path.join(shared_root(spark), "strata", sc.applicationId)
+    if folder not in _MARKED:
+        path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        # Only what exists can be marked.
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _MARKED.add(folder)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique output location below the shared folder, deleted when its
     owner closes."""
-    path = os.path.join(shared_root(spark), "strata", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(application_folder(spark), f"{name}-{uuid.uuid4().hex}")
     _OWNED[-1].append(path)
     return path
 

@@ -1,21 +1,37 @@
-"""Sources and sinks (typed CSV, Parquet, manifests)."""
+"""Sources and sinks (typed CSV, Parquet, publishing, manifests)."""
 
 from strata.sources.files import (
     corrupt_counts,
     header_mismatches,
+    ingest_csv,
     materialize,
     output_manifest,
+    overwrite_partitions,
+    publish_parquet,
+    read_csv_checked,
     read_csv_typed,
+    read_ingested,
     read_parquet,
+    read_quarantine,
+    recover,
+    replace_dataset,
     write_parquet,
 )
 
 __all__ = [
     "corrupt_counts",
     "header_mismatches",
+    "ingest_csv",
     "materialize",
     "output_manifest",
+    "overwrite_partitions",
+    "publish_parquet",
+    "read_csv_checked",
     "read_csv_typed",
+    "read_ingested",
     "read_parquet",
+    "read_quarantine",
+    "recover",
+    "replace_dataset",
     "write_parquet",
 ]

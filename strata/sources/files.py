@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.session import scratch_path
+from strata.schemas import assert_contract
+from strata.session import delete_paths, scratch_path
 
 
 def read_csv_typed(
@@ -122,6 +127,171 @@ def write_parquet(
     return path
 
 
+# ---- publishing: written aside, then put in place ---------------------------------------
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and a function that makes its paths."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a dataset whose replacement stopped between its two renames.
+    True if there was one."""
+    fs, make = _store(spark, path)
+    if fs.exists(make(path)):
+        return False
+    aside = fs.globStatus(make(f"{path}.replaced-*"))
+    if not aside:
+        return False
+    return fs.rename(aside[0].getPath(), make(path))
+
+
+def replace_dataset(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the dataset at ``staged`` in the place of the one at ``path``.
+
+    Two renames, the old one's first; if the second fails the old one is put
+    back. Readers see the old files or the new ones, never a part of either.
+    On stores where a rename copies, it isn't one step.
+    """
+    fs, make = _store(spark, path)
+    recover(spark, path)
+    aside = f"{path}.replaced-{uuid.uuid4().hex}"
+    had = fs.exists(make(path))
+    fs.mkdirs(make(path).getParent())
+    if had and not fs.rename(make(path), make(aside)):
+        raise OSError(f"can't move {path} aside")
+    if not fs.rename(make(staged), make(path)):
+        if had:
+            fs.rename(make(aside), make(path))
+        raise OSError(f"can't put {staged} in the place of {path}")
+    if had:
+        delete_paths(spark, [aside])
+
+
+@contextmanager
+def _staged(spark: SparkSession, path: str) -> Iterator[str]:
+    """A place beside ``path`` to write to, gone afterwards whatever happens."""
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    try:
+        yield staged
+    finally:
+        delete_paths(spark, [staged])
+
+
+def publish_parquet(
+    df: DataFrame,
+    path: str,
+    *,
+    contract: StructType | None = None,
+    partition_by: list[str] | None = None,
+    max_records_per_file: int | None = None,
+) -> str:
+    """Replace the dataset at ``path`` with ``df``, or leave it as it was.
+
+    The schema is checked against ``contract``, the rows are written beside the
+    dataset and put in its place when the write is done: a job that fails, at
+    whatever row, leaves the old dataset whole. ``df`` may read ``path`` itself.
+    """
+    if contract is not None:
+        assert_contract(df.schema, contract)
+    spark, path = df.sparkSession, path.rstrip("/")
+    with _staged(spark, path) as staged:
+        write_parquet(df, staged, partition_by=partition_by, max_records_per_file=max_records_per_file)
+        replace_dataset(spark, staged, path)
+    return path
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], contract: StructType | None = None) -> str:
+    """Replace only those partitions of the dataset at ``path`` that ``df`` has
+    rows of. Spark writes them aside and moves them when the job commits."""
+    if contract is not None:
+        assert_contract(df.schema, contract)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return path
+
+
+# ---- ingest with a quarantine ------------------------------------------------------------
+
+REJECT = "_reject"
+REJECT_TYPE = "struct<line: string, reason: string>"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, **csv_options) -> DataFrame:
+    """``read_csv_typed`` with one more column ``_reject``: null for a row that
+    parses, else its line and the reason.
+
+    The reason is ``number of fields``, or the fields whose text isn't of their
+    type, with it. Only rejected lines are taken apart once more for it.
+    """
+    raw = "__line"
+    read = read_csv_typed(spark, path, schema, corrupt_column=raw, **csv_options)
+    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields) + ", `__short` string"
+    options = {"columnNameOfCorruptRecord": "__short", "mode": "PERMISSIVE"}
+    options |= {k: csv_options.get(k, default) for k, default in (("sep", ","), ("escape", "\\"), ("quote", '"'))}
+    texts = F.from_csv(F.col(raw), ddl, options)
+    misfits = [
+        F.when(texts.getField(f.name).isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f"{f.name} is not {f.dataType.simpleString()}"))
+        for f in schema.fields
+    ]
+    reason = F.when(texts.getField("__short").isNotNull(), F.lit("number of fields")).otherwise(F.concat_ws(", ", *misfits))
+    reject = F.when(F.col(raw).isNotNull(), F.struct(F.col(raw).alias("line"), reason.alias("reason")))
+    return read.withColumn(REJECT, reject).drop(raw)
+
+
+def ingest_csv(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    target: str,
+    quarantine: str,
+    max_rejects: int | None = None,
+    **csv_options,
+) -> dict[str, int]:
+    """CSV to two Parquet datasets in one pass: the rows that parse go to
+    ``target``, the others to ``quarantine`` as ``line, reason``.
+
+    Returns ``rows`` and ``rejects``, counted while writing (``observe``). Both
+    datasets are written beside their places and put there at the end. With more
+    than ``max_rejects`` rejects only the quarantine is put in place, and the
+    ingest fails.
+    """
+    target, quarantine = target.rstrip("/"), quarantine.rstrip("/")
+    seen = Observation(f"ingest-{uuid.uuid4().hex}")
+    rows = read_csv_checked(spark, source, schema, **csv_options)
+    rows = rows.withColumn("__rejected", F.col(REJECT).isNotNull())
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("__rejected").alias("rejects"))
+    with _staged(spark, target) as staged:
+        # One column tells the datasets apart, as folders of one write.
+        rows.write.partitionBy("__rejected").parquet(staged)
+        counts = {k: int(v) for k, v in seen.get.items()}
+        fs, make = _store(spark, staged)
+        parts = {}
+        for flag, where in ((False, target), (True, quarantine)):
+            part = f"{staged}/__rejected={str(flag).lower()}"
+            if not fs.exists(make(part)):
+                # No such row: an empty dataset with the schema.
+                spark.createDataFrame([], rows.drop("__rejected").schema).write.parquet(part)
+            parts[where] = part
+        replace_dataset(spark, parts[quarantine], quarantine)
+        if max_rejects is not None and counts["rejects"] > max_rejects:
+            raise ValueError(f"{counts['rejects']} unparsable rows in {source}; {max_rejects} are allowed (see {quarantine})")
+        replace_dataset(spark, parts[target], target)
+    return counts
+
+
+def read_ingested(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
+    """The rows that parsed, in their declared columns."""
+    return spark.read.schema(schema).parquet(target)
+
+
+def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """``line, reason`` of the rows that didn't."""
+    return spark.read.schema(f"{REJECT} {REJECT_TYPE}").parquet(quarantine).select(f"{REJECT}.*")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared folder and return the re-read data.
 
