@@ -24,6 +24,7 @@ from strata.operators.ranking import (
     top_k_detail,
     top_k_keys,
     top_k_trend,
+    trend_break,
 )
 from strata.operators.relate import event_correlation, followed_within
 from strata.operators.running import asof_join, running

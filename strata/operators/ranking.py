@@ -105,3 +105,65 @@ def top_k_trend(
     follows = F.lag("year").over(w) == F.col("year") - 1
     changes = {f"{n}_change": F.when(follows, F.col(n) - F.lag(n).over(w)) for n in names}
     return yearly.withColumns(changes)
+
+
+def trend_break(df: DataFrame, key: str, ts: str, decimals: int = 6) -> DataFrame:
+    """Per key, the year in which its yearly number of events changes level.
+
+    The years from a key's first to its last event form a series (years without
+    events are 0). Each split of it into years before and from some year on has
+    an error, the sum of squared deviations from either part's mean; the year
+    with the least error (rounded to ``decimals``; ties: the earliest) is
+    ``break_year``. Also given: ``first_year``, ``last_year``, the means
+    ``mean_before`` and ``mean_after``, ``error``, and ``error_without``, that of
+    one mean for all years. A key with one year has null for the split.
+
+    Sums of counts and of their squares up to each year give all errors at once,
+    so a key costs time in proportion to its years. Events are counted with
+    partial aggregation before any window; rows without a time don't count.
+    """
+    counts = df.filter(F.col(ts).isNotNull()).groupBy(F.struct(key).alias("_k"), F.year(ts).alias("_y")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    span = counts.groupBy("_k").agg(F.min("_y").alias("_first"), F.max("_y").alias("_last"))
+    years = span.withColumn("_y", F.explode(F.sequence("_first", "_last")))
+    series = years.join(counts, ["_k", "_y"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)).cast("double"))
+    earlier = Window.partitionBy("_k").orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_k")
+    series = series.withColumns({
+        "_s": F.sum("_n").over(earlier),
+        "_q": F.sum(F.col("_n") * F.col("_n")).over(earlier),
+        "_ts": F.sum("_n").over(whole),
+        "_tq": F.sum(F.col("_n") * F.col("_n")).over(whole),
+    })
+    before, after = (F.col("_y") - F.col("_first")).cast("double"), (F.col("_last") - F.col("_y") + 1).cast("double")
+    rest = F.col("_ts") - F.col("_s")
+    error = F.col("_q") - F.col("_s") * F.col("_s") / before + (F.col("_tq") - F.col("_q")) - rest * rest / after
+    length = (F.col("_last") - F.col("_first") + 1).cast("double")
+    plain = F.col("_tq") - F.col("_ts") * F.col("_ts") / length
+    # The first year splits nothing.
+    split = F.when(
+        F.col("_y") > F.col("_first"),
+        F.struct(
+            F.round(error, decimals).alias("error"),
+            F.col("_y").alias("year"),
+            F.round(F.col("_s") / before, decimals).alias("mean_before"),
+            F.round(rest / after, decimals).alias("mean_after"),
+        ),
+    )
+    best = series.groupBy("_k").agg(
+        F.min("_first").alias("first_year"),
+        F.max("_last").alias("last_year"),
+        F.min(split).alias("_best"),
+        F.max(F.round(plain, decimals)).alias("error_without"),
+    )
+    return best.select(
+        F.col("_k").getField(key).alias(key),
+        "first_year",
+        "last_year",
+        F.col("_best.year").alias("break_year"),
+        "_best.mean_before",
+        "_best.mean_after",
+        "_best.error",
+        "error_without",
+    )

@@ -108,13 +108,19 @@ def idle_time(
     readings are all isolated gets 0.0. Time between groups is not counted.
     """
     r = _prepare(readings, key, order, value, threshold, bucket_seconds, split, ranges)
+    return idle_of_pieces(idle_pieces(r, key, order), key, output, decimals)
+
+
+def idle_pieces(r: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One summary row per (key, piece) of prepared readings: the idle seconds
+    inside, state and time of the first and the last reading, whether any is idle."""
     w = _piece_window(key, order)
     r = r.withColumns({"_pc": F.lag("_c").over(w), "_ps": F.lag("_s").over(w), "_nc": F.lead("_c").over(w)})
     both_idle = (F.col("_c") == 0) & (F.col("_pc") == 0)
     # A gap from a reading without a time is unknown and counts as none.
     r = r.withColumn("_gap", F.when(both_idle, F.coalesce(F.col("_s") - F.col("_ps"), F.lit(0))).otherwise(F.lit(0)))
     first, last = F.col("_pc").isNull(), F.col("_nc").isNull()
-    pieces = r.groupBy(key, "_b").agg(
+    return r.groupBy(key, "_b").agg(
         F.sum("_gap").alias("_inner"),
         _at(first, "_c").alias("_fc"),
         _at(first, "_s").alias("_fs"),
@@ -122,6 +128,10 @@ def idle_time(
         _at(last, "_s").alias("_ls"),
         F.max(1 - F.col("_c")).alias("_has_idle"),
     )
+
+
+def idle_of_pieces(pieces: DataFrame, key: str, output: str, decimals: int = 2) -> DataFrame:
+    """Idle hours per key from the summaries of its pieces in order."""
     wk = Window.partitionBy(key).orderBy("_b")
     pieces = pieces.withColumns({"_plc": F.lag("_lc").over(wk), "_pls": F.lag("_ls").over(wk)})
     edge_idle = (F.col("_fc") == 0) & (F.col("_plc") == 0)

@@ -8,6 +8,7 @@ pieces), over the pre-registered views of the same Parquet tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from strata.operators.charge import match_start_messages, with_total_energy, wit
 from strata.operators.joins import match_all_cities
 from strata.operators.nearby import near_followers
 from strata.operators.nested import json_flatten
+from strata.operators.ranking import trend_break
 from strata.operators.relate import event_correlation, followed_within
 from strata.operators.running import asof_join
 from strata.operators.sessions import charging_boundaries, group_bounds, idle_time, running_group_id
@@ -54,6 +56,7 @@ from strata.sources.files import (
     read_quarantine,
     write_parquet,
 )
+from strata.streaming.idle_state import add_readings, idle_from_state
 from strata.streaming.ingest import ingest_csv_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEARS = (1996, 1999)
 TOP_K = 3
 INTERVAL_SECONDS = 24 * 3600
+BUCKETS = 8
 NEAR_KM, NEAR_SECONDS = 100.0, 48 * 3600
 
 
@@ -257,6 +261,11 @@ def q_topk_trend(spark: SparkSession, sf: str) -> DataFrame:
     return d.top_trend(_tsunamis_in_asia(spark, sf), TOP_K, reuse=True)
 
 
+def q_trend_break(spark: SparkSession, sf: str) -> DataFrame:
+    """Per country: the year in which its yearly number of tsunamis changes level."""
+    return trend_break(_tsunamis_in_asia(spark, sf), "Country", "Timestamp")
+
+
 # ---- charge records ---------------------------------------------------------------------
 
 
@@ -284,6 +293,21 @@ def q_parking_time(spark: SparkSession, sf: str) -> DataFrame:
     return charge_plans.parking_time(t.meter_values(spark, sf), order=t.METER_ORDER)
 
 
+def q_charge_record_colocated(spark: SparkSession, sf: str) -> DataFrame:
+    """Charge records from tables bucketed by transaction, joined where they lie."""
+    tables = charge_plans.colocate_messages(
+        spark,
+        scratch_path(spark, "colocated"),
+        f"colocated_{uuid.uuid4().hex}",
+        BUCKETS,
+        t.start_requests(spark, sf),
+        t.start_responses(spark, sf),
+        t.stop_requests(spark, sf),
+        charge_plans.parking_time(t.meter_values(spark, sf), order=t.METER_ORDER),
+    )
+    return charge_plans.colocated_charge_records(tables)
+
+
 def q_charge_record(spark: SparkSession, sf: str) -> DataFrame:
     return _charge_records(spark, sf)
 
@@ -307,6 +331,19 @@ def q_idle_time(spark: SparkSession, sf: str) -> DataFrame:
     return idle_time(t.event_readings(spark, sf), output="idle_hours", **_events_args())
 
 
+def q_idle_time_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Idle time from a state to which the events came in three batches: the
+    later half of the time, the earlier half, and what came late to either."""
+    readings = t.event_readings(spark, sf)
+    middle = readings.agg(F.expr("percentile_approx(unix_micros(cast(ts as timestamp)), 0.5)")).first()[0]
+    late = F.col("event_id") % 9 == 0
+    later = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")) > F.lit(middle), F.lit(False))
+    base = scratch_path(spark, "idle-state")
+    for name, part in (("later", ~late & later), ("earlier", ~late & ~later), ("late", late)):
+        add_readings(readings.filter(part), base, name, **_events_args())
+    return idle_from_state(spark, base, "user_id", "idle_hours")
+
+
 # ---- pipelines ---------------------------------------------------------------------------
 
 
@@ -477,16 +514,19 @@ QUERIES: dict[str, Query] = {
     "topk_detail": q_topk_detail,
     "topk_by_measure": q_topk_by_measure,
     "topk_trend": q_topk_trend,
+    "trend_break": q_trend_break,
     "request_response_match": q_request_response_match,
     "stop_start_match": q_stop_start_match,
     "duration_hours": q_duration_hours,
     "unit_delta": q_unit_delta,
     "parking_time": q_parking_time,
     "charge_record": q_charge_record,
+    "charge_record_colocated": q_charge_record_colocated,
     "lag_change_flag": q_lag_change_flag,
     "running_group_id": q_running_group_id,
     "group_bounds": q_group_bounds,
     "idle_time": q_idle_time,
+    "idle_time_incremental": q_idle_time_incremental,
     "pipeline_dimension": q_pipeline_dimension,
     "pipeline_facts_text_time": q_pipeline_facts_text_time,
     "pipeline_facts_part_time": q_pipeline_facts_part_time,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.charge import (
     attach_idle_time,
@@ -15,6 +15,7 @@ from strata.operators.charge import (
 )
 from strata.operators.filters import filter_measurand
 from strata.operators.sessions import DEFAULT_BUCKET_SECONDS, idle_time
+from strata.sources.files import write_colocated
 
 RECORD_COLUMNS = [
     "charge_point_id",
@@ -69,3 +70,34 @@ def charge_records(
     records = with_total_energy(with_total_time(records))
     idle = parking_time(meter_values, order, bucket_seconds, split, ranges)
     return attach_idle_time(records, idle, stop_id="__stop_id").select(*RECORD_COLUMNS)
+
+
+def colocate_messages(
+    spark: SparkSession,
+    base: str,
+    prefix: str,
+    buckets: int,
+    start_requests: DataFrame,
+    start_responses: DataFrame,
+    stop_requests: DataFrame,
+    idle: DataFrame,
+) -> dict[str, DataFrame]:
+    """The inputs of a charge record as bucketed tables: ``starts`` (matched),
+    ``stops`` and ``idle`` by transaction id. Written once, then joined as
+    often as records are asked for, without an exchange."""
+    parts = {
+        "starts": match_start_messages(start_responses, start_requests),
+        "stops": stop_requests,
+        "idle": idle,
+    }
+    return {
+        name: write_colocated(part, f"{prefix}_{name}", f"{base.rstrip('/')}/{name}", "transaction_id", buckets)
+        for name, part in parts.items()
+    }
+
+
+def colocated_charge_records(tables: dict[str, DataFrame]) -> DataFrame:
+    """``charge_records`` of tables from ``colocate_messages``."""
+    records = match_stop_with_start(tables["stops"], tables["starts"], keep_stop_id="__stop_id")
+    records = with_total_energy(with_total_time(records))
+    return attach_idle_time(records, tables["idle"], stop_id="__stop_id").select(*RECORD_COLUMNS)

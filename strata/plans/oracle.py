@@ -252,6 +252,26 @@ FROM per_country ORDER BY impact DESC, Country LIMIT 3""",
 SELECT y.*, """
     + ", ".join(f"y.{n} - p.{n} AS {n}_change" for _, n in _IMPACT)
     + "\nFROM yearly y LEFT JOIN yearly p ON p.Country = y.Country AND p.year = y.year - 1",
+    "trend_break": _with(CITIES, ASIA, TS_BRONZE, TS_SILVER, TS_ASIA)
+    + """, counts AS (
+  SELECT Country, CAST(year("Timestamp") AS INTEGER) AS y, count(*) AS n FROM ts_asia WHERE "Timestamp" IS NOT NULL GROUP BY ALL),
+span AS (SELECT Country, min(y) AS first_year, max(y) AS last_year FROM counts GROUP BY Country),
+series AS (
+  SELECT s.Country, s.first_year, s.last_year, g.y, coalesce(c.n, 0)::DOUBLE AS n
+  FROM span s, LATERAL (SELECT CAST(unnest(range(s.first_year, s.last_year + 1)) AS INTEGER) AS y) g
+  LEFT JOIN counts c ON c.Country = s.Country AND c.y = g.y),
+splits AS (
+  SELECT a.Country, a.y AS break_year, avg(b.n) FILTER (b.y < a.y) AS mb, avg(b.n) FILTER (b.y >= a.y) AS ma,
+         sum(b.n * b.n) - count(*) FILTER (b.y < a.y) * pow(avg(b.n) FILTER (b.y < a.y), 2)
+           - count(*) FILTER (b.y >= a.y) * pow(avg(b.n) FILTER (b.y >= a.y), 2) AS e
+  FROM series a JOIN series b ON a.Country = b.Country WHERE a.y > a.first_year GROUP BY a.Country, a.y),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY Country ORDER BY round(e, 6), break_year) AS r FROM splits),
+alone AS (SELECT Country, sum(n * n) - count(*) * pow(avg(n), 2) AS e FROM series GROUP BY Country)
+SELECT s.Country, s.first_year, s.last_year, k.break_year, round(k.mb, 6) AS mean_before, round(k.ma, 6) AS mean_after,
+       round(k.e, 6) AS error, round(o.e, 6) AS error_without
+FROM span s JOIN alone o ON o.Country = s.Country LEFT JOIN ranked k ON k.Country = s.Country AND k.r = 1""",
+    "charge_record_colocated": _with(CHARGE) + "SELECT * FROM records",
     "request_response_match": _with(CHARGE) + "SELECT * FROM starts",
     "stop_start_match": _with(CHARGE) + "SELECT * FROM matched",
     "duration_hours": _with(CHARGE)
@@ -334,3 +354,4 @@ UNION ALL BY NAME SELECT DISTINCT l_orderkey, true AS broken FROM lineitem WHERE
     "json_explode": "SELECT l_orderkey, l_linenumber AS line FROM lineitem",
     "json_flatten": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
 }
+ORACLE_SQL["idle_time_incremental"] = ORACLE_SQL["idle_time"]

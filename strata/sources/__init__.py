@@ -15,6 +15,7 @@ from strata.sources.files import (
     read_quarantine,
     recover,
     replace_dataset,
+    write_colocated,
     write_parquet,
 )
 
@@ -33,5 +34,6 @@ __all__ = [
     "read_quarantine",
     "recover",
     "replace_dataset",
+    "write_colocated",
     "write_parquet",
 ]

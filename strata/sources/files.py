@@ -213,6 +213,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], cont
     return path
 
 
+def write_colocated(df: DataFrame, name: str, path: str, by: str, buckets: int) -> DataFrame:
+    """``df`` written as a table of ``buckets`` buckets by ``by``, sorted in each,
+    and read again.
+
+    Tables with equal bucket counts join on ``by`` without moving a row. The
+    bucketing is known to the catalog, so another session has to register the
+    table (``name`` at ``path``) with the same clauses. Choose ``buckets`` so
+    that one is some 256 MB; a key with more than that makes its bucket larger.
+    """
+    spark = df.sparkSession
+    # One task per bucket, so that a bucket is one file.
+    dealt = df.repartition(buckets, by)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, by).sortBy(by).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 # ---- ingest with a quarantine ------------------------------------------------------------
 
 REJECT = "_reject"
