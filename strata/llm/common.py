@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.session import delete_paths, scratch_path
+from strata.session import delete_paths, scratch_path, scratch_scope
 
 # White space of the word rule [^\x20\x09-\x0D]+ (ASCII only).
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -22,15 +22,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again.
-
-    The shuffle files of the write are removed as soon as it is done: nothing
+def _write(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read again. The shuffle files of the write are removed as soon as it is done: nothing
     reads them later, and the steps of one operator would otherwise fill the
     local disks until the driver collects its garbage.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -42,6 +39,18 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     return written
 
 
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again."""
+    return _write(df, scratch_path(df.sparkSession, name))
+
+
+def distilled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written; all that it has written itself is deleted."""
+    path = scratch_path(spark, name)
+    with scratch_scope(spark):
+        return _write(make(), path)
+
+
 def drop_written(*frames: DataFrame) -> None:
     """Delete tables of ``write_once`` that no later step reads."""
     for frame in frames:
@@ -83,6 +92,32 @@ def shingle_hashes(words: str, width: int) -> Column:
     return F.slice(runs, F.lit(1), F.greatest(n - F.lit(width - 1), F.least(n, F.lit(1))))
 
 
+def with_places(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """``rows`` with ``place``: their number from 0 in their ``group`` (never
+    null) by ``order``, nulls first. Rows equal in it take any order.
+
+    The rows are range-sorted and written; a row's number is its place in its
+    piece plus the rows of its group in earlier pieces, from one summary row per
+    piece and group. No group passes through one task, and rows that tie spread
+    over pieces.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [group, *order, "__tie"]
+    ranged = rows.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(n, *keys)
+    ranged = ranged.sortWithinPartitions(*keys).drop("__tie")
+    # The id counts the rows of a partition from 0 in its low 33 bits.
+    written = write_once(ranged.withColumn("__at", F.monotonically_increasing_id()), name)
+    piece = F.shiftrightunsigned("__at", 33)
+    split = written.withColumns({"__piece": piece, "__at": F.col("__at") - F.shiftleft(piece, 33)})
+    pieces = split.groupBy(group, "__piece").agg(F.min("__at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(group).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    # Written, its size is known, and Spark chooses the join by it.
+    pieces = write_once(pieces.select(group, "__piece", shift.alias("__shift")), f"{name}-pieces")
+    placed = split.join(pieces, [group, "__piece"]).withColumn("place", F.col("__at") + F.col("__shift"))
+    return placed.drop("__piece", "__at", "__shift")
+
+
 def connected_components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
     """``(node, component)`` for every node of ``edges``; ``component`` is the
     smallest node reachable. Nodes are longs; edges may repeat.
@@ -117,7 +152,14 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
         drop_written(old, hooked)
         if labels.filter("moved").limit(1).count() == 0:
             drop_written(both)
-            return labels.select("node", F.col("label").alias("component"))
+            found = labels.select("node", F.col("label").alias("component"))
+            found.written_to = labels.written_to
+            return found
+
+
+def _fits(a: str, b: str, percent: int) -> Column:
+    """Sizes that allow the similarity."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
 def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,14 +177,66 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return shared.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("centre", "member")
 
 
+def prefix_pairs(sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """Pairs ``(centre, member)`` that may reach the similarity, among nodes of
+    different components: every pair that does reach it is among them.
+
+    ``sets``: ``node, part, component, hashes`` (a node may have several sets).
+    With the elements of all sets in one order, rarest first, two sets of the
+    similarity share an element among the first |x| - ceil(percent / 100 |x|) + 1
+    of each (prefix filter), and the places of the first such element bound
+    what they can share in all. A passage that many texts hold is common, so it
+    comes last and pairs nobody: pairs are formed by rare elements only. The
+    elements that only one set holds come first in every order; they are
+    counted, not moved.
+    """
+    each = sets.select("node", "part", "component", F.size("hashes").alias("size"), F.explode("hashes").alias("element"))
+    each = write_once(each, f"{name}-elements")
+    known = each.groupBy("element").agg(
+        F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    common = write_once(known.filter("df > 1"), f"{name}-common")
+    own = ["node", "part"]
+    at = Window.partitionBy(*own).orderBy("df", "element")
+    shared = each.join(common, "element").withColumns(
+        {"place": F.row_number().over(at), "n": F.count(F.lit(1)).over(Window.partitionBy(*own))}
+    )
+    place = F.col("size") - F.col("n") + F.col("place") - 1
+    most = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    # An element within one component pairs nobody.
+    first = shared.withColumn("place", place).filter((F.col("place") < most) & (F.col("low") != F.col("high")))
+    first = write_once(first.select("element", "node", "component", "size", "place"), f"{name}-prefixes")
+    drop_written(each, common)
+    other = first.select(
+        "element", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "place")]
+    )
+    shares = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    near = first.join(
+        other,
+        (first["element"] == other["element"])
+        & (F.col("node") < F.col("other_node"))
+        & (F.col("component") != F.col("other_component"))
+        & _fits("size", "other_size", percent)
+        & (shares * 100 >= (F.col("size") + F.col("other_size") - shares) * percent),
+    )
+    pairs = write_once(near.select(F.col("node").alias("centre"), F.col("other_node").alias("member")).distinct(), f"{name}-rare")
+    drop_written(first)
+    return pairs
+
+
 def linked_in_buckets(
-    nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, name: str, key_groups: int = 1
+    nodes: DataFrame,
+    sets_of: Callable[[DataFrame], DataFrame],
+    percent: int,
+    name: str,
+    links: DataFrame | None = None,
 ) -> DataFrame:
     """Components of the links that shared buckets and exact sets confirm.
 
-    ``nodes``: ``node, size, bands`` (a long, its set's size, its bucket keys),
-    written once. ``sets_of(frame of node)`` gives ``node, hashes, keys`` for
-    the nodes asked for. Returns ``node, component`` for every linked node.
+    ``nodes``: ``node, bands`` (a long, its bucket keys; a node may have several
+    rows), written. ``sets_of(frame of node)`` gives ``node, hashes`` for the
+    nodes asked for. ``links`` are known links (``a, b``). Returns ``node,
+    component`` for every linked node.
 
     A node's weight is the number of members of all its buckets together: the
     text that others were copied from shares more buckets with them than they
@@ -153,73 +247,46 @@ def linked_in_buckets(
     joined by union-find.
 
     Members other than the centre that still lie in different components of
-    their bucket are dealt again, by the bucket and each of ``keys``, bucket
-    keys from a second, independent signature: chance neighbours part, and a
-    link that shares many buckets still shares some of the finer ones. With
-    ``key_groups`` (a power of two), ``keys`` holds that many equal groups from
-    independent signatures, and the low bits of a bucket key tell its group: a
-    link that shares no finer key in one bucket may share one in another. Finer
-    buckets go through rounds of stars with 16, 256, 4096, ... centres, each
-    against later members of other components only, until each is one
-    component or used up. The pairs of a bucket whose members are alike
-    (copies of one text) thus stay near n, and no bucket's pairs are formed in
-    one task.
+    their bucket are compared by their rarest elements (``prefix_pairs``), which
+    loses none of their links. What they have in common is mostly a passage
+    that brought them into the bucket, and that pairs nobody there.
     """
-    fits = F.least("size", "centre_size") * 100 >= F.greatest("size", "centre_size") * percent
-    buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
     shared = write_once(shared.filter("low <> high").select("bucket", "n"), f"{name}-shared")
     once = write_once(buckets.join(shared, "bucket"), f"{name}-drawn")
     weights = once.groupBy("node").agg(F.sum("n").alias("weight"))
-    drawn = once.join(weights, "node").select("bucket", "node", "size", F.struct("weight", (-F.col("node")).alias("by")).alias("rank"))
+    drawn = once.join(weights, "node").select("bucket", "node", F.struct("weight", (-F.col("node")).alias("by")).alias("rank"))
     drawn = write_once(drawn, f"{name}-ranked")
     drop_written(shared, once)
-    heads = drawn.groupBy("bucket").agg(F.max(F.struct("rank", F.col("node").alias("centre"), F.col("size").alias("centre_size"))).alias("head"))
-    members = drawn.join(heads.select("bucket", "head.*").withColumnRenamed("rank", "top"), "bucket").filter("node <> centre")
-    members = write_once(members.select("bucket", "centre", "node", "size", "rank", "centre_size"), f"{name}-members")
-    involved = members.select("node").union(members.select("centre")).distinct()
-    sets = write_once(sets_of(involved), f"{name}-sets")
+    heads = drawn.groupBy("bucket").agg(F.max("rank").alias("top"))
+    members = drawn.join(heads.select("bucket", (-F.col("top.by")).alias("centre")), "bucket").filter("node <> centre")
+    members = write_once(members.select("bucket", "centre", "node"), f"{name}-members")
     drop_written(drawn)
-    pairs = write_once(members.filter(fits).select("centre", F.col("node").alias("member")).distinct(), f"{name}-pairs")
-    tested = pairs
+    involved = members.select("node").union(members.select("centre")).distinct()
+    # Parts tell the sets of one node apart.
+    sets = write_once(sets_of(involved).withColumn("part", F.monotonically_increasing_id()), f"{name}-sets")
+    sizes = sets.select("node", F.size("hashes").alias("size"))
+    pairs = members.select("centre", F.col("node").alias("member")).distinct()
+    sized = pairs.join(sizes.withColumnRenamed("node", "member"), "member").join(
+        sizes.select(F.col("node").alias("centre"), F.col("size").alias("centre_size")), "centre"
+    )
+    pairs = write_once(sized.filter(_fits("size", "centre_size", percent)).select("centre", "member").distinct(), f"{name}-pairs")
     found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
+    drop_written(pairs)
+    if links is not None:
+        found = found.unionByName(links.select(F.col("a").alias("centre"), F.col("b").alias("member")))
     comps = connected_components(found, "centre", "member", name)
-    apart = write_once(_apart(members.select("bucket", "node", "size", "rank"), comps), f"{name}-apart")
-    per_group = (F.size("keys") / key_groups).cast("int")
-    group = F.col("bucket").bitwiseAND(F.lit(key_groups - 1)).cast("int")
-    own = F.slice("keys", group * per_group + 1, per_group)
-    finer = F.explode(F.transform(own, lambda key: F.xxhash64("bucket", key)))
-    rest = apart.join(sets.select("node", "keys"), "node").select("node", "size", "rank", "component", finer.alias("bucket"))
-    rest = write_once(rest, f"{name}-rest")
-    drop_written(members, apart)
-    k = 16
-    while rest.limit(1).count():
-        # The k first of each bucket; Spark limits each task's groups before the shuffle.
-        ranked = rest.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("rank").desc())))
-        first = write_once(ranked.filter(F.col("at") <= k), f"{name}-centres")
-        centres = first.select(
-            "bucket",
-            F.col("node").alias("centre"),
-            F.col("rank").alias("centre_rank"),
-            F.col("size").alias("centre_size"),
-            F.col("component").alias("centre_component"),
-        )
-        later = rest.join(centres, "bucket").filter(
-            (F.col("rank") < F.col("centre_rank")) & (F.col("component") != F.col("centre_component")) & fits
-        )
-        more = later.select("centre", F.col("node").alias("member")).distinct()
-        more = write_once(more.join(tested, ["centre", "member"], "left_anti"), f"{name}-pairs")
-        tested = tested.union(more)
-        links = write_once(confirmed_pairs(more, sets, percent), f"{name}-links")
-        if links.limit(1).count():
-            found = found.union(links)
-            comps = connected_components(found, "centre", "member", name)
-        used = centres.groupBy("bucket").agg(F.min("centre_rank").alias("used"))
-        left = rest.join(used, "bucket").filter("rank < used").select("bucket", "node", "size", "rank")
-        after = write_once(_apart(left, comps), f"{name}-rest")
-        drop_written(rest, first)
-        rest = after
-        k *= 16
+    rest = _apart(members.select("bucket", "node"), comps).select("node", "component").distinct()
+    rest = write_once(rest, f"{name}-apart")
+    drop_written(members)
+    if rest.limit(1).count():
+        pairs = prefix_pairs(sets.join(rest, "node"), percent, name)
+        more = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
+        if more.limit(1).count():
+            drop_written(comps)
+            comps = connected_components(found.unionByName(more), "centre", "member", name)
+    drop_written(sets, rest)
     return comps
 
 

@@ -5,18 +5,20 @@ Built from SQL functions only. Every non-blank line of every text takes part:
 1. A line is normalised (lower case, white space runs to one space). Its
    character shingles are the runs of 12 characters at every position, so the
    last one ends at the line's end. A line without a whole shingle is one
-   shingle itself. Shingles are hashed once.
-2. MinHash: the hash array is XORed with eight masks, and the smallest and the
-   largest value under each mask are two of 16 signature values (the largest
-   is the smallest under the complemented mask). Eight bands combine three
-   values each, no two bands sharing more than one. A pair of similarity 0.75
-   shares no band with probability (1 - 0.75^3)^8, about 1 percent; at 0.9, 3
-   in 100,000. Lines of up to 21 shingles, whose few values agree or differ
-   together, have 16 bands of two values by hashes of their own (those of 12 or
-   more have both kinds, so that lines of similar length share a kind).
+   shingle itself, and is like no other line.
+2. MinHash: the shingles are unnested, hashed, and grouped by line: each hash is
+   XORed with eight masks, and the smallest and the largest value under each
+   mask are two of 16 signature values (the largest is the smallest under the
+   complemented mask). This runs as one compiled aggregation, which merges equal
+   lines on the way. Eight bands combine three values each, no two bands sharing
+   more than one. A pair of similarity 0.75 shares no band with probability
+   (1 - 0.75^3)^8, about 1 percent; at 0.9, 3 in 100,000. Lines of up to 21
+   shingles, whose few values agree or differ together, have 16 bands of two
+   values by hashes of their own, too.
 3. Equal normalised lines are one node (64-bit hash). Band buckets make star
-   candidates; exact Jaccard on full shingle sets confirms them; distributed
-   union-find joins them (see ``common.linked_in_buckets``).
+   candidates; exact Jaccard on full shingle sets confirms them; members that a
+   bucket's centre doesn't link are compared by their rarest shingles;
+   distributed union-find joins them (see ``common.linked_in_buckets``).
 4. Of each component the first occurrence by (doc_id, line) stays; all other
    occurrences are removed from their documents.
 
@@ -29,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import linked_in_buckets, write_once
+from strata.llm.common import distilled, drop_written, linked_in_buckets, write_once
 
 PERCENT = 75
 SHINGLE_CHARS = 12
@@ -70,33 +72,27 @@ def _masks() -> list[int]:
     return out
 
 
-def with_bands(df: DataFrame, hashes: str) -> DataFrame:
-    """``df`` with ``bands``, the bucket keys of a non-empty hash array column.
+def _signed(lines: DataFrame, values: list[Column], keys: list[list[int]], seed: int) -> DataFrame:
+    """``node, bands``: per distinct line, the smallest and the largest of each of
+    ``values`` (of a shingle's hash ``h``), combined by ``keys``."""
+    runs = lines.select("node", F.explode(F.regexp_extract_all("line", F.lit(_RUN), F.lit(1))).alias("run"))
+    hashed = runs.select("node", F.xxhash64("run").alias("h"))
+    ends = [f(v).alias(f"v{2 * k + i}") for k, v in enumerate(values) for i, f in enumerate((F.min, F.max))]
+    bands = [F.xxhash64(F.lit(seed + j), *[F.col(f"v{k}") for k in key]) for j, key in enumerate(keys)]
+    return hashed.groupBy("node").agg(*ends).select("node", F.array(*bands).alias("bands"))
 
-    Turned arrays, signature values and bands are columns of their own: each
-    is used more than once, and so is computed once.
-    """
-
-    def turned(mask: int) -> Column:
-        return F.transform(F.col(hashes), lambda h: h.bitwiseXOR(F.lit(mask)))
-
-    def rehashed(k: int) -> Column:
-        return F.when(F.size(hashes) <= SHORT, F.transform(F.col(hashes), lambda h: F.xxhash64(h, F.lit(k))))
 
-    df = df.withColumns({f"__t{k}": turned(m) for k, m in enumerate(_masks())})
-    df = df.withColumns({f"__r{k}": rehashed(k) for k in range(N_MASKS)})
-    extremes = [(f, k) for k in range(N_MASKS) for f in (F.array_min, F.array_max)]
-    df = df.withColumns({f"__{v}{i}": f(F.col(f"__{t}{k}")) for i, (f, k) in enumerate(extremes) for v, t in ("vt", "sr")})
-    n = len(extremes)
+def line_signatures(lines: DataFrame) -> DataFrame:
+    """``node, bands`` of the distinct lines of ``lines`` (``node, line``) that have
+    a whole shingle; two rows for lines of few shingles."""
+    h, n = F.col("h"), 2 * N_MASKS
     # Differences 1, 2 and 3 occur once each: two bands share at most one value.
-    threes = [F.xxhash64(F.lit(j), *[F.col(f"__v{(2 * j + d) % n}") for d in (0, 1, 3)]) for j in range(N_BANDS)]
-    twos = [F.xxhash64(F.lit(-1 - j), F.col(f"__s{j}"), F.col(f"__s{(j + 5) % n}")) for j in range(n)]
-    none = F.array().cast("array<bigint>")
-    size = F.size(hashes)
-    short = F.when(size <= SHORT, F.array(*twos)).otherwise(none)
-    long = F.when(size >= SHORT * PERCENT // 100 - 3, F.array(*threes)).otherwise(none)
-    return df.withColumn("bands", F.concat(short, long)).drop(
-        *[f"__{c}{k}" for c in "tr" for k in range(N_MASKS)], *[f"__{c}{i}" for c in "vs" for i in range(n)]
+    threes = [[(2 * j + d) % n for d in (0, 1, 3)] for j in range(N_BANDS)]
+    twos = [[j, (j + 5) % n] for j in range(n)]
+    whole = lines.filter(F.length("line") >= SHINGLE_CHARS)
+    short = whole.filter(F.length("line") < SHINGLE_CHARS + SHORT)
+    return _signed(whole, [h.bitwiseXOR(F.lit(m)) for m in _masks()], threes, 0).unionByName(
+        _signed(short, [F.xxhash64(h, F.lit(k)) for k in range(N_MASKS)], twos, N_BANDS)
     )
 
 
@@ -116,20 +112,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, text_hash, dropped``: per text with duplicates, the numbers of
     the lines to drop. Rows equal in doc_id and text give one row."""
-    hashed = with_bands(with_shingles(_lines(docs), "line"), "hashes")
-    signed = hashed.select("doc_id", "slot", "node", F.size("hashes").alias("size"), "bands")
-    lines = write_once(signed, "lines")
-    # Equal lines have equal sizes and bands: any of them stands for the node.
-    nodes = write_once(lines.groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands")), "line-nodes")
+    every = _lines(docs)
+    lines = write_once(every.select("doc_id", "slot", "node"), "lines")
+    nodes = write_once(line_signatures(every.select("node", "line")), "line-nodes")
 
     def sets_of(involved: DataFrame) -> DataFrame:
         wanted = _lines(docs).select("node", "line").join(involved, "node", "left_semi")
         once = wanted.groupBy("node").agg(F.min("line").alias("line"))
-        sets = with_shingles(once, "line").select("node", "hashes")
-        again = sets.withColumn("turned", F.transform("hashes", lambda h: F.xxhash64(h, F.lit(1))))
-        return with_bands(again, "turned").select("node", "hashes", F.col("bands").alias("keys"))
+        return with_shingles(once, "line").select("node", "hashes")
 
     comps = linked_in_buckets(nodes, sets_of, percent, "line")
+    drop_written(nodes)
     at = lines.select("doc_id", "slot", "node").join(comps, "node", "left").select(
         F.coalesce("component", "node").alias("component"), F.struct("doc_id", "slot").alias("at")
     )
@@ -140,6 +133,23 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _cut(docs: DataFrame, percent: int) -> DataFrame:
+    """``docs`` with ``__n_lines``, ``__dropped`` and ``__left``, the text left."""
+    found = distilled(docs.sparkSession, lambda: duplicate_lines(docs, percent), "dropped-lines").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("dropped").alias("__gone")
+    )
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumn("__text_hash", F.hash(text))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
+    joined = keyed.join(found, same, "left")
+    lines = F.split(text, "\n")
+    none = F.array().cast("array<int>")
+    joined = joined.withColumns({"__n_lines": F.size(lines), "__dropped": F.coalesce(F.array_sort("__gone"), none)})
+    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("__dropped"), i)), "\n")
+    kept = F.when(F.size("__dropped") == 0, F.col("text")).otherwise(left)
+    return joined.withColumn("__left", kept).drop("__id", "__hash", "__gone", "__text_hash")
+
+
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with duplicate lines removed from ``text``, and two more columns:
     ``n_lines`` (before) and ``dropped_lines`` (their numbers from 0, ascending).
@@ -155,16 +165,13 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named ``n_lines`` or ``dropped_lines`` are replaced; an empty table gives
     an empty result.
     """
-    found = write_once(duplicate_lines(docs, percent), "dropped-lines").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("dropped").alias("__dropped")
-    )
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumn("__text_hash", F.hash(text))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash"))
-    joined = keyed.join(found, same, "left")
-    cut = F.split(text, "\n")
-    none = F.array().cast("array<int>")
-    joined = joined.withColumns({"n_lines": F.size(cut), "dropped_lines": F.coalesce(F.array_sort("__dropped"), none)})
-    left = F.array_join(F.filter(cut, lambda line, i: ~F.array_contains(F.col("dropped_lines"), i)), "\n")
-    kept = F.when(F.size("dropped_lines") == 0, F.col("text")).otherwise(left)
-    return joined.withColumn("text", kept).drop("__id", "__hash", "__dropped", "__text_hash")
+    own = ("n_lines", "dropped_lines")
+    columns = [F.col("__left").alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in own]
+    return _cut(docs, percent).select(*columns, F.col("__n_lines").alias("n_lines"), F.col("__dropped").alias("dropped_lines"))
+
+
+def without_duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` as ``dedup_lines`` cuts them, in their own columns, with
+    ``n_chars`` counted anew; extra columns of whatever name stay as they are."""
+    new = {"text": F.col("__left"), "n_chars": F.length("__left").cast("long")}
+    return _cut(docs, percent).select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])

@@ -31,10 +31,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import write_once
+from strata.llm.common import with_places, write_once
 
 HEIGHT = 12
 # Columns of a leaf, in order.
@@ -159,25 +159,6 @@ def dataset_leaves(docs: DataFrame) -> DataFrame:
     )
 
 
-def with_positions(rows: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``rows`` written with ``place``: their number from 0 in their ``tree`` by
-    ``order``. Rows equal in it take any order, spread over several pieces."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = rows.withColumn("__tie", F.monotonically_increasing_id())
-    keys = ["tree", *order, "__tie"]
-    ranged = numbered.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("__tie")
-    # The id counts the rows of a partition from 0 in its low 33 bits.
-    written = write_once(ranged.withColumn("__at", F.monotonically_increasing_id()), name)
-    piece = F.shiftrightunsigned("__at", 33)
-    split = written.withColumns({"piece": piece, "at": F.col("__at") - F.shiftleft(piece, 33)}).drop("__at")
-    pieces = split.groupBy("tree", "piece").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("tree").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select("tree", "piece", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
-    # Written, its size is known, and Spark chooses the join by it.
-    pieces = write_once(pieces, f"{name}-pieces")
-    return split.join(pieces, ["tree", "piece"]).withColumn("place", F.col("at") + F.col("shift")).drop("piece", "at", "shift")
-
-
 # ---- blocks ----------------------------------------------------------------------------
 
 
@@ -312,7 +293,7 @@ def merkle_manifest(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
         F.col("n_chars").cast("long").alias("n_chars"),
     )
     hashed = write_once(dataset_leaves(plain), "merkle-leaves")
-    leaves = write_once(with_positions(hashed, ["doc_id", "leaf"], "merkle-sorted"), "merkle-places")
+    leaves = write_once(with_places(hashed, "tree", ["doc_id", "leaf"], "merkle-sorted"), "merkle-places")
     tiers = build_tiers(leaves, "merkle", height)
     # A tree's root is that of the highest tier it reaches, where it has one block.
     top = tiers[-1].select("tree", "tier", "root")
@@ -320,7 +301,7 @@ def merkle_manifest(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
         top = top.unionByName(tier.select("tree", "tier", "root"))
     subroots = write_once(top.groupBy("tree").agg(F.max_by("root", "tier").alias("subroot")), "merkle-subroots")
     ordered = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").alias("member"), F.col("subroot").alias("leaf"))
-    members = write_once(with_positions(ordered, ["member"], "merkle-trees"), "merkle-members")
+    members = write_once(with_places(ordered, "tree", ["member"], "merkle-trees"), "merkle-members")
     upper = build_tiers(members, "merkle-top", height)
     empty = [F.array().cast(f"array<{kind}>").alias(c) for c, kind in (("digests", "binary"), ("lefts", "boolean"))]
     none = upper[-1].select("tree", *empty)

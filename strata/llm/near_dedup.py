@@ -12,12 +12,11 @@
 3. In each bucket the smallest representative is the centre, and every other
    member makes one candidate edge with it (a star), so a bucket of n makes
    n - 1 pairs. Candidates are confirmed by exact Jaccard on full sets.
-4. Confirmed edges are joined by union-find. Buckets that still hold several
-   components are parted by a second signature and go through further star
-   rounds (``common.linked_in_buckets``), so that links between two members
-   neither of which is near the centre are found too. The second signature has
-   15 bands of 7 bins for each of 16 groups of buckets, drawn anew per group: a
-   pair of similarity 0.75 is then still missed with probability 1e-5.
+4. Confirmed edges are joined by union-find. Members of a bucket that still lie
+   in several components are compared by their rarest shingles
+   (``common.prefix_pairs``), which loses no link between them; what brought
+   them together is mostly a passage that many texts hold, and such shingles
+   pair nobody there.
 
 The whole texts are read by Arrow batches (bounded by rows and bytes); the
 joins and aggregates are Spark's. Hot keys: a class or bucket holding a third
@@ -31,18 +30,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import linked_in_buckets, write_once
+from strata.llm.common import distilled, linked_in_buckets, write_once
 
 WIDTH = 5
 PERCENT = 75
 BINS_LOG2 = 8
 ROWS_PER_BAND = 5
-# Bands of the second signature, which parts chance neighbours of a bucket, and
-# groups of buckets (a power of two) that have such bands of their own.
-FINER_BANDS, FINER_ROWS, FINER_GROUPS = 15, 7, 16
 WORD_CACHE = 300_000
 _BINS = 1 << BINS_LOG2
 _BANDS = _BINS // ROWS_PER_BAND
@@ -50,7 +46,7 @@ _PROBES = np.stack([np.random.RandomState(1_000 + t).permutation(_BINS) for t in
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _EDGES = np.arange(_BINS, dtype=np.uint64) << np.uint64(64 - BINS_LOG2)
 
-SETS = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+SETS = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 class _WordHashes(dict):
@@ -107,29 +103,13 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _combined(values: np.ndarray) -> np.ndarray:
-    """One key per row of signature values; its low bits are the band's group."""
-    band = np.arange(1, len(values) + 1, dtype=np.uint64)
-    key = band
+def band_keys(hashes: np.ndarray, bands: int = _BANDS, rows: int = ROWS_PER_BAND) -> np.ndarray:
+    """One bucket key per band of the signature."""
+    values = signature(hashes)[: bands * rows].reshape(bands, rows)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
     for column in values.T:
         key = _mix(key * _MULT + column)
-    low = np.uint64(FINER_GROUPS - 1)
-    return ((key & ~low) | (band & low)).view(np.int64)
-
-
-def band_keys(hashes: np.ndarray, bands: int = _BANDS, rows: int = ROWS_PER_BAND) -> np.ndarray:
-    return _combined(signature(hashes)[: bands * rows].reshape(bands, rows))
-
-
-def finer_keys(hashes: np.ndarray) -> np.ndarray:
-    """``FINER_BANDS`` keys for each group of buckets in turn, of as many
-    independent signatures as they need."""
-    bands, each = FINER_BANDS * FINER_GROUPS, _BINS // FINER_ROWS
-    values = []
-    for k in range(1, -(-bands // each) + 1):
-        drawn = np.sort(_mix(hashes ^ (_MULT * np.uint64(k))))
-        values.append(signature(drawn)[: each * FINER_ROWS].reshape(each, FINER_ROWS))
-    return _combined(np.concatenate(values)[:bands])
+    return key.view(np.int64)
 
 
 def _signed(x: int) -> int:
@@ -139,7 +119,7 @@ def _signed(x: int) -> int:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, a, b, bands = [], [], [], []
-        for text in batch.column(1):
+        for text in batch.column(2):
             s = shingle_set(text.as_py())
             n.append(len(s))
             digest = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -147,20 +127,49 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b.append(_signed(digest & (1 << 64) - 1))
             bands.append(band_keys(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+            [*batch.columns[:2], *[pa.array(x, pa.int64()) for x in (n, a, b)], pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "text_key", "n_shingles", "set_a", "set_b", "bands"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(t.as_py()) for t in batch.column(1)]
-        keys = [finer_keys(s) if len(s) else [] for s in sets]
-        longs = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([s.view(np.int64) for s in sets], longs), pa.array(keys, longs)],
-            ["node", "hashes", "keys"],
-        )
+        sets = [shingle_set(t.as_py()).view(np.int64) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
+
+
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def _labelled(docs: DataFrame, percent: int, by_id: bool) -> DataFrame:
+    """``doc_id, text_key, n_shingles, set_a, set_b, component_id`` per row; rows
+    that share a doc_id are linked if ``by_id``."""
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _text_key(docs).alias("text_key"), F.col("text").cast("binary").alias("text")
+    )
+    signed = write_once(whole.mapInArrow(_signatures, SETS), "near-signatures")
+    linkable = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = write_once(
+        linkable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-classes"
+    )
+
+    def sets_of(involved: DataFrame) -> DataFrame:
+        texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text_key"])
+        return texts.select("doc_id", "text").mapInArrow(_sets, "node long, hashes array<long>")
+
+    links = None
+    if by_id:
+        # Documents of several sets: their classes are linked.
+        several = linkable.groupBy("doc_id").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high")).filter("low <> high")
+        owned = linkable.join(several.select("doc_id"), "doc_id").join(classes.select("set_a", "set_b", "node"), ["set_a", "set_b"])
+        first = owned.groupBy("doc_id").agg(F.min("node").alias("a"))
+        links = write_once(owned.join(first, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "near-ids")
+    comps = linked_in_buckets(classes.select("node", "bands"), sets_of, percent, "near", links)
+    named = classes.select("set_a", "set_b", "node").join(comps, "node", "left").select(
+        "set_a", "set_b", F.coalesce("component", "node").alias("component_id")
+    )
+    return signed.drop("bands").join(named, ["set_a", "set_b"], "left")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -173,31 +182,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Defined cases: a null or blank text has no shingles and is linked with
     nothing; fewer than five words are one shingle; repeated rows give repeated
     result rows; rows that share a doc_id but not their text are one document
-    with several sets, linked by any of them; a null doc_id is linked with nothing, its ``component_id`` is
-    null and ``kept`` true; only ``doc_id`` and ``text`` are read, so extra
-    columns don't matter; an empty table gives an empty result. ``percent``
-    below 60 would need more bands for the same recall.
+    with several sets, linked by any of them, and have one ``component_id``
+    (those of them without words, their doc_id); a null doc_id is linked with
+    nothing, its ``component_id`` is null and ``kept`` true; only ``doc_id`` and
+    ``text`` are read, so extra columns don't matter; an empty table gives an
+    empty result. ``percent`` below 60 would need more bands for the same recall.
     """
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    signed = write_once(whole.mapInArrow(_signatures, SETS), "near-signatures")
-    linkable = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = write_once(
-        linkable.groupBy("set_a", "set_b").agg(
-            F.min("doc_id").alias("node"), F.min("n_shingles").alias("size"), F.first("bands").alias("bands")
-        ),
-        "near-classes",
-    )
-
-    def sets_of(involved: DataFrame) -> DataFrame:
-        texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text"])
-        return texts.mapInArrow(_sets, "node long, hashes array<long>, keys array<long>")
+    def labels() -> DataFrame:
+        return _labelled(docs, percent, by_id=True).select("doc_id", "n_shingles", "component_id")
 
-    comps = linked_in_buckets(classes.select("node", "size", "bands"), sets_of, percent, "near", FINER_GROUPS)
-    named = classes.select("set_a", "set_b", "node").join(comps, "node", "left").select(
-        "set_a", "set_b", F.coalesce("component", "node").alias("component_id")
-    )
-    rows = signed.select("doc_id", "n_shingles", "set_a", "set_b")
-    linked = rows.join(named, ["set_a", "set_b"], "left")
+    linked = distilled(docs.sparkSession, labels, "near-labels")
     alone = F.col("n_shingles") == 0
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return linked.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
@@ -208,10 +202,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each near-duplicate group kept, whole rows.
 
-    The kept document is the one with the smallest doc_id of its group.
-    Documents without words, or without a doc_id, all stay. Of rows that share
-    a doc_id, those whose text belongs to a kept class stay.
+    Groups are of texts here: rows that share a doc_id but not their text are
+    judged each by its own text, so no text goes without a near copy that
+    stays. Of a group, the smallest doc_id stays; where that has several texts of
+    the group, one of them (the smallest set hash). Repeated rows of what is kept
+    all stay, as do documents without words, or without a doc_id.
     """
-    verdict = near_duplicates(docs, percent)
-    gone = verdict.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+
+    def left_out() -> DataFrame:
+        rows = _labelled(docs, percent, by_id=False).filter("n_shingles > 0 and doc_id is not null")
+        rows = rows.select("doc_id", "text_key", "component_id", F.struct("doc_id", "set_a", "set_b").alias("own"))
+        rows = write_once(rows, "near-rows")
+        best = rows.groupBy("component_id").agg(F.min("own").alias("best"))
+        return rows.join(best, "component_id").filter("own <> best").select("doc_id", "text_key").distinct()
+
+    gone = distilled(docs.sparkSession, left_out, "near-gone").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    keyed = docs.withColumn("__text_key", _text_key(docs))
+    left = keyed.join(gone, (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left_anti")
+    return left.drop("__text_key")

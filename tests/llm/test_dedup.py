@@ -62,6 +62,40 @@ def test_near_duplicates_defined_cases(spark, make_docs):
     assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "1", "None"]
 
 
+def test_rows_that_share_a_doc_id(make_docs, words):
+    a, b, c, d = (" ".join(words[k * 40 : k * 40 + 40]) for k in range(4))
+    docs = make_docs([(0, a), (1, a), (1, b), (2, b), (5, c), (5, a), (6, d), (6, None), (7, d + " end")])
+    found = {(r.doc_id, r.n_shingles > 0): r.component_id for r in near_duplicates(docs).collect()}
+    assert found == {(0, True): 0, (1, True): 0, (2, True): 0, (5, True): 0, (6, True): 6, (6, False): 6, (7, True): 6}
+    left = sorted((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect() if r.text)
+    assert left == sorted([(0, a), (1, b), (5, c), (6, d)])
+
+
+def test_texts_with_one_long_passage_make_few_pairs(spark, make_docs, monkeypatch):
+    """Texts alike to 60 % by a common passage: buckets bring them together by chance,
+    and the rarest shingles pair only the near copies among them."""
+    from strata.llm import common
+
+    rng = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(120))
+    texts = {}
+    for k in range(0, 2000, 2):
+        own = [f"x{k}-{i}" for i in range(40)]
+        texts[k] = passage + " " + " ".join(own)
+        if k % 20 == 0:
+            own[rng.randrange(8, 32)] = "changed"
+        else:
+            own = [f"y{k}-{i}" for i in range(40)]
+        texts[k + 1] = passage + " " + " ".join(own)
+    counted = []
+    plain = common.confirmed_pairs
+    monkeypatch.setattr(common, "confirmed_pairs", lambda pairs, *rest: counted.append(pairs.count()) or plain(pairs, *rest))
+    rows = near_duplicates(make_docs(texts)).collect()
+    expected = {k: k - k % 2 if (k - k % 2) % 20 == 0 else k for k in texts}
+    assert {r.doc_id: r.component_id for r in rows} == expected
+    assert sum(counted) < 6 * len(texts)
+
+
 def test_signatures_are_full_and_estimate_similarity():
     a = shingle_set(b" ".join(b"%d" % i for i in range(400)))
     b = shingle_set(b" ".join(b"%d" % i for i in range(40, 440)))
@@ -72,10 +106,7 @@ def test_signatures_are_full_and_estimate_similarity():
 
 
 def _runs(line: str) -> set[str]:
-    n = SHINGLE_CHARS
-    every = len(line.encode()) > 2 * len(line)
-    starts = [i for i in range(len(line) - n + 1) if every or i == 0 or line[i - 1] == " "]
-    return {line[i : i + n] for i in starts} or {line}
+    return {line[i : i + SHINGLE_CHARS] for i in range(max(1, len(line) - SHINGLE_CHARS + 1))}
 
 
 def _cut(texts: dict, percent: int = 75) -> dict:
@@ -119,24 +150,13 @@ def test_lines_defined_cases(make_docs):
     assert dedup_lines(docs.limit(0)).count() == 0
 
 
-def _whole_cut(texts: dict) -> dict:
-    """Dropped line numbers by the Jaccard similarity of all character runs of all pairs."""
-    runs = {line: {line[i : i + 12] for i in range(max(1, len(line) - 11))} for t in texts.values() for line in t.split("\n")}
-    root = components(runs)
-    seen, out = set(), {}
-    for k in sorted(texts):
-        lines = texts[k].split("\n")
-        out[k] = [i for i, line in enumerate(lines) if root[line] in seen or seen.add(root[line])]
-    return out
-
-
 def test_lines_compared_to_their_last_character(make_docs):
     same_start = ["import numpy", "import numpy as np", "return self.x", "return self.value", "https://example.com/a", "https://example.com/some/other"]
     tokens = [f"/usr/share/lib/{'abcdefgh'[k] * 9}/{'stuvwxyz'[k] * 7}" for k in range(8)]
     ends = ["a common start of lines " + w for w in ("x", "y", "which ends quite otherwise", "and then goes another way")]
     emoji = ["😀" * 5 + "abcdefghij" + c for c in ("k", "lmnopqrs")]
     texts = {k: line for k, line in enumerate(same_start + tokens + ends + emoji)}
-    expected = _whole_cut(texts)
+    expected = _cut(texts)
     rows = {r.doc_id: r.dropped_lines for r in dedup_lines(make_docs(texts)).collect()}
     assert rows == expected
     assert sum(map(len, expected.values())) < 4
