@@ -11,8 +11,10 @@ character class a window of 20 characters slides over it. Per step the count
 of the character that enters goes up and that of the one that leaves goes
 down, and the sum of c * log2(c) changes by those two terms alone; the Shannon
 entropy of the window is log2(20) - sum / 20. Windows wholly inside the class
-at or above its limit are spans; overlapping ones are one span. Candidates on
-the allow-list, segments with an allow-listed word and spans inside a known
+at or above its limit are spans; overlapping ones are one span. Paths, dates and
+names are rich in characters, too, but change between digits, capitals and small
+letters only where their words do: a window must hold a number of such changes,
+counted in the same way. Candidates on the allow-list, segments with an allow-listed word and spans inside a known
 shape are suppressed.
 """
 
@@ -33,20 +35,25 @@ ASSIGN_VALUE = 6
 WINDOW = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
-# Character classes of the entropy scan: alphabet and limit in bits (the most
-# a window of 20 can have is 4.32, for hex digits 3.92).
+# Character classes of the entropy scan: alphabet, limit in bits (the most a
+# window of 20 can have is 4.32, for hex digits 3.92) and least number of changes.
 CLASSES = {
-    "entropy_hex": (DIGITS + "abcdefABCDEF", 2.9),
-    "entropy_base36": (DIGITS + LOWER, 3.4),
-    "entropy_base64": (DIGITS + LOWER + LOWER.upper() + "+/_=-", 3.6),
+    "entropy_hex": (DIGITS + "abcdefABCDEF", 2.9, 2),
+    "entropy_base36": (DIGITS + LOWER, 3.4, 2),
+    "entropy_base64": (DIGITS + LOWER + LOWER.upper() + "+/_=-", 3.6, 3),
 }
+# Two characters that change between digits, capitals and small letters; a
+# capital before small letters begins a word and is none.
+CHANGE = "[a-z][A-Z0-9]|[0-9][a-zA-Z]|[A-Z][0-9]"
 # A candidate on the allow-list is no secret by its entropy: words without a
-# digit, numbers, UUIDs, running alphabets and stated examples. The last pattern
+# digit, numbers, UUIDs, names of small or capitalised words with a number at
+# their end, running alphabets and stated examples. The last pattern
 # suppresses only the segment (ended by one of /_=) that holds its word.
 ALLOW = (
     r"^[^0-9]*$",
     r"^[0-9_=-]*$",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
+    r"^(?:[/_=-]*+[A-Z]?+[a-z]++)++[/_=-]*+[0-9]{0,4}$",
     r"(?i)0123456789|abcdefgh|example|placeholder|changeme",
 )
 KINDS = ("assign", "access", "hex", *CLASSES)
@@ -78,7 +85,7 @@ def _matches(text: Column, pattern: str, keep_group: int | None = None) -> Colum
     return F.when(text.rlike(pattern), spans).otherwise(empty)
 
 
-def _entropy_spans(candidate: Column, alphabet: str, limit: float) -> Column:
+def _entropy_spans(candidate: Column, alphabet: str, limit: float, changes: int) -> Column:
     """``array<struct<start, end>>`` within a candidate string (ASCII)."""
     table = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     n = len(alphabet)
@@ -87,6 +94,7 @@ def _entropy_spans(candidate: Column, alphabet: str, limit: float) -> Column:
         F.array_repeat(F.lit(0), n).alias("counts"),
         F.lit(0.0).alias("sum"),
         F.lit(0).alias("outside"),
+        F.lit(0).alias("turns"),
         F.array().cast(spans_type).alias("spans"),
     )
 
@@ -105,11 +113,13 @@ def _entropy_spans(candidate: Column, alphabet: str, limit: float) -> Column:
             + F.when(enters == 0, 1).otherwise(0)
             - F.when(gone & (leaves == 0), 1).otherwise(0)
         )
+        change = lambda at: F.when(F.substring(candidate, at, F.lit(2)).rlike(CHANGE), 1).otherwise(0)
+        turns = acc["turns"] + F.when(i > 1, change(i - 1)).otherwise(0) - F.when(gone, change(i - WINDOW)).otherwise(0)
         counts = F.transform(
             acc["counts"],
             lambda c, k: c + F.when(k == enters - 1, 1).otherwise(0) - F.when(k == leaves - 1, 1).otherwise(0),
         )
-        high = (i >= WINDOW) & (outside == 0) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= limit)
+        high = (i >= WINDOW) & (outside == 0) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= limit) & (turns >= changes)
         start = (i - WINDOW).cast("int")
         last = F.get(acc["spans"], F.size(acc["spans"]) - 1)
         head = F.slice(acc["spans"], F.lit(1), F.greatest(F.size(acc["spans"]) - 1, F.lit(0)))
@@ -123,7 +133,11 @@ def _entropy_spans(candidate: Column, alphabet: str, limit: float) -> Column:
             .otherwise(F.concat(acc["spans"], span(start)))
         )
         return F.struct(
-            counts.alias("counts"), total.alias("sum"), outside.cast("int").alias("outside"), spans.cast(spans_type).alias("spans")
+            counts.alias("counts"),
+            total.alias("sum"),
+            outside.cast("int").alias("outside"),
+            turns.cast("int").alias("turns"),
+            spans.cast(spans_type).alias("spans"),
         )
 
     return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step, lambda acc: acc["spans"])
@@ -186,9 +200,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     base = F.concat(*[_placed(F.col(f"__{k}"), k) for k in ("assign", "access", "hex")])
     d = d.withColumn("__base", base)
     found = []
-    for kind, (alphabet, limit) in CLASSES.items():
+    for kind, limits in CLASSES.items():
         def within(c: Column) -> Column:
-            spans = _entropy_spans(c["match"], alphabet, limit)
+            spans = _entropy_spans(c["match"], *limits)
             return F.transform(
                 spans, lambda s: F.struct((c["start"] + s["start"]).alias("start"), (c["start"] + s["end"]).alias("end"))
             )
