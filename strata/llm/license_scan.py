@@ -13,7 +13,8 @@ window alike to a template window to 0.75 shares a band with probability
 template is retrieved by windows of one shingle, whose MinHash is its hash.
 
 Texts with a window in some template's bands are verified: the share of a
-template's distinct shingles that the text contains, exactly. SPDX lines are
+template's distinct shingles that the text contains, exactly. Short templates
+must be contained whole: "version 2" and "version 3" differ in one word. SPDX lines are
 too short for shingles: a pattern reads them, whatever license they name.
 
 Templates are a parameter (a few hundred texts at most): their bands and
@@ -167,6 +168,7 @@ for _id, _names in NAMES.items():
     for _k, _name in enumerate(_names):
         for _verb in ("licensed", "released", "distributed", "available"):
             TEMPLATES[f"{_id}-{_verb}-{_k}"] = f"{_verb} under the {_name}"
+        TEMPLATES[f"{_id}-terms-{_k}"] = f"under the terms of the {_name}"
 # Creative Commons: "CC BY-NC 4.0" and the long name, of each kind and version.
 CC_KINDS = {
     "by": "Attribution",
@@ -269,7 +271,8 @@ def _templates(spark: SparkSession, templates: Mapping[str, str]) -> tuple[dict[
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """``docs`` with ``n_windows`` (distinct template bands and short shingles met) and
     ``matches``: per template of which the text contains at least ``percent``
-    percent of the distinct shingles a struct ``license_id, shared, total,
+    percent of the distinct shingles (all of them, if the template has fewer than
+    16) a struct ``license_id, shared, total,
     first`` (``first``: place of its first shingle in the text, from 0), by id;
     an SPDX line is a match of id ``spdx:`` and its expression, 1 of 1.
 
@@ -296,8 +299,10 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, per
             both = F.array_intersect("__met", own)
             shared = F.size(both)
             first = F.array_position("__h", F.get(both, F.lit(0))).cast("int") - 1
+            # In a short form each word tells: version, verb or kind.
+            least = 100 if len(hashes) < WINDOW else percent
             checks.append(F.when(
-                shared * 100 >= len(hashes) * percent,
+                shared * 100 >= len(hashes) * least,
                 F.struct(F.lit(license_id).alias("license_id"), shared.alias("shared"), F.lit(len(hashes)).alias("total"), first.alias("first")),
             ))
     matches = F.filter(F.array(*checks), lambda m: m.isNotNull()) if checks else empty
