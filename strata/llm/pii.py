@@ -6,13 +6,17 @@ Detected: e-mail addresses, IPv4 addresses, telephone, card and social-security
 numbers, and names after a title, in Latin, Cyrillic and Greek script. A match
 is one or two entities: its kind and a normal value (lower-case address, bare
 digits, a given or a family name), so that a number written in two ways or a
-family name met alone and with a given name is one entity (coreference).
+family name met alone and with a given name is one entity (coreference). A
+family name found after a title is replaced wherever else it stands as a word in
+the same text, also in capitals or before a possessive 's.
 
 A surrogate is drawn from SHA-256 of a secret key, the kind, the value and an
 attempt number. It has the kind's format: digits for digits in the place and
 punctuation of the original, valid octets, a valid check digit where the
 original had one, letters of the same script and case, given names of the
-title's gender. Entities of the whole corpus are compared: of those that drew
+title's gender (of either for Dr and Prof). Later attempts add letters, digits or
+syllables, and for IPv4 turn to documentation addresses of IPv6, so no format is
+ever used up. Entities of the whole corpus are compared: of those that drew
 the same surrogate, or one that is some entity's real value, the first by hash
 keeps it and the others draw again, until all differ (distinctness).
 
@@ -31,6 +35,7 @@ from strata.llm.common import write_once
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "г-жа", "Κυρία"),
     "m": ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "г-н", "Κύριος"),
+    "n": ("Dr", "Doctor", "Prof", "Professor"),
 }
 GIVEN = {
     "f_latin": ("Anna", "Clara", "Elena", "Greta", "Helen", "Ida", "Julia", "Laura", "Maria", "Nina", "Rosa", "Sofia"),
@@ -40,6 +45,9 @@ GIVEN = {
     "f_greek": ("Άννα", "Ελένη", "Ζωή", "Ιωάννα", "Μαρία", "Σοφία"),
     "m_greek": ("Ανδρέας", "Γιώργος", "Νίκος", "Παύλος", "Πέτρος", "Σπύρος"),
 }
+GIVEN |= {f"n_{script}": GIVEN[f"f_{script}"] + GIVEN[f"m_{script}"] for script in ("latin", "cyrillic", "greek")}
+# Attempts that keep the exact format of addresses and numbers.
+SAME_FORMAT = 6
 # Syllables of made-up names: first, middle, last.
 SYLLABLES = {
     "latin": (("Bar", "Cal", "Den", "Fal", "Gor", "Hal", "Kel", "Lam", "Mor", "Nor", "Pel", "Ral", "Sor", "Tal", "Var", "Wil"),
@@ -50,7 +58,8 @@ SYLLABLES = {
               ("α", "ι", "ο", "ατο", "ικο"), ("δης", "κης", "λου", "νος", "πουλος", "της")),
 }
 _TITLE = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, reverse=True))
-_NAME = r"\p{Lu}[\p{L}\p{M}'’-]*+"
+# An apostrophe belongs to a name (O'Brien) unless a possessive s follows it.
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}-]|['’](?![sS](?![\p{L}\p{M}])))*+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Runs are possessive and start at their boundary, so matching stays linear.
 PATTERNS = {
@@ -84,15 +93,30 @@ def _name_parts(match: Column) -> dict[str, Column]:
     """Title with its spaces, given name (may be empty) and family name."""
     parts = F.split(match, " ")
     n = F.size(parts)
-    female = match.rlike(rf"^(?:{'|'.join(TITLES['f'])})(?![\p{{L}}\p{{M}}])")
+    titled = lambda g: match.rlike(rf"^(?:{'|'.join(TITLES[g])})(?![\p{{L}}\p{{M}}])")
     return {
         "title": F.get(parts, F.lit(0)),
         "given": F.when(n > 2, F.get(parts, F.lit(1))).otherwise(F.lit("")),
         "family": F.get(parts, n - 1),
-        "gender": F.when(female, "f").otherwise("m"),
+        "gender": F.when(titled("f"), "f").when(titled("n"), "n").otherwise("m"),
     }
 
 
+def _plain_name(name: Column) -> Column:
+    """A name without capitals throughout: JONES is Jones."""
+    return F.when(_capitals(name), F.initcap(F.lower(name))).otherwise(name)
+
+
+def _capitals(name: Column) -> Column:
+    return (F.length(name) > 1) & (name == F.upper(name)) & (name != F.lower(name))
+
+
+def _family_kind(script: Column, gender: Column) -> Column:
+    # Family names have a gender in Cyrillic script only: Mr and Mrs Smith share theirs.
+    gendered = F.when((script == "cyrillic") & (gender != "n"), F.concat_ws("_", F.lit("family"), gender, script))
+    return F.coalesce(gendered, F.concat_ws("_", F.lit("family"), script))
+
+
 def _entities(match: Column) -> Column:
     """``array<struct<kind, value>>`` of a match."""
 
@@ -102,10 +126,8 @@ def _entities(match: Column) -> Column:
     kind = _kind(match)
     name = _name_parts(match)
     script = _script(name["family"])
-    given = one(F.concat_ws("_", F.lit("given"), name["gender"], script), name["given"])
-    # Family names have a gender in Cyrillic script only: Mr and Mrs Smith share theirs.
-    gendered = F.when(script == "cyrillic", F.concat_ws("_", F.lit("family"), name["gender"], script))
-    family = one(F.coalesce(gendered, F.concat_ws("_", F.lit("family"), script)), name["family"])
+    given = one(F.concat_ws("_", F.lit("given"), name["gender"], script), _plain_name(name["given"]))
+    family = one(_family_kind(script, name["gender"]), _plain_name(name["family"]))
     return (
         F.when(kind == "name", F.when(name["given"] != "", F.array(given, family)).otherwise(F.array(family)))
         .when(kind == "email", F.array(one(kind, F.lower(match))))
@@ -138,7 +160,14 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
     check = (10 - _luhn(F.concat(body, F.lit("0")))) % 10
     card = F.when(_luhn(value) == 0, F.concat(body, check.cast("string"))).otherwise(digits)
+    extra = F.greatest(attempt - F.lit(SAME_FORMAT - 1), F.lit(0))
+    places = F.when(extra > 0, F.sequence(F.lit(1), extra)).otherwise(F.array().cast("array<int>"))
+    more_digits = F.array_join(F.transform(places, lambda i: digit(i + 40)), "")
+    more_letters = F.array_join(F.transform(places, lambda i: letter("a", 26, i + 40)), "")
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (byte(i) % 254 + 1).cast("string")), ".")
+    # 2001:db8::/32 is kept for documentation.
+    groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.substring(stream, i * 4 + 1, F.lit(4))), ":")
+    ip = F.when(attempt < SAME_FORMAT, ip).otherwise(F.concat(F.lit("2001:db8:"), groups))
 
     def in_address(c: Column, i: Column) -> Column:
         return (
@@ -152,23 +181,25 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
     # The last label of an address stays.
     last = F.concat(F.lit("."), F.substring_index(value, ".", -1))
     front = F.substring(value, F.lit(1), F.length(value) - F.length(last))
-    email = F.concat(F.array_join(F.transform(F.split(front, ""), in_address), ""), last)
+    drawn = F.array_join(F.transform(F.split(front, ""), in_address), "")
+    email = F.concat(F.replace(drawn, F.lit("@"), F.concat(more_letters, F.lit("@"))), last)
 
     def pick(values: tuple[str, ...], i: int) -> Column:
         return F.get(F.array(*[F.lit(v) for v in values]), byte(F.lit(i)) % len(values))
 
     # Each further attempt may add a middle syllable, so the names never run out.
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
+    out = F.when(kind == "email", email).when(kind == "ip", ip)
+    out = out.when(kind == "card", F.when(attempt < SAME_FORMAT, card).otherwise(F.concat(digits, more_digits)))
     for script, (first, middle, last_one) in SYLLABLES.items():
         middles = F.array(*[F.lit(m) for m in middle])
         inner = F.array_join(F.transform(F.sequence(F.lit(0), attempt + 1), lambda i: F.get(middles, byte(i + 8) % F.size(middles))), "")
         made = F.concat(pick(first, 1), inner, pick(last_one, 2))
         out = out.when(kind.isin(f"family_{script}", f"family_m_{script}"), made)
         out = out.when(kind == f"family_f_{script}", F.concat(made, F.lit("а")))
-        for gender in ("f", "m"):
+        for gender in ("f", "m", "n"):
             listed = pick(GIVEN[f"{gender}_{script}"], 3)
             out = out.when(kind == f"given_{gender}_{script}", F.when(attempt < 3, listed).otherwise(F.concat(listed, F.lit("-"), made)))
-    return out.otherwise(digits)
+    return out.otherwise(F.concat(digits, more_digits))
 
 
 def resolve_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -199,7 +230,8 @@ def resolve_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _as_written(match: Column, surrogate: Column) -> Column:
-    """The surrogate's digits in the places of the match's digits."""
+    """The surrogate's digits in the places of the match's digits, any others at
+    the end."""
     chars = F.split(match, "")
     spread = F.aggregate(
         chars,
@@ -208,7 +240,7 @@ def _as_written(match: Column, surrogate: Column) -> Column:
             c.rlike(r"\d"),
             F.struct(F.concat(acc["out"], F.substring(surrogate, acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at")),
         ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at"))),
-        lambda acc: acc["out"],
+        lambda acc: F.concat(acc["out"], F.substr(surrogate, acc["at"])),
     )
     return spread
 
@@ -218,22 +250,40 @@ def _same_case(match: Column, surrogate: Column) -> Column:
     return F.array_join(letters, "")
 
 
+def _in_case(name: Column, surrogate: Column) -> Column:
+    return F.when(_capitals(name), F.upper(surrogate)).otherwise(surrogate)
+
+
 def _replacement(match: Column, surrogates: Column) -> Column:
     """A match with its surrogates, which come in the order of its entities."""
     kind = _kind(match)
-    title = _name_parts(match)["title"]
+    name = _name_parts(match)
     first = F.get(surrogates, F.lit(0))
+    family = _in_case(name["family"], F.element_at(surrogates, -1))
+    named = F.when(name["given"] != "", F.concat(_in_case(name["given"], first), F.lit(" "), family)).otherwise(family)
     return (
-        F.when(kind == "name", F.concat(title, F.lit(" "), F.array_join(surrogates, " ")))
+        F.when(kind == "name", F.concat(name["title"], F.lit(" "), named))
         .when(kind == "email", _same_case(match, first))
         .when(kind == "ip", first)
         .otherwise(_as_written(match, first))
     )
 
 
+# A capitalised word, as a name may stand in a text without a title.
+WORD_NAME = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
+
+
+def _family_of(word: Column, known: Column) -> Column:
+    """The surrogate of a word that is a known family name of its text, else null."""
+    script, plain = _script(word), _plain_name(word)
+    keys = [F.concat(_family_kind(script, F.lit(g)), F.lit("\x1f"), plain) for g in ("n", "f", "m")]
+    return F.coalesce(*[F.try_element_at(known, k) for k in keys])
+
+
 def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """``docs`` with ``text`` pseudonymised, and two more columns: ``n_pii``
-    (matches) and ``pii_kinds`` (their kinds in text order).
+    (matches) and ``pii_kinds`` (their kinds in text order; family names that
+    stand without a title come last).
 
     Equal entities have equal surrogates in all documents of the call, and
     different ones different. ``key`` should be secret: who has it can test
@@ -244,12 +294,14 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     other; columns pass through, and input columns named ``n_pii`` or
     ``pii_kinds`` are replaced; an empty table gives an empty result.
     """
+    columns = [c for c in docs.columns if c not in ("n_pii", "pii_kinds")]
+    docs = docs.select(*columns)
     text = F.coalesce(F.col("text"), F.lit(""))
-    kinds = F.array().cast("array<string>")
-    hit = docs.filter(text.rlike(ANY))
-    clean = docs.filter(~text.rlike(ANY)).withColumns({"n_pii": F.lit(0), "pii_kinds": kinds})
-    found = hit.withColumn("__row", F.sha2(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text), 256))
-    found = found.withColumn("__found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    # The texts with a match are written with what was found: the pattern runs once for both later reads.
+    found = docs.withColumn("__found", F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).filter(F.size("__found") > 0)
+    same = F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text)
+    found = write_once(found.withColumn("__row", F.sha2(same, 256)), "pii-found")
+    clean = docs.filter(~text.rlike(ANY))
     each = found.select("__row", F.explode(F.flatten(F.transform("__found", _entities))).alias("e")).select("__row", "e.kind", "e.value").distinct()
     each = write_once(each, "pii-entities")
     known = resolve_surrogates(write_once(each.select("kind", "value").distinct(), "pii-distinct"), key)
@@ -262,12 +314,24 @@ def replace_pii(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
         drawn = F.transform(_entities(match), lambda e: F.element_at(F.col("__map"), F.concat_ws("\x1f", e["kind"], e["value"])))
         return _replacement(match, drawn)
 
-    done = done.withColumn("__new", F.transform("__found", new))
-    cuts = F.split(text, ANY, -1)
-    woven = F.zip_with(cuts, F.col("__new"), lambda cut, n: F.concat(cut, F.coalesce(n, F.lit(""))))
-    done = done.withColumns({
-        "n_pii": F.size("__found"),
-        "pii_kinds": F.transform("__found", _kind),
-        "text": F.array_join(woven, ""),
-    })
-    return clean.unionByName(done.select(*clean.columns))
+    def untitled(cut: Column) -> Column:
+        """A stretch between matches: its words and what they become (or null)."""
+        words = F.regexp_extract_all(cut, F.lit(WORD_NAME), F.lit(0))
+        become = F.transform(words, lambda w: F.struct(w.alias("was"), _in_case(w, _family_of(w, F.col("__map"))).alias("now")))
+        return F.struct(F.split(cut, WORD_NAME, -1).alias("rest"), become.alias("words"))
+
+    named = F.exists(F.map_keys("__map"), lambda k: k.startswith("family"))
+    done = done.withColumns({"__new": F.transform("__found", new), "__cuts": F.split(text, ANY, -1), "__named": named})
+    plain = F.transform("__cuts", lambda c: F.struct(F.array(c).alias("rest"), F.array().cast("array<struct<was:string,now:string>>").alias("words")))
+    done = done.withColumn("__parts", F.when(F.col("__named"), F.transform("__cuts", untitled)).otherwise(plain))
+
+    def woven(part: Column) -> Column:
+        return F.array_join(F.zip_with(part["rest"], part["words"], lambda r, w: F.concat(r, F.coalesce(w["now"], w["was"], F.lit("")))), "")
+
+    whole = F.zip_with(F.transform("__parts", woven), F.col("__new"), lambda cut, n: F.concat(cut, F.coalesce(n, F.lit(""))))
+    more = F.flatten(F.transform("__parts", lambda p: F.filter(p["words"], lambda w: w["now"].isNotNull())))
+    kinds = F.concat(F.transform("__found", _kind), F.transform(more, lambda w: F.lit("name")))
+    done = done.withColumns({"__text": F.array_join(whole, ""), "pii_kinds": kinds})
+    replaced = [F.col("__text").alias("text") if c == "text" else F.col(c) for c in columns]
+    done = done.select(*replaced, F.size("pii_kinds").alias("n_pii"), "pii_kinds")
+    return clean.withColumns({"n_pii": F.lit(0), "pii_kinds": F.array().cast("array<string>")}).unionByName(done)

@@ -42,12 +42,13 @@ def _entropy(text: str, base: list) -> list[tuple[int, int, int]]:
     for m in re.finditer(S.CANDIDATE, text):
         if any(re.search(p, m[0]) for p in S.ALLOW):
             continue
-        for kind, (alphabet, limit) in S.CLASSES.items():
+        for kind, (alphabet, limit, changes) in S.CLASSES.items():
             spans: list[list[int]] = []
             for i in range(len(m[0]) - S.WINDOW + 1):
                 w = m[0][i : i + S.WINDOW]
                 h = -sum(c / S.WINDOW * math.log2(c / S.WINDOW) for c in Counter(w).values())
-                if set(w) <= set(alphabet) and h >= limit:
+                turns = sum(bool(re.match(S.CHANGE, w[k : k + 2])) for k in range(S.WINDOW - 1))
+                if set(w) <= set(alphabet) and h >= limit and turns >= changes:
                     if spans and spans[-1][1] >= i:
                         spans[-1][1] = i + S.WINDOW
                     else:
@@ -84,6 +85,18 @@ def test_random_tokens_and_examples_in_paths(make_docs):
     assert spans[1001] == "" and spans[1002] == ""
 
 
+def test_paths_dates_and_names_are_no_secrets(make_docs):
+    texts = {
+        1: "see https://example.org/articles/2023/how-to-cook-dinner",
+        2: "document.getElementByIdAndClassName2(x)",
+        3: "/usr/share/lib/python3/site-packages/numpy",
+        4: "2024-01-15T10-22-33_report-final-v2",
+        5: "key q7Zp4LmX9vBt2KdW8nRs5YcH3 in the middle",
+    }
+    spans = {r.doc_id: r.spans for r in S.scan_secrets(make_docs(texts)).collect()}
+    assert [k for k in spans if spans[k]] == [5]
+
+
 def test_licenses_equal_containment(make_docs, words):
     grant = L.TEMPLATES["mit-grant"].split()
     edited = list(grant)
@@ -104,7 +117,7 @@ def test_licenses_equal_containment(make_docs, words):
     docs = make_docs(texts).withColumn("matches", F.lit(0))
     for r in L.scan_licenses(docs).collect():
         own = normal(texts[r.doc_id])
-        expected = {k: len(t & own) for k, t in templates.items() if 100 * len(t & own) >= 75 * len(t)}
+        expected = {k: len(t & own) for k, t in templates.items() if 100 * len(t & own) >= (75 if len(t) >= 16 else 100) * len(t)}
         assert {m.license_id: m.shared for m in r.matches} == expected
     assert L.scan_licenses(docs.limit(0)).count() == 0
 
@@ -118,6 +131,9 @@ def test_short_forms_and_spdx_lines(make_docs):
         5: "Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported",
         6: "Nothing is said of any license here.",
         7: "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007",
+        8: "Licensed under the GNU General Public License, version 2.0 only",
+        9: "Use it under the terms of the MIT license.",
+        10: "Available under the Apache License, Version 1.1.",
     }
     found = {r.doc_id: {m.license_id: m.first for m in r.matches} for r in L.scan_licenses(make_docs(texts)).collect()}
     assert found == {
@@ -128,6 +144,9 @@ def test_short_forms_and_spdx_lines(make_docs):
         5: {"cc-by-nc-sa-3.0-name": 0},
         6: {},
         7: {"gpl-3.0-heading": 0},
+        8: {"gpl-2.0-licensed-2": 0},
+        9: {"mit-terms-0": 2},
+        10: {},
     }
 
 
@@ -188,3 +207,36 @@ def test_surrogates_stay_distinct(spark, make_docs):
     rows = replace_pii(make_docs({k: p for k, p in enumerate(people)})).collect()
     given = {r.text.split(" ")[1] for r in rows}
     assert len(given) == len(people) and len({r.text.split(" ")[2] for r in rows}) == 1
+
+
+def test_pii_formats_do_not_run_out(make_docs):
+    """Every address of the format is somebody's, so all surrogates are longer."""
+    addresses = [f"{a}@{b}.co" for a in range(10) for b in range(10)]
+    texts = {k: f"write to {x} today" for k, x in enumerate(addresses)}
+    texts |= {1000 + k: f"call 555-010-{k:04d}" for k in range(50)}
+    rows = {r.doc_id: r for r in replace_pii(make_docs(texts), key="k").collect()}
+    new = [rows[k].text.split()[2] for k in range(100)]
+    assert len(set(new)) == 100 and not set(new) & set(addresses)
+    assert all(x.endswith(".co") and "@" in x for x in new)
+
+
+def test_pii_names_are_replaced_wherever_they_stand(make_docs):
+    texts = {
+        1: "Mr. Smith's car; Mr. Smith",
+        2: "Mr. Smith called. Smith said so, SMITH did; Smithson did not.",
+        3: "Dr. Jane Smith and Prof. O'Brien met Mr. JONES",
+        4: "Smith alone is not known here",
+        5: "Г-н Иванов, г-н Иванов и Иванов",
+    }
+    rows = {r.doc_id: r for r in replace_pii(make_docs(texts), key="k").collect()}
+    one = rows[1].text.split("'s car; ")
+    assert len(one) == 2 and one[0].split()[-1] == one[1].split()[-1] != "Smith"
+    name = one[1].split()[-1]
+    assert rows[2].text == f"Mr. {name} called. {name} said so, {name.upper()} did; Smithson did not."
+    assert rows[2].n_pii == 3 and rows[2].pii_kinds == ["name"] * 3
+    three = rows[3].text
+    assert name in three and not any(x in three for x in ("Jane", "Smith", "Brien", "JONES"))
+    assert three.split()[-1].isupper() and three.startswith("Dr. ")
+    assert rows[4].text == texts[4] and rows[4].n_pii == 0
+    five = rows[5].text
+    assert "Иванов" not in five and five.split()[-1] == five.split("г-н ")[1].split()[0]
