@@ -7,9 +7,11 @@ room left (0 to the window size) finds that window in logarithmic time.
 
 Tokenising is one pass by Arrow batches that keeps only lengths and checksums,
 so the shuffle carries a few numbers per piece, never ids or texts. Pieces are
-dealt to shards of about ``PIECES_PER_SHARD`` by their place in the written
-table, so copies of one document spread; each shard is packed by one task in
-memory that doesn't grow with the corpus.
+numbered in the order of the documents and dealt to shards of
+``PIECES_PER_SHARD`` by it; each shard is packed by one task in memory that
+doesn't grow with the corpus. Sequences are numbered by their earliest piece,
+so ``sequence_id`` follows the documents' order from shard to shard, and two
+runs agree.
 
 The tokenizer drops white space and never joins characters across it, so a
 text's ids are the ids of its white-space-free chunks in order. A chunk of
@@ -21,19 +23,18 @@ words seen, in caches of bounded size.
 
 from __future__ import annotations
 
-import math
 import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import write_once
+from strata.llm.common import with_places, write_once
 
 WINDOW = 2048
 END_ID = 1
@@ -43,6 +44,7 @@ CHUNK_CACHE, WORD_CACHE = 400_000, 800_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
+_PIECE_COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 # Latin letters that normalisation and lower case change one by one, then ASCII
 # marks other than the apostrophe (which starts contractions).
@@ -116,16 +118,18 @@ def _pieces(name: str, window: int, end_id: int) -> Callable[[Iterator[pa.Record
         end = _packed([end_id])
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            of: list[int] = []
+            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
                 data = ids.text(text.as_py()) + end
                 total = len(data) // 4
                 for start in range(0, total, window):
                     part = data[4 * start : 4 * (start + window)]
                     rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
+                    of.append(k)
             columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            )
+            order = [c.take(pa.array(of, pa.int64())) for c in batch.columns[2:]]
+            names = [*_PIECE_COLUMNS, *[f"order{k}" for k in range(len(order))]]
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], *order], names)
 
     return run
 
@@ -175,6 +179,7 @@ def pack(
     tokenizer: str = TOKENIZER,
     end_id: int = END_ID,
     pieces_per_shard: int = PIECES_PER_SHARD,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.
@@ -182,24 +187,31 @@ def pack(
     ``start`` counts the document's ids before the piece, ``offset`` the ids
     before it in its sequence; pieces of a sequence follow each other without
     gaps, up to ``window`` ids. ``ids_crc32`` is the unsigned checksum of the
-    piece's ids as little-endian unsigned 32-bit numbers.
+    piece's ids as little-endian unsigned 32-bit numbers. ``order`` gives the
+    documents' order (columns of ``docs``); without it they go by doc_id.
 
     Defined cases: a null or empty text is the end id alone; repeated rows are
     packed once each; a null doc_id stays null; long texts give many full
     windows; only ``doc_id`` and ``text`` are read; an empty table gives an
     empty result.
     """
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    pieces = write_once(whole.mapInArrow(_pieces(tokenizer, window, end_id), PIECES), "pieces")
-    shards = max(1, math.ceil(pieces.count() / pieces_per_shard))
-    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
-    dealt = pieces.select("*", F.pmod(place, F.lit(shards)).alias("shard"))
+    keys = [c.alias(f"order{k}") for k, c in enumerate(order)]
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *keys)
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in whole.schema.fields[2:]]
+    pieces = write_once(whole.mapInArrow(_pieces(tokenizer, window, end_id), ", ".join([PIECES, *kinds])), "pieces")
+    by = [f"order{k}" for k in range(len(keys))] + ["doc_id", "start", "ids_crc32", "length"]
+    placed = with_places(pieces.withColumn("all", F.lit(0)), "all", by, "pieces-sorted")
+    dealt = placed.select(*_PIECE_COLUMNS, "place", F.floor(F.col("place") / pieces_per_shard).cast("int").alias("shard"))
 
     def pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        # Of equal lengths the earlier piece goes first.
+        rows = rows.sort_values(["length", "place"], ascending=[False, True])
         bins, rows["offset"] = best_fit(rows["length"].to_numpy(), window)
-        rows["sequence_id"] = (int(key[0]) << 32) + bins
+        earliest = rows["place"].groupby(bins).min()
+        numbered = np.empty(len(earliest), np.int64)
+        numbered[earliest.sort_values().index.to_numpy()] = np.arange(len(earliest))
+        rows["sequence_id"] = (int(key[0]) << 32) + numbered[bins]
         rows["doc_id"] = rows["doc_id"].astype("Int64")
-        return rows.drop(columns="shard")
+        return rows.drop(columns=["shard", "place"])
 
     return dealt.groupBy("shard").applyInPandas(pack_shard, PACKED)

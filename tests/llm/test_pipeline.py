@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from strata.llm.common import write_once
 from strata.llm.near_dedup import near_duplicates
 from strata.llm.queries import QUERIES
 from tests.llm.brute import components, shingles
@@ -22,7 +23,7 @@ def test_stages_take_effect(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        out = corpus_pipeline.write_once(stage(spark, docs, SF), f"test-{name}")
+        out = write_once(stage(spark, docs, SF), f"test-{name}")
         before = {r.doc_id: r for r in docs.collect()}
         rows = out.collect()
         if k < 4:
