@@ -10,7 +10,8 @@ line_dedup  duplicate lines are cut from the texts; every document's row stays,
 near_dedup  of each group of near-duplicates the smallest doc_id stays
 mixing      documents are repeated or left out so that sources reach their
             target shares, and sorted by training position
-packing     one row per piece of a packed sequence of at most 2048 tokens
+packing     one row per piece of a packed sequence of at most 2048 tokens; the
+            sequences follow the order that mixing made
 
 Defined cases are those of the operators; an empty table gives empty results.
 """
@@ -22,8 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table, write_once
-from strata.llm.line_dedup import dedup_lines
+from strata.llm.common import distilled, drop_written, table
+from strata.llm.line_dedup import without_duplicate_lines
 from strata.llm.mixing import mixed_documents
 from strata.llm.near_dedup import drop_near_duplicates
 from strata.llm.packing import pack
@@ -37,8 +38,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return cut.select(*docs.columns)
+    return without_duplicate_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    # The order in which mixing wrote the documents: part files, then rows.
+    return pack(docs, order=[F.col("_metadata.file_name"), F.col("_metadata.row_index")])
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -67,8 +68,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; returns the packed pieces."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; returns the packed pieces. Of a stage only
+    its output is kept, and that only until the next one has its own."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = write_once(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = distilled(spark, lambda docs=docs, stage=stage: stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            drop_written(before)
+        before = docs
     return docs
