@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,7 @@ from strata.sources.files import (
     read_quarantine,
     write_parquet,
 )
+from strata.sources.layout import read_clustered, read_generations, write_clustered
 from strata.streaming.idle_state import add_readings, idle_from_state
 from strata.streaming.ingest import ingest_csv_incremental
 
@@ -65,7 +67,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 YEARS = (1996, 1999)
 TOP_K = 3
 INTERVAL_SECONDS = 24 * 3600
-BUCKETS = 8
+BUCKETS, CLUSTER_FILES = 8, 16
 NEAR_KM, NEAR_SECONDS = 100.0, 48 * 3600
 
 
@@ -177,6 +179,28 @@ def q_parquet_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return read_parquet(spark, path).select(*orders.columns)
 
 
+def q_clustered_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders along the Z-order over customer and date: one range of both, from
+    the files that may hold it."""
+    orders = t.table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-clustered")
+    write_clustered(orders, path, ["o_custkey", "o_orderdate"], CLUSTER_FILES, bloom=["o_orderkey"])
+    dates = (datetime(YEARS[0], 1, 1), datetime(YEARS[0], 12, 31))
+    return read_clustered(spark, path, {"o_custkey": (100, 400), "o_orderdate": dates}, orders.schema)
+
+
+def q_evolving_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of three generations as one: in the first, dates without a time and
+    no priority; in the second, narrow numbers; in the third, a field more."""
+    orders = t.table(spark, sf, "orders")
+    year = F.year("o_orderdate")
+    old = orders.filter(year < YEARS[0]).withColumn("o_orderdate", F.col("o_orderdate").cast("date")).drop("o_orderpriority")
+    middle = orders.filter(year.between(*YEARS)).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    new = orders.filter(year > YEARS[1]).withColumn("o_clerk", F.lit("c"))
+    paths = [publish_parquet(part, scratch_path(spark, "orders-generation")) for part in (old, middle, new)]
+    return read_generations(spark, paths, orders.schema, added=True)
+
+
 def q_output_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One row per written file: orders, one file per status."""
     orders = t.table(spark, sf, "orders").repartition("o_orderstatus")
@@ -496,6 +520,8 @@ QUERIES: dict[str, Query] = {
     "csv_corrupt_counts": q_csv_corrupt_counts,
     "csv_quarantine": q_csv_quarantine,
     "parquet_partition_overwrite": q_parquet_partition_overwrite,
+    "clustered_scan": q_clustered_scan,
+    "evolving_layouts": q_evolving_layouts,
     "output_manifest": q_output_manifest,
     "filter_equals": q_filter_equals,
     "filter_year_range": q_filter_year_range,

@@ -201,6 +201,12 @@ ORACLE_SQL: dict[str, str] = {
        CASE WHEN o_orderkey % 11 = 0 THEN 'number of fields' WHEN o_orderkey % 7 = 0 THEN 'o_totalprice is not double' END AS reason
 FROM orders""",
     "parquet_partition_overwrite": "SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 2 ELSE o_totalprice END AS o_totalprice) FROM orders",
+    "clustered_scan": f"""SELECT * FROM orders WHERE o_custkey BETWEEN 100 AND 400
+  AND o_orderdate BETWEEN TIMESTAMP '{Y1}-01-01' AND TIMESTAMP '{Y1}-12-31'""",
+    "evolving_layouts": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN year(o_orderdate) < {Y1} THEN date_trunc('day', o_orderdate)::TIMESTAMP ELSE o_orderdate END AS o_orderdate,
+       CASE WHEN year(o_orderdate) >= {Y1} THEN o_orderpriority END AS o_orderpriority,
+       CASE WHEN year(o_orderdate) > {Y2} THEN 'c' END AS o_clerk FROM orders""",
     "output_manifest": "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY o_orderstatus",
     "filter_equals": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
     "filter_year_range": f"SELECT * FROM orders WHERE year(o_orderdate) BETWEEN {Y1} AND {Y2}",

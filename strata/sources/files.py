@@ -111,14 +111,16 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     max_records_per_file: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> str:
     """Parquet sink; ``overwrite`` replaces the whole dataset.
 
     Executors write their partitions in parallel; the directory is the unit,
     not a single part file. ``partition_by`` enables partition pruning for
-    later readers, ``max_records_per_file`` bounds file sizes.
+    later readers, ``max_records_per_file`` bounds file sizes; ``options`` go to
+    Parquet's writer.
     """
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
@@ -188,6 +190,7 @@ def publish_parquet(
     contract: StructType | None = None,
     partition_by: list[str] | None = None,
     max_records_per_file: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> str:
     """Replace the dataset at ``path`` with ``df``, or leave it as it was.
 
@@ -199,7 +202,7 @@ def publish_parquet(
         assert_contract(df.schema, contract)
     spark, path = df.sparkSession, path.rstrip("/")
     with _staged(spark, path) as staged:
-        write_parquet(df, staged, partition_by=partition_by, max_records_per_file=max_records_per_file)
+        write_parquet(df, staged, partition_by=partition_by, max_records_per_file=max_records_per_file, options=options)
         replace_dataset(spark, staged, path)
     return path
 
