@@ -9,7 +9,7 @@ that SQL can't state; their tests hold them against brute-force versions.
 from __future__ import annotations
 
 from strata.llm.chat_format import END, LOSS_ROLE, PROBE_ID, PROBE_TEXT, START
-from strata.llm.mixing import FILLS, MAX_EPOCHS, WEIGHTS
+from strata.llm.mixing import FILLS, MAX_EPOCHS, SCHEDULE_STARTS, WEIGHTS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -68,7 +68,8 @@ _MIX = f"""WITH docs AS (
 per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
 weighed AS (
   SELECT *, {MAX_EPOCHS} * source_size AS cap, sum(source_size) OVER () AS total,
-         [{', '.join(map(str, WEIGHTS))}][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(WEIGHTS)} + 1 AS INTEGER)] AS weight
+         [{', '.join(map(str, WEIGHTS))}][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(WEIGHTS)} + 1 AS INTEGER)] AS weight,
+         [{', '.join(f'{x}::DOUBLE' for x in SCHEDULE_STARTS)}][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % {len(WEIGHTS)} + 1 AS INTEGER)] AS start
   FROM per_source),
 shared AS (
   SELECT *, total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
@@ -77,24 +78,26 @@ shared AS (
   FROM weighed WINDOW o AS (ORDER BY cap / weight, source ASC NULLS LAST)),
 first_free AS (SELECT rest, weights_left FROM shared WHERE NOT (rest * weight >= cap * weights_left) ORDER BY spot LIMIT 1),
 targets AS (
-  SELECT s.source, s.source_size,
+  SELECT s.source, s.source_size, s.start,
          CASE WHEN s.rest * s.weight >= s.cap * s.weights_left THEN CAST(s.cap AS DOUBLE)
               ELSE CAST(s.weight * (SELECT rest FROM first_free) AS DOUBLE) / CAST((SELECT weights_left FROM first_free) AS DOUBLE) END AS target
   FROM shared s),
 stream AS (
-  SELECT d.*, t.source_size, t.target,
+  SELECT d.*, t.source_size, t.target, t.start,
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS UNBOUNDED PRECEDING) AS ends,
          coalesce(lag(d.key) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id) = d.key, false) AS again
   FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 copied AS (
-  SELECT *, CASE WHEN source_size = 0 THEN 1 ELSE {' + '.join(f'CASE WHEN {e} * source_size + ends <= target THEN 1 ELSE 0 END' for e in range(MAX_EPOCHS))} END AS copies
-  FROM stream),
+  SELECT *, CASE WHEN source_size = 0 THEN 1 ELSE {' + '.join(f'CASE WHEN {e} * source_size + ends <= target THEN 1 ELSE 0 END' for e in range(MAX_EPOCHS))} END AS copies,
+         CASE WHEN start = 1 THEN share ELSE (sqrt(start * start + 2::DOUBLE * (2 - 2 * start) * share) - start) / (2 - 2 * start) END AS place
+  FROM (SELECT *, coalesce((ends - size / 2::DOUBLE) / nullif(target, 0), 0) AS share FROM stream)),
 room AS (SELECT source, min(target) - sum(copies * size) AS room FROM copied WHERE source_size > 0 GROUP BY source),
 free AS (SELECT source, key, size FROM copied WHERE source_size > 0 AND copies < {MAX_EPOCHS} AND NOT again AND size > 0),
 {', '.join(_fill(k) for k in range(FILLS + 1))},
 fills AS ({' UNION ALL '.join(f'SELECT source, key FROM fill{k}' for k in range(FILLS + 1))})
 SELECT c.doc_id, c.size, c.source_size, c.target,
-       CAST((c.copies + CASE WHEN f.key IS NOT NULL AND NOT c.again THEN 1 ELSE 0 END) * c.size AS BIGINT) AS taken
+       CAST((c.copies + CASE WHEN f.key IS NOT NULL AND NOT c.again THEN 1 ELSE 0 END) * c.size AS BIGINT) AS taken,
+       round(CASE WHEN c.copies > 0 THEN c.place WHEN f.key IS NOT NULL AND NOT c.again THEN 1.0::DOUBLE END, 9) AS first_position
 FROM copied c LEFT JOIN fills f ON c.key = f.key AND c.source IS NOT DISTINCT FROM f.source"""
 
 _CHAT = rf"""WITH said AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.ann import nearest
 from strata.llm.chat_format import chat_digests, with_probe
@@ -45,8 +46,10 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    """Per document its size, its source's size and target, and the words taken."""
-    return plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """Per document its size, its source's size and target, the words taken, and
+    the training position of its first copy (null if none is taken)."""
+    first = F.round(F.get("positions", F.lit(0)), 9).alias("first_position")
+    return plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", first)
 
 
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
