@@ -218,7 +218,7 @@ def build_index(vectors: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) ->
     return write_once(dealt.groupBy("dim", "shard").applyInPandas(_build, INDEX), "ann-index")
 
 
-def nearest(vectors: DataFrame, every: int = 50, k: int = K, ef: int = EF_SEARCH) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 50, k: int = K, ef: int = EF_SEARCH, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """For each usable row of ``vectors`` whose vec_id is divisible by ``every``:
     its ``k`` nearest found, by cosine. ``query_id, rank, vec_id, score``.
 
@@ -229,7 +229,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = K, ef: int = EF_SEARCH
     vec_id; fewer than ``k`` candidates give as many rows; other columns aren't
     read; an empty table gives an empty result.
     """
-    index = build_index(vectors, k)
+    index = build_index(vectors, k, shard_rows)
     places = index.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0] + 1
     queries = vectors.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     queries = queries.filter((F.col("query_id") % every == 0)).filter(_usable(F.col("embedding"))).distinct()

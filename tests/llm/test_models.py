@@ -149,3 +149,23 @@ def test_nearest_recall_and_ties(spark):
 def test_nearest_with_few_candidates(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (2, [3.0, 3.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id) for r in nearest(frame).orderBy("rank").collect()] == [(0, 1, 2), (0, 2, 1)]
+
+
+def test_nearest_over_several_shards(spark):
+    """Recall against brute force where every query asks four shards and more."""
+    rng = np.random.RandomState(11)
+    centres = rng.normal(size=(20, 24))
+    vectors = centres[rng.randint(20, size=2000)] + rng.normal(size=(2000, 24)) * 0.6
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found: dict = defaultdict(list)
+    for r in nearest(df, shard_rows=450).collect():
+        found[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert sorted(found) == list(range(0, 2000, 50))
+    hits = 0
+    for q, rows in found.items():
+        scores = unit @ unit[q]
+        want = [i for i in np.lexsort((np.arange(2000), -scores)) if i != q][:5]
+        hits += len(set(want) & {i for _, i, _ in rows})
+        assert all(abs(s - scores[i]) < 1e-12 for _, i, s in rows)
+    assert hits >= 0.95 * 5 * len(found)
