@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -169,3 +169,40 @@ def test_nearest_over_several_shards(spark):
         hits += len(set(want) & {i for _, i, _ in rows})
         assert all(abs(s - scores[i]) < 1e-12 for _, i, s in rows)
     assert hits >= 0.95 * 5 * len(found)
+
+
+def test_ftrl_equals_a_plain_one(words):
+    """Weights against the update rule written out coordinate by coordinate."""
+    import math
+
+    from strata.llm import toxicity as T
+
+    rng = random.Random(12)
+    texts, labels = [], []
+    for k in range(120):
+        y = k % 3 == 0
+        texts.append(" ".join(rng.choice(words[:40] + ["foul", "rude"] * (12 * y)) for _ in range(15)))
+        labels.append(int(y))
+    found = [sorted(set(T.features(t).tolist())) for t in texts]
+    fitted = [i for i in range(len(texts)) if i % T.CALIBRATE]
+    docs = Counter(f for i in fitted for f in found[i])
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        l1 = 0 if i == "bias" else T.L1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((T.BETA + math.sqrt(n[i])) / T.ALPHA + T.L2)
+
+    for _ in range(T.EPOCHS):
+        for i in fitted:
+            own = [f for f in found[i] if docs[f] >= T.MIN_DOCS] + ["bias"]
+            w = {f: weight(f) for f in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[i]
+            for f in own:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / T.ALPHA * w[f]
+                n[f] += g * g
+    got = T.fit_ftrl(texts, labels)[:-1]
+    want = {f: weight(f) for f in docs}
+    assert {f for f, w in want.items() if w} == set(np.flatnonzero(got).tolist()) != set()
+    assert all(abs(got[f] - w) < 1e-9 for f, w in want.items())
