@@ -2,8 +2,8 @@
 
 SQL functions only.
 
-Detected: e-mail addresses, IPv4 addresses, telephone, card and social-security
-numbers, and names after a title, in Latin, Cyrillic and Greek script. A match
+Detected: e-mail, IPv4 and IPv6 addresses, telephone, card, social-security and
+account (IBAN) numbers, and names after a title, in Latin, Cyrillic and Greek script. A match
 is one or two entities: its kind and a normal value (lower-case address, bare
 digits, a given or a family name), so that a number written in two ways or a
 family name met alone and with a given name is one entity (coreference). A
@@ -62,15 +62,37 @@ _TITLE = "|".join(t for ts in TITLES.values() for t in sorted(ts, key=len, rever
 _NAME = r"\p{Lu}(?:[\p{L}\p{M}-]|['’](?![sS](?![\p{L}\p{M}])))*+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Runs are possessive and start at their boundary, so matching stays linear.
+# 1.2.3.4 after one of these is a version.
+_VERSION = r"(?<!\b[vV](?:er|ersion)?[. ]{0,2})"
+_HEX4 = "[0-9A-Fa-f]{1,4}"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-    "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
-    "card": r"(?<![\p{L}\d])(?:\d{4}[ -]?){3}\d{4}(?![\p{L}\d])",
+    "ip": rf"(?<![\d.]){_VERSION}(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)",
+    "card": r"(?<![\p{L}\d])(?<!\d[.,])(?:(?:\d{4}[ -]?){3}\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})(?![\p{L}\d])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+    # In groups, in pairs after a 0, after a country code, and without any mark.
+    "phone": (
+        r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)"
+        r"|(?<![\p{L}\d.,+-])0\d(?:[ .-]\d{2}){4}(?![\p{L}\d])"
+        r"|(?<![\p{L}\d+])\+(?=(?:[ .-]?\d){7,15}(?!\d))\d{1,3}(?:[ .-]\d{1,8}){2,6}(?![\p{L}\d])"
+        r"|(?<![\p{L}\d+])\+\d{8,15}(?![\p{L}\d])"
+        r"|(?<![\p{L}\d.,+/=_-])[2-9]\d{2}[2-9]\d{6}(?![\p{L}\d]|[.,/=_-]\d)"
+    ),
+    # Eight groups, or fewer around a double colon, with a digit somewhere.
+    "ipv6": (
+        rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}:){{1,6}}(?::{_HEX4}){{1,6}})(?![\p{{L}}\p{{N}}:])"
+    ),
+    "iban": r"(?<![\p{L}\p{N}])(?=(?:[A-Z0-9 ]*?\d){10})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})(?![\p{{L}}\p{{M}}])\.?\x20{_NAME}(?:\x20{_NAME})?",
 }
-ANY = "|".join(PATTERNS.values())
+# A look at the next character spares most places the patterns of numbers.
+ANY = "|".join([
+    PATTERNS["email"],
+    rf"(?=[0-9+(])(?:{'|'.join(PATTERNS[k] for k in ('ip', 'card', 'ssn', 'phone'))})",
+    rf"(?=[0-9A-Fa-f]{{1,4}}:)(?:{PATTERNS['ipv6']})",
+    rf"(?=[A-Z]{{2}}\d)(?:{PATTERNS['iban']})",
+    rf"(?=\p{{Lu}}|г)(?:{PATTERNS['name']})",
+])
 DEFAULT_KEY = "change this key"
 
 
@@ -78,9 +100,11 @@ def _kind(match: Column) -> Column:
     return (
         F.when(match.contains("@"), "email")
         .when(match.rlike(rf"^(?:{_TITLE})(?![\p{{L}}\p{{M}}])"), "name")
-        .when(match.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
+        .when(match.contains(":"), "ipv6")
+        .when(match.rlike(r"^[A-Z]{2}\d"), "iban")
+        .when(match.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
         .when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(match.rlike(r"^(?:\d{4}[ -]?){3}\d{4}$"), "card")
+        .when(match.rlike(r"^(?:(?:\d{4}[ -]?){3}\d{4}|3[47]\d{2}[ -]?\d{6}[ -]?\d{5})$"), "card")
         .otherwise("phone")
     )
 
@@ -132,6 +156,8 @@ def _entities(match: Column) -> Column:
         F.when(kind == "name", F.when(name["given"] != "", F.array(given, family)).otherwise(F.array(family)))
         .when(kind == "email", F.array(one(kind, F.lower(match))))
         .when(kind == "ip", F.array(one(kind, match)))
+        .when(kind == "ipv6", F.array(one(kind, F.lower(match))))
+        .when(kind == "iban", F.array(one(kind, F.replace(match, F.lit(" "), F.lit("")))))
         .otherwise(F.array(one(kind, F.regexp_replace(match, r"\D", ""))))
     )
 
@@ -142,6 +168,19 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda a, x: a + F.when(x > 9, x - 9).otherwise(x)) % 10
 
 
+def _iban_check(country: Column, account: Column) -> Column:
+    """The two check digits of an IBAN: 98 less its number modulo 97, letters
+    standing for 10 to 35."""
+    def place(c: Column) -> Column:
+        return F.ascii(c) - F.when(c.rlike("[0-9]"), 48).otherwise(55)
+
+    def step(acc: Column, c: Column) -> Column:
+        return (acc * F.when(place(c) > 9, 100).otherwise(10) + place(c)) % 97
+
+    chars = F.split(F.concat(account, country, F.lit("00")), "")
+    return F.lpad((98 - F.aggregate(chars, F.lit(0), step)).cast("string"), 2, "0")
+
+
 def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """The surrogate that an entity draws in an attempt."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, value, attempt.cast("string"))
@@ -169,6 +208,16 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
     groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.substring(stream, i * 4 + 1, F.lit(4))), ":")
     ip = F.when(attempt < SAME_FORMAT, ip).otherwise(F.concat(F.lit("2001:db8:"), groups))
 
+    # The country stays; letters and digits of the account keep their places.
+    country = F.left(value, F.lit(2))
+    drawn_account = F.transform(
+        F.split(F.substr(value, F.lit(5)), ""), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).otherwise(letter("A", 26, i))
+    )
+    account = F.concat(F.array_join(drawn_account, ""), more_digits)
+    iban = F.concat(country, _iban_check(country, account), account)
+    hexes = F.transform(F.split(value, ""), lambda c, i: F.when(c == ":", c).when(i == 0, c).otherwise(F.substring(stream, i + 1, F.lit(1))))
+    ipv6 = F.when(attempt < SAME_FORMAT, F.array_join(hexes, "")).otherwise(F.concat(F.lit("2001:db8:"), groups))
+
     def in_address(c: Column, i: Column) -> Column:
         return (
             F.when(c.rlike("[0-9]"), digit(i))
@@ -189,6 +238,7 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
 
     # Each further attempt may add a middle syllable, so the names never run out.
     out = F.when(kind == "email", email).when(kind == "ip", ip)
+    out = out.when(kind == "iban", iban).when(kind == "ipv6", ipv6)
     out = out.when(kind == "card", F.when(attempt < SAME_FORMAT, card).otherwise(F.concat(digits, more_digits)))
     for script, (first, middle, last_one) in SYLLABLES.items():
         middles = F.array(*[F.lit(m) for m in middle])
@@ -229,15 +279,15 @@ def resolve_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return taken
 
 
-def _as_written(match: Column, surrogate: Column) -> Column:
-    """The surrogate's digits in the places of the match's digits, any others at
-    the end."""
+def _as_written(match: Column, surrogate: Column, places: str = r"\d") -> Column:
+    """The surrogate's digits in the places of the match's digits (or whatever
+    ``places`` are), any others at the end."""
     chars = F.split(match, "")
     spread = F.aggregate(
         chars,
         F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
         lambda acc, c: F.when(
-            c.rlike(r"\d"),
+            c.rlike(places),
             F.struct(F.concat(acc["out"], F.substring(surrogate, acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at")),
         ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at"))),
         lambda acc: F.concat(acc["out"], F.substr(surrogate, acc["at"])),
@@ -264,7 +314,8 @@ def _replacement(match: Column, surrogates: Column) -> Column:
     return (
         F.when(kind == "name", F.concat(name["title"], F.lit(" "), named))
         .when(kind == "email", _same_case(match, first))
-        .when(kind == "ip", first)
+        .when(kind.isin("ip", "ipv6"), first)
+        .when(kind == "iban", _as_written(match, first, "[A-Z0-9]"))
         .otherwise(_as_written(match, first))
     )
 
