@@ -177,51 +177,85 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return shared.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("centre", "member")
 
 
-def prefix_pairs(sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """Pairs ``(centre, member)`` that may reach the similarity, among nodes of
-    different components: every pair that does reach it is among them.
-
-    ``sets``: ``node, part, component, hashes`` (a node may have several sets).
-    With the elements of all sets in one order, rarest first, two sets of the
-    similarity share an element among the first |x| - ceil(percent / 100 |x|) + 1
-    of each (prefix filter), and the places of the first such element bound
-    what they can share in all. A passage that many texts hold is common, so it
-    comes last and pairs nobody: pairs are formed by rare elements only. The
-    elements that only one set holds come first in every order; they are
-    counted, not moved.
+def _prefixes(sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """``element, node, size, place``: the elements by which sets of the similarity
+    are found.
+
+    ``sets``: ``node, part, hashes`` (a node may have several sets). With the
+    elements of all sets in one order, rarest first, two sets of the similarity
+    share an element among the first |x| - ceil(percent / 100 |x|) + 1 of each
+    (prefix filter). A passage that many texts hold is common, so it comes last
+    and pairs nobody. The elements that only one set holds come first in every
+    order; they are counted, not moved.
     """
-    each = sets.select("node", "part", "component", F.size("hashes").alias("size"), F.explode("hashes").alias("element"))
-    each = write_once(each, f"{name}-elements")
-    known = each.groupBy("element").agg(
-        F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    common = write_once(known.filter("df > 1"), f"{name}-common")
+    each = write_once(sets.select("node", "part", F.size("hashes").alias("size"), F.explode("hashes").alias("element")), f"{name}-elements")
+    common = write_once(each.groupBy("element").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), f"{name}-common")
     own = ["node", "part"]
     at = Window.partitionBy(*own).orderBy("df", "element")
     shared = each.join(common, "element").withColumns(
-        {"place": F.row_number().over(at), "n": F.count(F.lit(1)).over(Window.partitionBy(*own))}
+        {"nth": F.row_number().over(at), "n": F.count(F.lit(1)).over(Window.partitionBy(*own))}
     )
-    place = F.col("size") - F.col("n") + F.col("place") - 1
-    most = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    # An element within one component pairs nobody.
-    first = shared.withColumn("place", place).filter((F.col("place") < most) & (F.col("low") != F.col("high")))
-    first = write_once(first.select("element", "node", "component", "size", "place"), f"{name}-prefixes")
+    shared = shared.withColumn("place", F.col("size") - F.col("n") + F.col("nth") - 1)
+    first = shared.filter(F.col("place") < F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+    first = write_once(first.select("element", "node", "size", "place"), f"{name}-prefixes")
     drop_written(each, common)
-    other = first.select(
-        "element", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "place")]
-    )
+    return first
+
+
+def _mixed(first: DataFrame, comps: DataFrame, name: str) -> DataFrame:
+    """``first`` with ``component`` and ``n``, the number of rows of the element,
+    where an element's nodes lie in several components."""
+    rows = first.join(comps.withColumnRenamed("component", "c"), "node", "left")
+    rows = rows.withColumn("component", F.coalesce("c", "node")).drop("c")
+    known = rows.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return write_once(rows.join(known.filter("low <> high").select("element", "n"), "element"), f"{name}-mixed")
+
+
+def _paired(a: DataFrame, b: DataFrame, percent: int, more: Column) -> DataFrame:
+    """Distinct pairs of nodes of ``a`` and ``b`` with a common element, of different
+    components, whose sizes and the element's places allow the similarity: two
+    sets share at most what follows their first common element, and itself."""
+    other = b.select("element", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "place")])
     shares = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
-    near = first.join(
+    near = a.join(
         other,
-        (first["element"] == other["element"])
-        & (F.col("node") < F.col("other_node"))
+        (a["element"] == other["element"])
+        & more
         & (F.col("component") != F.col("other_component"))
         & _fits("size", "other_size", percent)
         & (shares * 100 >= (F.col("size") + F.col("other_size") - shares) * percent),
     )
-    pairs = write_once(near.select(F.col("node").alias("centre"), F.col("other_node").alias("member")).distinct(), f"{name}-rare")
+    return near.select(F.least("node", "other_node").alias("centre"), F.greatest("node", "other_node").alias("member")).distinct()
+
+
+def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, found: DataFrame, percent: int, name: str) -> DataFrame:
+    """Components with all links among the nodes of ``sets`` added.
+
+    First a star: of each prefix element the node that shares most with others is
+    tried against the rest, which joins what belongs to one original. Then all
+    pairs of nodes that still lie in different components, by ``_paired``.
+    """
+    first = _prefixes(sets, percent, name)
+    full = sets.select("node", "hashes")
+    for star in (True, False):
+        mixed = _mixed(first, comps, name)
+        if star:
+            weights = mixed.groupBy("node").agg(F.sum("n").alias("weight"))
+            rank = F.struct("weight", (-F.col("node")).alias("by"))
+            heads = mixed.join(weights, "node").groupBy("element").agg(F.max(F.struct(rank.alias("rank"), "node", "component", "size", "place")).alias("head"))
+            heads = write_once(heads.select("element", "head.node", "head.component", "head.size", "head.place"), f"{name}-heads")
+            pairs = _paired(mixed, heads, percent, F.col("node") != F.col("other_node"))
+        else:
+            pairs = _paired(mixed, mixed, percent, F.col("node") < F.col("other_node"))
+        pairs = write_once(pairs, f"{name}-rare")
+        links = write_once(confirmed_pairs(pairs, full, percent), f"{name}-links")
+        drop_written(mixed, pairs)
+        if links.limit(1).count():
+            found = found.unionByName(links)
+            drop_written(comps)
+            comps = connected_components(found, "centre", "member", name)
     drop_written(first)
-    return pairs
+    return comps
 
 
 def linked_in_buckets(
@@ -247,8 +281,8 @@ def linked_in_buckets(
     joined by union-find.
 
     Members other than the centre that still lie in different components of
-    their bucket are compared by their rarest elements (``prefix_pairs``), which
-    loses none of their links. What they have in common is mostly a passage
+    their bucket are compared by their rarest elements (``_linked_by_prefixes``),
+    which loses none of their links. What they have in common is mostly a passage
     that brought them into the bucket, and that pairs nobody there.
     """
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -281,11 +315,7 @@ def linked_in_buckets(
     rest = write_once(rest, f"{name}-apart")
     drop_written(members)
     if rest.limit(1).count():
-        pairs = prefix_pairs(sets.join(rest, "node"), percent, name)
-        more = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
-        if more.limit(1).count():
-            drop_written(comps)
-            comps = connected_components(found.unionByName(more), "centre", "member", name)
+        comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), comps, found, percent, name)
     drop_written(sets, rest)
     return comps
 

@@ -14,7 +14,7 @@
    n - 1 pairs. Candidates are confirmed by exact Jaccard on full sets.
 4. Confirmed edges are joined by union-find. Members of a bucket that still lie
    in several components are compared by their rarest shingles
-   (``common.prefix_pairs``), which loses no link between them; what brought
+   (``common.linked_in_buckets``), which loses no link between them; what brought
    them together is mostly a passage that many texts hold, and such shingles
    pair nobody there.
 
