@@ -286,8 +286,9 @@ def linked_in_buckets(
     that brought them into the bucket, and that pairs nobody there.
     """
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("n"))
-    shared = write_once(shared.filter("low <> high").select("bucket", "n"), f"{name}-shared")
+    # Two rows of one node in a bucket make no pair later.
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = write_once(shared, f"{name}-shared")
     once = write_once(buckets.join(shared, "bucket"), f"{name}-drawn")
     weights = once.groupBy("node").agg(F.sum("n").alias("weight"))
     drawn = once.join(weights, "node").select("bucket", "node", F.struct("weight", (-F.col("node")).alias("by")).alias("rank"))
