@@ -138,11 +138,13 @@ def test_written_keys_are_broadcast_by_size(spark):
 def test_scratch_has_an_owner_and_is_removed(spark):
     import os
 
-    from strata.session import release_scratch, scratch_scope, shared_root
+    from strata.session import application_folder, release_scratch, scratch_scope, shared_root
 
-    folder = os.path.join(shared_root(spark).removeprefix("file://").removeprefix("file:"), "strata")
     release_scratch(spark)
-    assert not os.path.isdir(folder) or os.listdir(folder) == []
+    root = os.path.join(shared_root(spark).removeprefix("file://").removeprefix("file:"), "strata")
+    folder = application_folder(spark).removeprefix("file://").removeprefix("file:")
+    # Nothing is written outside the application's own folder, which is empty.
+    assert os.listdir(root) == [os.path.basename(folder)] and os.listdir(folder) == []
     with scratch_scope(spark):
         assert entry.queries()["topk_detail"](spark, SF_SMALL).count() > 0
         assert os.listdir(folder)
