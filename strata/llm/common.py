@@ -228,7 +228,25 @@ def _paired(a: DataFrame, b: DataFrame, percent: int, more: Column) -> DataFrame
     return near.select(F.least("node", "other_node").alias("centre"), F.greatest("node", "other_node").alias("member")).distinct()
 
 
-def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, found: DataFrame, percent: int, name: str) -> DataFrame:
+def _merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``comps`` with the components that ``links`` (``centre, member``) connect
+    made one: union-find over components, not over all nodes again."""
+    label = comps.select("node", "component")
+    ends = links
+    for c in ("centre", "member"):
+        of = label.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+        ends = ends.join(of, c, "left").withColumn(c, F.coalesce(f"{c}_of", c)).drop(f"{c}_of")
+    joined = connected_components(ends.select("centre", "member").distinct(), "centre", "member", name)
+    now = joined.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    known = label.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    # Nodes that had no link so far.
+    alone = joined.select("node", "component").join(label.select("node"), "node", "left_anti")
+    out = write_once(known.unionByName(alone), f"{name}-merged")
+    drop_written(joined, comps)
+    return out
+
+
+def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, percent: int, name: str) -> DataFrame:
     """Components with all links among the nodes of ``sets`` added.
 
     First a star: of each prefix element the node that shares most with others is
@@ -251,9 +269,7 @@ def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, found: DataFrame, per
         links = write_once(confirmed_pairs(pairs, full, percent), f"{name}-links")
         drop_written(mixed, pairs)
         if links.limit(1).count():
-            found = found.unionByName(links)
-            drop_written(comps)
-            comps = connected_components(found, "centre", "member", name)
+            comps = _merged(comps, links, name)
     drop_written(first)
     return comps
 
@@ -316,7 +332,7 @@ def linked_in_buckets(
     rest = write_once(rest, f"{name}-apart")
     drop_written(members)
     if rest.limit(1).count():
-        comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), comps, found, percent, name)
+        comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), comps, percent, name)
     drop_written(sets, rest)
     return comps
 
