@@ -17,7 +17,8 @@
    words asked of it until t; a copy's training position is the time at which
    that demand reaches the copy's middle (the inverse, a quadratic root). A
    filling copy comes at the end.
-4. ``mixed_documents`` repeats the documents and range-sorts them by position.
+4. ``mixed_documents`` repeats the documents and range-sorts them by position;
+   ``mix_taken`` counts what each document has in that sorted mix.
 """
 
 from __future__ import annotations
@@ -167,12 +168,45 @@ def _fills(streamed: DataFrame, digits: int) -> DataFrame:
     return picked.select(F.col("g.source").alias("__fs"), F.col("key").alias("__fill"))
 
 
+def in_training_order(planned: DataFrame, ident: Column) -> DataFrame:
+    """``planned`` (with ``positions`` and ``__tie``) once per copy, with the copy's
+    ``__position``: range-sorted by it over the output's partitions, ties by
+    ``ident`` and ``__tie``."""
+    copies = planned.withColumn("__position", F.explode("positions")).drop("positions")
+    return copies.repartitionByRange("__position", "__tie").sortWithinPartitions("__position", ident, "__tie")
+
+
+def _tie() -> Column:
+    return F.xxhash64("doc_id", "text").alias("__tie")
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix: ``docs`` rows repeated ``copies`` times, range-sorted by training
     position over the output's partitions, in the columns of ``docs``."""
     # The row travels whole, so that its columns may have the names of the plan's.
-    rows = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("__row"))
-    placed = plan_mix(rows).select("__row", F.explode("positions").alias("__position"))
-    tie = F.xxhash64("__row.doc_id", "__row.text")
-    ordered = placed.repartitionByRange(F.col("__position"), tie).sortWithinPartitions("__position", "__row.doc_id", tie)
-    return ordered.select("__row.*")
+    rows = docs.select("doc_id", "text", "source", _tie(), F.struct(*docs.columns).alias("__row"))
+    planned = plan_mix(rows).select("__row", "positions", "__tie")
+    return in_training_order(planned, F.col("__row.doc_id")).select("__row.*")
+
+
+def mix_taken(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``, read back from the mix in training order: ``doc_id,
+    size, source_size, target, taken, first_position``.
+
+    The copies are range-sorted as in ``mixed_documents`` and written, without
+    their texts; ``taken`` counts the words of a row's copies found there,
+    ``first_position`` is the training time of the one that comes first (null if
+    there is none). A copy is known by its row's number, so that rows equal in
+    all columns stay apart.
+    """
+    planned = plan_mix(docs.select("doc_id", "text", "source", _tie()))
+    planned = planned.select("doc_id", "__tie", "size", "source_size", "target", "positions")
+    rows = write_once(planned.withColumn("row", F.monotonically_increasing_id()), "mix-plan")
+    mix = in_training_order(rows.select("row", "doc_id", "__tie", "size", "positions"), F.col("doc_id"))
+    # The id rises along the partitions, and so along the sorted mix.
+    mix = write_once(mix.select("row", "size", "__position", F.monotonically_increasing_id().alias("place")), "mix-order")
+    found = mix.groupBy("row").agg(F.sum("size").alias("found"), F.min(F.struct("place", "__position")).alias("head"))
+    taken = F.coalesce("found", F.lit(0)).alias("taken")
+    return rows.join(found, "row", "left").select(
+        "doc_id", "size", "source_size", "target", taken, F.col("head.__position").alias("first_position")
+    )

@@ -14,7 +14,7 @@ from strata.llm.fingerprints import fingerprints
 from strata.llm.license_scan import scan_licenses
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.merkle import merkle_manifest
-from strata.llm.mixing import plan_mix
+from strata.llm.mixing import mix_taken
 from strata.llm.near_dedup import near_duplicates
 from strata.llm.packing import pack
 from strata.llm.pii import replace_pii
@@ -47,9 +47,10 @@ def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Per document its size, its source's size and target, the words taken, and
-    the training position of its first copy (null if none is taken)."""
-    first = F.round(F.get("positions", F.lit(0)), 9).alias("first_position")
-    return plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", first)
+    the training position of its first copy (null if none is taken), both as the
+    range-sorted mix holds them."""
+    found = mix_taken(table(spark, sf, "documents"))
+    return found.withColumn("first_position", F.round("first_position", 9))
 
 
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:

@@ -121,6 +121,30 @@ def test_mix_reaches_targets(spark, make_docs, words):
     assert plan_mix(docs.limit(0)).count() == 0
 
 
+def test_op6_reads_back_the_sorted_mix(spark, make_docs, words, monkeypatch):
+    """What op6 returns comes from the copies in training order: without the sort,
+    or with a copy lost from it, it changes."""
+    from strata.llm import mixing, queries
+
+    rng = random.Random(2)
+    docs = make_docs([(k, " ".join(rng.choices(words, k=rng.randint(1, 60))), rng.choice("abbbcccc")) for k in range(300)] + [(9, "x y z", "a")] * 2)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    plan = [(r.doc_id, r.size, r.source_size, r.target, r.taken, r.positions) for r in plan_mix(docs).collect()]
+    expected = sorted((*r[:5], round(r[5][0], 9) if r[5] else None) for r in plan)
+    assert max(len(r[5]) for r in plan) > 1 and min(len(r[5]) for r in plan) == 0
+
+    def found():
+        return sorted(map(tuple, queries.op6_mixing(spark, "").collect()), key=str)
+
+    assert found() == sorted(expected, key=str)
+    sort, calls = mixing.in_training_order, []
+    monkeypatch.setattr(mixing, "in_training_order", lambda *a: calls.append(1) or sort(*a).orderBy(F.desc("__position")).filter("doc_id <> 9"))
+    changed = found()
+    assert calls and [r for r in changed if r[0] == 9 and r[4] > 0] == []
+    last = sorted((*r[:5], round(r[5][-1], 9) if r[5] else None) for r in plan if r[0] != 9)
+    assert [r for r in changed if r[0] != 9] == sorted(last, key=str)
+
+
 def test_nearest_recall_and_ties(spark):
     rng = np.random.RandomState(4)
     vectors = rng.normal(size=(1500, 16))
