@@ -19,6 +19,8 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+# Elements before one that are kept with it, to tell pairs that met already.
+EARLIER = 4
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -162,42 +164,46 @@ def _fits(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int, hashes_of: Callable[[Column], Column]) -> DataFrame:
     """Pairs ``(centre, member)`` with 100 * intersection >= percent * union of
-    their full sets in ``sets`` (``node, hashes``: distinct longs)."""
-    left = sets.select(F.col("node").alias("member"), F.col("hashes").alias("hm"))
-    right = sets.select(F.col("node").alias("centre"), F.col("hashes").alias("hc"))
+    their full sets in ``sets`` (``node, size, body``; ``hashes_of`` the body are
+    the set's longs)."""
+    left = sets.select(F.col("node").alias("member"), F.col("body").alias("bm"), F.col("size").alias("sm"))
+    right = sets.select(F.col("node").alias("centre"), F.col("body").alias("bc"), F.col("size").alias("sc"))
     shared = pairs.join(left, "member").join(right, "centre").select(
         "centre",
         "member",
-        F.size(F.array_intersect("hm", "hc")).cast("long").alias("shared"),
-        (F.size("hm") + F.size("hc")).cast("long").alias("total"),
+        F.size(F.array_intersect(hashes_of(F.col("bm")), hashes_of(F.col("bc")))).cast("long").alias("shared"),
+        (F.col("sm") + F.col("sc")).cast("long").alias("total"),
     )
     # union = total - shared
     return shared.filter(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select("centre", "member")
 
 
-def _prefixes(sets: DataFrame, percent: int, name: str) -> DataFrame:
-    """``element, node, size, place``: the elements by which sets of the similarity
-    are found.
+def _prefixes(sets: DataFrame, percent: int, name: str, hashes_of: Callable[[Column], Column]) -> DataFrame:
+    """``element, node, size, place, earlier``: the elements by which sets of the
+    similarity are found; ``earlier`` are the ``EARLIER`` before it in the set's
+    order.
 
-    ``sets``: ``node, part, hashes`` (a node may have several sets). With the
+    ``sets``: ``node, part, size, body`` (a node may have several sets). With the
     elements of all sets in one order, rarest first, two sets of the similarity
     share an element among the first |x| - ceil(percent / 100 |x|) + 1 of each
     (prefix filter). A passage that many texts hold is common, so it comes last
     and pairs nobody. The elements that only one set holds come first in every
     order; they are counted, not moved.
     """
-    each = write_once(sets.select("node", "part", F.size("hashes").alias("size"), F.explode("hashes").alias("element")), f"{name}-elements")
+    each = sets.select("node", "part", "size", F.explode(F.array_distinct(hashes_of(F.col("body")))).alias("element"))
+    each = write_once(each, f"{name}-elements")
     common = write_once(each.groupBy("element").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), f"{name}-common")
     own = ["node", "part"]
     at = Window.partitionBy(*own).orderBy("df", "element")
+    earlier = F.array_compact(F.array(*[F.lag("element", k).over(at) for k in range(1, EARLIER + 1)]))
     shared = each.join(common, "element").withColumns(
-        {"nth": F.row_number().over(at), "n": F.count(F.lit(1)).over(Window.partitionBy(*own))}
+        {"nth": F.row_number().over(at), "earlier": earlier, "n": F.count(F.lit(1)).over(Window.partitionBy(*own))}
     )
     shared = shared.withColumn("place", F.col("size") - F.col("n") + F.col("nth") - 1)
     first = shared.filter(F.col("place") < F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
-    first = write_once(first.select("element", "node", "size", "place"), f"{name}-prefixes")
+    first = write_once(first.select("element", "node", "size", "place", "earlier"), f"{name}-prefixes")
     drop_written(each, common)
     return first
 
@@ -212,20 +218,20 @@ def _mixed(first: DataFrame, comps: DataFrame, name: str) -> DataFrame:
 
 
 def _paired(a: DataFrame, b: DataFrame, percent: int, more: Column) -> DataFrame:
-    """Distinct pairs of nodes of ``a`` and ``b`` with a common element, of different
+    """Pairs of nodes of ``a`` and ``b`` with a common element, of different
     components, whose sizes and the element's places allow the similarity: two
     sets share at most what follows their first common element, and itself."""
-    other = b.select("element", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size", "place")])
+    other = b.select("element", *[F.col(c).alias(f"other_{c}") for c in b.columns if c != "element"])
     shares = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
     near = a.join(
         other,
         (a["element"] == other["element"])
-        & more
         & (F.col("component") != F.col("other_component"))
         & _fits("size", "other_size", percent)
-        & (shares * 100 >= (F.col("size") + F.col("other_size") - shares) * percent),
+        & (shares * 100 >= (F.col("size") + F.col("other_size") - shares) * percent)
+        & more,
     )
-    return near.select(F.least("node", "other_node").alias("centre"), F.greatest("node", "other_node").alias("member")).distinct()
+    return near.select(F.least("node", "other_node").alias("centre"), F.greatest("node", "other_node").alias("member"))
 
 
 def _merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -246,17 +252,19 @@ def _merged(comps: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, percent: int, name: str) -> DataFrame:
-    """Components with all links among the nodes of ``sets`` added.
+def _linked_by_prefixes(
+    sets: DataFrame, full: DataFrame, comps: DataFrame, percent: int, name: str, hashes_of: Callable[[Column], Column]
+) -> DataFrame:
+    """Components with all links among the nodes of ``sets`` added; ``full`` holds
+    these sets (and others), written.
 
     First a star: of each prefix element the node that shares most with others is
     tried against the rest, which joins what belongs to one original. Then all
     pairs of nodes that still lie in different components, by ``_paired``.
     """
-    first = _prefixes(sets, percent, name)
-    full = sets.select("node", "hashes")
+    first = _prefixes(sets, percent, name, hashes_of)
     for star in (True, False):
-        mixed = _mixed(first, comps, name)
+        mixed = _mixed(first.drop("earlier") if star else first, comps, name)
         if star:
             weights = mixed.groupBy("node").agg(F.sum("n").alias("weight"))
             rank = F.struct("weight", (-F.col("node")).alias("by"))
@@ -264,9 +272,11 @@ def _linked_by_prefixes(sets: DataFrame, comps: DataFrame, percent: int, name: s
             heads = write_once(heads.select("element", "head.node", "head.component", "head.size", "head.place"), f"{name}-heads")
             pairs = _paired(mixed, heads, percent, F.col("node") != F.col("other_node"))
         else:
-            pairs = _paired(mixed, mixed, percent, F.col("node") < F.col("other_node"))
-        pairs = write_once(pairs, f"{name}-rare")
-        links = write_once(confirmed_pairs(pairs, full, percent), f"{name}-links")
+            # Sets with a common element before this one meet there already, under wider bounds.
+            met = F.arrays_overlap("earlier", "other_earlier")
+            pairs = _paired(mixed, mixed, percent, (F.col("node") < F.col("other_node")) & ~met)
+        pairs = write_once(pairs.distinct(), f"{name}-rare")
+        links = write_once(confirmed_pairs(pairs, full, percent, hashes_of), f"{name}-links")
         drop_written(mixed, pairs)
         if links.limit(1).count():
             comps = _merged(comps, links, name)
@@ -280,12 +290,17 @@ def linked_in_buckets(
     percent: int,
     name: str,
     links: DataFrame | None = None,
+    hashes_of: Callable[[Column], Column] = lambda body: body,
+    temporary: tuple[DataFrame, ...] = (),
 ) -> DataFrame:
     """Components of the links that shared buckets and exact sets confirm.
 
     ``nodes``: ``node, bands`` (a long, its bucket keys; a node may have several
-    rows), written. ``sets_of(frame of node)`` gives ``node, hashes`` for the
-    nodes asked for. ``links`` are known links (``a, b``). Returns ``node,
+    rows), written. ``sets_of(frame of node)`` gives ``node, size, body`` for the
+    nodes asked for: the number of elements of the set, and what ``hashes_of``
+    makes them of (the array itself, or a text that is far smaller to move).
+    ``links`` are known links (``a, b``). ``temporary`` are written tables that
+    are read for buckets and sets only, and then deleted. Returns ``node,
     component`` for every linked node.
 
     A node's weight is the number of members of all its buckets together: the
@@ -317,13 +332,14 @@ def linked_in_buckets(
     involved = members.select("node").union(members.select("centre")).distinct()
     # Parts tell the sets of one node apart.
     sets = write_once(sets_of(involved).withColumn("part", F.monotonically_increasing_id()), f"{name}-sets")
-    sizes = sets.select("node", F.size("hashes").alias("size"))
+    drop_written(*temporary)
+    sizes = sets.select("node", "size")
     pairs = members.select("centre", F.col("node").alias("member")).distinct()
     sized = pairs.join(sizes.withColumnRenamed("node", "member"), "member").join(
         sizes.select(F.col("node").alias("centre"), F.col("size").alias("centre_size")), "centre"
     )
     pairs = write_once(sized.filter(_fits("size", "centre_size", percent)).select("centre", "member").distinct(), f"{name}-pairs")
-    found = write_once(confirmed_pairs(pairs, sets, percent), f"{name}-links")
+    found = write_once(confirmed_pairs(pairs, sets, percent, hashes_of), f"{name}-links")
     drop_written(pairs)
     if links is not None:
         found = found.unionByName(links.select(F.col("a").alias("centre"), F.col("b").alias("member")))
@@ -332,7 +348,7 @@ def linked_in_buckets(
     rest = write_once(rest, f"{name}-apart")
     drop_written(members)
     if rest.limit(1).count():
-        comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), comps, percent, name)
+        comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), sets, comps, percent, name, hashes_of)
     drop_written(sets, rest)
     return comps
 

@@ -6,18 +6,18 @@ Built from SQL functions only. Every non-blank line of every text takes part:
    character shingles are the runs of 12 characters at every position, so the
    last one ends at the line's end. A line without a whole shingle is one
    shingle itself, and is like no other line.
-2. MinHash: the shingles are unnested, hashed, and grouped by line: each hash is
-   XORed with eight masks, and the smallest and the largest value under each
-   mask are two of 16 signature values (the largest is the smallest under the
-   complemented mask). This runs as one compiled aggregation, which merges equal
-   lines on the way. Eight bands combine three values each, no two bands sharing
-   more than one. A pair of similarity 0.75 shares no band with probability
+2. Equal normalised lines are one node (64-bit hash), written once. MinHash: its
+   shingles are unnested, hashed, and grouped by line: each hash is XORed with
+   eight masks, and the smallest and the largest value under each mask are two of
+   16 signature values (the largest is the smallest under the complemented mask).
+   This runs as one compiled aggregation. Eight bands combine three values each,
+   no two bands sharing more than one. A pair of similarity 0.75 shares no band with probability
    (1 - 0.75^3)^8, about 1 percent; at 0.9, 3 in 100,000. Lines of up to 21
    shingles, whose few values agree or differ together, have 16 bands of two
    values by hashes of their own, too.
-3. Equal normalised lines are one node (64-bit hash). Band buckets make star
-   candidates; exact Jaccard on full shingle sets confirms them; members that a
-   bucket's centre doesn't link are compared by their rarest shingles;
+3. Band buckets make star candidates; exact Jaccard on full shingle sets, made of
+   the two lines anew as those are far smaller to move, confirms them; members
+   that a bucket's centre doesn't link are compared by their rarest shingles;
    distributed union-find joins them (see ``common.linked_in_buckets``).
 4. Of each component the first occurrence by (doc_id, line) stays; all other
    occurrences are removed from their documents.
@@ -54,13 +54,11 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(low, r"\s+", " ")).otherwise(low))
 
 
-def with_shingles(df: DataFrame, line: str) -> DataFrame:
-    """``df`` with ``hashes``: distinct 64-bit hashes of the character shingles
-    of column ``line``, normalised and not empty."""
-    text = F.col(line)
-    df = df.withColumn("__runs", F.regexp_extract_all(text, F.lit(_RUN), F.lit(1)))
-    hashed = F.array_distinct(F.transform("__runs", lambda s: F.xxhash64(s)))
-    return df.withColumn("hashes", F.when(F.size("__runs") == 0, F.array(F.xxhash64(text))).otherwise(hashed)).drop("__runs")
+def line_hashes(line: Column) -> Column:
+    """64-bit hashes of the character shingles of a line, normalised and not
+    empty; a shingle that occurs again has its hash again."""
+    runs = F.transform(F.regexp_extract_all(line, F.lit(_RUN), F.lit(1)), lambda s: F.xxhash64(s))
+    return F.when(F.length(line) < SHINGLE_CHARS, F.array(F.xxhash64(line))).otherwise(runs)
 
 
 def _masks() -> list[int]:
@@ -114,15 +112,14 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the lines to drop. Rows equal in doc_id and text give one row."""
     every = _lines(docs)
     lines = write_once(every.select("doc_id", "slot", "node"), "lines")
-    nodes = write_once(line_signatures(every.select("node", "line")), "line-nodes")
+    texts = write_once(every.select("node", "line").distinct(), "line-texts")
+    nodes = write_once(line_signatures(texts), "line-nodes")
 
     def sets_of(involved: DataFrame) -> DataFrame:
-        wanted = _lines(docs).select("node", "line").join(involved, "node", "left_semi")
-        once = wanted.groupBy("node").agg(F.min("line").alias("line"))
-        return with_shingles(once, "line").select("node", "hashes")
+        wanted = texts.join(involved, "node", "left_semi")
+        return wanted.select("node", F.size(F.array_distinct(line_hashes(F.col("line")))).alias("size"), F.col("line").alias("body"))
 
-    comps = linked_in_buckets(nodes, sets_of, percent, "line")
-    drop_written(nodes)
+    comps = linked_in_buckets(nodes, sets_of, percent, "line", hashes_of=line_hashes, temporary=(nodes, texts))
     at = lines.select("doc_id", "slot", "node").join(comps, "node", "left").select(
         F.coalesce("component", "node").alias("component"), F.struct("doc_id", "slot").alias("at")
     )

@@ -135,7 +135,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t.as_py()).view(np.int64) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"])
+        sizes = pa.array([len(s) for s in sets], pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(sets, pa.list_(pa.int64()))], ["node", "size", "body"])
 
 
 def _text_key(docs: DataFrame) -> Column:
@@ -156,7 +157,7 @@ def _labelled(docs: DataFrame, percent: int, by_id: bool) -> DataFrame:
 
     def sets_of(involved: DataFrame) -> DataFrame:
         texts = whole.join(involved.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id", "text_key"])
-        return texts.select("doc_id", "text").mapInArrow(_sets, "node long, hashes array<long>")
+        return texts.select("doc_id", "text").mapInArrow(_sets, "node long, size int, body array<long>")
 
     links = None
     if by_id:

@@ -96,6 +96,47 @@ def test_texts_with_one_long_passage_make_few_pairs(spark, make_docs, monkeypatc
     assert sum(counted) < 6 * len(texts)
 
 
+def test_pairs_meet_at_their_first_common_shingle_only(make_docs, monkeypatch):
+    """Texts of one family that miss 0.75 to each other share many rare shingles;
+    the join makes a pair once, not once per shingle."""
+    from strata.llm import common
+
+    rng = random.Random(11)
+    chunks = [" ".join(f"w{k * 6 + i}" for i in range(6)) for k in range(60)]
+    texts = {k: " ".join(c if rng.random() < 0.87 else f"own{k}-{i}" for i, c in enumerate(chunks)) for k in range(200)}
+    made = []
+    plain = common._paired
+
+    def counted(*args):
+        pairs = plain(*args)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(common, "_paired", counted)
+    rows = near_duplicates(make_docs(texts)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == components({k: shingles(t) for k, t in texts.items()})
+    assert made[-1][1] > 1000 and made[-1][0] < 2 * made[-1][1]
+
+
+def test_lines_are_moved_not_their_hashes(make_docs, words, monkeypatch):
+    from strata.llm import common, line_dedup
+
+    schemas = {}
+    plain = common.write_once
+
+    def noted(df, name):
+        schemas[name] = dict(df.dtypes)
+        return plain(df, name)
+
+    for module in (common, line_dedup):
+        monkeypatch.setattr(module, "write_once", noted)
+    line = " ".join(words[:12])
+    texts = {k: f"{line} {words[20 + k]}\nown line {k} of this text" for k in range(6)}
+    rows = dedup_lines(make_docs(texts)).collect()
+    assert {r.doc_id: r.dropped_lines for r in rows} == _cut(texts)
+    assert schemas["line-sets"]["body"] == "string" and "array" not in str(schemas["line-sets"])
+
+
 def test_signatures_are_full_and_estimate_similarity():
     a = shingle_set(b" ".join(b"%d" % i for i in range(400)))
     b = shingle_set(b" ".join(b"%d" % i for i in range(40, 440)))
