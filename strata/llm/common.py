@@ -292,6 +292,7 @@ def linked_in_buckets(
     links: DataFrame | None = None,
     hashes_of: Callable[[Column], Column] = lambda body: body,
     temporary: tuple[DataFrame, ...] = (),
+    few: int = 0,
 ) -> DataFrame:
     """Components of the links that shared buckets and exact sets confirm.
 
@@ -313,8 +314,10 @@ def linked_in_buckets(
 
     Members other than the centre that still lie in different components of
     their bucket are compared by their rarest elements (``_linked_by_prefixes``),
-    which loses none of their links. What they have in common is mostly a passage
-    that brought them into the bucket, and that pairs nobody there.
+    which loses none of their links. Where at most ``few`` of them lie outside the
+    bucket's largest component, these are compared with all others at once, which
+    is far less than to deal out the elements of all. What they have in common is
+    mostly a passage that brought them into the bucket, and that pairs nobody there.
     """
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     # Two rows of one node in a bucket make no pair later.
@@ -344,19 +347,45 @@ def linked_in_buckets(
     if links is not None:
         found = found.unionByName(links.select(F.col("a").alias("centre"), F.col("b").alias("member")))
     comps = connected_components(found, "centre", "member", name)
-    rest = _apart(members.select("bucket", "node"), comps).select("node", "component").distinct()
-    rest = write_once(rest, f"{name}-apart")
-    drop_written(members)
+    rest = _apart(members.select("bucket", "node"), comps)
+    if few:
+        apart = write_once(rest, f"{name}-all-apart")
+        comps = _linked_in_few(apart.filter(F.col("others") <= few), sets, comps, percent, name, hashes_of)
+        rest = _apart(apart.filter(F.col("others") > few).select("bucket", "node"), comps)
+    rest = write_once(rest.select("node", "component").distinct(), f"{name}-apart")
+    drop_written(members, *([apart] if few else []))
     if rest.limit(1).count():
         comps = _linked_by_prefixes(sets.join(rest.select("node"), "node"), sets, comps, percent, name, hashes_of)
     drop_written(sets, rest)
     return comps
 
 
+def _linked_in_few(
+    rows: DataFrame, sets: DataFrame, comps: DataFrame, percent: int, name: str, hashes_of: Callable[[Column], Column]
+) -> DataFrame:
+    """Components with the links added between different ones in the buckets of
+    ``rows`` (``bucket, node, component, most``): those outside the bucket's
+    largest component, ``most``, are few, and are compared with all its rows."""
+    rows = rows.select("bucket", "node", "component", "most").join(sets.select("node", "size"), "node")
+    rows = write_once(rows, f"{name}-few")
+    other = rows.filter("component <> most").select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "component", "size")])
+    pairs = rows.join(other, "bucket").filter((F.col("component") != F.col("other_component")) & _fits("size", "other_size", percent))
+    pairs = pairs.select(F.least("node", "other_node").alias("centre"), F.greatest("node", "other_node").alias("member")).distinct()
+    pairs = write_once(pairs, f"{name}-few-pairs")
+    links = write_once(confirmed_pairs(pairs, sets, percent, hashes_of), f"{name}-few-links")
+    if links.limit(1).count():
+        comps = _merged(comps, links, name)
+    drop_written(rows, pairs, links)
+    return comps
+
+
 def _apart(rows: DataFrame, comps: DataFrame) -> DataFrame:
-    """``rows`` (``bucket, node, ...``) of buckets with several components, and
-    each row's ``component`` (the node itself where it has no link)."""
+    """``rows`` (``bucket, node, ...``) of buckets with several components, each
+    row's ``component`` (the node itself where it has no link), and the bucket's
+    largest one (``most``) and rows outside it (``others``)."""
     rows = rows.join(comps.withColumnRenamed("component", "c"), "node", "left")
     rows = rows.withColumn("component", F.coalesce("c", "node")).drop("c")
-    spread = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(spread.filter("low <> high").select("bucket"), "bucket")
+    counts = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+    spread = top.filter("n > top.n").select("bucket", F.col("top.component").alias("most"), (F.col("n") - F.col("top.n")).alias("others"))
+    return rows.join(spread, "bucket")

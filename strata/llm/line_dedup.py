@@ -7,17 +7,19 @@ Built from SQL functions only. Every non-blank line of every text takes part:
    last one ends at the line's end. A line without a whole shingle is one
    shingle itself, and is like no other line.
 2. Equal normalised lines are one node (64-bit hash), written once. MinHash: its
-   shingles are unnested, hashed, and grouped by line: each hash is XORed with
+   shingles are unnested, cut out of its UTF-32 bytes (one position, one copy of
+   48 bytes), hashed, and grouped by line: each hash is XORed with
    eight masks, and the smallest and the largest value under each mask are two of
    16 signature values (the largest is the smallest under the complemented mask).
-   This runs as one compiled aggregation. Eight bands combine three values each,
+   This runs as one compiled aggregation. Ten bands combine three values each,
    no two bands sharing more than one. A pair of similarity 0.75 shares no band with probability
-   (1 - 0.75^3)^8, about 1 percent; at 0.9, 3 in 100,000. Lines of up to 21
+   (1 - 0.75^3)^10, about 0.4 percent; at 0.9, 2 in a million. Lines of up to 21
    shingles, whose few values agree or differ together, have 16 bands of two
    values by hashes of their own, too.
 3. Band buckets make star candidates; exact Jaccard on full shingle sets, made of
    the two lines anew as those are far smaller to move, confirms them; members
-   that a bucket's centre doesn't link are compared by their rarest shingles;
+   that a bucket's centre doesn't link are compared with all others where they are
+   few, else by their rarest shingles;
    distributed union-find joins them (see ``common.linked_in_buckets``).
 4. Of each component the first occurrence by (doc_id, line) stays; all other
    occurrences are removed from their documents.
@@ -36,12 +38,16 @@ from strata.llm.common import distilled, drop_written, linked_in_buckets, write_
 PERCENT = 75
 SHINGLE_CHARS = 12
 N_MASKS = 8
-N_BANDS = 8
+N_BANDS = 10
 # Most shingles of a line with bands of two values.
 SHORT = 21
-# [^\n] matches as the dot does in a line, at a third of its cost. Each match
-# consumes one whole character, so none starts within a surrogate pair.
-_RUN = rf"(?=([^\n]{{{SHINGLE_CHARS}}}))[^\n]"
+# Most rows outside a bucket's largest component with which all others are compared.
+FEW = 8
+# Lines are cut in UTF-32: a shingle is found at once, and has the same bytes in
+# any line. Bytes of a character, and of a shingle.
+_WIDE = 4
+_RUN_BYTES = _WIDE * SHINGLE_CHARS
+_WHITE = " \t\n\x0b\x0c\r"
 
 
 def normal_line(line: Column) -> Column:
@@ -54,10 +60,21 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(low, r"\s+", " ")).otherwise(low))
 
 
+def _starts(code: Column) -> Column:
+    """Where the shingles of a line in UTF-32 begin, from 1; null if there is none."""
+    last = F.octet_length(code) - (_RUN_BYTES - 1)
+    return F.when(last > 0, F.sequence(F.lit(1), last, F.lit(_WIDE)))
+
+
 def line_hashes(line: Column) -> Column:
     """64-bit hashes of the character shingles of a line, normalised and not
     empty; a shingle that occurs again has its hash again."""
-    runs = F.transform(F.regexp_extract_all(line, F.lit(_RUN), F.lit(1)), lambda s: F.xxhash64(s))
+
+    def of(code: Column) -> Column:
+        return F.transform(_starts(code), lambda at: F.xxhash64(F.substring(code, at, F.lit(_RUN_BYTES))))
+
+    # As an element of an array, the bytes are fetched once and not for each shingle.
+    runs = F.flatten(F.transform(F.array(F.encode(line, "UTF-32")), of))
     return F.when(F.length(line) < SHINGLE_CHARS, F.array(F.xxhash64(line))).otherwise(runs)
 
 
@@ -73,8 +90,9 @@ def _masks() -> list[int]:
 def _signed(lines: DataFrame, values: list[Column], keys: list[list[int]], seed: int) -> DataFrame:
     """``node, bands``: per distinct line, the smallest and the largest of each of
     ``values`` (of a shingle's hash ``h``), combined by ``keys``."""
-    runs = lines.select("node", F.explode(F.regexp_extract_all("line", F.lit(_RUN), F.lit(1))).alias("run"))
-    hashed = runs.select("node", F.xxhash64("run").alias("h"))
+    coded = lines.select("node", F.encode("line", "UTF-32").alias("code"))
+    runs = coded.select("node", "code", F.explode(_starts(F.col("code"))).alias("at"))
+    hashed = runs.select("node", F.xxhash64(F.substring(F.col("code"), F.col("at"), F.lit(_RUN_BYTES))).alias("h"))
     ends = [f(v).alias(f"v{2 * k + i}") for k, v in enumerate(values) for i, f in enumerate((F.min, F.max))]
     bands = [F.xxhash64(F.lit(seed + j), *[F.col(f"v{k}") for k in key]) for j, key in enumerate(keys)]
     return hashed.groupBy("node").agg(*ends).select("node", F.array(*bands).alias("bands"))
@@ -85,7 +103,8 @@ def line_signatures(lines: DataFrame) -> DataFrame:
     a whole shingle; two rows for lines of few shingles."""
     h, n = F.col("h"), 2 * N_MASKS
     # Differences 1, 2 and 3 occur once each: two bands share at most one value.
-    threes = [[(2 * j + d) % n for d in (0, 1, 3)] for j in range(N_BANDS)]
+    firsts = [*range(0, n, 2), *range(1, n, 2)][:N_BANDS]
+    threes = [[(j + d) % n for d in (0, 1, 3)] for j in firsts]
     twos = [[j, (j + 5) % n] for j in range(n)]
     whole = lines.filter(F.length("line") >= SHINGLE_CHARS)
     short = whole.filter(F.length("line") < SHINGLE_CHARS + SHORT)
@@ -103,8 +122,10 @@ def _lines(docs: DataFrame) -> DataFrame:
         F.shiftleft(F.hash(text).cast("long"), 32).alias("high"),
         F.posexplode(F.split(text, "\n")).alias("no", "line"),
     )
+    # By the line as it is: a condition on the normal one would make that twice.
+    cut = cut.filter(F.ltrim("line", F.lit(_WHITE)) != "")
     normal = cut.select("doc_id", F.col("high").bitwiseOR(F.col("no").cast("long")).alias("slot"), normal_line(F.col("line")).alias("line"))
-    return normal.filter("line <> ''").withColumn("node", F.xxhash64("line"))
+    return normal.withColumn("node", F.xxhash64("line"))
 
 
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -116,10 +137,10 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = write_once(line_signatures(texts), "line-nodes")
 
     def sets_of(involved: DataFrame) -> DataFrame:
-        wanted = texts.join(involved, "node", "left_semi")
+        wanted = texts.join(involved.hint("shuffle_hash"), "node", "left_semi")
         return wanted.select("node", F.size(F.array_distinct(line_hashes(F.col("line")))).alias("size"), F.col("line").alias("body"))
 
-    comps = linked_in_buckets(nodes, sets_of, percent, "line", hashes_of=line_hashes, temporary=(nodes, texts))
+    comps = linked_in_buckets(nodes, sets_of, percent, "line", hashes_of=line_hashes, temporary=(nodes, texts), few=FEW)
     at = lines.select("doc_id", "slot", "node").join(comps, "node", "left").select(
         F.coalesce("component", "node").alias("component"), F.struct("doc_id", "slot").alias("at")
     )

@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.llm.line_dedup import SHINGLE_CHARS, dedup_lines
+from strata.llm.line_dedup import SHINGLE_CHARS, dedup_lines, line_hashes
 from strata.llm.near_dedup import band_keys, drop_near_duplicates, near_duplicates, shingle_set, signature
 from tests.llm.brute import components, shingles
 
@@ -137,6 +137,56 @@ def test_lines_are_moved_not_their_hashes(make_docs, words, monkeypatch):
     assert schemas["line-sets"]["body"] == "string" and "array" not in str(schemas["line-sets"])
 
 
+def test_few_lines_apart_in_a_bucket_are_compared_without_dealing_out_shingles(make_docs, monkeypatch):
+    """A line and two that differ from it more than from each other, ASCII and other
+    letters: few pairs, so the shingles of the lines aren't moved at all."""
+    from strata.llm import common
+
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = {}
+    for k in range(0, 120, 3):
+        base = ["".join(rng.choices(letters, k=6)) for _ in range(40)]
+        other = base[:32] + ["".join(rng.choices(letters, k=6)) for _ in range(8)]
+        third = list(other)
+        third[39] = "漢字é😀" if k % 2 else "changed"
+        texts |= {k: " ".join(base), k + 1: " ".join(other), k + 2: " ".join(third)}
+    dealt = []
+    plain = common._prefixes
+    monkeypatch.setattr(common, "_prefixes", lambda sets, *rest: dealt.append(sets.count()) or plain(sets, *rest))
+    rows = {r.doc_id: r.dropped_lines for r in dedup_lines(make_docs(texts)).collect()}
+    expected = _cut(texts)
+    assert rows == expected and sum(map(len, expected.values())) == 40
+    assert dealt == []
+
+
+def test_lines_of_a_hub_apart_from_many_others(make_docs):
+    """Lines at about 0.68 to a hub, in pairs at 0.8: more lie apart in a bucket than
+    are compared at once, and none of the links is lost."""
+    rng = random.Random(8)
+    chunks = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30)) for _ in range(60)]
+
+    def without(left_out):
+        return " ".join(c for k, c in enumerate(chunks) if k not in left_out)
+
+    texts = {0: without(())}
+    for pair in range(40):
+        order = rng.sample(range(60), 18)
+        texts[2 * pair + 1], texts[2 * pair + 2] = without(order[:16]), without(order[2:])
+    rows = {r.doc_id: r.dropped_lines for r in dedup_lines(make_docs(texts)).collect()}
+    expected = _cut(texts)
+    assert sum(map(len, expected.values())) >= 40
+    assert rows == expected
+
+
+def test_the_same_shingle_has_one_hash_in_any_line(spark):
+    lines = ["a common start é", "a common start e", "漢字かな交じり文の長い一行です😀", "short"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "k long, line string")
+    found = {r.k: r.h for r in df.select("k", line_hashes(F.col("line")).alias("h")).collect()}
+    assert [len(found[k]) for k in range(4)] == [max(1, len(x) - SHINGLE_CHARS + 1) for x in lines]
+    assert found[0][:-1] == found[1][:-1] and found[0][-1] != found[1][-1]
+
+
 def test_signatures_are_full_and_estimate_similarity():
     a = shingle_set(b" ".join(b"%d" % i for i in range(400)))
     b = shingle_set(b" ".join(b"%d" % i for i in range(40, 440)))
